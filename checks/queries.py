@@ -13,6 +13,7 @@ from docweave.operators import batching, chunking, embedding, mutations, quality
 from docweave.plans import file_etl as etl
 from docweave.plans import method_sync as sync
 from docweave.schemas import FILE_METADATA, conform_files
+from docweave.session import stage
 from docweave.sources import files as file_source
 from docweave.sources import tables as table_source
 
@@ -276,7 +277,7 @@ def chunk_ids(spark, sf):
 
 def hash_embedding(spark, sf):
     docs = t.table(spark, sf, "documents").select("doc_id", "text")
-    rows = embedding.embed_rows(docs, "text", dim=DIM)
+    rows = embedding.embed_rows(docs, "text", dim=DIM, spread_by=["doc_id"])
     return (rows.select("doc_id", F.posexplode("embedding").alias("bucket", "weight")).where("weight <> 0")
             .select("doc_id", long(F.col("bucket")).alias("bucket"),
                     F.round(F.col("weight").cast("double"), 5).alias("weight")))
@@ -303,7 +304,7 @@ def topk_single(spark, sf):
     docs = t.table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"),
         F.create_map(F.lit("lang"), F.col("lang")).alias("metadata"), F.col("lang").alias("namespace"))
-    vectors = embedding.embed_rows(docs, "content", dim=DIM)
+    vectors = embedding.embed_rows(docs, "content", dim=DIM, spread_by=["id"])
     return _ranked(search.search_text(vectors, QUERY_TEXT, 5, dim=DIM, namespace=search.ALL_NAMESPACES))
 
 
@@ -366,7 +367,7 @@ def collection_delete(spark, sf):
 def _planned(spark, sf):
     asked, _ = sync.requested_records(
         t.messages(spark, sf), table_source.method_records(t.methods(spark, sf)))
-    return sync.classify(asked, t.method_state(spark, sf))
+    return stage(sync.classify(asked, t.method_state(spark, sf)), "planned-methods")
 
 
 def _next_rows(spark, sf):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 # What Python's strip() removes from ASCII text.
 ASCII_BLANKS = " \t\n\r\x0b\x0c"
+BLANKS_PATTERN = r"[ \t\n\r\x0B\f]*"
 
 # Time formats of the tables and of the run log.
 TABLE_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -25,7 +26,7 @@ def base_name(path):
 
 def split_ids(message):
     """Ids of a comma-separated message, each trimmed; empty parts are kept."""
-    return F.transform(F.split(message, ",", -1), strip)
+    return F.split(strip(message), f"{BLANKS_PATTERN},{BLANKS_PATTERN}", -1)
 
 
 def collection_of(category):

@@ -29,50 +29,57 @@ def text_splitter(size=CHUNK_SIZE, overlap=CHUNK_OVERLAP, separators=SEPARATORS)
         raise ValueError("chunk overlap must be at least 0 and less than the chunk size")
     openings = [re.compile(re.escape(s)) for s in separators]
 
-    def cuts(text, lo, hi, level):
+    def edges_of(text, lo, hi, level):
         """Piece boundaries of text[lo:hi], both ends included."""
-        inner = [m.start() for m in openings[level].finditer(text, lo, hi) if m.start() > lo]
-        return [lo, *inner, hi]
+        return [lo, *(m.start() for m in openings[level].finditer(text, lo, hi) if m.start() > lo), hi]
 
     def pack(text, edges, out):
-        """Join the pieces between consecutive edges, each at most `size` long."""
+        """Join neighbouring pieces, each at most `size` long, into chunks."""
         first, last = 0, len(edges) - 1
         while first < last:
-            end = bisect_right(edges, edges[first] + size, first + 1, last + 1) - 1
-            end = max(end, first + 1)
+            end = max(bisect_right(edges, edges[first] + size, first + 1) - 1, first + 1)
             out.append(text[edges[first]:edges[end]])
             if end == last:
                 return
-            # Step back over trailing pieces that fit the overlap and still
+            # Step back over trailing pieces that fit in the overlap and still
             # leave room for the next piece.
-            start = end
-            following = edges[end + 1] - edges[end]
-            while (start - 1 > first and edges[end] - edges[start - 1] <= overlap
-                   and edges[end] - edges[start - 1] + following <= size):
-                start -= 1
-            first = start
-
-    def anywhere(text, lo, hi, out):
-        step = size - overlap
-        while True:
-            out.append(text[lo:min(lo + size, hi)])
-            if lo + size >= hi:
-                return
-            lo += step
+            first, following = end, edges[end + 1] - edges[end]
+            while overlap and edges[end] - edges[first - 1] <= min(overlap, size - following):
+                first -= 1
+
+    def cut_anywhere(text, lo, hi, out):
+        for start in range(lo, max(hi - overlap, lo + 1), size - overlap):
+            out.append(text[start:min(start + size, hi)])
+
+    def cut_by_mark(text, lo, hi, level, out):
+        """Without overlap and with a one-character separator, each chunk ends at the
+        last separator in reach: no need to look at every piece."""
+        mark = separators[level]
+        while hi - lo > size:
+            end = text.rfind(mark, lo + 1, lo + size + 1)
+            if end < 0:
+                end = text.find(mark, lo + size + 1, hi)
+                end = hi if end < 0 else end
+                split(text, lo, end, level + 1, out)
+            else:
+                out.append(text[lo:end])
+            lo = end
+        if lo < hi:
+            out.append(text[lo:hi])
 
     def split(text, lo, hi, level, out):
         if hi - lo <= size:
             out.append(text[lo:hi])
-        elif level == len(openings):
-            anywhere(text, lo, hi, out)
+        elif level == len(separators):
+            cut_anywhere(text, lo, hi, out)
+        elif not overlap and len(separators[level]) == 1:
+            cut_by_mark(text, lo, hi, level, out)
         else:
-            edges = cuts(text, lo, hi, level)
-            run = 0
-            for i in range(len(edges) - 1):
-                if edges[i + 1] - edges[i] > size or (
-                        overlap and edges[i + 1] - edges[i] == size):
+            edges, run = edges_of(text, lo, hi, level), 0
+            for i, (start, end) in enumerate(zip(edges, edges[1:])):
+                if end - start > size:
                     pack(text, edges[run:i + 1], out)
-                    split(text, edges[i], edges[i + 1], level + 1, out)
+                    split(text, start, end, level + 1, out)
                     run = i + 1
             pack(text, edges[run:], out)
 
@@ -105,7 +112,8 @@ def chunks_of(splitter=None):
                 out.append([{"text": None, "error": f"{type(failure).__name__}: {failure}"}])
         return pa.array(out, pa.list_(pa.struct([("text", pa.string()), ("error", pa.string())])))
 
-    return chunks
+    # Keeps Catalyst from copying the call into a filter and running it twice.
+    return chunks.asNondeterministic()
 
 
 def chunk_documents(documents: DataFrame, text="content", splitter=None) -> DataFrame:

@@ -1,11 +1,11 @@
 """Text to vector, with a pluggable model."""
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +15,20 @@ from docweave.operators.selection import require_positive
 DIMENSION = 1536
 
 
+class _Buckets(dict):
+    """Buckets of the words seen so far, forgotten when they become too many."""
+
+    def __init__(self, dim):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word):
+        if len(self) >= 1_000_000:
+            self.clear()
+        place = self[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
+        return place
+
+
 def hashing_model(dim=DIMENSION):
     """Model factory of the offline default: a hashed bag of words.
 
@@ -25,20 +39,22 @@ def hashing_model(dim=DIMENSION):
     require_positive(dim, "dimension")
 
     def factory():
-        token = re.compile("[a-z0-9]+")
-        known = {}
-
-        def bucket(word):
-            if len(known) > 1_000_000:
-                known.clear()
-            place = known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-            return place
+        # Every byte outside [a-z0-9] ends a word; characters outside ASCII
+        # arrive as '?', so they do too.
+        word_bytes = bytes(b if chr(b) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for b in range(256))
+        bucket_of = _Buckets(dim).__getitem__
 
         def model(texts):
-            rows = np.zeros((len(texts), dim))
-            for row, text in zip(rows, texts):
-                places = [known[w] if w in known else bucket(w) for w in token.findall(text.lower())]
-                row += np.bincount(places, minlength=dim) if places else 0
+            plain = [text.lower().encode("ascii", "replace").translate(word_bytes) for text in texts]
+            words = pc.ascii_split_whitespace(pa.array(plain, pa.binary()).cast(pa.string()))
+            row = np.repeat(np.arange(len(texts)), words.value_lengths().to_numpy())
+            coded = words.flatten().dictionary_encode()
+            # Blanks at the ends of a text give empty words.
+            bucket = np.fromiter((bucket_of(word) if word else -1 for word in coded.dictionary.to_pylist()),
+                                 "int64", len(coded.dictionary))[coded.indices.to_numpy()]
+            found = bucket >= 0
+            rows = np.bincount(row[found] * dim + bucket[found], minlength=len(texts) * dim)
+            rows = rows.reshape(len(texts), dim).astype("float64")
             norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
             return np.divide(rows, norms, out=rows, where=norms > 0)
 
@@ -54,7 +70,7 @@ def _checked(values, count, dim):
     return values
 
 
-def embedder(model_factory=None, dim=DIMENSION, batch_size=256):
+def embedder(model_factory=None, dim=DIMENSION, batch_size=1024):
     """Column function: text -> struct<embedding, error>.
 
     `model_factory()` is called once per Python worker task and returns a
@@ -106,12 +122,30 @@ def embedder(model_factory=None, dim=DIMENSION, batch_size=256):
             yield pa.StructArray.from_arrays([vectors, pa.array(all_errors, pa.string())],
                                              names=["embedding", "error"])
 
-    return embed
+    # Keeps Catalyst from copying the call into a filter and running it twice.
+    return embed.asNondeterministic()
+
 
+def spread(rows: DataFrame, *by) -> DataFrame:
+    """Rows in even shares for a costly step, by columns that are unique together.
 
-def embed_rows(rows: DataFrame, text: str, model_factory=None, dim=DIMENSION, batch_size=256) -> DataFrame:
-    """Adds `embedding` and `embedding_error`."""
+    Adaptive execution sets the number of shares from the data size and splits
+    those that come out too large, so neither one large file nor a scan with few
+    tasks decides how long the step takes.
+    """
+    return rows.hint("rebalance", *[F.col(name) for name in by])
+
+
+def embed_rows(rows: DataFrame, text: str, model_factory=None, dim=DIMENSION, batch_size=1024,
+               spread_by=()) -> DataFrame:
+    """Adds `embedding` and `embedding_error`.
+
+    `spread_by` names unique columns to share the rows out by first; worth its
+    shuffle when the model costs more than moving the text.
+    """
     embed = embedder(model_factory, dim, batch_size)
+    if spread_by:
+        rows = spread(rows, *spread_by)
     return (rows.withColumn("_vector", embed(F.col(text)))
             .withColumn("embedding", F.col("_vector.embedding"))
             .withColumn("embedding_error", F.col("_vector.error")).drop("_vector"))

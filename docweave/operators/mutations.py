@@ -16,7 +16,7 @@ def latest_per_key(changes: DataFrame, keys, order_by) -> DataFrame:
     An aggregate, so the copies of a hot key are reduced before the shuffle.
     """
     payload = F.struct(*[F.col(c) for c in changes.columns])
-    order = F.struct(*[F.col(c) for c in order_by])
+    order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by])
     return (changes.groupBy(*keys).agg(F.max_by(payload, order).alias("_row"))
             .select("_row.*"))
 

@@ -3,12 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.functions.names import split_ids
+from docweave.functions.names import BLANKS_PATTERN, split_ids
 from docweave.schemas import FILE_METADATA, ISO_PATTERN
 
 # The documented forms of timestamps and of numeric ids.
 ISO_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 NUMERIC_ID = r"^[0-9]+$"
+# The start of a message part that is not digits between blanks. Searched for as
+# a whole, so that a long message is checked in one pass without recursion.
+BAD_PART = rf"(?:\A|,)(?!{BLANKS_PATTERN}[0-9]++{BLANKS_PATTERN}(?:,|\z))"
 
 TEXT_FIELDS = [f.name for f in FILE_METADATA.fields
                if f.dataType.typeName() == "string" and f.name != "metadata_version"]
@@ -60,7 +63,7 @@ def split_by_validity(files: DataFrame):
 
 def ids_are_numeric(message):
     """True when every id of the message is made of ASCII digits."""
-    return F.forall(split_ids(message), lambda part: part.rlike(NUMERIC_ID))
+    return ~message.rlike(BAD_PART)
 
 
 def check_messages(messages: DataFrame) -> DataFrame:
@@ -68,9 +71,11 @@ def check_messages(messages: DataFrame) -> DataFrame:
 
     Evaluated inside each row: no shuffle.
     """
+    nothing = F.array().cast("array<string>")
     bad = F.filter(split_ids("value"), lambda part: ~part.rlike(NUMERIC_ID))
-    return (messages.withColumn("bad_ids", F.coalesce(bad, F.array().cast("array<string>")))
-            .withColumn("valid", F.coalesce(F.size(bad) == 0, F.lit(False))))
+    valid = F.coalesce(ids_are_numeric(F.col("value")), F.lit(False))
+    return (messages.withColumn("valid", valid)
+            .withColumn("bad_ids", F.when(F.col("valid"), nothing).otherwise(F.coalesce(bad, nothing))))
 
 
 def message_ids(messages: DataFrame) -> DataFrame:

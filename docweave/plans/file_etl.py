@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from docweave.functions.maps import record_map
 from docweave.functions.names import collection_of, log_time, namespace_of, stable_uuid
 from docweave.operators.chunking import chunks_of
-from docweave.operators.embedding import DIMENSION, embedder
+from docweave.operators.embedding import DIMENSION, embedder, spread
 from docweave.operators.mutations import VECTOR_KEY
 from docweave.schemas import FILE_METADATA
 from docweave.session import stage
@@ -29,7 +29,7 @@ class FileEtl:
 
 
 def process_files(files: DataFrame, model_factory=None, dim=DIMENSION, splitter=None,
-                  extractors=None, target="namespace", batch_size=256) -> FileEtl:
+                  extractors=None, target="namespace", batch_size=1024) -> FileEtl:
     """`files` has the file metadata columns and `body` (see `attach_bytes`).
 
     One plan over all files: a file that cannot be read, split or embedded gives
@@ -43,6 +43,9 @@ def process_files(files: DataFrame, model_factory=None, dim=DIMENSION, splitter=
     pieces = with_chunks.select(
         *FILE_METADATA.names, "doc_no", F.col("error").alias("read_error"),
         F.posexplode_outer("_pieces").alias("chunk_no", "_piece"))
+    # Chunks, not files, are shared out: a file with most of the text is embedded
+    # by many tasks.
+    pieces = spread(pieces, "full_path", "doc_no", "chunk_no")
     embedded = pieces.withColumn("_vector", embedder(model_factory, dim, batch_size)(F.col("_piece.text")))
 
     has_text = F.col("_piece.text").isNotNull()

@@ -43,7 +43,9 @@ def requested_records(messages: DataFrame, records: DataFrame):
         "message_id", F.concat(F.lit("ids are not numeric: "), F.concat_ws(", ", "bad_ids")).alias("reason"))
     none = unmatched_messages(valid, flat, "method_id").select(
         "message_id", F.lit("no matching data").alias("reason"))
-    return latest_per_key(matched, ["method_id"], matched.columns), bad.unionByName(none)
+    # Records carry no version, so among copies with one id any fixed rule will do.
+    one_each = latest_per_key(matched, ["method_id"], [F.xxhash64(*matched.columns)])
+    return one_each, bad.unionByName(none)
 
 
 def classify(records: DataFrame, state: DataFrame) -> DataFrame:

@@ -207,7 +207,8 @@ def _parsed_bodies(extractors):
                 out.append([{"text": None, "error": f"{type(failure).__name__}: {failure}"}])
         return pa.array(out, pa.list_(pa.struct([("text", pa.string()), ("error", pa.string())])))
 
-    return parse
+    # Keeps Catalyst from copying the call into a filter and running it twice.
+    return parse.asNondeterministic()
 
 
 def file_documents(files: DataFrame, extractors=None) -> DataFrame:
