@@ -54,7 +54,9 @@ def _binary(spark, glob=None):
 
 def inventory(spark: SparkSession, root: str, glob=None) -> DataFrame:
     """name, size, creation_time, last_modified, content_type of every file under
-    `root`. File contents are not read; Spark knows no creation time, so it is null."""
+    `root`. File contents are not read; Spark knows no creation time, so it is null.
+    As in every Spark file scan, empty files and names that start with `_` or `.`
+    are not listed."""
     require_text(root, "root")
     listed = _binary(spark, glob).load(root)
     return listed.select(
@@ -82,7 +84,7 @@ def _plain_path(path):
 
 
 def attach_bytes(files: DataFrame, root: str) -> DataFrame:
-    """Adds `body` (null when the file is missing or too large) and `body_bytes`.
+    """Adds `body` (null when the file is missing, empty or too large) and `body_bytes`.
 
     `full_path` is taken relative to `root`. A short list of files is read path by
     path, with the list broadcast to the scan so that file contents are never
@@ -237,7 +239,7 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
         F.when(~kind.isin([*TEXT_KINDS, "json", "csv", *BINARY_KINDS, *extractors]),
                one(nothing, F.concat(F.lit("unsupported format: "), kind)))
         .when(kind.isin(missing_extractor), one(nothing, F.concat(F.lit("no extractor for "), kind)))
-        .when(body.isNull(), one(nothing, F.lit("file not found or too large")))
+        .when(body.isNull(), one(nothing, F.lit("file not found, empty or too large")))
         .when(in_python, F.lit(None))
         .when(text.isNull(), one(nothing, F.lit("not valid UTF-8")))
         .when(kind.isin(list(TEXT_KINDS)), one(text, nothing))
