@@ -367,7 +367,7 @@ def collection_delete(spark, sf):
 def _planned(spark, sf):
     asked, _ = sync.requested_records(
         t.messages(spark, sf), table_source.method_records(t.methods(spark, sf)))
-    return stage(sync.classify(asked, t.method_state(spark, sf)), "planned-methods")
+    return stage(sync.classify(stage(asked, "asked-methods"), t.method_state(spark, sf)), "planned-methods")
 
 
 def _next_rows(spark, sf):

@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions.maps import merge
-from docweave.operators.selection import in_namespace, namespace_name, require_text
+from docweave.operators.embedding import DIMENSION, embed_rows
+from docweave.operators.selection import in_namespace, namespace_name, require_positive, require_text
 from docweave.schemas import DEFAULT_NAMESPACE
+from docweave.session import stage
 
 VECTOR_KEY = ["namespace", "id"]
 
@@ -107,6 +109,27 @@ def update_vectors(vectors: DataFrame, changes: DataFrame) -> DataFrame:
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in vectors.columns])
 
 
+def update_texts(vectors: DataFrame, changes: DataFrame, model_factory=None, dim=DIMENSION):
+    """`update_vectors` from new texts: `changes` has namespace, id, text, metadata.
+
+    Returns (vectors, rejects): changes without id or text, or whose text cannot be
+    embedded, are rejected with a reason and change nothing.
+    """
+    done = stage(embed_rows(changes, "text", model_factory, dim), "updates")
+    reason = (F.when(F.coalesce(F.col("id"), F.lit("")) == "", "id is empty")
+              .when(F.coalesce(F.col("text"), F.lit("")) == "", "text is empty")
+              .otherwise(F.col("embedding_error")))
+    good = done.where(reason.isNull()).select("namespace", "id", "embedding", "metadata")
+    rejects = done.where(reason.isNotNull()).select("namespace", "id", reason.alias("reason"))
+    return update_vectors(vectors, good), rejects
+
+
+def wrong_dimension(vectors: DataFrame, dim: int) -> DataFrame:
+    """Rows whose vector does not have `dim` values."""
+    require_positive(dim, "dimension")
+    return vectors.where(F.coalesce(F.size("embedding") != dim, F.lit(True)))
+
+
 def delete_namespace(vectors: DataFrame, namespace: str) -> DataFrame:
     """All rows but those of `namespace`; an unknown namespace is an error."""
     require_text(namespace, "namespace")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions.names import BLANKS_PATTERN, split_ids
 from docweave.schemas import FILE_METADATA, ISO_PATTERN
+from docweave.session import stage
 
 # The documented forms of timestamps and of numeric ids.
 ISO_FORM = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
@@ -42,13 +43,14 @@ def _record_rules(df):
 def rule_violations(files: DataFrame) -> DataFrame:
     """The records with `violations`: the names of the broken rules, empty if none.
 
-    Repeated ids are counted with a partial aggregate; only ids that repeat take
-    part in the join back, which adaptive execution splits when one id is hot.
+    Repeated ids are counted with a partial aggregate, which is written first: the
+    records are then joined with the ids that do repeat, as a rule few enough to
+    broadcast, and otherwise with a join that adaptive execution splits at hot ids.
     """
     broken = [F.when(bad, F.lit(name)) for name, bad in _record_rules(files)]
     repeated = (files.groupBy("file_id").agg(F.count(F.lit(1)).alias("copies"))
                 .where("copies > 1 and file_id is not null").select("file_id", F.lit(True).alias("repeated")))
-    checked = files.join(repeated, "file_id", "left")
+    checked = files.join(stage(repeated, "repeated-ids"), "file_id", "left")
     duplicate = F.when(F.col("repeated"), F.lit("file_id_duplicate"))
     return (checked.withColumn("violations", F.array_compact(F.array(*broken, duplicate)))
             .select(*files.columns, "violations"))

@@ -19,10 +19,10 @@ COLLECTION_K = 3
 SCORE_DIGITS = 6
 
 # Query vectors up to this size are sent to every task; a larger set is joined
-# block by block.
+# block by block, with blocks of about these sizes in memory.
 BROADCAST_BYTES = 64 * 1024 * 1024
-QUERY_BLOCK = 1024
-ROW_BLOCK = 16384
+QUERY_BLOCK_BYTES = 32 * 1024 * 1024
+ROW_BLOCK_BYTES = 128 * 1024 * 1024
 SCORES_AT_ONCE = 4_000_000
 
 ALL_NAMESPACES = object()
@@ -61,6 +61,12 @@ def search_text(vectors, text, k=NAMESPACE_K, model_factory=None, dim=DIMENSION,
     return search(vectors, embed_text(text, model_factory, dim), k, **options)
 
 
+def search_collection(vectors, text, collection, k=COLLECTION_K, filters=None, **options):
+    """`search_text` in one collection, with metadata filters."""
+    require_text(collection, "collection name")
+    return search_text(vectors, text, k, namespace=collection, filters=filters, **options)
+
+
 class _Best:
     """The best `k` rows per query seen so far."""
 
@@ -121,15 +127,16 @@ def _by_broadcast(vectors, query_ids, matrix, k, metric, digits):
         best_of_partition, "query_id string, id string, score double")
 
 
-def _by_blocks(vectors, queries, row_count, query_count, k, metric, digits):
+def _by_blocks(vectors, queries, row_count, query_count, dim, k, metric, digits):
     """Queries in blocks against rows in blocks, one task group per pair of blocks.
 
-    Only block numbers are paired; inside a pair the scores are one matrix
-    product and at most `k` rows per query leave it. Blocks are cut by a hash of
-    the id, so their size does not depend on how the data is distributed.
+    Each side is sent once per block of the other, and neither passes through the
+    driver. Inside a pair the scores are one matrix product, and at most `k` rows
+    per query leave it. Blocks are cut by a hash of the unique id, so they are
+    even whatever the data looks like.
     """
-    across = max(1, -(-query_count // QUERY_BLOCK))
-    down = max(1, -(-row_count // ROW_BLOCK))
+    across = -(-query_count * dim * 8 // QUERY_BLOCK_BYTES)
+    down = max(1, -(-row_count * dim * 8 // ROW_BLOCK_BYTES))
 
     def spread(df, key, own, own_count, other, other_count):
         return (df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_count)).cast("int"))
@@ -139,16 +146,11 @@ def _by_blocks(vectors, queries, row_count, query_count, k, metric, digits):
     right = spread(vectors.select("id", "embedding"), "id", "down", down, "across", across)
 
     def best_of_pair(asked, rows):
-        if asked.num_rows == 0 or rows.num_rows == 0:
-            return pa.table({"query_id": pa.array([], pa.string()), "id": pa.array([], pa.string()),
-                             "score": pa.array([], pa.float64())})
         names = asked.column("query_id").to_pylist()
-        asked_vectors = asked.column("embedding").combine_chunks()
-        dim = len(asked_vectors[0])
-        fits, matrix = as_matrix(asked_vectors, dim)
-        names = [names[i] for i in fits]
         best = _Best(metric, k, len(names))
-        _scan(best, metric, digits, rows.column("id"), rows.column("embedding").combine_chunks(), matrix)
+        if names and rows.num_rows:
+            matrix = as_matrix(asked.column("embedding").combine_chunks(), dim)[1]
+            _scan(best, metric, digits, rows.column("id"), rows.column("embedding").combine_chunks(), matrix)
         return best.table(names)
 
     return (left.groupBy("across", "down").cogroup(right.groupBy("across", "down"))
@@ -178,6 +180,6 @@ def knn_join(vectors: DataFrame, queries: DataFrame, k=NAMESPACE_K, metric=DOT,
         matrix = as_matrix(asked.column("embedding").combine_chunks(), size.dim)[1]
         found = _by_broadcast(vectors, asked.column("query_id").to_pylist(), matrix, k, metric, digits)
     else:
-        found = _by_blocks(vectors, queries, vectors.count(), size.n, k, metric, digits)
+        found = _by_blocks(vectors, queries, vectors.count(), size.n, size.dim, k, metric, digits)
     place = Window.partitionBy("query_id").orderBy(_best_first(metric), "id")
     return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)

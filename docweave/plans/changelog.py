@@ -22,13 +22,15 @@ def _without(rows, gone, keys):
 
 
 class ChangeLog:
-    """Tables under one folder, each given as name -> (schema, key columns).
+    """Tables under one folder, each given as name -> (schema, key columns[,
+    partition columns]).
 
     One writer at a time, with increasing batch ids, as a streaming query has.
     """
 
     def __init__(self, spark: SparkSession, root: str, tables):
-        self.spark, self.root, self.tables = spark, root.rstrip("/"), dict(tables)
+        self.spark, self.root = spark, root.rstrip("/")
+        self.tables = {name: (*spec, []) if len(spec) == 2 else tuple(spec) for name, spec in tables.items()}
 
     def _read(self, kind, name, schema):
         try:
@@ -38,6 +40,14 @@ class ChangeLog:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _write(self, kind, name, batch_id, rows):
+        """Files of even size; a partition value with most rows is split over many."""
+        places = self.tables[name][2]
+        if places:
+            rows = rows.hint("rebalance", *[F.col(c) for c in places])
+        rows.write.mode("overwrite").partitionBy(*places).parquet(
+            f"{self.root}/{kind}/{name}/batch_id={batch_id}")
+
     def _last(self, kind):
         """Greatest committed batch id, or None."""
         commits = self._read("commits", kind, "batch_id long, done boolean")
@@ -63,18 +73,18 @@ class ChangeLog:
         if last is not None and batch_id <= last:
             return False
         for name, (rows, gone) in changes.items():
-            schema, keys = self.tables[name]
+            schema, keys, _ = self.tables[name]
             out = rows.select(*schema.names, F.lit(False).alias("_deleted"))
             if gone is not None:
                 removed = _without(gone.select(*keys).distinct(), rows, keys)
                 out = out.unionByName(removed.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
-            out.write.mode("overwrite").parquet(f"{self.root}/changes/{name}/batch_id={batch_id}")
+            self._write("changes", name, batch_id, out)
         self._commit("changes", batch_id)
         return True
 
     def current(self, name: str) -> DataFrame:
         """The table as of the last published batch."""
-        schema, keys = self.tables[name]
+        schema, keys, _ = self.tables[name]
         logged = T.StructType([*schema.fields, *_LOG_FIELDS])
         base_id, last_id = self._last("base"), self.last_batch()
         log = self._read("changes", name, logged).where(F.col("batch_id") <= F.lit(-1 if last_id is None else last_id))
@@ -99,5 +109,5 @@ class ChangeLog:
         if last is None or self._last("base") == last:
             return
         for name in self.tables:
-            self.current(name).write.mode("overwrite").parquet(f"{self.root}/base/{name}/batch_id={last}")
+            self._write("base", name, last, self.current(name))
         self._commit("base", last)

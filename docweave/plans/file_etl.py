@@ -10,7 +10,6 @@ from docweave.functions.maps import record_map
 from docweave.functions.names import collection_of, log_time, namespace_of, stable_uuid
 from docweave.operators.chunking import chunks_of
 from docweave.operators.embedding import DIMENSION, embedder, spread
-from docweave.operators.mutations import VECTOR_KEY
 from docweave.schemas import FILE_METADATA
 from docweave.session import stage
 from docweave.sources.files import attach_bytes, file_documents
@@ -22,10 +21,13 @@ TARGETS = {"namespace": namespace_of, "collection": collection_of}
 @dataclass
 class FileEtl:
     """`vectors` to write; `outcomes`, one row per file: file_id, category,
-    full_path, documents, chunks, stage and error (null when the file went well)."""
+    full_path, documents, chunks, stage and error (null when the file went well);
+    `stored`, one row per good file: full_path, namespace, documents and the
+    greatest number of chunks of a document, which together give its chunk ids."""
 
     vectors: DataFrame
     outcomes: DataFrame
+    stored: DataFrame
 
 
 def process_files(files: DataFrame, model_factory=None, dim=DIMENSION, splitter=None,
@@ -57,36 +59,49 @@ def process_files(files: DataFrame, model_factory=None, dim=DIMENSION, splitter=
              if documents.schema[f.name].dataType == T.TimestampType()}
     source = F.create_map(F.lit("source"), F.col("full_path"), F.lit("document"), F.col("doc_no").cast("string"))
     rows = stage(embedded.select(
-        "file_id", "category", "full_path", "doc_no",
-        stable_uuid(F.col("full_path"), F.col("doc_no").cast("string"), F.col("chunk_no").cast("string"))
-        .alias("id"),
+        "file_id", "category", "full_path", "doc_no", "chunk_no",
+        chunk_key(F.col("full_path"), F.col("doc_no"), F.col("chunk_no")).alias("id"),
         F.col("_vector.embedding").alias("embedding"), F.col("_piece.text").alias("content"),
         F.map_concat(F.map_filter(record_map(*FILE_METADATA.names, **dated), lambda _, v: v.isNotNull()), source)
         .alias("metadata"),
         place.alias("namespace"), failed_at.alias("stage"),
         F.coalesce("read_error", split_error, embed_error).alias("error")), "file-etl")
 
-    per_file = rows.groupBy("file_id", "category", "full_path").agg(
-        F.count_distinct("doc_no").alias("documents"), F.count("content").alias("chunks"),
+    per_file = rows.groupBy("file_id", "category", "full_path", "namespace").agg(
+        (F.max("doc_no") + 1).cast("bigint").alias("documents"), F.count("content").alias("chunks"),
+        (F.max("chunk_no") + 1).cast("bigint").alias("widest"),
         F.min(F.when(F.col("error").isNotNull(), F.struct("stage", "error"))).alias("_worst"))
     blank = F.col("_worst").isNull() & (F.col("chunks") == 0)
-    outcomes = stage(per_file.select(
-        "file_id", "category", "full_path", "documents", "chunks",
+    files_done = stage(per_file.select(
+        "file_id", "category", "full_path", "namespace", "documents", "chunks", "widest",
         F.when(blank, "split").otherwise(F.col("_worst.stage")).alias("stage"),
         F.when(blank, "no text in file").otherwise(F.col("_worst.error")).alias("error")), "outcomes")
 
-    failed = outcomes.where("error is not null").select("full_path")
+    # Written apart, so that its true (small) size decides the join below.
+    failed = stage(files_done.where("error is not null").select("full_path"), "failed-files")
     vectors = (rows.where("error is null and content is not null")
                .join(failed, "full_path", "left_anti")
                .select("id", "embedding", "content", "metadata", "namespace"))
-    return FileEtl(vectors, outcomes)
+    return FileEtl(
+        vectors, files_done.select("file_id", "category", "full_path", "documents", "chunks", "stage", "error"),
+        files_done.where("error is null").select("full_path", "namespace", "documents", "widest"))
 
 
-def replaced_chunks(vectors: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Keys of the stored chunks of files that were read again with success."""
-    done = outcomes.where("error is null").select("full_path")
-    return (vectors.select(*VECTOR_KEY, F.col("metadata")["full_path"].alias("full_path"))
-            .join(done, "full_path", "left_semi").select(*VECTOR_KEY))
+def chunk_key(path, doc_no, chunk_no):
+    """Id of a chunk: the same whenever the same file is read again."""
+    return stable_uuid(path, doc_no.cast("string"), chunk_no.cast("string"))
+
+
+def replaced_chunks(stored_before: DataFrame, stored_now: DataFrame) -> DataFrame:
+    """Keys the chunks of files that are now read again can have had before.
+
+    Made from the `stored` rows alone: the vector table is not read. Some keys
+    may not exist; deleting those changes nothing.
+    """
+    again = stored_before.join(stored_now.select("full_path"), "full_path", "left_semi")
+    docs = again.select("*", F.explode(F.sequence(F.lit(0), F.col("documents").cast("int") - 1)).alias("_doc"))
+    keys = docs.select("*", F.explode(F.sequence(F.lit(0), F.col("widest").cast("int") - 1)).alias("_chunk"))
+    return keys.select("namespace", chunk_key(F.col("full_path"), F.col("_doc"), F.col("_chunk")).alias("id"))
 
 
 def run_file_etl(files: DataFrame, root: str, **options) -> FileEtl:

@@ -50,7 +50,10 @@ def requested_records(messages: DataFrame, records: DataFrame):
 
 def classify(records: DataFrame, state: DataFrame) -> DataFrame:
     """Each record with `exists`, `old_uuid` and `old_created_at` from the table."""
-    known = state.select("method_id", F.lit(True).alias("_known"), F.col("uuid").alias("old_uuid"),
+    # The table is reduced to the ids asked for before the join, by a semi join
+    # that needs no shuffle of the table while they are few.
+    asked = state.join(records.select("method_id"), "method_id", "left_semi")
+    known = asked.select("method_id", F.lit(True).alias("_known"), F.col("uuid").alias("old_uuid"),
                          F.col("vector_created_at").alias("old_created_at"))
     return (records.join(known, "method_id", "left")
             .withColumn("exists", F.coalesce("_known", F.lit(False))).drop("_known"))
@@ -96,6 +99,7 @@ def sync_methods(messages: DataFrame, records: DataFrame, state: DataFrame, run_
     A method that cannot be embedded changes neither table and is reported.
     """
     asked, rejects = requested_records(messages, records)
+    asked = stage(asked, "asked-methods")
     planned = stage(classify(asked, state), "planned-methods")
     rows = next_metadata(planned, run_time, batch_id)
     # Embedding is the costly step and feeds three outputs: written once.

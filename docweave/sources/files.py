@@ -38,6 +38,8 @@ MAX_FILE_BYTES = 2**31 - 1024
 VARIANT_BYTES = 16 * 1024 * 1024
 # Paths handed to the reader one by one; more are read by folder and joined.
 MAX_LISTED_PATHS = 1_000
+# Up to this many file splits (a path and two numbers each) are broadcast.
+MAX_BROADCAST_SPLITS = 500_000
 # A file list of at most this many rows (about 1 KB each) is broadcast.
 MAX_ROWS_PER_LIST = 10_000
 
@@ -153,11 +155,33 @@ def csv_documents(spark: SparkSession, paths, multiline=True) -> DataFrame:
               .rowsBetween(Window.unboundedPreceding, -1))
     splits = splits.select("source", "_block", (F.coalesce(F.sum("_rows").over(before), F.lit(0))
                                                 - F.col("_first")).alias("_shift"))
+    splits = stage(splits, "csv-splits")
+    if splits.count() <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
     row = (F.col("_id") + F.col("_shift")).cast("string")
     return documents.join(splits, ["source", "_block"]).select(
         "content", F.create_map(F.lit("source"), F.col("source"), F.lit("row"), row).alias("metadata"))
 
 
+def text_documents(spark: SparkSession, paths, glob=None) -> DataFrame:
+    """One document per text file: content, metadata with `source`, and error."""
+    reader = spark.read.option("wholetext", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    text = F.try_validate_utf8(F.col("value"))
+    return reader.text(paths).select(
+        text.alias("content"), F.create_map(F.lit("source"), F.col("_metadata.file_path")).alias("metadata"),
+        F.when(text.isNull(), "not valid UTF-8").alias("error"))
+
+
+def json_documents(spark: SparkSession, paths, glob=None) -> DataFrame:
+    """One document per JSON file; `content` is null and `error` set where it is not JSON."""
+    texts = text_documents(spark, paths, glob)
+    content = compact_json(F.col("content"))
+    return texts.select(content.alias("content"), "metadata",
+                        F.coalesce("error", F.when(content.isNull(), "not valid JSON")).alias("error"))
+
+
 # Fixed value: a JSON string literal, or blanks outside of one.
 JSON_STRING_OR_BLANKS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
 
@@ -253,3 +277,12 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
     return (rows.select(*kept, F.posexplode(F.when(F.size(found) > 0, found).otherwise(empty))
                         .alias("doc_no", "_doc"))
             .select(*kept, "doc_no", F.col("_doc.text").alias("content"), F.col("_doc.error").alias("error")))
+
+
+def load_documents(spark: SparkSession, where, extractors=None, glob=None) -> DataFrame:
+    """Documents of all files under a folder, or of a list of paths, by extension:
+    content, metadata with `source` and `row`, and error."""
+    files = read_bytes(spark, where, glob).select(F.col("path").alias("full_path"), F.col("content").alias("body"))
+    return file_documents(files, extractors).select(
+        "content", F.create_map(F.lit("source"), F.col("full_path"), F.lit("row"), F.col("doc_no").cast("string"))
+        .alias("metadata"), "error")

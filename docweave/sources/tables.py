@@ -37,12 +37,14 @@ def method_records(methods: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, overwrite=False, partition_by=()) -> None:
     """Write a new table; an existing one is an error unless `overwrite`.
 
-    Empty data is refused. Rows of a partition value are written by the tasks
-    that hold them: one value with most rows is not gathered into one task.
+    Empty data is refused. With partition columns the rows are first shared out by
+    them, so that each value has few files; a value with most rows is split.
     """
     require_text(path, "path")
     if df.isEmpty():
         raise ValueError("no data to write")
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode("overwrite" if overwrite else "errorifexists").partitionBy(*partition_by).parquet(path)
 
 
@@ -50,6 +52,12 @@ def append_records(df: DataFrame, path: str, partition_by=()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def append_run_log(entries: DataFrame, path: str) -> None:
+    """Append log entries (chat_id, ts, seq, message), partitioned by day; read them
+    with `reports.run_log_latest`."""
+    append_records(entries.withColumn("day", F.to_date("ts")), path, ["day"])
+
+
 def export_texts(methods: DataFrame, path: str, max_methods=10_000) -> None:
     """One text folder per method, for debugging; refused for more than `max_methods`."""
     require_text(path, "path")

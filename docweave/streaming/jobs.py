@@ -22,17 +22,21 @@ OUTCOMES = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("file_id", "category", "full_path")]
     + [T.StructField(n, T.LongType()) for n in ("documents", "chunks")]
     + [T.StructField(n, T.StringType()) for n in ("stage", "error")])
+STORED = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("full_path", "namespace")]
+    + [T.StructField(n, T.LongType()) for n in ("documents", "widest")])
 REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("message_id", "method_id", "reason")])
 
 
 def file_tables(spark, root) -> ChangeLog:
     return ChangeLog(spark, root, {
-        "vectors": (VECTORS, VECTOR_KEY), "outcomes": (OUTCOMES, ["full_path"])})
+        "vectors": (VECTORS, VECTOR_KEY, ["namespace"]), "outcomes": (OUTCOMES, ["full_path"]),
+        "stored": (STORED, ["full_path"])})
 
 
 def method_tables(spark, root) -> ChangeLog:
     return ChangeLog(spark, root, {
-        "methods": (METHOD_METADATA, ["method_id"]), "vectors": (VECTORS, VECTOR_KEY),
+        "methods": (METHOD_METADATA, ["method_id"]), "vectors": (VECTORS, VECTOR_KEY, ["namespace"]),
         "rejects": (REJECTS, ["message_id", "method_id", "reason"])})
 
 
@@ -45,9 +49,9 @@ def apply_file_messages(messages: DataFrame, batch_id: int, log: ChangeLog, file
     ids = message_ids(messages).select(F.col("id").alias("file_id"))
     chosen = stage(conform_files(by_ids(files, ids, "file_id")), "chosen-files")
     done = run_file_etl(chosen, root, **options)
-    gone = replaced_chunks(log.current("vectors"), done.outcomes)
+    gone = replaced_chunks(log.current("stored"), done.stored)
     return log.publish(batch_id, {
-        "vectors": (done.vectors, gone), "outcomes": (done.outcomes, None)})
+        "vectors": (done.vectors, gone), "outcomes": (done.outcomes, None), "stored": (done.stored, None)})
 
 
 def apply_method_messages(messages: DataFrame, batch_id: int, log: ChangeLog, records: DataFrame,

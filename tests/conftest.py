@@ -9,10 +9,10 @@ from docweave.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
-        spark__driver__memory="4g", spark__checkpoint__dir=str(tmp_path_factory.mktemp("stage")))
+        spark__driver__memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -155,3 +155,27 @@ def test_query_parameters_are_values(spark):
     assert rows(tables.query(spark, "SELECT v FROM pairs WHERE k = :k", k="x' OR '1'='1")) == [(1,)]
     with pytest.raises(ValueError):
         tables.query(spark, " ")
+
+
+def test_direct_readers(spark, store):
+    texts = source.text_documents(spark, str(store), "*.txt")
+    assert sorted(tuple(r)[::2] for r in texts.collect() if r.content) == [("é text", None)]
+    assert [r.error for r in texts.where("content is null").collect()] == ["not valid UTF-8"]
+    found = {r.metadata["source"].split("/")[-1]: (r.content, r.error)
+             for r in source.json_documents(spark, str(store), "*.json").collect()}
+    assert found["f.json"] == ("just  text", None) and found["g.json"] == (None, "not valid JSON")
+    loaded = source.load_documents(spark, str(store), glob="*.csv").collect()
+    assert sorted((r.metadata["row"], r.error) for r in loaded) == [
+        ("0", None), ("0", "no documents"), ("1", None), ("2", None)]
+
+
+def test_run_log(spark, tmp_path):
+    from docweave.operators.reports import run_log_latest
+    path = str(tmp_path / "log")
+    entries = spark.createDataFrame([("c", 0, 1, "first"), ("c", 0, 2, "second"), ("c", 1, 3, "third")],
+                                    "chat_id string, s long, seq long, message string")
+    entries = entries.select("chat_id", F.timestamp_seconds("s").alias("ts"), "seq", "message")
+    tables.append_run_log(entries.where("seq < 3"), path)
+    tables.append_run_log(entries.where("seq = 3"), path)
+    assert rows(run_log_latest(spark.read.parquet(path)).select("name", "message")) == [
+        ("c/1970-01-01T00:00:00Z.txt", "second"), ("c/1970-01-01T00:00:01Z.txt", "third")]

@@ -149,3 +149,15 @@ def test_failure_report(spark):
 def test_first_collection_entry_wins(spark):
     entries = spark.createDataFrame([("c", 2, "B"), ("c", 1, "A")], "name string, created_at int, type string")
     assert rows(list_collections(entries)) == [("c", 1, "A")]
+
+
+def test_update_texts(spark):
+    changes = spark.createDataFrame(
+        [("n1", "1", "new words", {"by": "me"}), ("n1", "2", "", None), ("n2", None, "text", None)],
+        "namespace string, id string, text string, metadata map<string,string>")
+    after, rejects = m.update_texts(vectors(spark), changes, dim=4)
+    found = {(r.namespace, r.id): r for r in after.collect()}
+    assert len(found["n1", "1"].embedding) == 4 and found["n1", "1"].metadata == {"a": "1", "b": "1", "by": "me"}
+    assert list(found["n1", "2"].embedding) == [3.0]
+    assert rows(rejects.select("reason")) == [("id is empty",), ("text is empty",)]
+    assert rows(m.wrong_dimension(after, 1).select("namespace", "id")) == [("n1", "1")]

@@ -62,8 +62,8 @@ def test_search_plan(spark, tmp_path):
 @pytest.mark.parametrize("metric", [DOT, COSINE, L2])
 @pytest.mark.parametrize("limit", [search.BROADCAST_BYTES, 0])
 def test_knn_join_matches_all_pairs(spark, monkeypatch, metric, limit):
-    monkeypatch.setattr(search, "QUERY_BLOCK", 5)
-    monkeypatch.setattr(search, "ROW_BLOCK", 60)
+    monkeypatch.setattr(search, "QUERY_BLOCK_BYTES", 5 * 4 * 8)
+    monkeypatch.setattr(search, "ROW_BLOCK_BYTES", 60 * 4 * 8)
     monkeypatch.setattr(search, "SCORES_AT_ONCE", 100)
     rng = np.random.default_rng(3)
     # A third of the rows are copies of one vector: their scores tie.
@@ -95,3 +95,14 @@ def test_knn_join_plan_has_no_pairs(spark):
         text = plan(knn_join(vectors, queries, 2, broadcast_bytes=limit))
         assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
         assert "WindowGroupLimit" in text
+
+
+def test_collection_search(spark):
+    from docweave.operators.embedding import embed_rows
+    docs = spark.createDataFrame([("1", "red house", "c", {"lang": "en"}), ("2", "red car", "c", {"lang": "fr"}),
+                                  ("3", "red house", "d", None)],
+                                 "id string, content string, namespace string, metadata map<string,string>")
+    vectors = embed_rows(docs, "content", dim=64)
+    found = search.search_collection(vectors, "a red house", "c", dim=64)
+    assert [r.id for r in found.orderBy("rank").collect()] == ["1", "2"]
+    assert [r.id for r in search.search_collection(vectors, "red", "c", filters={"lang": "fr"}, dim=64).collect()] == ["2"]
