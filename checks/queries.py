@@ -253,7 +253,7 @@ def batches_global(spark, sf):
 # Text ------------------------------------------------------------------------
 
 def _chunks(spark, sf):
-    docs = t.files(spark, sf).select("file_id", "full_path", F.col("text").alias("content"))
+    docs = t.files(spark, sf, t.spread_table).select("file_id", "full_path", F.col("text").alias("content"))
     return chunking.chunk_documents(docs)
 
 
@@ -276,8 +276,8 @@ def chunk_ids(spark, sf):
 
 
 def hash_embedding(spark, sf):
-    docs = t.table(spark, sf, "documents").select("doc_id", "text")
-    rows = embedding.embed_rows(docs, "text", dim=DIM, spread_by=["doc_id"])
+    docs = t.spread_table(spark, sf, "documents").select("doc_id", "text")
+    rows = embedding.embed_rows(docs, "text", dim=DIM)
     return (rows.select("doc_id", F.posexplode("embedding").alias("bucket", "weight")).where("weight <> 0")
             .select("doc_id", long(F.col("bucket")).alias("bucket"),
                     F.round(F.col("weight").cast("double"), 5).alias("weight")))
@@ -301,10 +301,10 @@ def filtered_search(spark, sf):
 
 
 def topk_single(spark, sf):
-    docs = t.table(spark, sf, "documents").select(
+    docs = t.spread_table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"),
         F.create_map(F.lit("lang"), F.col("lang")).alias("metadata"), F.col("lang").alias("namespace"))
-    vectors = embedding.embed_rows(docs, "content", dim=DIM, spread_by=["id"])
+    vectors = embedding.embed_rows(docs, "content", dim=DIM)
     return _ranked(search.search_text(vectors, QUERY_TEXT, 5, dim=DIM, namespace=search.ALL_NAMESPACES))
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docweave.functions.names import log_time
+from docweave.session import spread_if_few
 from docweave.sources.files import content_type
 
 # Extensions in turn by source number, as the SQL side uses them.
@@ -14,15 +15,21 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark, sf_dir, name, key="doc_id"):
+    """A table in enough tasks for work on its texts: the supplied files have one
+    row group each."""
+    return spread_if_few(table(spark, sf_dir, name), key)
+
+
 def _minutes(start, ids):
     return F.timestamp_seconds(F.lit(start) + ids * 60)
 
 
-def files(spark, sf_dir):
+def files(spark, sf_dir, source=table):
     """File metadata records, with `text` of the document."""
     number = F.substring("source", 4, 10).cast("int")
     ext = F.element_at(F.array(*[F.lit(e) for e in EXTENSIONS]), number % len(EXTENSIONS) + 1)
-    docs = table(spark, sf_dir, "documents").withColumn("_ext", ext)
+    docs = source(spark, sf_dir, "documents").withColumn("_ext", ext)
     filename = F.concat_ws(".", F.col("doc_id").cast("string"), "_ext")
     when = log_time(_minutes(EPOCH_2024, F.col("doc_id")))
     return docs.select(
@@ -63,7 +70,7 @@ def file_bodies(spark, sf_dir):
 
     The files of one source have a JSON extension but no JSON inside.
     """
-    rows = files(spark, sf_dir)
+    rows = files(spark, sf_dir, spread_table)
     quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
     as_csv = F.concat(F.lit("file_id,text\n"), "file_id", F.lit(","), quoted)
     as_json = F.to_json(F.struct("file_id", "text"))

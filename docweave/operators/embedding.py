@@ -126,26 +126,13 @@ def embedder(model_factory=None, dim=DIMENSION, batch_size=1024):
     return embed.asNondeterministic()
 
 
-def spread(rows: DataFrame, *by) -> DataFrame:
-    """Rows in even shares for a costly step, by columns that are unique together.
-
-    Adaptive execution sets the number of shares from the data size and splits
-    those that come out too large, so neither one large file nor a scan with few
-    tasks decides how long the step takes.
-    """
-    return rows.hint("rebalance", *[F.col(name) for name in by])
-
-
-def embed_rows(rows: DataFrame, text: str, model_factory=None, dim=DIMENSION, batch_size=1024,
-               spread_by=()) -> DataFrame:
+def embed_rows(rows: DataFrame, text: str, model_factory=None, dim=DIMENSION, batch_size=1024) -> DataFrame:
     """Adds `embedding` and `embedding_error`.
 
-    `spread_by` names unique columns to share the rows out by first; worth its
-    shuffle when the model costs more than moving the text.
+    Narrow; `session.spread` the rows first where the model costs more than
+    moving the text.
     """
     embed = embedder(model_factory, dim, batch_size)
-    if spread_by:
-        rows = spread(rows, *spread_by)
     return (rows.withColumn("_vector", embed(F.col(text)))
             .withColumn("embedding", F.col("_vector.embedding"))
             .withColumn("embedding_error", F.col("_vector.error")).drop("_vector"))

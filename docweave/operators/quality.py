@@ -97,6 +97,18 @@ def _kind(value, path):
     return F.schema_of_variant(F.try_variant_get(value, path, "variant"))
 
 
+def _element_rule(element):
+    """The first broken rule of one element of `file_path`; null if none."""
+    fields = element.try_cast("map<string,variant>")
+    value = F.map_values(fields)[0]
+    is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    metadata = _kind(value, "$.metadata")
+    return (F.when(fields.isNull() | (F.size(fields) != 1), "element must have exactly one path")
+            .when(~is_object, "value of the path is not an object")
+            .when(metadata.isNull() | (metadata == "VOID"), "metadata missing")
+            .when(~metadata.startswith("OBJECT"), "metadata is not an object"))
+
+
 def batch_spec_violations(specs: DataFrame, json_column="spec") -> DataFrame:
     """Broken rules of batch specifications given as JSON text.
 
@@ -104,34 +116,25 @@ def batch_spec_violations(specs: DataFrame, json_column="spec") -> DataFrame:
     (path_idx null), and one per element of `file_path` that is not
     `{path: {"metadata": {...}}}`; within an element the first broken rule counts.
     """
-    parsed = specs.withColumn("_doc", F.try_parse_json(json_column))
     doc = F.col("_doc")
-    whole, paths = F.schema_of_variant(doc), _kind(doc, "$.file_path")
-    name = _kind(doc, "$.collection_name")
-    not_object = ~F.coalesce(whole.startswith("OBJECT"), F.lit(False))
-    missing = paths.isNull() | (paths == "VOID")
+    paths, name = _kind(doc, "$.file_path"), _kind(doc, "$.collection_name")
+    not_object = ~F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
     entry_rule = (F.when(not_object, "entry is not an object")
-                  .when(missing, "file_path missing")
+                  .when(paths.isNull() | (paths == "VOID"), "file_path missing")
                   .when(~paths.startswith("ARRAY"), "file_path is not a list"))
     name_rule = (F.when(not_object, None)
                  .when(name.isNull() | (name == "VOID"), "collection_name missing")
                  .when(name != "STRING", "collection_name is not a string"))
 
-    kept = [name for name in specs.columns if name != json_column]
-    whole_entry = (parsed.select(*kept, F.lit(None).cast("int").alias("path_idx"),
-                                 F.explode(F.array_compact(F.array(entry_rule, name_rule))).alias("rule")))
-
-    usable = F.when(entry_rule.isNull(), F.try_variant_get(doc, "$.file_path", "array<variant>"))
-    element = F.col("element")
-    fields = element.try_cast("map<string,variant>")
-    single = F.map_values(fields)[0]
-    metadata = _kind(single, "$.metadata")
-    single_kind = F.schema_of_variant(single)
-    path_rule = (F.when(fields.isNull() | (F.size(fields) != 1), "element must have exactly one path")
-                 .when(~F.coalesce(single_kind.startswith("OBJECT"), F.lit(False)),
-                       "value of the path is not an object")
-                 .when(metadata.isNull() | (metadata == "VOID"), "metadata missing")
-                 .when(~metadata.startswith("OBJECT"), "metadata is not an object"))
-    elements = (parsed.select(*kept, F.posexplode(usable).alias("path_idx", "element"))
-                .select(*kept, "path_idx", path_rule.alias("rule")).where("rule is not null"))
-    return whole_entry.unionByName(elements)
+    def broken(path_idx, rule):
+        return F.struct(path_idx.cast("int").alias("path_idx"), rule.alias("rule"))
+
+    elements = F.when(entry_rule.isNull(), F.try_variant_get(doc, "$.file_path", "array<variant>"))
+    found = F.concat(
+        F.array(broken(F.lit(None), entry_rule), broken(F.lit(None), name_rule)),
+        F.coalesce(F.transform(elements, lambda element, i: broken(i, _element_rule(element))),
+                   F.array().cast("array<struct<path_idx:int,rule:string>>")))
+    kept = [c for c in specs.columns if c != json_column]
+    return (specs.withColumn("_doc", F.try_parse_json(json_column))
+            .select(*kept, F.explode(F.filter(found, lambda b: b["rule"].isNotNull())).alias("_broken"))
+            .select(*kept, "_broken.path_idx", "_broken.rule"))

@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from docweave.functions.maps import record_map
 from docweave.functions.names import collection_of, log_time, namespace_of, stable_uuid
 from docweave.operators.chunking import chunks_of
-from docweave.operators.embedding import DIMENSION, embedder, spread
+from docweave.operators.embedding import DIMENSION, embedder
 from docweave.schemas import FILE_METADATA
-from docweave.session import stage
+from docweave.session import spread, stage
 from docweave.sources.files import attach_bytes, file_documents
 
 # How a category names the place its vectors go to.

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name="docweave", master=None, **conf):
@@ -30,6 +31,28 @@ def build_session(app_name="docweave", master=None, **conf):
     return builder.getOrCreate()
 
 
+def spread(rows: DataFrame, *by) -> DataFrame:
+    """Rows in even shares for a costly step, by columns that are unique together.
+
+    Adaptive execution sets the number of shares from the data size and splits
+    those that come out too large, so neither one large file nor one hot value
+    decides how long the step takes.
+    """
+    return rows.hint("rebalance", *[F.col(name) for name in by])
+
+
+def spread_if_few(scan: DataFrame, *by) -> DataFrame:
+    """`spread` a scan that has fewer tasks than there are cores, such as one file
+    with a single row group; a scan with enough tasks is left where it is.
+
+    Only for plans without shuffles: for those the number of tasks is known
+    without running anything.
+    """
+    if scan.rdd.getNumPartitions() >= scan.sparkSession.sparkContext.defaultParallelism:
+        return scan
+    return spread(scan, *by)
+
+
 _LOCAL_ROOTS = {}
 
 
