@@ -138,3 +138,10 @@ def batch_spec_violations(specs: DataFrame, json_column="spec") -> DataFrame:
     return (specs.withColumn("_doc", F.try_parse_json(json_column))
             .select(*kept, F.explode(F.filter(found, lambda b: b["rule"].isNotNull())).alias("_broken"))
             .select(*kept, "_broken.path_idx", "_broken.rule"))
+
+
+def require_valid_specs(specs: DataFrame, json_column="spec", entry="entry_idx") -> None:
+    """Raises ValueError for the first broken rule in entry and path order, if any."""
+    first = batch_spec_violations(specs, json_column).orderBy(entry, "path_idx").first()
+    if first is not None:
+        raise ValueError(f"{first.rule} in entry {first[entry]}, path {first.path_idx}")

@@ -190,10 +190,10 @@ def compact_json(text):
     """JSON text without blanks between its parts; keys keep their order and
     numbers their digits. A top-level string is returned as that string."""
     value = F.try_parse_json(text)
-    string = F.try_variant_get(value, "$", "string")
-    is_string = F.schema_of_variant(value) == "STRING"
-    return F.when(is_string, string).when(
-        value.isNotNull(), F.regexp_replace(text, JSON_STRING_OR_BLANKS, "$1"))
+    return (F.when(value.isNull(), None)
+            .when(F.startswith(F.ltrim(text, F.lit(ASCII_BLANKS)), F.lit('"')),
+                  F.try_variant_get(value, "$", "string"))
+            .otherwise(F.regexp_replace(text, JSON_STRING_OR_BLANKS, "$1")))
 
 
 def _csv_texts(body):
@@ -248,34 +248,28 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
     """
     extractors = {k.lower(): v for k, v in (extractors or {}).items()}
     kept = [c for c in files.columns if c != "body"]
-    kind, body = F.col("_kind"), F.col("body")
-    parsed_kinds = ["csv", *extractors]
-    in_python = kind.isin(parsed_kinds) | ((kind == "json") & (F.octet_length(body) > VARIANT_BYTES))
-    text = decode_utf8(body)
-
-    def one(text, error):
-        return F.array(F.struct(text.cast("string").alias("text"), error.cast("string").alias("error")))
-
-    nothing = F.lit(None)
-    missing_extractor = [k for k in BINARY_KINDS if k not in extractors]
-    json_text = compact_json(text)
-    native = (
-        F.when(~kind.isin([*TEXT_KINDS, "json", "csv", *BINARY_KINDS, *extractors]),
-               one(nothing, F.concat(F.lit("unsupported format: "), kind)))
-        .when(kind.isin(missing_extractor), one(nothing, F.concat(F.lit("no extractor for "), kind)))
-        .when(body.isNull(), one(nothing, F.lit("file not found, empty or too large")))
-        .when(in_python, F.lit(None))
-        .when(text.isNull(), one(nothing, F.lit("not valid UTF-8")))
-        .when(kind.isin(list(TEXT_KINDS)), one(text, nothing))
-        .when(json_text.isNull(), one(nothing, F.lit("not valid JSON")))
-        .otherwise(one(json_text, nothing)))
-    rows = files.withColumn("_kind", extension("full_path"))
-    rows = rows.select(*kept, native.alias("_native"),
-                       _parsed_bodies(extractors)(kind, F.when(in_python, body)).alias("_parsed"))
-    found = F.coalesce("_native", "_parsed")
-    empty = one(nothing, F.lit("no documents"))
-    return (rows.select(*kept, F.posexplode(F.when(F.size(found) > 0, found).otherwise(empty))
-                        .alias("doc_no", "_doc"))
+    kind, body, text = F.col("_kind"), F.col("body"), F.col("_text")
+    unread = [k for k in BINARY_KINDS if k not in extractors]
+    known = [*TEXT_KINDS, "json", "csv", *BINARY_KINDS, *extractors]
+    in_python = kind.isin(["csv", *extractors]) | (
+        (kind == "json") & (F.octet_length(body) > VARIANT_BYTES))
+
+    # One step per column, so that no text is decoded or parsed twice.
+    rows = files.withColumn("_kind", F.coalesce(extension("full_path"), F.lit("")))
+    rows = rows.select(
+        *kept, "_kind", body.isNull().alias("_absent"), in_python.alias("_in_python"),
+        F.when(~in_python & kind.isin([*TEXT_KINDS, "json"]), decode_utf8(body)).alias("_text"),
+        _parsed_bodies(extractors)(kind, F.when(in_python, body)).alias("_parsed"))
+    rows = rows.withColumn("_content", F.when(kind == "json", compact_json(text)).otherwise(text))
+    error = (F.when(~kind.isin(known), F.concat(F.lit("unsupported format: "), kind))
+             .when(kind.isin(unread), F.concat(F.lit("no extractor for "), kind))
+             .when(F.col("_absent"), "file not found, empty or too large")
+             .when(F.col("_in_python"), F.when(F.size("_parsed") == 0, "no documents"))
+             .when(text.isNull(), "not valid UTF-8")
+             .when(F.col("_content").isNull(), "not valid JSON"))
+    single = F.array(F.struct(F.col("_content").alias("text"), error.alias("error")))
+    documents = F.when(F.size("_parsed") > 0, F.col("_parsed")).otherwise(single)
+    return (rows.select(*kept, F.posexplode(documents).alias("doc_no", "_doc"))
             .select(*kept, "doc_no", F.col("_doc.text").alias("content"), F.col("_doc.error").alias("error")))
 
 

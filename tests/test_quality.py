@@ -140,3 +140,11 @@ def test_maps(spark):
     got = [r[0] for r in frame.select(merge(F.col("l"), F.col("r"))).collect()]
     assert got == [{"a": "1", "b": "2", "c": None}, {"x": "1"}, {"x": "1"}]
     assert frame.select(fill_nulls(F.col("l"))).first()[0] == {"a": "1", "b": ""}
+
+
+def test_require_valid_specs(spark):
+    good = spark.createDataFrame([(0, '{"file_path": [{"/a": {"metadata": {}}}], "collection_name": "c"}')],
+                                 "entry_idx int, spec string")
+    q.require_valid_specs(good)
+    with pytest.raises(ValueError, match="file_path missing in entry 1"):
+        q.require_valid_specs(good.union(spark.createDataFrame([(1, '{"collection_name": "c"}')], good.schema)))
