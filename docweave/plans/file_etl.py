@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.functions.maps import record_map
-from docweave.functions.names import collection_of, log_time, namespace_of, stable_uuid
+from docweave.functions.names import collection_of, extension, log_time, namespace_of, stable_uuid
 from docweave.operators.chunking import chunks_of
 from docweave.operators.embedding import DIMENSION, embedder
 from docweave.schemas import FILE_METADATA
 from docweave.session import spread, stage
-from docweave.sources.files import attach_bytes, file_documents
+from docweave.sources.files import CSV_ROW_BYTES, attach_bytes, file_documents, large_csv_documents
 
 # How a category names the place its vectors go to.
 TARGETS = {"namespace": namespace_of, "collection": collection_of}
@@ -30,16 +30,32 @@ class FileEtl:
     stored: DataFrame
 
 
-def process_files(files: DataFrame, model_factory=None, dim=DIMENSION, splitter=None,
-                  extractors=None, target="namespace", batch_size=1024) -> FileEtl:
-    """`files` has the file metadata columns and `body` (see `attach_bytes`).
+def process_files(files: DataFrame, extractors=None, **options) -> FileEtl:
+    """`files` has the file metadata columns and `body` (see `attach_bytes`); options
+    as for `process_documents`."""
+    return process_documents(file_documents(files.select(*FILE_METADATA.names, "body"), extractors), **options)
+
+
+def run_file_etl(files: DataFrame, root: str, extractors=None, csv_multiline=True, **options) -> FileEtl:
+    """`process_files` on files stored under `root`. CSV files too large for one row
+    are read by Spark's CSV reader; `csv_multiline=False` lets it split them, when no
+    quoted value contains a line break."""
+    located = attach_bytes(files.select(*FILE_METADATA.names), root)
+    large = (extension("full_path") == "csv") & (F.col("body_bytes") > CSV_ROW_BYTES)
+    usual = located.where(~F.coalesce(large, F.lit(False))).select(*FILE_METADATA.names, "body")
+    documents = file_documents(usual, extractors).unionByName(large_csv_documents(located, csv_multiline))
+    return process_documents(documents, **options)
+
+
+def process_documents(documents: DataFrame, model_factory=None, dim=DIMENSION, splitter=None,
+                      target="namespace", batch_size=1024) -> FileEtl:
+    """Documents of files (file metadata, doc_no, content, error) to vectors.
 
     One plan over all files: a file that cannot be read, split or embedded gives
     a failure row and no vectors, and does not disturb the others. The result of
     the Python steps is written once and then divided.
     """
     place = TARGETS[target](F.col("category"))
-    documents = file_documents(files.select(*FILE_METADATA.names, "body"), extractors)
     with_chunks = documents.withColumn("_pieces", chunks_of(splitter)(F.col("content")))
     # Outer: a file without any chunk must stay visible.
     pieces = with_chunks.select(
@@ -103,7 +119,3 @@ def replaced_chunks(stored_before: DataFrame, stored_now: DataFrame) -> DataFram
     keys = docs.select("*", F.explode(F.sequence(F.lit(0), F.col("widest").cast("int") - 1)).alias("_chunk"))
     return keys.select("namespace", chunk_key(F.col("full_path"), F.col("_doc"), F.col("_chunk")).alias("id"))
 
-
-def run_file_etl(files: DataFrame, root: str, **options) -> FileEtl:
-    """`process_files` on files stored under `root`."""
-    return process_files(attach_bytes(files, root), **options)

@@ -8,6 +8,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docweave.functions.names import ASCII_BLANKS, decode_utf8, extension, strip
 from docweave.operators.selection import require_text
@@ -36,6 +37,8 @@ UNKNOWN_TYPE = "application/octet-stream"
 MAX_FILE_BYTES = 2**31 - 1024
 # Larger JSON texts are checked in Python, as a parsed value is limited in size.
 VARIANT_BYTES = 16 * 1024 * 1024
+# Larger CSV files are read by Spark's CSV reader rather than inside one row.
+CSV_ROW_BYTES = 256 * 1024 * 1024
 # Paths handed to the reader one by one; more are read by folder and joined.
 MAX_LISTED_PATHS = 1_000
 # Up to this many file splits (a path and two numbers each) are broadcast.
@@ -80,13 +83,19 @@ def read_bytes(spark: SparkSession, where, glob=None) -> DataFrame:
     return small.unionByName(large)
 
 
+def _escaped(path):
+    """A path the reader takes literally, not as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def _plain_path(path):
     """Paths as Spark reports them and as users write them, in one form."""
     return F.regexp_replace(path, "^file:/+", "/")
 
 
 def attach_bytes(files: DataFrame, root: str) -> DataFrame:
-    """Adds `body` (null when the file is missing, empty or too large) and `body_bytes`.
+    """Adds `location`, `body_bytes` and `body` (null when the file is missing, empty
+    or too large for one row).
 
     `full_path` is taken relative to `root`. A short list of files is read path by
     path, with the list broadcast to the scan so that file contents are never
@@ -95,33 +104,30 @@ def attach_bytes(files: DataFrame, root: str) -> DataFrame:
     spark = files.sparkSession
     location = F.concat(F.lit(require_text(root, "root").rstrip("/") + "/"),
                         F.ltrim(F.col("full_path"), F.lit("/")))
-    located = files.withColumn("_path", _plain_path(location))
-    wanted = [r[0] for r in located.select("_path").where("_path is not null").distinct()
+    located = files.withColumn("location", _plain_path(location))
+    wanted = [r[0] for r in located.select("location").where("location is not null").distinct()
               .limit(MAX_LISTED_PATHS + 1).collect()]
     short = len(wanted) <= MAX_LISTED_PATHS
     source = _existing(spark, root, wanted) if short else root
-    empty = located.select("*", F.lit(None).cast("binary").alias("body"),
-                           F.lit(None).cast("bigint").alias("body_bytes")).drop("_path")
     if not source:
-        return empty
+        return located.select("*", F.lit(None).cast("bigint").alias("body_bytes"),
+                              F.lit(None).cast("binary").alias("body"))
     found = read_bytes(spark, source).select(
-        _plain_path(F.col("path")).alias("_path"), F.col("content").alias("body"),
-        F.col("length").alias("body_bytes"))
-    few = F.broadcast(located) if short and located.limit(MAX_ROWS_PER_LIST + 1).count() <= MAX_ROWS_PER_LIST \
-        else located
-    present = found.join(few, "_path").select(*empty.columns)
-    absent = located.join(found.select("_path"), "_path", "left_anti").select(
-        *files.columns, F.lit(None).cast("binary").alias("body"),
-        F.lit(None).cast("bigint").alias("body_bytes"))
-    return present.unionByName(absent)
+        _plain_path(F.col("path")).alias("location"), F.col("length").alias("body_bytes"),
+        F.col("content").alias("body"))
+    if short and located.limit(MAX_ROWS_PER_LIST + 1).count() <= MAX_ROWS_PER_LIST:
+        present = found.join(F.broadcast(located), "location")
+    else:
+        present = found.join(located, "location")
+    absent = located.join(found.select("location"), "location", "left_anti")
+    return present.unionByName(absent, allowMissingColumns=True)
 
 
 def _existing(spark, root, paths):
     """The paths that exist, escaped for the reader: a missing one would fail the read."""
     jvm = spark._jvm
     fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    present = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
-    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in present]
+    return [_escaped(p) for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
 
 
 # Documents -------------------------------------------------------------------
@@ -139,12 +145,21 @@ def csv_documents(spark: SparkSession, paths, multiline=True) -> DataFrame:
 
     For files that share one header. `multiline=False` lets Spark split large
     files, when no quoted value contains a line break. Rows are numbered from
-    their position in the split and the sizes of the splits before it.
+    their position in the split and the sizes of the splits before it. Rows with
+    more or fewer values than the header are parsed again in Python, as the reader
+    would drop or null the difference.
     """
-    rows = (spark.read.option("header", True).option("multiLine", multiline)
-            .option("escape", '"').option("inferSchema", False).csv(paths))
-    documents = row_documents(rows).select(
-        "content", F.col("_metadata.file_path").alias("source"),
+    reader = spark.read.option("header", True).option("escape", '"')
+    names = reader.csv(paths).columns
+    fields = [T.StructField(name, T.StringType()) for name in [*names, "_malformed"]]
+    rows = (reader.schema(T.StructType(fields)).option("multiLine", multiline)
+            .option("columnNameOfCorruptRecord", "_malformed").csv(paths))
+    header = io.StringIO()
+    csv.writer(header).writerow(names)
+    ragged = F.when(F.col("_malformed").isNotNull(), F.concat(F.lit(header.getvalue()), F.col("_malformed")))
+    parsed = _parsed_bodies({})(F.lit("csv"), ragged.cast("binary"))
+    documents = row_documents(rows, names).select(
+        F.coalesce(F.get(parsed, 0)["text"], F.col("content")).alias("content"), _source().alias("source"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"))
     # Written once: a second scan could be cut into other splits.
@@ -163,6 +178,11 @@ def csv_documents(spark: SparkSession, paths, multiline=True) -> DataFrame:
         "content", F.create_map(F.lit("source"), F.col("source"), F.lit("row"), row).alias("metadata"))
 
 
+def _source():
+    """Path of the file a row comes from, as the user wrote it (Spark encodes it)."""
+    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+
+
 def text_documents(spark: SparkSession, paths, glob=None) -> DataFrame:
     """One document per text file: content, metadata with `source`, and error."""
     reader = spark.read.option("wholetext", True)
@@ -170,7 +190,7 @@ def text_documents(spark: SparkSession, paths, glob=None) -> DataFrame:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     text = F.try_validate_utf8(F.col("value"))
     return reader.text(paths).select(
-        text.alias("content"), F.create_map(F.lit("source"), F.col("_metadata.file_path")).alias("metadata"),
+        text.alias("content"), F.create_map(F.lit("source"), _source()).alias("metadata"),
         F.when(text.isNull(), "not valid UTF-8").alias("error"))
 
 
@@ -182,6 +202,33 @@ def json_documents(spark: SparkSession, paths, glob=None) -> DataFrame:
                         F.coalesce("error", F.when(content.isNull(), "not valid JSON")).alias("error"))
 
 
+def large_csv_documents(files: DataFrame, multiline=True) -> DataFrame:
+    """Documents of the CSV files among `files` (see `attach_bytes`) that are too large
+    for one row: the file's columns, doc_no, content, error.
+
+    Spark's CSV reader reads files with the same header together. Only paths and
+    first lines come to the driver.
+    """
+    spark = files.sparkSession
+    kept = [c for c in files.columns if c not in ("body", "body_bytes", "location")]
+    large = stage(files.where((extension("full_path") == "csv") & (F.col("body_bytes") > CSV_ROW_BYTES))
+                  .select(*kept, F.col("location").alias("_path")), "large-csv")
+    by_header = {}
+    for row in large.select("_path").distinct().toLocalIterator():
+        path = _escaped(row["_path"])
+        header = spark.read.option("header", True).option("escape", '"').csv(path).columns
+        by_header.setdefault(tuple(header), []).append(path)
+    found = spark.createDataFrame([], "content string, metadata map<string,string>")
+    for paths in by_header.values():
+        found = found.unionByName(csv_documents(spark, paths, multiline))
+    found = found.select(_plain_path(F.col("metadata")["source"]).alias("_path"), "content",
+                         F.col("metadata")["row"].cast("int").alias("doc_no"))
+    documents = large.join(found, "_path", "left")
+    return documents.select(
+        *kept, F.coalesce("doc_no", F.lit(0)).alias("doc_no"), "content",
+        F.when(F.col("content").isNull(), "no documents").alias("error"))
+
+
 # Fixed value: a JSON string literal, or blanks outside of one.
 JSON_STRING_OR_BLANKS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
 
@@ -251,19 +298,21 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
     kind, body, text = F.col("_kind"), F.col("body"), F.col("_text")
     unread = [k for k in BINARY_KINDS if k not in extractors]
     known = [*TEXT_KINDS, "json", "csv", *BINARY_KINDS, *extractors]
-    in_python = kind.isin(["csv", *extractors]) | (
+    large_csv = F.coalesce((kind == "csv") & (F.octet_length(body) > CSV_ROW_BYTES), F.lit(False))
+    in_python = kind.isin(["csv", *extractors]) & ~large_csv | (
         (kind == "json") & (F.octet_length(body) > VARIANT_BYTES))
 
     # One step per column, so that no text is decoded or parsed twice.
     rows = files.withColumn("_kind", F.coalesce(extension("full_path"), F.lit("")))
     rows = rows.select(
-        *kept, "_kind", body.isNull().alias("_absent"), in_python.alias("_in_python"),
+        *kept, "_kind", body.isNull().alias("_absent"), large_csv.alias("_large_csv"), in_python.alias("_in_python"),
         F.when(~in_python & kind.isin([*TEXT_KINDS, "json"]), decode_utf8(body)).alias("_text"),
         _parsed_bodies(extractors)(kind, F.when(in_python, body)).alias("_parsed"))
     rows = rows.withColumn("_content", F.when(kind == "json", compact_json(text)).otherwise(text))
     error = (F.when(~kind.isin(known), F.concat(F.lit("unsupported format: "), kind))
              .when(kind.isin(unread), F.concat(F.lit("no extractor for "), kind))
              .when(F.col("_absent"), "file not found, empty or too large")
+             .when(F.col("_large_csv"), "CSV file too large for one row")
              .when(F.col("_in_python"), F.when(F.size("_parsed") == 0, "no documents"))
              .when(text.isNull(), "not valid UTF-8")
              .when(F.col("_content").isNull(), "not valid JSON"))

@@ -194,3 +194,25 @@ def test_method_stream_inserts_then_updates(spark, tmp_path):
     assert {r.id for r in log.current("vectors").collect()} == {r.uuid for r in second.values()}
     # A batch that is already published is skipped, so an insert stays an insert.
     assert apply_method_messages(messages(spark, "1"), 0, log, records, dim=8) is False
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_large_csv_files_give_the_same_result(spark, tmp_path, monkeypatch, multiline):
+    for n, name in enumerate(("a 1.csv", "b+2.csv", "c%20.csv")):
+        head = "id,text" if n < 2 else "key , note"
+        put(tmp_path, "in/" + name, head + "\n" + "".join(f'{i},"say ""{n}-{i}"""\n' for i in range(40))
+            + ("7\n8,x,y,z\n" if n == 1 else ""))
+    put(tmp_path, "in/d.csv", "id,text\n")
+    files = file_table(spark, "a 1.csv", "b+2.csv", "c%20.csv", "d.csv")
+
+    def result():
+        done = run_file_etl(files, str(tmp_path), dim=4, csv_multiline=multiline)
+        return rows(done.vectors.select("id", "content")), rows(done.outcomes)
+
+    usual = result()
+    assert len(usual[0]) == 122 and [r[-1] for r in usual[1]] == [None, None, None, "no documents"]
+    from docweave.plans import file_etl
+    from docweave.sources import files as source
+    monkeypatch.setattr(source, "CSV_ROW_BYTES", 5)
+    monkeypatch.setattr(file_etl, "CSV_ROW_BYTES", 5)
+    assert result() == usual
