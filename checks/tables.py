@@ -137,7 +137,7 @@ def messages(spark, sf_dir):
              .when(kind == "signup", (F.col("event_id") + 1_000_000_000).cast("string"))
              .when(kind == "view", F.concat(F.lit(" "), user, F.lit(" ,\t"), k))
              .otherwise(F.concat_ws(",", user, k, F.col("event_id").cast("string"))))
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events", "event_id").select(
         F.col("event_id").cast("string").alias("message_id"), value.alias("value"))
 
 

@@ -41,6 +41,14 @@ def upsert(current: DataFrame, new: DataFrame, keys) -> DataFrame:
     return current.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
+def merge_into(new: DataFrame, table: str, keys) -> None:
+    """Upsert into a catalogue table whose format supports MERGE (parquet does not)."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(f"{table}.{key}") == F.col(f"new.{key}"))
+    new.alias("new").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def update(current: DataFrame, changes: DataFrame, keys) -> DataFrame:
     """Overwrite the columns `changes` carries beside its keys, where the key matches.
 

@@ -25,3 +25,9 @@ def rows(df, *order):
 
 def plan(df):
     return df._jdf.queryExecution().toString()
+
+
+def formatted_plan(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    return capsys.readouterr().out

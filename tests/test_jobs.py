@@ -216,3 +216,20 @@ def test_large_csv_files_give_the_same_result(spark, tmp_path, monkeypatch, mult
     monkeypatch.setattr(source, "CSV_ROW_BYTES", 5)
     monkeypatch.setattr(file_etl, "CSV_ROW_BYTES", 5)
     assert result() == usual
+
+
+def test_published_vectors_are_pruned_by_namespace(spark, tmp_path, capsys):
+    from conftest import formatted_plan
+    from docweave.operators.selection import in_namespace
+    log = file_tables(spark, str(tmp_path / "tables"))
+    vectors = spark.createDataFrame(
+        [("1", [1.0], "a", None, "n1"), ("2", [1.0], "b", None, "n2")], log.tables["vectors"][0])
+    empty = {n: (spark.createDataFrame([], log.tables[n][0]), None) for n in ("outcomes", "stored")}
+    log.publish(0, {"vectors": (vectors, None), **empty})
+    log.compact()
+    log.publish(1, {"vectors": (vectors.where("id = '1'"), None), **empty})
+    found = in_namespace(log.current("vectors"), "n1")
+    assert rows(found.select("id")) == [("1",)]
+    # The changed keys, which are narrow, are read whole; both scans of rows are pruned.
+    filters = [x for x in formatted_plan(found, capsys).splitlines() if x.startswith("PartitionFilters")]
+    assert sum("= n1)" in x for x in filters) == 2 and len(filters) == 3

@@ -161,3 +161,11 @@ def test_update_texts(spark):
     assert list(found["n1", "2"].embedding) == [3.0]
     assert rows(rejects.select("reason")) == [("id is empty",), ("text is empty",)]
     assert rows(m.wrong_dimension(after, 1).select("namespace", "id")) == [("n1", "1")]
+
+
+def test_merge_needs_a_table_format_that_supports_it(spark, tmp_path):
+    table = f"merge_target_{tmp_path.name.replace('-', '_')}"
+    people(spark, ("1", "x", "y")).write.option("path", str(tmp_path / "t")).saveAsTable(table)
+    with pytest.raises(Exception, match="(?i)merge"):
+        m.merge_into(people(spark, ("1", "p", "q")), table, ["k"])
+    spark.sql(f"DROP TABLE {table}")
