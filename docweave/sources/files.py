@@ -99,7 +99,8 @@ def attach_bytes(files: DataFrame, root: str) -> DataFrame:
 
     `full_path` is taken relative to `root`. A short list of files is read path by
     path, with the list broadcast to the scan so that file contents are never
-    shuffled; a longer one is joined with a scan of the folder.
+    shuffled; a longer one is joined with a scan of its folders, or of the root
+    when those are many too.
     """
     spark = files.sparkSession
     location = F.concat(F.lit(require_text(root, "root").rstrip("/") + "/"),
@@ -108,7 +109,12 @@ def attach_bytes(files: DataFrame, root: str) -> DataFrame:
     wanted = [r[0] for r in located.select("location").where("location is not null").distinct()
               .limit(MAX_LISTED_PATHS + 1).collect()]
     short = len(wanted) <= MAX_LISTED_PATHS
-    source = _existing(spark, root, wanted) if short else root
+    if not short:
+        folder = F.regexp_replace("location", "/[^/]*$", "")
+        folders = [r[0] for r in located.where("location is not null").select(folder).distinct()
+                   .limit(MAX_LISTED_PATHS + 1).collect()]
+        wanted = _outermost(folders) if len(folders) <= MAX_LISTED_PATHS else [root]
+    source = _existing(spark, root, wanted)
     if not source:
         return located.select("*", F.lit(None).cast("bigint").alias("body_bytes"),
                               F.lit(None).cast("binary").alias("body"))
@@ -123,6 +129,15 @@ def attach_bytes(files: DataFrame, root: str) -> DataFrame:
     return present.unionByName(absent, allowMissingColumns=True)
 
 
+def _outermost(folders):
+    """The folders that lie in no other of them, as folders are read with all below."""
+    kept = []
+    for folder in sorted(folders, key=lambda f: f + "/"):
+        if not kept or not (folder + "/").startswith(kept[-1] + "/"):
+            kept.append(folder)
+    return kept
+
+
 def _existing(spark, root, paths):
     """The paths that exist, escaped for the reader: a missing one would fail the read."""
     jvm = spark._jvm

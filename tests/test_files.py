@@ -59,8 +59,9 @@ def check_documents(found):
     assert sorted(found) == sorted(NAMES)
 
 
-@pytest.mark.parametrize("listed", [1000, 2])
+@pytest.mark.parametrize("listed", [1000, 2, 0])
 def test_dispatch_over_real_files(spark, store, monkeypatch, listed):
+    """Read path by path, by folder, and from the root."""
     monkeypatch.setattr(source, "MAX_LISTED_PATHS", listed)
     bodies = source.attach_bytes(catalogue(spark), str(store))
     found = by_name(source.file_documents(bodies))
@@ -179,3 +180,7 @@ def test_run_log(spark, tmp_path):
     tables.append_run_log(entries.where("seq = 3"), path)
     assert rows(run_log_latest(spark.read.parquet(path)).select("name", "message")) == [
         ("c/1970-01-01T00:00:00Z.txt", "second"), ("c/1970-01-01T00:00:01Z.txt", "third")]
+
+
+def test_outermost_folders():
+    assert source._outermost(["/a/b", "/a", "/a-b", "/a/b/c", "/c"]) == ["/a-b", "/a", "/c"]
