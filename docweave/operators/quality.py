@@ -49,9 +49,9 @@ def rule_violations(files: DataFrame) -> DataFrame:
     """
     broken = [F.when(bad, F.lit(name)) for name, bad in _record_rules(files)]
     repeated = (files.groupBy("file_id").agg(F.count(F.lit(1)).alias("copies"))
-                .where("copies > 1 and file_id is not null").select("file_id", F.lit(True).alias("repeated")))
+                .where("copies > 1 and file_id is not null").select("file_id", F.lit(True).alias("_repeated")))
     checked = files.join(stage(repeated, "repeated-ids"), "file_id", "left")
-    duplicate = F.when(F.col("repeated"), F.lit("file_id_duplicate"))
+    duplicate = F.when(F.col("_repeated"), F.lit("file_id_duplicate"))
     return (checked.withColumn("violations", F.array_compact(F.array(*broken, duplicate)))
             .select(*files.columns, "violations"))
 

@@ -1,7 +1,9 @@
 """Session defaults and staging of intermediate tables."""
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,14 +71,38 @@ def staging_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[context.applicationId]
 
 
+_open_scopes = threading.local()
+
+
+@contextmanager
+def staging_scope(spark: SparkSession):
+    """Removes, at the end, the tables staged inside by the same thread.
+
+    For jobs that have written their results by then; a DataFrame that reads a
+    staged table must not be used afterwards.
+    """
+    outer = getattr(_open_scopes, "paths", None)
+    _open_scopes.paths = paths = []
+    try:
+        yield
+    finally:
+        _open_scopes.paths = outer
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once under the shared folder and read it back.
 
     Used where a result is read more than once and must not change between the
     reads (row positions, UDF output). The written table survives lost
-    executors, and its known size lets Catalyst choose the later joins.
+    executors, and its known size lets Catalyst choose the later joins. It stays
+    until its `staging_scope` ends, or the owner of the folder removes it.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/docweave/{name}-{uuid.uuid4().hex}"
+    if getattr(_open_scopes, "paths", None) is not None:
+        _open_scopes.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ from docweave.plans.changelog import ChangeLog
 from docweave.plans.file_etl import replaced_chunks, run_file_etl
 from docweave.plans.method_sync import sync_methods
 from docweave.schemas import METHOD_METADATA, VECTORS, conform_files
-from docweave.session import stage
+from docweave.session import stage, staging_scope
 
 OUTCOMES = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("file_id", "category", "full_path")]
@@ -46,12 +46,13 @@ def apply_file_messages(messages: DataFrame, batch_id: int, log: ChangeLog, file
     last = log.last_batch()
     if last is not None and batch_id <= last:
         return False
-    ids = message_ids(messages).select(F.col("id").alias("file_id"))
-    chosen = stage(conform_files(by_ids(files, ids, "file_id")), "chosen-files")
-    done = run_file_etl(chosen, root, **options)
-    gone = replaced_chunks(log.current("stored"), done.stored)
-    return log.publish(batch_id, {
-        "vectors": (done.vectors, gone), "outcomes": (done.outcomes, None), "stored": (done.stored, None)})
+    with staging_scope(log.spark):
+        ids = message_ids(messages).select(F.col("id").alias("file_id"))
+        chosen = stage(conform_files(by_ids(files, ids, "file_id")), "chosen-files")
+        done = run_file_etl(chosen, root, **options)
+        gone = replaced_chunks(log.current("stored"), done.stored)
+        return log.publish(batch_id, {
+            "vectors": (done.vectors, gone), "outcomes": (done.outcomes, None), "stored": (done.stored, None)})
 
 
 def apply_method_messages(messages: DataFrame, batch_id: int, log: ChangeLog, records: DataFrame,
@@ -60,13 +61,13 @@ def apply_method_messages(messages: DataFrame, batch_id: int, log: ChangeLog, re
     last = log.last_batch()
     if last is not None and batch_id <= last:
         return False
-    messages = stage(messages, "messages")
     now = F.current_timestamp() if run_time is None else run_time
-    done = sync_methods(messages, records, log.current("methods"), now, batch_id, **options)
-    rejects = done.rejects.distinct()
-    return log.publish(batch_id, {
-        "methods": (done.metadata, None), "vectors": (done.vectors, done.old_vectors),
-        "rejects": (rejects, None)})
+    with staging_scope(log.spark):
+        messages = stage(messages, "messages")
+        done = sync_methods(messages, records, log.current("methods"), now, batch_id, **options)
+        return log.publish(batch_id, {
+            "methods": (done.metadata, None), "vectors": (done.vectors, done.old_vectors),
+            "rejects": (done.rejects.distinct(), None)})
 
 
 def _start(messages, apply, checkpoint, available_now):

@@ -233,3 +233,19 @@ def test_published_vectors_are_pruned_by_namespace(spark, tmp_path, capsys):
     # The changed keys, which are narrow, are read whole; both scans of rows are pruned.
     filters = [x for x in formatted_plan(found, capsys).splitlines() if x.startswith("PartitionFilters")]
     assert sum("= n1)" in x for x in filters) == 2 and len(filters) == 3
+
+
+def test_staged_tables_are_removed_with_their_scope(spark, tmp_path):
+    import os
+    from docweave.session import stage, staging_scope
+    kept = stage(spark.range(3), "kept")
+    with staging_scope(spark):
+        inner = stage(kept.where("id > 0"), "inner")
+        path = inner.inputFiles()[0].removeprefix("file://")
+        assert inner.count() == 2 and os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
+    log = method_tables(spark, str(tmp_path))
+    folder = os.path.dirname(os.path.dirname(path))
+    before = set(os.listdir(folder))
+    assert apply_method_messages(messages(spark, "1"), 0, log, methods(spark, ("1", "one")), dim=4)
+    assert set(os.listdir(folder)) == before and log.current("methods").count() == 1
