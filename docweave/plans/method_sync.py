@@ -37,7 +37,8 @@ def requested_records(messages: DataFrame, records: DataFrame):
     checked = check_messages(messages)
     valid = checked.where("valid").select("message_id", "value")
     flat = records.select("metadata.*", "content")
-    wanted = message_ids(valid).select(F.col("id").alias("method_id")).distinct()
+    # Written first: the size of the id list is then known to the joins with it.
+    wanted = stage(message_ids(valid).select(F.col("id").alias("method_id")).distinct(), "wanted-ids")
     matched = flat.join(wanted, "method_id", "left_semi")
     bad = checked.where("not valid").select(
         "message_id", F.concat(F.lit("ids are not numeric: "), F.concat_ws(", ", "bad_ids")).alias("reason"))
@@ -99,7 +100,6 @@ def sync_methods(messages: DataFrame, records: DataFrame, state: DataFrame, run_
     A method that cannot be embedded changes neither table and is reported.
     """
     asked, rejects = requested_records(messages, records)
-    asked = stage(asked, "asked-methods")
     planned = stage(classify(asked, state), "planned-methods")
     rows = next_metadata(planned, run_time, batch_id)
     # Embedding is the costly step and feeds three outputs: written once.
