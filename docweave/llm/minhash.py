@@ -164,12 +164,14 @@ def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc
     # One row of each class carries what its members share.
     heads = made.where("d is not null and not none").join(
         classes, (made["d"] == classes["c"]) & (made["s1"] == classes["s1"]) & (made["s2"] == classes["s2"]),
-        "left_semi")
+        "left_semi").dropDuplicates(["d", "s1", "s2"])
     keyed = heads.select("d", "s1", "s2", F.explode("keys").alias("key")).select(
         "key", F.struct(F.col("d").alias("d"), "s1", "s2").alias("c"))
     # A class is known by its doc_id and hashes: one doc_id may have several texts.
     held = keyed.groupBy("key").agg(F.min("c").alias("pivot"), F.max("c").alias("last")).where("pivot <> last")
-    buckets = stage(keyed.join(held.select("key", "pivot"), "key").distinct(), "minhash-buckets")
+    # Written: only a join of two plain shuffles can be split where a bucket is large.
+    held = stage(held.select("key", "pivot"), "minhash-held")
+    buckets = stage(keyed.join(held, "key"), "minhash-buckets")
     members = stage(buckets.select("c").distinct(), "minhash-members")
     head_key = F.struct("d", "s1", "s2").alias("c")
     signatures = stage(heads.select(head_key, "signature").join(members, "c", "left_semi").dropDuplicates(["c"]),

@@ -26,6 +26,16 @@ def op2_toxicity(spark, sf_dir):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_quality_cotraining(spark, sf_dir):
+    from docweave.llm import quality_cotrain
+
+    docs = table(spark, sf_dir, "documents")
+    scored = quality_cotrain.score(docs, learnable(table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "text_score", "meta_score", "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         (F.col("score") >= 0.5).alias("kept"))
+
+
 def op7_minhash_near_dedup(spark, sf_dir):
     from docweave.llm.minhash import near_duplicates
 
@@ -105,5 +115,5 @@ def op10_unigram_count(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ann_forest, op2_toxicity, op4_url_filter, op5_line_dedup, op6_byte_bpe,
+    op1_ann_forest, op2_toxicity, op3_quality_cotraining, op4_url_filter, op5_line_dedup, op6_byte_bpe,
     op7_minhash_near_dedup, op8_mixing, op9_quality_rules, op10_unigram_count)}

@@ -7,7 +7,7 @@ regularised logistic regression is fitted on the scaled features.
 
 Fitting uses labelled texts only, at most `max_rows` of them (by hash of the id), and
 counts n-grams on at most `max_counted` of these per label; features are the
-`max_features` with the largest share in the separation of the labels. Only counts of
+`max_features` that are most of all commoner in toxic texts. Only counts of
 n-grams and the sparse features of those rows reach the driver. Scoring is one pass over
 all documents, each whole, without a shuffle.
 
@@ -218,11 +218,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label=
     n_yes, n_no = here.get(1, 0), sum(n for k, n in here.items() if k != 1)
     sums = counted.select("text", F.when(F.col("label") == 1, 1).otherwise(0).cast("int").alias("label")).mapInArrow(
         _count_grams, "h long, yes long, no long").groupBy("h").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    # Separation: the difference of the shares, in standard errors.
+    # Separation: the difference of the shares, in standard errors. Only what speaks for
+    # toxicity is kept: a long text holds so much of the rest that it would outweigh it.
     p, q = (F.col("yes") + 1) / (n_yes + 2), (F.col("no") + 1) / (n_no + 2)
     both = (F.col("yes") + F.col("no") + 1) / (n_yes + n_no + 2)
-    apart = F.abs(p - q) / F.sqrt(both * (1 - both) * F.lit(1 / max(n_yes, 1) + 1 / max(n_no, 1)))
-    best = sums.where(F.col("yes") + F.col("no") >= min(min_docs, n_yes)).orderBy(apart.desc(), "h").limit(
+    apart = (p - q) / F.sqrt(both * (1 - both) * F.lit(1 / max(n_yes, 1) + 1 / max(n_no, 1)))
+    best = sums.where(F.col("yes") >= min(min_docs, n_yes)).where(apart > 0).orderBy(apart.desc(), "h").limit(
         max_features).toPandas()
     if not len(best):
         share = (yes + 1) / (yes + no + 3)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.columns import UPPER, free_name, let
+from docweave.session import stage
 
 RULE_BYTES = 32 * 1024 * 1024
 PREFIX_HEX = 8
@@ -102,6 +103,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url="url", default="allow",
         best = hits.groupBy(u).agg(F.max_by(
             F.struct("rule", "action"),
             F.struct(F.char_length("rule"), F.char_length("host"))).alias("best"))
+    # Written: only a join of two plain shuffles can be split where a url is frequent.
+    best = stage(best, "url-verdicts")
     b = free_name("url_best", names + [u])
     met = keyed.join(best.withColumnRenamed("best", b), u, "left")
     made = {"host": url_host(F.col(u)), "path": url_path(F.col(u)), "rule": F.col(b)["rule"],
