@@ -52,7 +52,7 @@ BASE = (Rule("n_words", None, 50, None), Rule("n_repeat_words", "n_words", None,
 RULES = (
     Rule("word_chars", "n_words", 2, 15),
     Rule("n_symbols", "n_words", None, 0.1),
-    Rule("n_dup_lines", "n_lines", None, 0.3),
+    Rule("n_dup_lines", "n_lines", None, 0.5),
     Rule("n_same_words", "n_words", None, 0.2),
     Rule("n_upper", "n_letters", None, 0.4),
     Rule("n_stop_words", None, 2, None),

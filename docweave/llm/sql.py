@@ -97,7 +97,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
     AND word_chars >= 2 * n_words AND word_chars <= 15 * n_words AND n_symbols <= 0.1 * n_words
-    AND n_dup_lines <= 0.3 * n_lines AND n_same_words <= 0.2 * n_words AND n_upper <= 0.4 * n_letters
+    AND n_dup_lines <= 0.5 * n_lines AND n_same_words <= 0.2 * n_words AND n_upper <= 0.4 * n_letters
     AND n_stop_words >= 2 AND n_exclaimed <= 0.2 * n_words AS kept
 FROM found
 """

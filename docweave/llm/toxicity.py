@@ -34,8 +34,9 @@ SIZES = (3, 4, 5, 6)
 #: Bounds of the fit: labelled texts, of these counted per label, features.
 MAX_ROWS = 20_000
 MAX_COUNTED = 2_000
-MAX_FEATURES = 8_000
-MIN_DOCS = 3
+MAX_FEATURES = 4_000
+MIN_DOCS = 2
+PENALTY = 0.1
 #: Characters handled at once; bits of the table that tells most n-grams off.
 SLICE = 500_000
 TABLE_BITS = 21
@@ -160,32 +161,46 @@ class Model:
     bias: float
 
 
-def _fit_logistic(rows, cols, values, n_rows, n_cols, labels, penalty=0.02, steps=400):
-    """Logistic regression with an L2 penalty by accelerated gradient steps, on sparse
-    features in driver memory (bounded by MAX_ROWS and MAX_FEATURES)."""
-    w, bias = np.zeros(n_cols), 0.0
-    ahead_w, ahead_b = w.copy(), bias
-    norms = np.bincount(rows, weights=values * values, minlength=n_rows) + 1
-    rate = 4.0 / max(norms.mean() * 4, 1.0)
-    last = np.inf
-    step = 1
+def _fit_logistic(rows, cols, values, n_rows, n_cols, labels, penalty=PENALTY, steps=120, memory=8):
+    """Logistic regression with an L2 penalty by L-BFGS, on sparse features in driver
+    memory (bounded by MAX_ROWS and MAX_FEATURES)."""
+    def loss(w):
+        margin = np.bincount(rows, weights=values * w[cols], minlength=n_rows) + w[-1]
+        gap = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) / n_rows
+        grad = penalty / n_rows * w
+        grad[-1] = gap.sum()
+        grad[:-1] += np.bincount(cols, weights=values * gap[rows], minlength=n_cols)
+        fit_ = (np.logaddexp(0, margin) - labels * margin).mean()
+        return fit_ + penalty / (2 * n_rows) * (w[:-1] @ w[:-1]), grad
+
+    w = np.zeros(n_cols + 1)
+    value, grad = loss(w)
+    pairs = []
     for _ in range(steps):
-        margin = np.bincount(rows, weights=values * ahead_w[cols], minlength=n_rows) + ahead_b
-        p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-        gap = (p - labels) / n_rows
-        grad = np.bincount(cols, weights=values * gap[rows], minlength=n_cols) + penalty / n_rows * ahead_w
-        new_w, new_b = ahead_w - rate * grad, ahead_b - rate * gap.sum()
-        loss = np.mean(np.logaddexp(0, margin) - labels * margin) + penalty / (2 * n_rows) * (ahead_w @ ahead_w)
-        if loss > last:
-            rate, step = rate / 2, 1
-            ahead_w, ahead_b, last = w, bias, np.inf
-            continue
-        last = loss
-        push = (step - 1) / (step + 2)
-        step += 1
-        ahead_w, ahead_b = new_w + push * (new_w - w), new_b + push * (new_b - bias)
-        w, bias = new_w, new_b
-    return w, bias
+        way, coefficients = grad.copy(), []
+        for s, y, r in reversed(pairs):
+            coefficients.append(r * (s @ way))
+            way -= coefficients[-1] * y
+        if pairs:
+            s, y, r = pairs[-1]
+            way *= 1 / (r * (y @ y))
+        for (s, y, r), c in zip(pairs, reversed(coefficients), strict=True):
+            way += s * (c - r * (y @ way))
+        slope, rate = grad @ way, 1.0 if pairs else 1.0 / max(np.linalg.norm(grad), 1e-12)
+        while True:
+            new_w = w - rate * way
+            new_value, new_grad = loss(new_w)
+            if new_value <= value - 1e-4 * rate * slope or rate < 1e-10:
+                break
+            rate /= 2
+        s, y = new_w - w, new_grad - grad
+        if s @ y > 1e-14:
+            pairs = [*pairs[1 - memory:], (s, y, 1 / (s @ y))]
+        done = value - new_value < 1e-7 * max(value, 1e-9)
+        w, value, grad = new_w, new_value, new_grad
+        if done:
+            break
+    return w[:-1], w[-1]
 
 
 def _bounded(labelled, bound):
