@@ -3,6 +3,7 @@
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,8 +21,13 @@ HEADLINE = (
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    with tempfile.TemporaryDirectory(prefix="bench-stage-") as shared:
+        run(sf_dir, cpus, shared)
+
+
+def run(sf_dir, cpus, shared):
     spark = build_session(
-        "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
+        "bench", f"local[{cpus}]", spark__checkpoint__dir=shared, spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
         spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     # Starts the JVM pools and one Python worker per core.

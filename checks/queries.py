@@ -286,7 +286,7 @@ def hash_embedding(spark, sf):
 # Search ----------------------------------------------------------------------
 
 def _ranked(found):
-    return found.select("id", "namespace", "score", long(F.col("rank")).alias("rank"))
+    return found.select("id", "namespace", F.round("score", 6).alias("score"), long(F.col("rank")).alias("rank"))
 
 
 def namespace_search(spark, sf):
@@ -311,7 +311,8 @@ def topk_single(spark, sf):
 def knn_join(spark, sf):
     vectors = t.vec(spark, sf)
     queries = t.centroids(vectors).select(F.col("namespace").alias("query_id"), "embedding")
-    return search.knn_join(vectors, queries, 5).select("query_id", "id", "score", long(F.col("rank")).alias("rank"))
+    return search.knn_join(vectors, queries, 5).select(
+        "query_id", "id", F.round("score", 6).alias("score"), long(F.col("rank")).alias("rank"))
 
 
 def _metric(metric, spark, sf):
@@ -379,7 +380,7 @@ def sync_classify(spark, sf):
 
 
 def method_upsert(spark, sf):
-    after = mutations.upsert(t.method_state(spark, sf), _next_rows(spark, sf), ["method_id"])
+    after = mutations.upsert(t.method_state(spark, sf), _next_rows(spark, sf), ["method_id"], unique=True)
     return after.select(
         "method_id", "uuid", "method_name", "segment", "category", F.md5("description").alias("description_md5"),
         "created_by", "updated_by", names.table_time(F.col("vector_created_at")).alias("vector_created_at"),

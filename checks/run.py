@@ -1,6 +1,7 @@
 """Compare the queries with their SQL: python -m checks.run [sf_dir] [names...]"""
 
 import sys
+import tempfile
 import time
 
 from checks.compare import compare
@@ -12,7 +13,12 @@ from docweave.session import build_session
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     chosen = argv[1:] or list(QUERIES)
-    spark = build_session("checks", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false",
+    with tempfile.TemporaryDirectory(prefix="checks-stage-") as shared:
+        run(sf_dir, chosen, shared)
+
+
+def run(sf_dir, chosen, shared):
+    spark = build_session("checks", "local[8]", spark__checkpoint__dir=shared, spark__sql__shuffle__partitions=8, spark__ui__enabled="false",
                           spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     bad = 0

@@ -14,11 +14,6 @@ def check_metric(metric):
     return metric
 
 
-def best_first(metric, score):
-    """Sort order of a score: squared distance is best when small."""
-    return score.asc() if metric == L2 else score.desc()
-
-
 def _total(products):
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
@@ -65,6 +60,26 @@ def score_matrix(metric, rows, queries):
         return products / np.sqrt(row_squares * query_squares)
 
 
+def score_pairs(metric, rows, queries):
+    """Score of each row against the query beside it (or the only one), summed in an
+    order that depends on the length alone: equal vectors score alike in any batch."""
+    if metric == L2:
+        return ((rows - queries) ** 2).sum(axis=1)
+    products = (rows * queries).sum(axis=1)
+    if metric == DOT:
+        return products
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return products / np.sqrt((rows * rows).sum(axis=1) * (queries * queries).sum(axis=1))
+
+
+def score_error(metric, rows, queries):
+    """How far `score_matrix` can be from `score_pairs`, for every row and query."""
+    lengths = np.einsum("ij,ij->i", rows, rows)[:, None], np.einsum("ij,ij->i", queries, queries)[None, :]
+    scale = lengths[0] + lengths[1] if metric == L2 else np.sqrt(lengths[0] * lengths[1])
+    unit = 8 * rows.shape[1] * np.finfo(float).eps
+    return unit * (np.ones_like(scale) if metric == COSINE else scale)
+
+
 def score_against(metric, query_vector):
     """A column function scoring vectors against one fixed vector.
 
@@ -79,7 +94,7 @@ def score_against(metric, query_vector):
     def score(vectors: pa.Array) -> pa.Array:
         fits, matrix = as_matrix(vectors, dim)
         scores = np.full(len(vectors), np.nan)
-        scores[fits] = score_matrix(metric, matrix, query)[:, 0]
+        scores[fits] = score_pairs(metric, matrix, query)
         return pa.array(scores, mask=np.isnan(scores))
 
     return score

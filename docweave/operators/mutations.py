@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docweave.functions.maps import merge
 from docweave.operators.embedding import DIMENSION, embed_rows
@@ -23,21 +24,44 @@ def latest_per_key(changes: DataFrame, keys, order_by) -> DataFrame:
             .select("_row.*"))
 
 
+def one_per_key(changes: DataFrame, keys, order_by=None) -> DataFrame:
+    """One row per key; of several, the one with the greatest `order_by` columns (or,
+    without, the greatest hash of the row: any, but always the same).
+
+    Keys are counted without the rest of the row. Only rows whose key repeats are
+    aggregated; the others pass through. `changes` is read twice.
+    """
+    named = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]
+    repeated = changes.groupBy(*named).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    hashed = [F.col(c) for c in changes.columns if c not in keys and _orderable(changes.schema[c].dataType)]
+    order = list(order_by) if order_by else [F.xxhash64(*hashed) if hashed else F.lit(0)]
+    settled = latest_per_key(changes.join(repeated, same, "left_semi"), keys, order)
+    return changes.join(repeated, same, "left_anti").unionByName(settled)
+
+
+def _orderable(kind):
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def insert(current: DataFrame, new: DataFrame) -> DataFrame:
     return current.unionByName(new)
 
 
 def delete(current: DataFrame, gone: DataFrame, keys) -> DataFrame:
     """Rows whose key is not in `gone`. Null keys are kept."""
-    return current.join(gone.select(*keys).distinct(), keys, "left_anti")
+    return current.join(gone.select(*keys), keys, "left_anti")
 
 
-def upsert(current: DataFrame, new: DataFrame, keys) -> DataFrame:
-    """Rows of `new`, and the rows of `current` with other keys.
+def upsert(current: DataFrame, new: DataFrame, keys, order_by=None, unique=False) -> DataFrame:
+    """Rows of `new`, one per key (see `one_per_key`), and the rows of `current` with
+    other keys.
 
-    `new` holds one row per key (see `latest_per_key`). The current rows pass
-    through an anti join on the keys only: no shuffle while the change is small.
+    `unique=True` says that no key of `new` repeats. The current rows pass through an
+    anti join on the keys only: no shuffle while the change is small.
     """
+    if not unique:
+        new = one_per_key(new, keys, order_by)
     return current.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
@@ -49,15 +73,19 @@ def merge_into(new: DataFrame, table: str, keys) -> None:
     new.alias("new").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
-def update(current: DataFrame, changes: DataFrame, keys) -> DataFrame:
+def update(current: DataFrame, changes: DataFrame, keys, order_by=None, unique=False) -> DataFrame:
     """Overwrite the columns `changes` carries beside its keys, where the key matches.
 
-    A null in `changes` overwrites too; unmatched changes do nothing.
+    A null in `changes` overwrites too; unmatched changes do nothing; of changes with
+    one key a single one counts (see `one_per_key`). Columns of `order_by` that the
+    table lacks only serve the order.
     """
-    columns = [c for c in changes.columns if c not in keys]
+    columns = [c for c in changes.columns if c not in keys and (c in current.columns or c not in (order_by or ()))]
     unknown = sorted(set(columns) - set(current.columns))
     if unknown or not columns:
         raise ValueError(f"nothing to update, or unknown columns: {unknown}")
+    if not unique:
+        changes = one_per_key(changes, keys, order_by)
     renamed = changes.select(*keys, F.lit(True).alias("_hit"),
                              *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = current.join(renamed, keys, "left")
@@ -81,8 +109,14 @@ def fill_namespace(rows: DataFrame) -> DataFrame:
     return rows.withColumn("namespace", named.otherwise(F.col("namespace")))
 
 
-def upsert_vectors(vectors: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert(vectors, fill_namespace(new), VECTOR_KEY)
+def upsert_vectors(vectors: DataFrame, new: DataFrame, order_by=None, unique=False) -> DataFrame:
+    """New vectors replace those of the same namespace and id; of several with one id
+    the last by `order_by` counts (columns the table lacks only serve the order).
+    `unique=True` says that there are none."""
+    one = fill_namespace(new)
+    if not unique:
+        one = one_per_key(one, VECTOR_KEY, order_by)
+    return upsert(vectors, one.select(*vectors.columns), VECTOR_KEY, unique=True)
 
 
 def delete_vectors(vectors: DataFrame, ids, namespace=None) -> DataFrame:
@@ -99,13 +133,14 @@ def delete_vectors(vectors: DataFrame, ids, namespace=None) -> DataFrame:
     return delete_vectors(vectors, gone, namespace)
 
 
-def update_vectors(vectors: DataFrame, changes: DataFrame) -> DataFrame:
+def update_vectors(vectors: DataFrame, changes: DataFrame, order_by=None) -> DataFrame:
     """New vectors, and metadata merged into the old, by (namespace, id).
 
     `changes` has namespace, id, embedding and metadata; a null metadata leaves
-    the old one. Ids that do not exist change nothing.
+    the old one. Ids that do not exist change nothing; of several changes of one id
+    the last by `order_by` counts.
     """
-    renamed = fill_namespace(changes).select(
+    renamed = one_per_key(fill_namespace(changes), VECTOR_KEY, order_by).select(
         *VECTOR_KEY, F.lit(True).alias("_hit"),
         F.col("embedding").alias("_embedding"), F.col("metadata").alias("_metadata"))
     joined = vectors.join(renamed, VECTOR_KEY, "left")

@@ -5,7 +5,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweave.functions.vectors import DOT, L2, as_matrix, check_metric, score_against, score_matrix
+from docweave.functions.vectors import (
+    DOT, L2, as_matrix, check_metric, score_against, score_error, score_matrix, score_pairs)
 from docweave.operators.embedding import DIMENSION, embed_text
 from docweave.operators.selection import (
     in_namespace, require_positive, require_text, with_metadata)
@@ -14,10 +15,6 @@ from docweave.operators.selection import (
 NAMESPACE_K = 5
 COLLECTION_K = 3
 
-# Scores that agree to this many decimals are ties, ordered by id. Without it
-# the order of equal vectors would depend on how the rows were batched.
-SCORE_DIGITS = 6
-
 # Query vectors up to this size are sent to every task; a larger set is joined
 # block by block, with blocks of about these sizes in memory.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -33,9 +30,10 @@ def _best_first(metric, score="score"):
 
 
 def search(vectors: DataFrame, query_vector, k=NAMESPACE_K, metric=DOT, namespace=None,
-           filters=None, digits=SCORE_DIGITS) -> DataFrame:
-    """The `k` rows nearest to one vector, with score and rank.
+           filters=None, columns=None) -> DataFrame:
+    """The `k` rows nearest to one vector, with score and rank; equal scores by id.
 
+    Filters compare the metadata; `columns` names keys kept as columns too.
     `namespace=ALL_NAMESPACES` searches every namespace. Each task keeps its own
     best `k` and only those travel (TakeOrderedAndProject). A vector of another
     length than the query has no score and is never a result.
@@ -45,8 +43,8 @@ def search(vectors: DataFrame, query_vector, k=NAMESPACE_K, metric=DOT, namespac
     if not query_vector:
         raise ValueError("the query vector cannot be empty")
     rows = vectors if namespace is ALL_NAMESPACES else in_namespace(vectors, namespace)
-    rows = with_metadata(rows, filters)
-    score = F.round(score_against(metric, query_vector)(F.col("embedding")), digits)
+    rows = with_metadata(rows, filters, columns)
+    score = score_against(metric, query_vector)(F.col("embedding"))
     top = (rows.select("id", "namespace", "content", "metadata", score.alias("score"))
            .orderBy(_best_first(metric), "id", "namespace").limit(k)
            .where("score is not null"))
@@ -61,10 +59,10 @@ def search_text(vectors, text, k=NAMESPACE_K, model_factory=None, dim=DIMENSION,
     return search(vectors, embed_text(text, model_factory, dim), k, **options)
 
 
-def search_collection(vectors, text, collection, k=COLLECTION_K, filters=None, **options):
-    """`search_text` in one collection, with metadata filters."""
+def search_collection(vectors, text, collection, k=COLLECTION_K, filters=None, metric=L2, **options):
+    """`search_text` in one collection, with metadata filters, by squared distance."""
     require_text(collection, "collection name")
-    return search_text(vectors, text, k, namespace=collection, filters=filters, **options)
+    return search_text(vectors, text, k, namespace=collection, filters=filters, metric=metric, **options)
 
 
 class _Best:
@@ -76,12 +74,21 @@ class _Best:
         self.rows = [np.empty(0, dtype=object)] * query_count
         self.bar = np.full(query_count, np.inf)
 
-    def add(self, scores, ids):
-        costs = self.sign * scores
+    def add(self, metric, ids, rows, queries):
+        """Takes the rows that may be among the best: the matrix product tells all
+        others off, and those left are scored again in fixed order."""
+        costs = self.sign * score_matrix(metric, rows, queries) - score_error(metric, rows, queries)
         hits = costs <= self.bar[None, :]  # NaN compares false
         for q in np.flatnonzero(hits.any(axis=0)):
             fresh = np.flatnonzero(hits[:, q])
-            cost = np.concatenate([self.scores[q], costs[fresh, q]])
+            if len(fresh) > 4 * self.k:
+                # Only what reaches the k-th best of this slice, errors included.
+                own = costs[fresh, q]
+                limit = np.partition(own, self.k - 1)[self.k - 1]
+                margin = 2 * score_error(metric, rows[fresh], queries[q:q + 1])[:, 0]
+                fresh = fresh[own <= limit + margin.max()]
+            exact = self.sign * score_pairs(metric, rows[fresh], queries[q:q + 1])
+            cost = np.concatenate([self.scores[q], exact])
             who = np.concatenate([self.rows[q], ids[fresh]])
             if len(cost) > self.k:
                 limit = np.partition(cost, self.k - 1)[self.k - 1]
@@ -102,32 +109,31 @@ class _Best:
         })
 
 
-def _scan(best, metric, digits, ids, vectors, queries):
+def _scan(best, metric, ids, vectors, queries):
     """Score one batch of rows against all queries, a slice at a time."""
     fits, matrix = as_matrix(vectors, queries.shape[1])
     names = np.asarray(ids.to_pylist(), dtype=object)[fits]
     step = max(1, SCORES_AT_ONCE // len(queries))
     for start in range(0, len(fits), step):
         part = slice(start, start + step)
-        scores = score_matrix(metric, matrix[part], queries)
-        best.add(np.round(scores, digits) + 0.0, names[part])
+        best.add(metric, names[part], matrix[part], queries)
 
 
-def _by_broadcast(vectors, query_ids, matrix, k, metric, digits):
+def _by_broadcast(vectors, query_ids, matrix, k, metric):
     shared = vectors.sparkSession.sparkContext.broadcast((query_ids, matrix))
 
     def best_of_partition(batches):
         ids, queries = shared.value
         best = _Best(metric, k, len(ids))
         for batch in batches:
-            _scan(best, metric, digits, batch.column("id"), batch.column("embedding"), queries)
+            _scan(best, metric, batch.column("id"), batch.column("embedding"), queries)
         yield from best.table(ids).to_batches()
 
     return vectors.select("id", "embedding").mapInArrow(
         best_of_partition, "query_id string, id string, score double")
 
 
-def _by_blocks(vectors, queries, row_count, query_count, dim, k, metric, digits):
+def _by_blocks(vectors, queries, row_count, query_count, dim, k, metric):
     """Queries in blocks against rows in blocks, one task group per pair of blocks.
 
     Each side is sent once per block of the other, and neither passes through the
@@ -150,7 +156,7 @@ def _by_blocks(vectors, queries, row_count, query_count, dim, k, metric, digits)
         best = _Best(metric, k, len(names))
         if names and rows.num_rows:
             matrix = as_matrix(asked.column("embedding").combine_chunks(), dim)[1]
-            _scan(best, metric, digits, rows.column("id"), rows.column("embedding").combine_chunks(), matrix)
+            _scan(best, metric, rows.column("id"), rows.column("embedding").combine_chunks(), matrix)
         return best.table(names)
 
     return (left.groupBy("across", "down").cogroup(right.groupBy("across", "down"))
@@ -158,7 +164,7 @@ def _by_blocks(vectors, queries, row_count, query_count, dim, k, metric, digits)
 
 
 def knn_join(vectors: DataFrame, queries: DataFrame, k=NAMESPACE_K, metric=DOT,
-             digits=SCORE_DIGITS, broadcast_bytes=BROADCAST_BYTES) -> DataFrame:
+             broadcast_bytes=BROADCAST_BYTES) -> DataFrame:
     """The `k` nearest rows of `vectors` (id, embedding) for every row of `queries`
     (query_id, embedding): columns query_id, id, score, rank. Ids are unique.
 
@@ -178,8 +184,8 @@ def knn_join(vectors: DataFrame, queries: DataFrame, k=NAMESPACE_K, metric=DOT,
     if size.n * size.dim * 8 <= broadcast_bytes:
         asked = queries.select("query_id", "embedding").toArrow()
         matrix = as_matrix(asked.column("embedding").combine_chunks(), size.dim)[1]
-        found = _by_broadcast(vectors, asked.column("query_id").to_pylist(), matrix, k, metric, digits)
+        found = _by_broadcast(vectors, asked.column("query_id").to_pylist(), matrix, k, metric)
     else:
-        found = _by_blocks(vectors, queries, vectors.count(), size.n, size.dim, k, metric, digits)
+        found = _by_blocks(vectors, queries, vectors.count(), size.n, size.dim, k, metric)
     place = Window.partitionBy("query_id").orderBy(_best_first(metric), "id")
     return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)

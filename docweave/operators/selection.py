@@ -31,10 +31,10 @@ def by_ids(rows: DataFrame, ids, key: str) -> DataFrame:
     """Rows whose `key` is among `ids` (a list, or a DataFrame with that column).
 
     A short list becomes an IN filter that reaches the scan; otherwise a semi
-    join on the distinct ids, broadcast only if Catalyst knows they are small.
+    join, broadcast only if Catalyst knows they are small.
     """
     if isinstance(ids, DataFrame):
-        return rows.join(ids.select(key).distinct(), key, "left_semi")
+        return rows.join(ids.select(key), key, "left_semi")
     ids = list(dict.fromkeys(ids))
     if not ids:
         raise ValueError("no ids given")
@@ -49,13 +49,14 @@ def in_namespace(vectors: DataFrame, namespace=None) -> DataFrame:
     return vectors.where(F.col("namespace") == namespace_name(namespace))
 
 
-def with_metadata(vectors: DataFrame, filters=None) -> DataFrame:
+def with_metadata(vectors: DataFrame, filters=None, columns=None) -> DataFrame:
     """Rows whose metadata equals every given value.
 
-    A key kept as a column of its own is compared there, so that the filter is
-    pushed to the scan; other keys are looked up in the map.
+    `columns` (key -> column) names keys that are kept as columns too: these are
+    compared there, so that the filter is pushed to the scan. A key that merely has
+    the name of a column is looked up in the metadata.
     """
     for key, value in (filters or {}).items():
-        source = F.col(key) if key in vectors.columns else F.col("metadata")[key]
+        source = F.col(columns[key]) if columns and key in columns else F.col("metadata")[key]
         vectors = vectors.where(source == F.lit(value))
     return vectors

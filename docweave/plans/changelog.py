@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.operators.mutations import one_per_key
+
 _LOG_FIELDS = [T.StructField("_deleted", T.BooleanType()), T.StructField("batch_id", T.LongType())]
 
 
@@ -21,6 +23,12 @@ def _without(rows, gone, keys):
     return rows.join(other, same, "left_anti")
 
 
+def _among(rows, wanted, keys):
+    """Rows whose key columns are found in `wanted`."""
+    other = wanted.select(*[F.col(k).alias(f"_wanted_{k}") for k in keys])
+    return rows.join(other, [F.col(k).eqNullSafe(F.col(f"_wanted_{k}")) for k in keys], "left_semi")
+
+
 class ChangeLog:
     """Tables under one folder, each given as name -> (schema, key columns[,
     partition columns]).
@@ -67,23 +75,25 @@ class ChangeLog:
         Returns False, and writes nothing, if the batch is already published. A
         failure before the commit entry leaves the tables as they were, and the
         replayed batch overwrites what it had written. A key both deleted and
-        upserted ends as the upserted row.
+        upserted ends as the upserted row; of upserted rows with one key, one is written.
         """
         last = self.last_batch()
         if last is not None and batch_id <= last:
             return False
         for name, (rows, gone) in changes.items():
             schema, keys, _ = self.tables[name]
+            rows = one_per_key(rows, keys)
             out = rows.select(*schema.names, F.lit(False).alias("_deleted"))
             if gone is not None:
-                removed = _without(gone.select(*keys).distinct(), rows, keys)
+                removed = _without(gone.select(*keys), rows, keys).distinct()
                 out = out.unionByName(removed.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
             self._write("changes", name, batch_id, out)
         self._commit("changes", batch_id)
         return True
 
-    def current(self, name: str) -> DataFrame:
-        """The table as of the last published batch."""
+    def current(self, name: str, wanted: DataFrame | None = None) -> DataFrame:
+        """The table as of the last published batch; with `wanted` (columns of the key),
+        only the rows that agree with it, picked before anything is sorted."""
         schema, keys, _ = self.tables[name]
         logged = T.StructType([*schema.fields, *_LOG_FIELDS])
         base_id, last_id = self._last("base"), self.last_batch()
@@ -94,13 +104,16 @@ class ChangeLog:
             stored = T.StructType([*schema.fields, _LOG_FIELDS[1]])
             base = (self._read("base", name, stored).where(F.col("batch_id") == base_id)
                     .select(*schema.names))
+        if wanted is not None:
+            picked = [c for c in keys if c in wanted.columns]
+            log = _among(log, wanted, picked)
+            base = None if base is None else _among(base, wanted, picked)
         newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
         latest = (log.withColumn("_age", F.row_number().over(newest)).where("_age = 1 and not _deleted")
                   .select(*schema.names))
         if base is None:
             return latest
-        changed = log.select(*keys).distinct()
-        return _without(base, changed, keys).unionByName(latest)
+        return _without(base, log.select(*keys), keys).unionByName(latest)
 
     def compact(self) -> None:
         """Fold the changes into a new base. Older bases and changes stay on disk,

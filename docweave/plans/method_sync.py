@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docweave.functions.maps import fill_nulls, merge
 from docweave.functions.names import stable_uuid, table_time
 from docweave.operators.embedding import DIMENSION, embed_rows
-from docweave.operators.mutations import latest_per_key
+from docweave.operators.mutations import one_per_key
 from docweave.operators.quality import check_messages, message_ids, unmatched_messages
 from docweave.operators.selection import namespace_name
 from docweave.schemas import METHOD_METADATA, METHOD_RECORD
@@ -45,7 +45,7 @@ def requested_records(messages: DataFrame, records: DataFrame):
     none = unmatched_messages(valid, flat, "method_id").select(
         "message_id", F.lit("no matching data").alias("reason"))
     # Records carry no version, so among copies with one id any fixed rule will do.
-    one_each = latest_per_key(matched, ["method_id"], [F.xxhash64(*matched.columns)])
+    one_each = one_per_key(matched, ["method_id"])
     return one_each, bad.unionByName(none)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docweave.functions.names import ASCII_BLANKS, decode_utf8, extension, strip
+from docweave.functions.names import decode_utf8, extension, strip
 from docweave.operators.selection import require_text
 from docweave.session import stage
 
@@ -35,10 +35,6 @@ UNKNOWN_TYPE = "application/octet-stream"
 
 # One row holds one file: Spark's own limit for a binary value.
 MAX_FILE_BYTES = 2**31 - 1024
-# Larger JSON texts are checked in Python, as a parsed value is limited in size.
-VARIANT_BYTES = 16 * 1024 * 1024
-# Larger CSV files are read by Spark's CSV reader rather than inside one row.
-CSV_ROW_BYTES = 256 * 1024 * 1024
 # Paths handed to the reader one by one; more are read by folder and joined.
 MAX_LISTED_PATHS = 1_000
 # Up to this many file splits (a path and two numbers each) are broadcast.
@@ -167,7 +163,8 @@ def csv_documents(spark: SparkSession, paths, multiline=True) -> DataFrame:
     reader = spark.read.option("header", True).option("escape", '"')
     names = reader.csv(paths).columns
     fields = [T.StructField(name, T.StringType()) for name in [*names, "_malformed"]]
-    rows = (reader.schema(T.StructType(fields)).option("multiLine", multiline)
+    # A file with another header fails the read, rather than being read by position.
+    rows = (reader.schema(T.StructType(fields)).option("multiLine", multiline).option("enforceSchema", False)
             .option("columnNameOfCorruptRecord", "_malformed").csv(paths))
     header = io.StringIO()
     csv.writer(header).writerow(names)
@@ -217,45 +214,31 @@ def json_documents(spark: SparkSession, paths, glob=None) -> DataFrame:
                         F.coalesce("error", F.when(content.isNull(), "not valid JSON")).alias("error"))
 
 
-def large_csv_documents(files: DataFrame, multiline=True) -> DataFrame:
-    """Documents of the CSV files among `files` (see `attach_bytes`) that are too large
-    for one row: the file's columns, doc_no, content, error.
+# Fixed value: a JSON string literal, or blanks outside of one.
+JSON_STRING_OR_BLANKS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
 
-    Spark's CSV reader reads files with the same header together. Only paths and
-    first lines come to the driver.
-    """
-    spark = files.sparkSession
-    kept = [c for c in files.columns if c not in ("body", "body_bytes", "location")]
-    large = stage(files.where((extension("full_path") == "csv") & (F.col("body_bytes") > CSV_ROW_BYTES))
-                  .select(*kept, F.col("location").alias("_path")), "large-csv")
-    by_header = {}
-    for row in large.select("_path").distinct().toLocalIterator():
-        path = _escaped(row["_path"])
-        header = spark.read.option("header", True).option("escape", '"').csv(path).columns
-        by_header.setdefault(tuple(header), []).append(path)
-    found = spark.createDataFrame([], "content string, metadata map<string,string>")
-    for paths in by_header.values():
-        found = found.unionByName(csv_documents(spark, paths, multiline))
-    found = found.select(_plain_path(F.col("metadata")["source"]).alias("_path"), "content",
-                         F.col("metadata")["row"].cast("int").alias("doc_no"))
-    documents = large.join(found, "_path", "left")
-    return documents.select(
-        *kept, F.coalesce("doc_no", F.lit(0)).alias("doc_no"), "content",
-        F.when(F.col("content").isNull(), "no documents").alias("error"))
 
+_JSON_BLANKS = re.compile(JSON_STRING_OR_BLANKS)
 
-# Fixed value: a JSON string literal, or blanks outside of one.
-JSON_STRING_OR_BLANKS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|[ \t\r\n]++'
+
+def _compact(text):
+    """JSON text without blanks between its parts, or None."""
+    try:
+        value = json.loads(text)
+    except (ValueError, RecursionError):
+        return None
+    return value if isinstance(value, str) else _JSON_BLANKS.sub(lambda m: m[1] or "", text)
 
 
 def compact_json(text):
-    """JSON text without blanks between its parts; keys keep their order and
-    numbers their digits. A top-level string is returned as that string."""
-    value = F.try_parse_json(text)
-    return (F.when(value.isNull(), None)
-            .when(F.startswith(F.ltrim(text, F.lit(ASCII_BLANKS)), F.lit('"')),
-                  F.try_variant_get(value, "$", "string"))
-            .otherwise(F.regexp_replace(text, JSON_STRING_OR_BLANKS, "$1")))
+    """JSON text without blanks between its parts; keys keep their order, also if they
+    repeat, and numbers their digits. A top-level string is returned as that string;
+    what is not JSON gives null. One parser for texts of every size."""
+    @F.arrow_udf("string")
+    def compacted(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else _compact(t) for t in texts.to_pylist()], pa.string())
+
+    return compacted.asNondeterministic()(text)
 
 
 def _csv_texts(body):
@@ -270,16 +253,10 @@ def _csv_texts(body):
     return ["\n".join(f"{shown(k)}: {shown(v)}" for k, v in row.items()) for row in rows]
 
 
-def _json_texts(body):
-    value = json.loads(body.decode("utf-8"))
-    return [value if isinstance(value, str)
-            else json.dumps(value, ensure_ascii=False, separators=(",", ":"))]
-
-
 def _parsed_bodies(extractors):
     """Column function (kind, bytes) -> array<struct<text, error>> for the kinds that
     need Python. Rows with null bytes cost nothing; a failing file gives its error."""
-    readers = {**extractors, "csv": _csv_texts, "json": _json_texts}
+    readers = {**extractors, "csv": _csv_texts}
 
     @F.arrow_udf("array<struct<text:string,error:string>>")
     def parse(kinds: pa.Array, bodies: pa.Array) -> pa.Array:
@@ -313,21 +290,18 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
     kind, body, text = F.col("_kind"), F.col("body"), F.col("_text")
     unread = [k for k in BINARY_KINDS if k not in extractors]
     known = [*TEXT_KINDS, "json", "csv", *BINARY_KINDS, *extractors]
-    large_csv = F.coalesce((kind == "csv") & (F.octet_length(body) > CSV_ROW_BYTES), F.lit(False))
-    in_python = kind.isin(["csv", *extractors]) & ~large_csv | (
-        (kind == "json") & (F.octet_length(body) > VARIANT_BYTES))
+    in_python = kind.isin(["csv", *extractors])
 
     # One step per column, so that no text is decoded or parsed twice.
     rows = files.withColumn("_kind", F.coalesce(extension("full_path"), F.lit("")))
     rows = rows.select(
-        *kept, "_kind", body.isNull().alias("_absent"), large_csv.alias("_large_csv"), in_python.alias("_in_python"),
+        *kept, "_kind", body.isNull().alias("_absent"), in_python.alias("_in_python"),
         F.when(~in_python & kind.isin([*TEXT_KINDS, "json"]), decode_utf8(body)).alias("_text"),
         _parsed_bodies(extractors)(kind, F.when(in_python, body)).alias("_parsed"))
     rows = rows.withColumn("_content", F.when(kind == "json", compact_json(text)).otherwise(text))
     error = (F.when(~kind.isin(known), F.concat(F.lit("unsupported format: "), kind))
              .when(kind.isin(unread), F.concat(F.lit("no extractor for "), kind))
              .when(F.col("_absent"), "file not found, empty or too large")
-             .when(F.col("_large_csv"), "CSV file too large for one row")
              .when(F.col("_in_python"), F.when(F.size("_parsed") == 0, "no documents"))
              .when(text.isNull(), "not valid UTF-8")
              .when(F.col("_content").isNull(), "not valid JSON"))

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docweave.operators.mutations import VECTOR_KEY
-from docweave.operators.quality import message_ids
+from docweave.operators.mutations import VECTOR_KEY, get_or_create_collections
+from docweave.operators.quality import message_ids, split_by_validity
 from docweave.operators.selection import by_ids
 from docweave.plans.changelog import ChangeLog
 from docweave.plans.file_etl import replaced_chunks, run_file_etl
 from docweave.plans.method_sync import sync_methods
-from docweave.schemas import METHOD_METADATA, VECTORS, conform_files
+from docweave.schemas import COLLECTIONS, FILE_METADATA, METHOD_METADATA, VECTORS, conform_files
 from docweave.session import stage, staging_scope
 
 OUTCOMES = T.StructType(
@@ -23,15 +23,18 @@ OUTCOMES = T.StructType(
     + [T.StructField(n, T.LongType()) for n in ("documents", "chunks")]
     + [T.StructField(n, T.StringType()) for n in ("stage", "error")])
 STORED = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("full_path", "namespace")]
-    + [T.StructField(n, T.LongType()) for n in ("documents", "widest")])
+    [T.StructField("full_path", T.StringType()), T.StructField("doc_no", T.LongType()),
+     T.StructField("namespace", T.StringType()), T.StructField("chunks", T.LongType())])
+#: Batches after which the changes are folded into a new base.
+COMPACT_EVERY = 20
+
 REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("message_id", "method_id", "reason")])
 
 
 def file_tables(spark, root) -> ChangeLog:
     return ChangeLog(spark, root, {
-        "vectors": (VECTORS, VECTOR_KEY, ["namespace"]), "outcomes": (OUTCOMES, ["full_path"]),
-        "stored": (STORED, ["full_path"])})
+        "vectors": (VECTORS, VECTOR_KEY, ["namespace"]), "outcomes": (OUTCOMES, ["file_id", "full_path"]),
+        "stored": (STORED, ["full_path", "doc_no"]), "collections": (COLLECTIONS, ["name"])})
 
 
 def method_tables(spark, root) -> ChangeLog:
@@ -42,17 +45,36 @@ def method_tables(spark, root) -> ChangeLog:
 
 def apply_file_messages(messages: DataFrame, batch_id: int, log: ChangeLog, files: DataFrame,
                         root: str, **options) -> bool:
-    """One micro-batch of file messages: read, split, embed and publish the files."""
+    """One micro-batch of file messages: check, read, split, embed and publish the files,
+    and register the collections written to.
+
+    Records that break a rule become failure rows; their files are not read.
+    """
     last = log.last_batch()
     if last is not None and batch_id <= last:
         return False
     with staging_scope(log.spark):
         ids = message_ids(messages).select(F.col("id").alias("file_id"))
-        chosen = stage(conform_files(by_ids(files, ids, "file_id")), "chosen-files")
-        done = run_file_etl(chosen, root, **options)
-        gone = replaced_chunks(log.current("stored"), done.stored)
-        return log.publish(batch_id, {
-            "vectors": (done.vectors, gone), "outcomes": (done.outcomes, None), "stored": (done.stored, None)})
+        chosen = stage(by_ids(files, ids, "file_id"), "chosen-files")
+        valid, invalid = split_by_validity(chosen)
+        done = run_file_etl(stage(conform_files(valid), "valid-files"), root, invalid=_typed(invalid), **options)
+        stored = stage(done.stored, "stored-now")
+        before = stage(log.current("stored", stored.select("full_path")), "stored-before")
+        names = stored.select(F.col("namespace").alias("name")).distinct()
+        made = get_or_create_collections(log.current("collections", names), names, F.current_timestamp())
+        published = log.publish(batch_id, {
+            "vectors": (done.vectors, replaced_chunks(before, stored)), "outcomes": (done.outcomes, None),
+            "stored": (stored, before.select("full_path", "doc_no")), "collections": (made, None)})
+        if published and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            log.compact()
+        return published
+
+
+def _typed(invalid):
+    """Typed records that keep the names of the rules they break."""
+    return invalid.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in invalid.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in FILE_METADATA.fields], "violations")
 
 
 def apply_method_messages(messages: DataFrame, batch_id: int, log: ChangeLog, records: DataFrame,
@@ -64,10 +86,14 @@ def apply_method_messages(messages: DataFrame, batch_id: int, log: ChangeLog, re
     now = F.current_timestamp() if run_time is None else run_time
     with staging_scope(log.spark):
         messages = stage(messages, "messages")
-        done = sync_methods(messages, records, log.current("methods"), now, batch_id, **options)
-        return log.publish(batch_id, {
+        asked = stage(message_ids(messages).select(F.col("id").alias("method_id")), "asked-ids")
+        done = sync_methods(messages, records, log.current("methods", asked), now, batch_id, **options)
+        published = log.publish(batch_id, {
             "methods": (done.metadata, None), "vectors": (done.vectors, done.old_vectors),
             "rejects": (done.rejects.distinct(), None)})
+        if published and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            log.compact()
+        return published
 
 
 def _start(messages, apply, checkpoint, available_now):

@@ -9,9 +9,9 @@ from docweave.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
+        "tests", "local[4]", spark__checkpoint__dir=str(tmp_path_factory.mktemp("stage")), spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
         spark__driver__memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session

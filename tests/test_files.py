@@ -1,5 +1,3 @@
-import json
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,12 +75,27 @@ def test_extractors(spark, store):
     assert found["i.zip"] == [(None, "ZeroDivisionError: division by zero")]
 
 
-def test_large_json_is_checked_in_python(spark, store, monkeypatch):
-    monkeypatch.setattr(source, "VARIANT_BYTES", 3)
-    found = by_name(source.file_documents(source.attach_bytes(catalogue(spark), str(store))))
-    assert found["f.json"] == [("just  text", None)]
-    assert json.loads(found["e [1].json"][0][0])["b"] == [1, 2.5, 'x  " y']
-    assert "JSONDecodeError" in found["g.json"][0][1]
+def test_json_at_every_size(spark):
+    long = "x" * 25_000_000
+    texts = ['{"a": 1, "a": 2}', '{"a": NaN, "b": -Infinity}', "[1.50, 1E5]", '" top  level "', "{", "", f'["{long}"]']
+    frame = spark.createDataFrame([(str(i), f"/{i}.json", t.encode()) for i, t in enumerate(texts)],
+                                  "id string, full_path string, body binary")
+    found = {r.id: (r.content, r.error) for r in source.file_documents(frame).collect()}
+    assert [found[str(i)] for i in range(6)] == [
+        ('{"a":1,"a":2}', None), ('{"a":NaN,"b":-Infinity}', None), ("[1.50,1E5]", None), (" top  level ", None),
+        (None, "not valid JSON"), (None, "not valid JSON")]
+    assert found["6"] == (f'["{long}"]', None)
+
+
+def test_csv_headers(spark, tmp_path):
+    frame = spark.createDataFrame([("/a.csv", b"a,a\n1,2\n"), ("/b.csv", b"x,y\n5,6\n"), ("/c.csv", b"h\n\xff\n")],
+                                  "full_path string, body binary")
+    found = {r.full_path: (r.content, r.error is None) for r in source.file_documents(frame).collect()}
+    assert found == {"/a.csv": ("a: 2", True), "/b.csv": ("x: 5\ny: 6", True), "/c.csv": (None, False)}
+    put(tmp_path, "u.csv", "a,b\n1,2\n")
+    put(tmp_path, "v.csv", "x,y\n5,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        source.csv_documents(spark, [str(tmp_path / "u.csv"), str(tmp_path / "v.csv")]).collect()
 
 
 def test_no_files_at_all(spark, tmp_path):

@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from docweave.plans.changelog import ChangeLog
-from docweave.plans.file_etl import process_files, run_file_etl
+from docweave.plans.file_etl import load_vectors, process_files, replaced_chunks, run_file_etl
 from docweave.plans.method_sync import sync_methods
 from docweave.schemas import FILE_METADATA, METHOD_METADATA
 from docweave.sources.messages import message_stream
@@ -196,26 +196,69 @@ def test_method_stream_inserts_then_updates(spark, tmp_path):
     assert apply_method_messages(messages(spark, "1"), 0, log, records, dim=8) is False
 
 
-@pytest.mark.parametrize("multiline", [True, False])
-def test_large_csv_files_give_the_same_result(spark, tmp_path, monkeypatch, multiline):
+def test_csv_files_of_a_store(spark, tmp_path):
     for n, name in enumerate(("a 1.csv", "b+2.csv", "c%20.csv")):
         head = "id,text" if n < 2 else "key , note"
         put(tmp_path, "in/" + name, head + "\n" + "".join(f'{i},"say ""{n}-{i}"""\n' for i in range(40))
             + ("7\n8,x,y,z\n" if n == 1 else ""))
     put(tmp_path, "in/d.csv", "id,text\n")
-    files = file_table(spark, "a 1.csv", "b+2.csv", "c%20.csv", "d.csv")
+    done = run_file_etl(file_table(spark, "a 1.csv", "b+2.csv", "c%20.csv", "d.csv"), str(tmp_path), dim=4)
+    assert done.vectors.count() == 122
+    assert [r[-1] for r in rows(done.outcomes)] == [None, None, None, "no documents"]
 
-    def result():
-        done = run_file_etl(files, str(tmp_path), dim=4, csv_multiline=multiline)
-        return rows(done.vectors.select("id", "content")), rows(done.outcomes)
 
-    usual = result()
-    assert len(usual[0]) == 122 and [r[-1] for r in usual[1]] == [None, None, None, "no documents"]
-    from docweave.plans import file_etl
-    from docweave.sources import files as source
-    monkeypatch.setattr(source, "CSV_ROW_BYTES", 5)
-    monkeypatch.setattr(file_etl, "CSV_ROW_BYTES", 5)
-    assert result() == usual
+def test_namespaces_paths_and_stored_chunks(spark, tmp_path):
+    put(tmp_path, "in/a.txt", "word " * 500)
+    put(tmp_path, "in/b.csv", "h\n" + "long text " * 150 + "\nshort\n")
+    data = file_table(spark, "a.txt", "b.csv", category=None)
+    again = data.where("file_id = 'f0'").withColumn("file_id", F.lit("f9"))
+    done = run_file_etl(data.unionByName(again).unionByName(again), str(tmp_path), dim=4)
+    assert {v.namespace for v in done.vectors.collect()} == {"default"}
+    ids = [v.id for v in done.vectors.collect()]
+    assert len(ids) == len(set(ids))
+    assert {r.file_id: r.error for r in done.outcomes.collect()} == {
+        "f0": None, "f1": None, "f9": "path is listed more than once"}
+    # As many keys as chunks were stored.
+    assert {r.id for r in replaced_chunks(done.stored, done.stored).collect()} == set(ids)
+    assert replaced_chunks(done.stored, done.stored).count() == len(ids)
+    assert rows(done.places) == [("default",)]
+
+
+def test_paths_to_vectors_without_a_catalogue(spark, tmp_path):
+    put(tmp_path, "in/a.txt", "alpha one")
+    put(tmp_path, "in/b.csv", "h\nx\ny\n")
+    put(tmp_path, "in/c.zip", "?")
+    done = load_vectors(spark, str(tmp_path / "in"), "papers", dim=4)
+    assert rows(done.vectors.select("namespace", "content")) == [("papers", "alpha one"), ("papers", "h: x"), ("papers", "h: y")]
+    assert sum(r.error is not None for r in done.outcomes.collect()) == 1
+    assert {v.namespace for v in load_vectors(spark, str(tmp_path / "in"), dim=4).vectors.collect()} == {"default"}
+
+
+def test_records_that_break_rules_are_not_read(spark, tmp_path):
+    put(tmp_path, "store/in/a.txt", "alpha")
+    put(tmp_path, "store/in/b.txt", "beta")
+    files = file_table(spark, "a.txt", "b.txt").withColumn(
+        "size_bytes", F.when(F.col("file_id") == "f1", "-1").otherwise(F.col("size_bytes")))
+    log = file_tables(spark, str(tmp_path / "tables"))
+    assert apply_file_messages(messages(spark, "f0,f1"), 0, log, files, str(tmp_path / "store"), dim=4, target="collection")
+    assert rows(log.current("outcomes").select("file_id", "error")) == [("f0", None), ("f1", "broken rules: size_bytes_negative")]
+    assert rows(log.current("collections").select("name", "type")) == [("teamdocs", "Document")]
+    assert apply_file_messages(messages(spark, "f0"), 1, log, files, str(tmp_path / "store"), dim=4, target="collection")
+    assert log.current("collections").count() == 1 and log.current("vectors").count() == 1
+
+
+def test_wanted_rows_are_picked_before_the_window(spark, tmp_path):
+    log = log_of(spark, tmp_path)
+    frame = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1")], KV)
+    log.publish(0, {"t": (frame, None)})
+    assert log.current("t").count() == 2
+    log.publish(1, {"t": (frame.where("k = 'b'").withColumn("v", F.lit("3")), None)})
+    log.compact()
+    log.publish(2, {"t": (frame.where("k = 'a' and v = '2'"), None)})
+    found = log.current("t", spark.createDataFrame([("b",)], "k string"))
+    assert rows(found) == [("b", "3")]
+    text = plan(found).split("== Physical Plan ==")[1]
+    assert "LeftSemi" in text.split("Window ")[1]
 
 
 def test_published_vectors_are_pruned_by_namespace(spark, tmp_path, capsys):
@@ -224,7 +267,7 @@ def test_published_vectors_are_pruned_by_namespace(spark, tmp_path, capsys):
     log = file_tables(spark, str(tmp_path / "tables"))
     vectors = spark.createDataFrame(
         [("1", [1.0], "a", None, "n1"), ("2", [1.0], "b", None, "n2")], log.tables["vectors"][0])
-    empty = {n: (spark.createDataFrame([], log.tables[n][0]), None) for n in ("outcomes", "stored")}
+    empty = {n: (spark.createDataFrame([], log.tables[n][0]), None) for n in ("outcomes", "stored", "collections")}
     log.publish(0, {"vectors": (vectors, None), **empty})
     log.compact()
     log.publish(1, {"vectors": (vectors.where("id = '1'"), None), **empty})

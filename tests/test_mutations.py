@@ -96,11 +96,28 @@ def test_namespaces_and_collections(spark):
     assert rows(left.select("namespace")) == [("n2",)] and rows(names.select("name")) == [("n3",)]
 
 
+def test_one_change_per_key(spark):
+    old = vectors(spark).select("namespace", "id", "embedding", "content", "metadata")
+    twice = old.withColumn("v", F.lit(1)).unionByName(
+        old.withColumns({"v": F.lit(2), "content": F.lit("second"), "embedding": F.array(F.lit(7.0).cast("float"))}))
+    after = m.upsert_vectors(old, twice, order_by=["v"])
+    assert after.columns == old.columns and after.count() == old.count()
+    assert {r.content for r in after.collect()} == {"second"}
+    assert m.upsert_vectors(old, twice.drop("v").withColumn("namespace", F.lit(None).cast("string"))).where(
+        "namespace = 'default'").count() == old.select("id").distinct().count()
+    updated = m.update_vectors(old, twice, order_by=["v"])
+    assert updated.count() == old.count() and {tuple(r.embedding) for r in updated.collect()} == {(7.0,)}
+    current = spark.createDataFrame([("1", "x"), ("2", "y")], "k string, a string")
+    changes = spark.createDataFrame([("1", "p", 1), ("1", "q", 2), ("3", "z", 1)], "k string, a string, at int")
+    assert rows(m.update(current, changes, ["k"], order_by=["at"])) == [("1", "q"), ("2", "y")]
+    assert rows(m.upsert(current, changes.drop("at").where("k = '1'"), ["k"]))[1] == ("2", "y")
+
+
 def test_small_changes_do_not_shuffle_the_table(spark, tmp_path):
     for name, frame in (("t", vectors(spark)), ("c", vectors(spark))):
         frame.write.parquet(str(tmp_path / name))
     table, change = (spark.read.parquet(str(tmp_path / n)) for n in "tc")
-    text = plan(m.upsert_vectors(table, change))
+    text = plan(m.upsert_vectors(table, change, unique=True))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning" not in text
 
 

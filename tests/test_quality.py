@@ -107,11 +107,12 @@ def test_ids_filter_reaches_the_scan(spark, tmp_path):
         by_ids(stored, [], "file_id")
 
 
-def test_metadata_filter_prefers_columns(spark):
+def test_metadata_filter_reads_metadata(spark):
     frame = spark.createDataFrame([("1", {"lang": "en"}, "x", "n"), ("2", {"lang": "fr"}, "y", "n"), ("3", None, "x", "n")],
                                   "id string, metadata map<string,string>, team string, namespace string")
     assert rows(with_metadata(frame, {"lang": "en"}).select("id")) == [("1",)]
-    assert rows(with_metadata(frame, {"team": "x", "lang": "en"}).select("id")) == [("1",)]
+    assert rows(with_metadata(frame, {"team": "x", "lang": "en"}, {"team": "team"}).select("id")) == [("1",)]
+    assert with_metadata(frame, {"team": "x"}).count() == 0 and with_metadata(frame, {"id": "1"}).count() == 0
     assert in_namespace(frame, "other").count() == 0
 
 

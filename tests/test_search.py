@@ -82,10 +82,30 @@ def test_knn_join_matches_all_pairs(spark, monkeypatch, metric, limit):
         for i, v in enumerate(data.astype("float64")):
             score = {DOT: v @ query, COSINE: v @ query / np.linalg.norm(v) / np.linalg.norm(query),
                      L2: ((v - query) ** 2).sum()}[metric]
-            scored.append((round(score, 6) * (1 if metric == L2 else -1), f"v{i}", round(score, 6)))
+            scored.append((round(score, 9) * (1 if metric == L2 else -1), f"v{i}", score))
         for rank, (_, name, score) in enumerate(sorted(scored)[:7], 1):
             expected[(f"q{q}", rank)] = (name, float(score))
-    assert got == expected
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in expected.items()}
+    assert all(abs(got[k][1] - expected[k][1]) < 1e-9 for k in expected)
+
+
+@pytest.mark.parametrize("metric", [DOT, COSINE, L2])
+def test_small_gaps_decide(spark, metric):
+    # Scores that differ by 1e-7, in the reverse order of the ids; very short vectors too.
+    for scale in (1.0, 1e-8):
+        data = [(f"v{9 - i}", [scale * (1 + i * (1e-7 if metric != COSINE else 0)), scale * (5 - i) * 1e-4]) for i in range(5)]
+        vectors = spark.createDataFrame([(i, v, "", None, "n") for i, v in data], "id string, embedding array<double>, "
+                                        "content string, metadata map<string,string>, namespace string")
+        query = [2.0 * scale, 0.0]
+        score = {DOT: lambda v: -v[0], COSINE: lambda v: -v[0] / np.hypot(*v),
+                 L2: lambda v: (v[0] - query[0]) ** 2 + v[1] ** 2}[metric]
+        want = [i for i, v in sorted(data, key=lambda d: score(d[1]))][:3]
+        for parts in (1, 4):
+            found = search.search(vectors.repartition(parts), query, 3, metric, "n").orderBy("rank").collect()
+            assert [r.id for r in found] == want
+            asked = spark.createDataFrame([("q", query)], "query_id string, embedding array<double>")
+            joined = knn_join(vectors.repartition(parts), asked, 3, metric).orderBy("rank").collect()
+            assert [(r.id, r.score) for r in joined] == [(r.id, r.score) for r in found]
 
 
 def test_knn_join_plan_has_no_pairs(spark):
@@ -106,3 +126,4 @@ def test_collection_search(spark):
     found = search.search_collection(vectors, "a red house", "c", dim=64)
     assert [r.id for r in found.orderBy("rank").collect()] == ["1", "2"]
     assert [r.id for r in search.search_collection(vectors, "red", "c", filters={"lang": "fr"}, dim=64).collect()] == ["2"]
+    assert found.orderBy("rank").first().score == 0 or found.orderBy("rank").first().score < found.agg(F.max("score")).first()[0]
