@@ -31,9 +31,9 @@ from docweave.llm.arrow import map_column
 from docweave.session import spread_if_few
 
 #: Characters of new words laid out at once; words and pairs remembered between blocks.
-BLOCK_CHARS = 4_000_000
-KNOWN_WORDS = 250_000
-KNOWN_PAIRS = 500_000
+BLOCK_CHARS = 2_000_000
+KNOWN_WORDS = 200_000
+KNOWN_PAIRS = 150_000
 #: From so many places on, a merge is applied to all of them together.
 MANY = 48
 
@@ -246,11 +246,12 @@ class Replay:
 
 
 class Coder:
-    """Codes texts with the words and pieces met so far; kept by a task.
+    """Codes texts with the pieces met so far; kept by a task.
 
     A piece is what stands between single blanks of a line, with the blank before it:
     the pattern cannot match across its ends. Texts with other blanks are cut by the
-    pattern as a whole.
+    pattern as a whole. Words of the pattern are pieces too. The ids of a piece are
+    kept as packed numbers.
     """
 
     def __init__(self, ranks, pattern, known_words=KNOWN_WORDS, block_chars=BLOCK_CHARS):
@@ -259,7 +260,9 @@ class Coder:
         self.replay = Replay(ranks)
         self.cut = regex.compile(pattern).findall
         self.known_words, self.block_chars = known_words, block_chars
-        self.words, self.pieces, self.decoded, self.longest = {}, {}, {}, 0
+        self.kind = "H" if max(ranks.values()) < 1 << 16 else "I"
+        self.pieces, self.longest = {}, 0
+        self.shown = {rank: str(rank) for rank in ranks.values()}
 
     @staticmethod
     def _pieces(text):
@@ -275,8 +278,8 @@ class Coder:
             out += [" " + part for part in parts[1:]]
         return out
 
-    def blocks(self, texts):
-        """Lists of texts cut into pieces, once the ids of all their pieces are known."""
+    def ids(self, texts):
+        """The ids of each text as an array (null: empty)."""
         block, new, chars = [], {}, 0
         for text in texts:
             pieces = (self._pieces(text) or [text]) if text else []
@@ -284,65 +287,42 @@ class Coder:
             new.update(dict.fromkeys(set(pieces).difference(self.pieces)))
             block.append(pieces)
             if chars > self.block_chars:
-                self._learn(new)
-                yield block
-                self._forget()
+                yield from self._flush(block, new)
                 block, new, chars = [], {}, 0
-        self._learn(new)
-        yield block
-        self._forget()
+        yield from self._flush(block, new)
 
-    def _learn(self, new):
+    def _flush(self, block, new):
         # A piece of letters is one word; isalpha is the pattern's class of letters.
-        cut = {piece: (piece,) if piece.lstrip(" ").isalpha() else self.cut(piece) for piece in new}
-        fresh = list({word: None for words in cut.values() for word in words if word not in self.words})
-        self.words.update(zip(fresh, self.replay.encode([word.encode("utf-8") for word in fresh]), strict=True))
-        self.longest = max(map(len, new), default=self.longest)
+        known = self.pieces
+        cut = {piece: self.cut(piece) for piece in new if not piece.lstrip(" ").isalpha()}
+        fresh = dict.fromkeys(piece for piece in new if piece not in cut)
+        fresh.update((word, None) for words in cut.values() for word in words if word not in known)
+        fresh = list(fresh)
+        for word, ids in zip(fresh, self.replay.encode([word.encode("utf-8") for word in fresh]), strict=True):
+            known[word] = array(self.kind, ids).tobytes()
         for piece, words in cut.items():
-            if len(words) == 1:
-                ids = self.words[words[0]]
-            else:
-                ids = [one for word in words for one in self.words[word]]
-            self.remember(piece, ids)
-
-    def _forget(self):
-        if len(self.pieces) > self.known_words or self.longest > self.block_chars:
-            self.longest = 0
-            self.pieces.clear()
-            self.decoded.clear()
-            self.words.clear()
-
-    def remember(self, piece, ids):
-        self.pieces[piece] = ids
+            known[piece] = b"".join(map(known.__getitem__, words))
+        self.longest = max(map(len, new), default=self.longest)
+        for pieces in block:
+            ids = array(self.kind)
+            ids.frombytes(b"".join(map(known.__getitem__, pieces)))
+            yield ids
+        if len(known) > self.known_words or self.longest > self.block_chars:
+            self.pieces, self.longest = {}, 0
 
     def encode(self, texts):
         """Lists of ids, text by text (null: empty)."""
-        for block in self.blocks(texts):
-            for pieces in block:
-                ids = []
-                for found in map(self.pieces.__getitem__, pieces):
-                    ids += found
-                yield ids
+        return (ids.tolist() for ids in self.ids(texts))
 
     def decode(self, ids):
         return b"".join(map(self.replay.bytes_of.__getitem__, ids))
 
-
-class DigestCoder(Coder):
-    """Remembers, for each piece, its ids as text and the bytes decoded from the ids:
-    both of a whole text are those of its pieces put together."""
-
-    def remember(self, piece, ids):
-        self.pieces[piece] = ",".join(map(str, ids))
-        self.decoded[piece] = self.decode(ids)
-
     def digests(self, texts):
-        for block in self.blocks(texts):
-            for pieces in block:
-                ids = ",".join(map(self.pieces.__getitem__, pieces))
-                decoded = b"".join(map(self.decoded.__getitem__, pieces))
-                yield (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
-                       hashlib.sha256(decoded).hexdigest())
+        """Number of ids, SHA-256 of the ids as text, SHA-256 of the bytes decoded."""
+        for ids in self.ids(texts):
+            shown = ",".join(map(self.shown.__getitem__, ids))
+            yield (len(ids), hashlib.sha256(shown.encode()).hexdigest(),
+                   hashlib.sha256(self.decode(ids)).hexdigest())
 
 
 def _digests(ranks_file, pattern, position, width):
@@ -351,7 +331,7 @@ def _digests(ranks_file, pattern, position, width):
         # No reference cycles arise here, and looking for them among the remembered
         # pieces would take longer than the work.
         gc.disable()
-        coder = DigestCoder(dict(ranks_file.value), pattern)
+        coder = Coder(dict(ranks_file.value), pattern)
         for batch in batches:
             found = list(coder.digests(value.as_py() for value in batch.column(position)))
             n_tokens, ids_sha, bytes_sha = zip(*found, strict=True) if found else ((), (), ())
