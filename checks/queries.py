@@ -1,6 +1,7 @@
 """One query per operator: (spark, sf_dir) -> DataFrame. Maps and arrays are
 flattened, and times shown as text, so that the rows compare between engines."""
 
+import uuid
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -13,9 +14,11 @@ from docweave.operators import batching, chunking, embedding, mutations, quality
 from docweave.plans import file_etl as etl
 from docweave.plans import method_sync as sync
 from docweave.schemas import FILE_METADATA, conform_files
-from docweave.session import stage
+from docweave.session import stage, staging_root
 from docweave.sources import files as file_source
+from docweave.sources import messages as message_source
 from docweave.sources import tables as table_source
+from docweave.streaming import jobs
 
 # Fixed values shared with the SQL side.
 DIM = 64
@@ -427,7 +430,138 @@ def file_etl_outcomes(spark, sf):
     return _etl(spark, sf).outcomes
 
 
+# User functions, files and streams ---------------------------------------------
+
+def _place(spark, name):
+    """A new folder beside the staged tables."""
+    return f"{staging_root(spark)}/docweave/{name}-{uuid.uuid4().hex}"
+
+
+def line_splitter(spark, sf):
+    """Chunks by a splitter of the user: the lines of a text."""
+    docs = t.files(spark, sf, t.spread_table).select("file_id", F.col("text").alias("content"))
+    chunks = chunking.chunk_documents(docs, splitter=lambda text: [x for x in text.split("\n") if x])
+    return chunks.select("file_id", long(F.col("chunk_no")).alias("chunk_no"), F.md5("chunk").alias("chunk_md5"))
+
+
+def _letter_model():
+    return lambda texts: [[float(text.count("a")), float(text.count("e"))] for text in texts]
+
+
+def letter_embedding(spark, sf):
+    """Vectors of a model of the user: numbers of two letters."""
+    docs = t.spread_table(spark, sf, "documents").select("doc_id", "text")
+    made = embedding.embed_rows(docs, "text", _letter_model, 2)
+    return made.select("doc_id", F.col("embedding")[0].cast("double").alias("a"),
+                       F.col("embedding")[1].cast("double").alias("e"))
+
+
+def extracted_documents(spark, sf):
+    """Documents by extractors of the user: a text per file, or one per line."""
+    found = file_source.file_documents(t.file_bodies(spark, sf), {
+        "pdf": lambda body: [body.decode()], "docx": lambda body: body.decode().split("\n")})
+    return found.select("file_id", long(F.col("doc_no")).alias("doc_no"), F.md5("content").alias("content_md5"), "error")
+
+
+def table_overwrite(spark, sf):
+    """Vectors written, written over by their opposites, and read back."""
+    path = _place(spark, "overwrite")
+    vectors = t.vec(spark, sf)
+    table_source.write_table(vectors, path, partition_by=["namespace"])
+    flipped = vectors.withColumn("embedding", F.transform("embedding", lambda x: -x))
+    table_source.write_table(flipped, path, overwrite=True, partition_by=["namespace"])
+    return _shown(spark.read.schema(vectors.schema).parquet(path))
+
+
+def _exported(spark, sf):
+    path = _place(spark, "texts")
+    table_source.export_texts(t.methods(spark, sf), path)
+    return path
+
+
+def text_export(spark, sf):
+    """The exported texts, read back line by line."""
+    lines = spark.read.option("lineSep", "\n").text(_exported(spark, sf))
+    return lines.groupBy(F.col("method_id").cast("string").alias("method_id")).agg(
+        F.count(F.lit(1)).alias("lines"), long(F.sum(F.length("value"))).alias("chars"))
+
+
+def stored_files(spark, sf):
+    """Inventory and contents of files in a store."""
+    path = _exported(spark, sf)
+    method = F.regexp_extract("name", "method_id=([0-9]+)", 1).alias("method_id")
+    listed = file_source.inventory(spark, path, "*.txt").select(method, "size", "name", "content_type")
+    bodies = file_source.read_bytes(spark, path, "*.txt").select(
+        F.col("path").alias("name"), F.md5("content").alias("content_md5"))
+    return listed.join(bodies, "name").select("method_id", long(F.col("size")).alias("size"), "content_type", "content_md5")
+
+
+def dimension_guard(spark, sf):
+    """Vectors of toxic documents are cut short, and found."""
+    toxic = t.toxic_ids(spark, sf).withColumn("short", F.lit(True))
+    mixed = t.vec(spark, sf).join(toxic, "id", "left").withColumn(
+        "embedding", F.when(F.col("short"), F.slice("embedding", 1, 3)).otherwise(F.col("embedding")))
+    return mutations.wrong_dimension(mixed.drop("short"), 64).select("id", "namespace")
+
+
+def everything_deleted(spark, sf):
+    vectors = t.vec(spark, sf)
+    left = mutations.delete_all_namespaces(vectors).groupBy("namespace").agg(F.count(F.lit(1)).alias("after"))
+    before = vectors.groupBy("namespace").agg(F.count(F.lit(1)).alias("before"))
+    return before.join(left, "namespace", "left").select("namespace", "before", F.coalesce("after", F.lit(0)).cast("bigint").alias("after"))
+
+
+def knn_self(spark, sf):
+    """Every vector against all vectors."""
+    vectors = t.vec(spark, sf)
+    found = search.knn_join(vectors, vectors.select(F.col("id").alias("query_id"), "embedding"), 5)
+    return found.select("query_id", "id", F.round("score", 6).alias("score"), long(F.col("rank")).alias("rank"))
+
+
+def method_stream(spark, sf):
+    """Messages read as a stream, one per source with the ids of its methods, and once
+    more for some: the second message finds its methods in the table."""
+    queue, tables, mark = (_place(spark, n) for n in ("queue", "methods", "mark"))
+    methods = t.methods(spark, sf)
+    asked = methods.groupBy(F.col("method_name").alias("message")).agg(
+        F.array_join(F.collect_list("method_id"), ",").alias("value"))
+    log = jobs.method_tables(spark, tables)
+    records = table_source.method_records(methods)
+    for turn in (asked, asked.where("message in ('src1', 'src2')")):
+        turn.write.mode("append").partitionBy("message").text(queue)
+        stream = message_source.message_stream(spark, f"{queue}/*")
+        jobs.start_method_job(stream, log, records, mark, True, run_time=F.to_timestamp(F.lit(RUN_TIME)),
+                              dim=DIM).awaitTermination()
+    current = log.current("methods").select(
+        "method_id", "uuid", F.md5("description").alias("description_md5"),
+        F.col("vector_updated_at").isNotNull().alias("updated"))
+    return current.join(log.current("vectors").select(F.col("id").alias("uuid"), F.lit(True).alias("stored")), "uuid", "left")
+
+
+def file_stream(spark, sf):
+    """Files of a store, asked for by messages; their chunks are published."""
+    store, queue, tables, mark = (_place(spark, n) for n in ("store", "queue", "files", "mark"))
+    docs = t.files(spark, sf)
+    docs.select(F.col("file_id").alias("name"), F.col("text").alias("value")).write.partitionBy("name").text(store)
+    # The writer names the files: take their paths from the inventory.
+    placed = stage(file_source.inventory(spark, store, "*.txt").select(
+        F.regexp_extract("name", "name=([0-9]+)", 1).alias("file_id"),
+        F.regexp_extract("name", "(/name=[0-9]+/.*)$", 1).alias("full_path")), "placed")
+    catalogue = t.metadata_only(docs).drop("full_path").join(placed, "file_id").withColumn("extension", F.lit("txt"))
+    asked = docs.groupBy(F.col("created_by").alias("message")).agg(
+        F.array_join(F.collect_list("file_id"), ", ").alias("value"))
+    asked.write.partitionBy("message").text(queue)
+    log = jobs.file_tables(spark, tables)
+    jobs.start_file_job(message_source.message_stream(spark, f"{queue}/*"), log, stage(catalogue, "catalogue"), store, mark,
+                        True, dim=DIM).awaitTermination()
+    chunks = log.current("vectors").groupBy(F.col("metadata")["file_id"].alias("file_id")).agg(
+        F.count(F.lit(1)).alias("chunks"), long(F.sum(F.length("content"))).alias("chars"))
+    return log.current("outcomes").select("file_id", "stage").join(chunks, "file_id", "left")
+
+
 QUERIES = {f.__name__: f for f in (
+    line_splitter, letter_embedding, extracted_documents, table_overwrite, text_export, stored_files,
+    dimension_guard, everything_deleted, knn_self, method_stream, file_stream,
     namespace_search, file_inventory, csv_row_documents, json_documents, format_dispatch,
     parameterised_lookup, message_ids, method_records, delete_files, run_log_latest, insert_records,
     update_records, delete_records, mutation_chain, typed_metadata, metadata_violations, files_by_id,

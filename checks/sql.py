@@ -400,4 +400,45 @@ ORACLE = {
            FROM file_docs LEFT JOIN (SELECT key, count(*) AS n_chunks FROM chunks GROUP BY key) ON key = file_id""",
         "file_docs",
         first=chunk_views("(SELECT file_id AS key, content AS text FROM file_docs WHERE error IS NULL)")),
+    "line_splitter": """
+        SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY pos) - 1 AS chunk_no, md5(line) AS chunk_md5
+        FROM (SELECT CAST(doc_id AS VARCHAR) AS file_id, unnest(string_split(text, chr(10))) AS line,
+                     generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents) WHERE line <> ''""",
+    "letter_embedding": """
+        SELECT doc_id, CAST(length(text) - length(replace(text, 'a', '')) AS DOUBLE) AS a,
+               CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS e FROM documents""",
+    "extracted_documents": with_views(
+        """SELECT file_id, 0::BIGINT AS doc_no, md5(content) AS content_md5, error FROM file_docs
+             WHERE error IS NULL OR NOT starts_with(error, 'no extractor')
+           UNION ALL SELECT file_id, 0, md5(text), NULL FROM files WHERE extension = 'pdf'
+           UNION ALL SELECT file_id, pos - 1, md5(line), NULL FROM (
+             SELECT file_id, unnest(string_split(text, chr(10))) AS line,
+                    generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM files WHERE extension = 'docx')""",
+        "file_docs"),
+    "table_overwrite": with_views(
+        f"SELECT namespace, id, content, round(-list_sum({DOUBLES}), 5) AS total FROM vec", "vec"),
+    "text_export": """
+        SELECT CAST(doc_id AS VARCHAR) AS method_id, len(string_split(text, chr(10))) AS lines,
+               length(replace(text, chr(10), '')) AS chars FROM documents""",
+    "stored_files": """
+        SELECT CAST(doc_id AS VARCHAR) AS method_id, strlen(text) + 1 AS size, 'text/plain' AS content_type,
+               md5(text || chr(10)) AS content_md5 FROM documents""",
+    "dimension_guard": with_views(
+        "SELECT id, namespace FROM vec WHERE id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE toxic = 1)", "vec"),
+    "everything_deleted": with_views(
+        "SELECT namespace, count(*) AS before, 0::BIGINT AS after FROM vec GROUP BY namespace", "vec"),
+    "knn_self": with_views(
+        """SELECT query_id, id, score, rank FROM (
+             SELECT query_id, id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
+             FROM (SELECT a.id AS query_id, b.id, list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS score
+                   FROM vec a, vec b)) WHERE rank <= 5""", "vec"),
+    "method_stream": with_views(
+        f"""SELECT method_id, {uuid_of("method_id || CASE WHEN again THEN '|1' ELSE '|0' END")} AS uuid,
+                   md5(content) AS description_md5, again AS updated, true AS stored
+            FROM (SELECT *, method_name IN ('src1', 'src2') AS again FROM methods)""", "methods"),
+    "file_stream": with_views(
+        """SELECT file_id, CASE WHEN n_chunks IS NULL THEN 'split' END AS stage, n_chunks AS chunks, n AS chars
+           FROM files LEFT JOIN (SELECT key, count(*) AS n_chunks, CAST(sum(length(chunk)) AS BIGINT) AS n
+                                 FROM chunks GROUP BY key) ON key = file_id""", "files",
+        first=DOC_CHUNKS),
 }

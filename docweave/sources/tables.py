@@ -58,9 +58,10 @@ def append_run_log(entries: DataFrame, path: str) -> None:
     append_records(entries.withColumn("day", F.to_date("ts")), path, ["day"])
 
 
-def export_texts(methods: DataFrame, path: str, max_methods=10_000) -> None:
-    """One text folder per method, for debugging; refused for more than `max_methods`."""
+def export_texts(methods: DataFrame, path: str, max_methods=None) -> None:
+    """One text folder per method, for debugging; refused for more than `max_methods`,
+    if that is given."""
     require_text(path, "path")
-    if methods.select("method_id").distinct().limit(max_methods + 1).count() > max_methods:
+    if max_methods is not None and methods.select("method_id").distinct().limit(max_methods + 1).count() > max_methods:
         raise ValueError(f"text export is for at most {max_methods} methods")
     methods.select("method_id", F.col("content").alias("value")).write.partitionBy("method_id").text(path)
