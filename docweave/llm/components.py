@@ -16,7 +16,8 @@ def _large_star(edges):
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     tied = both.where("v > u").join(least, "u")
-    return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    # Repeated edges go with the next step.
+    return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges):

@@ -2,15 +2,17 @@
 
 1. One pass over the texts makes, for each, the number of its distinct shingles, a
    128-bit hash of its word sequence, and the minima of many universal hashes.
-2. Texts of one sequence are one class, known by its smallest doc_id. Only classes go on.
+2. Texts of one sequence are one class. Only classes go on.
 3. Classes that share the minima of a band meet in a bucket. The number of bands is set
    so that a pair at the threshold is missed with a chance of at most `miss`.
 4. A bucket is not expanded into pairs: all members meet one of them, pairs whose
    signatures agree too little are dropped (seven standard deviations off), the rest is
-   confirmed on the full sets. Confirmed links make components. In buckets that still
-   hold several components another member takes the place of the first, until the pairs
-   left between components are no more than a few per class; these are then all tested.
-   Whatever pair is left out lies within one component, so no component is torn apart.
+   confirmed on the full sets. Confirmed links make components. What is left are pairs
+   between components that share a bucket. Most are told off together, through a class
+   that each is linked with (see `_pairs_left`). If more than a few per class stay, some
+   members of a bucket's largest component, chosen by hash, meet all outside it: first 8,
+   then 64. At last all pairs left are tested. A pair left out lies within one component
+   or cannot be alike, so no component is torn apart.
 5. Components by alternating large-star and small-star.
 
 Defined cases: a text without words is linked with nothing; a text of fewer words than
@@ -23,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.llm.components import connected_components
@@ -31,9 +33,10 @@ from docweave.llm.shingles import mix, sequence_hashes, shingle_runs, slices, wo
 from docweave.session import spread_if_few, stage
 
 MISS = 1e-7
-#: Pairs left to test between components, per class in a bucket, and rounds before.
+#: Pairs left between components, per class in a bucket, from which on all are tested;
+#: members of the largest component that meet the others in the rounds before.
 LEFT_PER_CLASS = 4
-STAR_ROUNDS = 6
+STARS = (8, 64)
 
 
 def bands_for(threshold, miss=MISS):
@@ -97,7 +100,7 @@ def _signatures(k, rows, bands, seed):
 
 
 def _keyed_sets(k):
-    """d, text -> c (doc_id and sequence hashes), distinct shingle hashes."""
+    """d, text -> d, sequence hashes, distinct shingle hashes."""
     def run(batches):
         for batch in batches:
             texts = [value.as_py() for value in batch.column(1)]
@@ -111,10 +114,10 @@ def _keyed_sets(k):
                 lists += [np.unique(found[cuts[i]:cuts[i + 1]]).view(np.int64) for i in range(len(part))]
             if not texts:
                 continue
-            key = pa.StructArray.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(first).view(np.int64)),
-                 pa.array(np.concatenate(second).view(np.int64))], names=["d", "s1", "s2"])
-            yield pa.RecordBatch.from_arrays([key, pa.array(lists, pa.list_(pa.int64()))], names=["c", "shingles"])
+                 pa.array(np.concatenate(second).view(np.int64)), pa.array(lists, pa.list_(pa.int64()))],
+                names=["d", "s1", "s2", "shingles"])
     return run
 
 
@@ -145,84 +148,117 @@ def _with_component(buckets, found):
     return tied.withColumn("component", F.coalesce("component", "c"))
 
 
+def _anchors(links):
+    """For each linked class one it is linked with directly (or itself)."""
+    both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return both.groupBy(F.col("u").alias("c")).agg(F.least(F.min("v"), F.col("c")).alias("anchor"))
+
+
+def _pairs_left(buckets, links, found, far):
+    """(counts, tied): pairs to test between components per bucket and two anchors, and
+    the buckets with component and anchor of each class.
+
+    A class lies within 1 - threshold of its anchor. By the triangle inequality, which
+    Jaccard distances obey, members of two anchors can be linked only if the anchors are
+    no more than three times as far apart: `far` confirms these anchor pairs, of which
+    there are few, however large the groups.
+    """
+    tied = stage(_with_component(buckets.select("key", "c"), found).join(_anchors(links), "c", "left")
+                 .withColumn("anchor", F.coalesce("anchor", "c")), "minhash-tied")
+    # Only buckets that hold several components.
+    parts = tied.groupBy("key", "component", "anchor").agg(F.count("c").alias("n"))
+    mixed = parts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    parts = stage(parts.join(mixed.where("low <> high").select("key"), "key"), "minhash-parts")
+    other = parts.select("key", F.col("component").alias("other"), F.col("anchor").alias("v"), F.col("n").alias("m"))
+    met = parts.withColumnRenamed("anchor", "u").join(other, "key").where("component <> other and u < v")
+    near = stage(far.confirm(met.select("u", "v").distinct()), "minhash-near-anchors")
+    counts = stage(met.join(near, ["u", "v"]).select("key", "u", "v", (F.col("n") * F.col("m")).alias("pairs")),
+                   "minhash-counts")
+    return counts, tied
+
+
+def _all_pairs(counts, tied):
+    """Members of anchors that are near, where they share a bucket."""
+    wanted = counts.select("key", F.col("u").alias("a"), F.col("v").alias("b"))
+    left = tied.select("key", F.col("anchor").alias("a"), F.col("c").alias("u"), "component")
+    right = tied.select("key", F.col("anchor").alias("b"), F.col("c").alias("v"), F.col("component").alias("other"))
+    pairs = wanted.join(left, ["key", "a"]).join(right, ["key", "b"])
+    return pairs.where("component <> other").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
+def _star_pairs(counts, tied, stars):
+    """In buckets with pairs left: some members of the largest component by all others."""
+    open_ = counts.select("key").distinct()
+    rows = stage(tied.join(open_, "key", "left_semi").select("key", "c", "component"), "minhash-open")
+    main = rows.groupBy("key", "component").agg(F.count("c").alias("n")).groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"))
+    # Written: only joins of plain shuffles can be split where a bucket is large.
+    marked = stage(rows.join(stage(main, "minhash-main"), "key"), "minhash-marked")
+    turn = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("c", F.lit(stars)), "c"))
+    star = marked.where("component = main").withColumn("turn", turn).where(F.col("turn") <= stars)
+    star = stage(star.select("key", F.col("c").alias("p")), "minhash-stars")
+    return marked.where("component <> main").join(star, "key").select(
+        F.least("p", "c").alias("u"), F.greatest("p", "c").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc_id="doc_id", text="text",
                     miss=MISS, seed=3) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, for every row of `docs`.
 
     Texts are linked if denominator * common >= numerator * all shingles of both.
     """
-    threshold = numerator / denominator
-    rows, bands = bands_for(threshold, miss)
+    rows, bands = bands_for(numerator / denominator, miss)
     source = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text"))
     id_type = source.schema["d"].dataType.simpleString()
     made = stage(spread_if_few(source, "d").mapInArrow(
         _signatures(words, rows, bands, seed),
         f"d {id_type}, n_shingles long, s1 long, s2 long, signature array<int>, keys array<long>, none boolean"),
         "minhash-texts")
-    classes = stage(made.where("d is not null and not none").groupBy("s1", "s2").agg(F.min("d").alias("c")),
-                    "minhash-classes")
+    # A class is the texts of one word sequence. Its number is written down with it.
+    grouped = made.where("d is not null and not none").groupBy("s1", "s2").agg(F.min("d").alias("first"))
+    classes = stage(grouped.withColumn("c", F.monotonically_increasing_id()), "minhash-classes")
     # One row of each class carries what its members share.
-    heads = made.where("d is not null and not none").join(
-        classes, (made["d"] == classes["c"]) & (made["s1"] == classes["s1"]) & (made["s2"] == classes["s2"]),
-        "left_semi").dropDuplicates(["d", "s1", "s2"])
-    keyed = heads.select("d", "s1", "s2", F.explode("keys").alias("key")).select(
-        "key", F.struct(F.col("d").alias("d"), "s1", "s2").alias("c"))
-    # A class is known by its doc_id and hashes: one doc_id may have several texts.
+    head = classes.select("c", F.col("first").alias("d"), "s1", "s2")
+    heads = made.where("not none").join(head, ["d", "s1", "s2"])
+    keyed = heads.select("c", F.explode("keys").alias("key")).select("key", "c")
     held = keyed.groupBy("key").agg(F.min("c").alias("pivot"), F.max("c").alias("last")).where("pivot <> last")
     # Written: only a join of two plain shuffles can be split where a bucket is large.
     held = stage(held.select("key", "pivot"), "minhash-held")
-    buckets = stage(keyed.join(held, "key"), "minhash-buckets")
+    buckets = stage(keyed.join(held, "key").distinct(), "minhash-buckets")
     members = stage(buckets.select("c").distinct(), "minhash-members")
-    head_key = F.struct("d", "s1", "s2").alias("c")
-    signatures = stage(heads.select(head_key, "signature").join(members, "c", "left_semi").dropDuplicates(["c"]),
+    signatures = stage(heads.select("c", "signature").join(members, "c", "left_semi").dropDuplicates(["c"]),
                        "minhash-signatures")
-    needed = members.select(F.col("c.d").alias("d")).distinct()
     # Texts are read again only for classes that met another.
-    again = source.join(needed, "d", "left_semi").mapInArrow(
-        _keyed_sets(words), "c struct<d:" + id_type + ",s1:bigint,s2:bigint>, shingles array<long>")
-    sets = stage(again.join(members, "c", "left_semi").dropDuplicates(["c"]), "minhash-sets")
-    test = _Links(signatures, sets, numerator, denominator,
-                  least_agreement(threshold, rows * bands))
-    links = stage(test.confirm(buckets.where("c <> pivot").select(
+    needed = stage(head.join(members, "c", "left_semi"), "minhash-needed")
+    again = source.join(needed.select("d").distinct(), "d", "left_semi").mapInArrow(
+        _keyed_sets(words), f"d {id_type}, s1 long, s2 long, shingles array<long>")
+    sets = stage(again.join(needed, ["d", "s1", "s2"]).dropDuplicates(["c"]).select("c", "shingles"), "minhash-sets")
+
+    def test(num):
+        return _Links(signatures, sets, num, denominator, least_agreement(num / denominator, rows * bands))
+
+    alike, far = test(numerator), test(max(0, denominator - 3 * (denominator - numerator)))
+    links = stage(alike.confirm(buckets.where("c <> pivot").select(
         F.col("pivot").alias("u"), F.col("c").alias("v")).distinct()), "minhash-links")
     found = connected_components(links)
-    for turn in range(STAR_ROUNDS + 1):
-        tied = stage(_with_component(buckets, found), "minhash-tied")
-        parts = tied.groupBy("key", "component").agg(F.count("c").alias("n"))
-        open_ = stage(parts.groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("n").alias("parts"))
-            .where("parts > 1").select("key", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")),
-            "minhash-open")
-        left = open_.agg(F.sum("pairs")).first()[0] or 0
+    for stars in (*STARS, None):
+        counts, tied = _pairs_left(buckets, links, found, far)
+        left = counts.agg(F.sum("pairs")).first()[0] or 0
         if not left:
             break
-        unsettled = tied.join(open_.select("key"), "key", "left_semi").select("key", "c", "component")
-        last = left <= LEFT_PER_CLASS * max(members.count(), 1) or turn == STAR_ROUNDS
-        if last:
-            other = unsettled.select("key", F.col("c").alias("v"), F.col("component").alias("other"))
-            pairs = unsettled.withColumnRenamed("c", "u").join(other, "key").where("u < v and component <> other")
-        else:
-            # Another member of each open bucket meets those outside its component.
-            star = unsettled.groupBy("key").agg(F.min_by(
-                F.struct(F.col("c"), F.col("component")), F.xxhash64("c", F.lit(turn))).alias("p"))
-            pairs = unsettled.join(star, "key").where("component <> p.component").select(
-                F.least(F.col("p.c"), F.col("c")).alias("u"), F.greatest(F.col("p.c"), F.col("c")).alias("v"))
-        more = stage(test.confirm(pairs.select("u", "v").distinct()), "minhash-links")
-        if more.isEmpty():
-            if last:
-                break
-            continue
-        links = links.union(more)
-        found = connected_components(links)
+        last = left <= LEFT_PER_CLASS * members.count() or stars is None
+        pairs = _all_pairs(counts, tied) if last else _star_pairs(counts, tied, stars)
+        more = stage(alike.confirm(pairs.distinct()), "minhash-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            found = connected_components(links)
         if last:
             break
-    # The smallest doc_id of a component is the smallest of its classes.
-    nodes = found.select(F.col("node.d").alias("n_d"), F.col("node.s1").alias("s1"), F.col("node.s2").alias("s2"),
-                         F.col("component.d").alias("root"))
-    resolved = classes.join(nodes, (classes["c"] == nodes["n_d"]) & (classes["s1"] == nodes["s1"])
-                            & (classes["s2"] == nodes["s2"]), "left").select(
-        classes["s1"].alias("t1"), classes["s2"].alias("t2"), F.coalesce("root", "c").alias("root"))
-    resolved = stage(resolved, "minhash-resolved")
+    # A component is known by the smallest doc_id of its classes.
+    numbered = _with_component(classes, found)
+    roots = numbered.groupBy("component").agg(F.min("first").alias("root"))
+    resolved = stage(numbered.join(roots, "component").select(
+        F.col("s1").alias("t1"), F.col("s2").alias("t2"), "root"), "minhash-resolved")
     out = made.select("d", "n_shingles", "s1", "s2", "none").join(
         resolved, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
     component = F.when(F.col("none") | F.col("d").isNull(), F.col("d")).otherwise(F.col("root"))
