@@ -31,11 +31,11 @@ from docweave.llm.arrow import map_column
 from docweave.session import spread_if_few
 
 #: Characters of new words laid out at once; words and pairs remembered between blocks.
-BLOCK_CHARS = 2_000_000
-KNOWN_WORDS = 200_000
-KNOWN_PAIRS = 150_000
+BLOCK_CHARS = 4_000_000
+KNOWN_WORDS = 250_000
+KNOWN_PAIRS = 250_000
 #: From so many places on, a merge is applied to all of them together.
-MANY = 48
+MANY = 32
 
 
 def read_ranks(path):
@@ -75,15 +75,13 @@ class Replay:
         self.pair_rank[a << 32 | b] = rank
         return rank
 
-    def _ranks(self, lefts, rights):
-        """Ranks of many pairs, of which one side is the same throughout."""
-        keys, back = np.unique(lefts << 32 | rights, return_inverse=True)
-        known, rank_of = self.pair_rank.get, self._rank
-        out = [-1 if key < 0 else known(key) for key in keys.tolist()]
-        for at, rank in enumerate(out):
-            if rank is None:
-                out[at] = rank_of(int(keys[at]) >> 32, int(keys[at]) & 0xFFFFFFFF)
-        return np.array(out, dtype=np.int64)[back]
+    def _ranks(self, keys):
+        """Ranks of pairs given as left << 32 | right; negative keys are no pairs."""
+        known, out = self.pair_rank.get, []
+        for key in keys.tolist():
+            rank = -1 if key < 0 else known(key)
+            out.append(self._rank(key >> 32, key & 0xFFFFFFFF) if rank is None else rank)
+        return np.array(out, dtype=np.int64)
 
     def _merge_many(self, state, rank, here):
         """Applies one merge at many places together: the new pairs as (rank, places).
@@ -92,40 +90,45 @@ class Replay:
         then order matters and they are taken one by one.
         """
         token, follow, before, pair_at, _ = state.whole
-        at = np.unique(np.array(here, dtype=np.int64))
-        at = at[pair_at[at] == rank]
+        at = np.array(here, dtype=np.int64)
+        at.sort()
+        good = pair_at[at] == rank
+        good[1:] &= at[1:] != at[:-1]
+        at = at[good]
         if not len(at):
             return []
         second = follow[at]
         if (at[1:] == second[:-1]).any():
             return None
         third, none = follow[second], len(token) - 1
-        same = np.full(len(at), rank)
         # token[none] is -1, which makes a negative key: no pair.
-        next_before = self._ranks(same, token[third])
-        old = token[at]
+        old, beside = token[at], token[third]
         token[at] = rank
-        next_after = self._ranks(same, token[third])
+        after = token[third]
+        right = self._ranks(rank << 32 | after)
+        changed = after != beside
+        lowest = self._ranks(rank << 32 | beside[changed]) if changed.any() else right
         held = before[third]
         before[third] = at
         first = before[at]
-        left = self._ranks(np.where(first == none, -1, token[first]), same)
-        found = np.concatenate([next_before, next_after, left])
-        if ((found >= 0) & (found < rank)).any():
-            before[third] = held
-            token[at] = old
-            return None
+        left = self._ranks(np.where(first == none, -1, token[first] << 32 | rank))
+        for found in (right, left, lowest):
+            if ((found >= 0) & (found < rank)).any():
+                before[third] = held
+                token[at] = old
+                return None
         follow[at] = third
         pair_at[second] = -1
-        pair_at[at] = next_after
+        pair_at[at] = right
         pair_at[first] = left
         pair_at[none] = -1
-        ranks, places = np.concatenate([next_after, left]), np.concatenate([at, first])
-        ranks, places = ranks[ranks >= 0], places[ranks >= 0]
+        ranks, places = np.concatenate([right, left]), np.concatenate([at, first])
+        some = ranks >= 0
+        ranks, places = ranks[some], places[some]
         order = np.argsort(ranks, kind="stable")
-        found, cuts = np.unique(ranks[order], return_index=True)
-        places, cuts = places[order].tolist(), [*cuts.tolist(), len(order)]
-        return [(new, places[cuts[i]:cuts[i + 1]]) for i, new in enumerate(found.tolist())]
+        ranks, places = ranks[order], places[order].tolist()
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(places)]
+        return [(int(ranks[i]), places[i:j]) for i, j in zip(cuts, cuts[1:], strict=False) if i < j]
 
     def encode(self, words):
         """Ids of each word, given as bytes. A word that is a token is that token."""
