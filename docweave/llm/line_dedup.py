@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.columns import BLANKS, ascii_lower, free_name, let
+from docweave.session import stage
 
 
 def line_key(line):
@@ -58,7 +59,10 @@ def dedup_lines(docs: DataFrame, doc_id="doc_id", text="text", min_chars=10, min
     """`docs` with the shared lines taken out of `text`, and two counts: lines before
     dropping, lines dropped."""
     hashes = line_hashes(docs, doc_id, text, min_chars)
-    lost = (hashes.join(shared_lines(hashes, min_docs), ["h1", "h2"]).where("d > first")
+    # Written: only a join of two plain shuffles can be split where a line is frequent,
+    # and a small table can be sent to the tasks instead.
+    shared = stage(shared_lines(hashes, min_docs), "shared-lines")
+    lost = (hashes.join(shared, ["h1", "h2"]).where("d > first")
             # A document holds a position once, and repeated rows hold the same ones.
             .groupBy("d", "t").agg(F.collect_set("pos").alias("gone")))
     names = docs.columns
