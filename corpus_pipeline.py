@@ -58,8 +58,9 @@ def token_stage(spark, docs, sf_dir):
 
     from docweave.llm.bpe import token_digests
 
+    # The executors still hold the memory that the stages before have taken.
     made = token_digests(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                         public_tokenizers.PATTERN)
+                         public_tokenizers.PATTERN, known_words=80_000, block_chars=1_000_000)
     return made.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

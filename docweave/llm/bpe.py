@@ -30,10 +30,9 @@ from pyspark.sql import types as T
 from docweave.llm.arrow import map_column
 from docweave.session import spread_if_few
 
-#: Characters of new words laid out at once; words and pairs remembered between blocks.
+#: Characters of texts taken at once; pieces (and as many pairs) remembered between blocks.
 BLOCK_CHARS = 4_000_000
 KNOWN_WORDS = 250_000
-KNOWN_PAIRS = 250_000
 #: From so many places on, a merge is applied to all of them together.
 MANY = 32
 
@@ -56,8 +55,8 @@ class State:
 class Replay:
     """Encodes many words at once with one set of ranks."""
 
-    def __init__(self, ranks):
-        self.ranks = ranks
+    def __init__(self, ranks, known_pairs=KNOWN_WORDS):
+        self.ranks, self.known_pairs = ranks, known_pairs
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = np.full((256, 256), -1, dtype=np.int64)
@@ -70,7 +69,7 @@ class Replay:
     def _rank(self, a, b):
         """Rank of the token that a and b make, or -1; remembered."""
         rank = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        if len(self.pair_rank) > KNOWN_PAIRS:
+        if len(self.pair_rank) > self.known_pairs:
             self.pair_rank.clear()
         self.pair_rank[a << 32 | b] = rank
         return rank
@@ -260,7 +259,7 @@ class Coder:
     def __init__(self, ranks, pattern, known_words=KNOWN_WORDS, block_chars=BLOCK_CHARS):
         import regex
 
-        self.replay = Replay(ranks)
+        self.replay = Replay(ranks, known_words)
         self.cut = regex.compile(pattern).findall
         self.known_words, self.block_chars = known_words, block_chars
         self.kind = "H" if max(ranks.values()) < 1 << 16 else "I"
@@ -328,13 +327,13 @@ class Coder:
                    hashlib.sha256(self.decode(ids)).hexdigest())
 
 
-def _digests(ranks_file, pattern, position, width):
+def _digests(ranks_file, pattern, limits, position, width):
     """Map function: Arrow batches with three result columns added."""
     def run(batches):
         # No reference cycles arise here, and looking for them among the remembered
         # pieces would take longer than the work.
         gc.disable()
-        coder = Coder(dict(ranks_file.value), pattern)
+        coder = Coder(dict(ranks_file.value), pattern, *limits)
         for batch in batches:
             found = list(coder.digests(value.as_py() for value in batch.column(position)))
             n_tokens, ids_sha, bytes_sha = zip(*found, strict=True) if found else ((), (), ())
@@ -385,11 +384,12 @@ def decode(docs: DataFrame, path, ids="ids", out="decoded") -> DataFrame:
     return map_column(docs, made, lambda at, n: _decoded(ranks, at, n), ids)
 
 
-def token_digests(docs: DataFrame, path, pattern, text="text", key="doc_id") -> DataFrame:
+def token_digests(docs: DataFrame, path, pattern, text="text", key="doc_id", known_words=KNOWN_WORDS,
+                  block_chars=BLOCK_CHARS) -> DataFrame:
     """`docs` with n_tokens, ids_sha256 (of the decimal ids, joined by commas) and
     decoded_sha256 (of the bytes decoded from the ids): both passes in one task, as ids
-    need not leave it."""
+    need not leave it. The last two bound a task's memory, not the result."""
     ranks = _shared_ranks(docs, path)
     made = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                          T.StructField("decoded_sha256", T.StringType())])
-    return map_column(spread_if_few(docs, key), made, lambda at, n: _digests(ranks, pattern, at, n), text)
+    return map_column(spread_if_few(docs, key), made, lambda at, n: _digests(ranks, pattern, (known_words, block_chars), at, n), text)
