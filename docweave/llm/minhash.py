@@ -8,11 +8,11 @@
 4. A bucket is not expanded into pairs: all members meet one of them, pairs whose
    signatures agree too little are dropped (seven standard deviations off), the rest is
    confirmed on the full sets. Confirmed links make components. What is left are pairs
-   between components that share a bucket. Most are told off together, through a class
-   that each is linked with (see `_pairs_left`). If more than a few per class stay, some
-   members of a bucket's largest component, chosen by hash, meet all outside it: first 8,
-   then 64. At last all pairs left are tested. A pair left out lies within one component
-   or cannot be alike, so no component is torn apart.
+   between components that share a bucket. If they are many, some members of a bucket's
+   largest component, chosen by hash, meet all outside it: first 8, then 64. At last all
+   pairs left are tested, but for those told off together, through a class that each is
+   linked with (see `_all_pairs`). A pair left out lies within one component or cannot
+   be alike, so no component is torn apart.
 5. Components by alternating large-star and small-star.
 
 Defined cases: a text without words is linked with nothing; a text of fewer words than
@@ -35,7 +35,7 @@ from docweave.session import spread_if_few, stage
 MISS = 1e-7
 #: Pairs left between components, per class in a bucket, from which on all are tested;
 #: members of the largest component that meet the others in the rounds before.
-LEFT_PER_CLASS = 4
+LEFT_PER_CLASS = 0.5
 STARS = (8, 64)
 
 
@@ -89,7 +89,8 @@ def _signatures(k, rows, bands, seed):
             grouped = top.reshape(len(texts), bands, rows).astype(np.uint64)
             keys = mix((grouped * places).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64))
             offsets = pa.array(np.arange(len(texts) + 1) * n, pa.int32())
-            signature = pa.ListArray.from_arrays(offsets, pa.array(top.view(np.int32).ravel()))
+            # Sixteen bits of each minimum: unlike ones agree by chance once in 65,536.
+            signature = pa.ListArray.from_arrays(offsets, pa.array(top.astype(np.uint16).view(np.int16).ravel()))
             key_offsets = pa.array(np.arange(len(texts) + 1) * bands, pa.int32())
             key_lists = pa.ListArray.from_arrays(key_offsets, pa.array(keys.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
@@ -154,46 +155,20 @@ def _anchors(links):
     return both.groupBy(F.col("u").alias("c")).agg(F.least(F.min("v"), F.col("c")).alias("anchor"))
 
 
-def _pairs_left(buckets, links, found, far):
-    """(counts, tied): pairs to test between components per bucket and two anchors, and
-    the buckets with component and anchor of each class.
-
-    A class lies within 1 - threshold of its anchor. By the triangle inequality, which
-    Jaccard distances obey, members of two anchors can be linked only if the anchors are
-    no more than three times as far apart: `far` confirms these anchor pairs, of which
-    there are few, however large the groups.
-    """
-    tied = stage(_with_component(buckets.select("key", "c"), found).join(_anchors(links), "c", "left")
-                 .withColumn("anchor", F.coalesce("anchor", "c")), "minhash-tied")
-    # Only buckets that hold several components.
-    parts = tied.groupBy("key", "component", "anchor").agg(F.count("c").alias("n"))
-    mixed = parts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    parts = stage(parts.join(mixed.where("low <> high").select("key"), "key"), "minhash-parts")
-    other = parts.select("key", F.col("component").alias("other"), F.col("anchor").alias("v"), F.col("n").alias("m"))
-    met = parts.withColumnRenamed("anchor", "u").join(other, "key").where("component <> other and u < v")
-    near = stage(far.confirm(met.select("u", "v").distinct()), "minhash-near-anchors")
-    counts = stage(met.join(near, ["u", "v"]).select("key", "u", "v", (F.col("n") * F.col("m")).alias("pairs")),
-                   "minhash-counts")
-    return counts, tied
-
-
-def _all_pairs(counts, tied):
-    """Members of anchors that are near, where they share a bucket."""
-    wanted = counts.select("key", F.col("u").alias("a"), F.col("v").alias("b"))
-    left = tied.select("key", F.col("anchor").alias("a"), F.col("c").alias("u"), "component")
-    right = tied.select("key", F.col("anchor").alias("b"), F.col("c").alias("v"), F.col("component").alias("other"))
-    pairs = wanted.join(left, ["key", "a"]).join(right, ["key", "b"])
-    return pairs.where("component <> other").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+def _open_buckets(tied):
+    """Buckets that hold several components: key, pairs between these, main component."""
+    parts = tied.groupBy("key", "component").agg(F.count("c").alias("n"))
+    sums = parts.groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("n").alias("parts"),
+        F.max_by("component", F.struct("n", "component")).alias("main"))
+    return stage(sums.where("parts > 1").select(
+        "key", "main", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")), "minhash-open")
 
 
-def _star_pairs(counts, tied, stars):
-    """In buckets with pairs left: some members of the largest component by all others."""
-    open_ = counts.select("key").distinct()
-    rows = stage(tied.join(open_, "key", "left_semi").select("key", "c", "component"), "minhash-open")
-    main = rows.groupBy("key", "component").agg(F.count("c").alias("n")).groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"))
-    # Written: only joins of plain shuffles can be split where a bucket is large.
-    marked = stage(rows.join(stage(main, "minhash-main"), "key"), "minhash-marked")
+def _star_pairs(tied, open_, stars):
+    """In open buckets: some members of the main component by all outside it."""
+    # `open_` is written: only joins of plain shuffles can be split where a bucket is large.
+    marked = stage(tied.join(open_.select("key", "main"), "key"), "minhash-marked")
     turn = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("c", F.lit(stars)), "c"))
     star = marked.where("component = main").withColumn("turn", turn).where(F.col("turn") <= stars)
     star = stage(star.select("key", F.col("c").alias("p")), "minhash-stars")
@@ -201,6 +176,27 @@ def _star_pairs(counts, tied, stars):
         F.least("p", "c").alias("u"), F.greatest("p", "c").alias("v"))
 
 
+def _all_pairs(tied, open_, links, far):
+    """What must still be tested between components.
+
+    A class lies within 1 - threshold of its anchor. By the triangle inequality, which
+    Jaccard distances obey, members of two anchors can be linked only if the anchors are
+    no more than three times as far apart: `far` confirms these anchor pairs. Their
+    members are then paired once, whatever number of buckets they share.
+    """
+    rows = stage(tied.join(open_.select("key"), "key", "left_semi").join(_anchors(links), "c", "left").select(
+        "key", "c", "component", F.coalesce("anchor", "c").alias("anchor")), "minhash-anchored")
+    parts = stage(rows.select("key", "component", "anchor").distinct(), "minhash-parts")
+    other = parts.select("key", F.col("component").alias("other"), F.col("anchor").alias("v"))
+    met = parts.withColumnRenamed("anchor", "u").join(other, "key").where("u < v and component <> other")
+    near = stage(far.confirm(met.select("u", "v").distinct()), "minhash-near-anchors")
+    members = stage(rows.select("c", "component", "anchor").distinct(), "minhash-of-anchors")
+    left = members.select(F.col("anchor").alias("a"), F.col("c").alias("u"), "component")
+    right = members.select(F.col("anchor").alias("b"), F.col("c").alias("v"), F.col("component").alias("other"))
+    pairs = near.select(F.col("u").alias("a"), F.col("v").alias("b")).join(left, "a").join(right, "b")
+    return pairs.where("component <> other").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc_id="doc_id", text="text",
                     miss=MISS, seed=3) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, for every row of `docs`.
@@ -212,7 +208,7 @@ def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc
     id_type = source.schema["d"].dataType.simpleString()
     made = stage(spread_if_few(source, "d").mapInArrow(
         _signatures(words, rows, bands, seed),
-        f"d {id_type}, n_shingles long, s1 long, s2 long, signature array<int>, keys array<long>, none boolean"),
+        f"d {id_type}, n_shingles long, s1 long, s2 long, signature array<smallint>, keys array<long>, none boolean"),
         "minhash-texts")
     # A class is the texts of one word sequence. Its number is written down with it.
     grouped = made.where("d is not null and not none").groupBy("s1", "s2").agg(F.min("d").alias("first"))
@@ -242,12 +238,13 @@ def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc
         F.col("pivot").alias("u"), F.col("c").alias("v")).distinct()), "minhash-links")
     found = connected_components(links)
     for stars in (*STARS, None):
-        counts, tied = _pairs_left(buckets, links, found, far)
-        left = counts.agg(F.sum("pairs")).first()[0] or 0
+        tied = stage(_with_component(buckets.select("key", "c"), found), "minhash-tied")
+        open_ = _open_buckets(tied)
+        left = open_.agg(F.sum("pairs")).first()[0] or 0
         if not left:
             break
         last = left <= LEFT_PER_CLASS * members.count() or stars is None
-        pairs = _all_pairs(counts, tied) if last else _star_pairs(counts, tied, stars)
+        pairs = _all_pairs(tied, open_, links, far) if last else _star_pairs(tied, open_, stars)
         more = stage(alike.confirm(pairs.distinct()), "minhash-links")
         if not more.isEmpty():
             links = links.union(more)
