@@ -12,9 +12,11 @@ The budget is measured, not guessed: for a bounded sample of queries the true ne
 are found by a scan, and the share of rows that finds `recall` of them is the budget.
 
 Leaves are dealt out in buckets of bounded size; a leaf larger than that is split, and
-its queries visit all its parts. A bucket keeps, for each of its queries, the candidates
-that reach the query's k-th best there, ties included; the final score is summed in
-fixed order in double precision on the original components.
+its queries visit all its parts. The rows of a bucket come first and are held, then its
+queries pass by in slices, so that a task holds one bucket and one slice, however many
+queries there are. A bucket gives, for each of its queries, its best there, equal scores
+in the order of the ids; the final score is summed in fixed order in double precision on
+the original components.
 
 Equal vectors are one class with its k + 1 smallest ids, which is all that a list of k
 can hold: a group of copies, however large, is one entry of the index.
@@ -41,6 +43,12 @@ SAMPLE = 32_768
 TEST_QUERIES = 48
 RECALL = 0.97
 BUCKET_ROWS = 12_288
+#: Queries that meet a bucket at once, visits written at once, scores held at once, and
+#: lists of a bucket and query that are merged at once.
+SLICE = 2_048
+VISITS = 8_192
+CELLS = 1 << 21
+MERGED = 16_384
 
 
 def usable(rows, vector):
@@ -187,6 +195,16 @@ def _visits(shared):
                 continue
             shadows = forest.query_shadows(vectors)
             which, buckets, lists = [], [], []
+
+            def written(batch=batch):
+                take = pa.array(which, pa.int32())
+                made = pa.RecordBatch.from_arrays(
+                    [pa.array(buckets, pa.int64()), batch.column(0).take(take), batch.column(1).take(take),
+                     pa.array(lists, pa.list_(pa.int64()))], names=["bucket", "q", "vector", "leaves"])
+                for part in (which, buckets, lists):
+                    part.clear()
+                return made
+
             for i in range(len(vectors)):
                 leaves = np.array(forest.walk(shadows[i], sizes, budget), dtype=np.int64)
                 many = layout.parts[leaves]
@@ -197,10 +215,10 @@ def _visits(shared):
                 lists += np.split(each[order], cuts[1:])
                 buckets += found.tolist()
                 which += [i] * len(found)
-            take = pa.array(which, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets, pa.int64()), batch.column(0).take(take), batch.column(1).take(take),
-                 pa.array(lists, pa.list_(pa.int64()))], names=["bucket", "q", "vector", "leaves"])
+                if len(which) >= VISITS:
+                    yield written()
+            if which:
+                yield written()
     return run
 
 
@@ -209,52 +227,97 @@ def _exact(queries, vectors):
     return (queries * vectors).sum(axis=1)
 
 
-def _search_bucket(keep):
-    def run(index, asked):
-        empty = pa.table({"q": pa.array([], pa.int64()), "found": pa.array([], pa.list_(pa.int64())),
-                          "least": pa.array([], pa.list_(pa.int64())), "scores": pa.array([], pa.list_(pa.float64()))})
-        if not index.num_rows or not asked.num_rows:
-            return empty
-        vectors, queries = _matrix(index.column("vector")), _matrix(asked.column("vector"))
-        ids, least = index.column("c").to_numpy(), index.column("least").to_numpy()
+class _Bucket:
+    """The rows of one bucket, leaf by leaf."""
+
+    def __init__(self, parts):
+        index = pa.Table.from_batches(parts)
         leaf_of = index.column("leaf").to_numpy()
-        order = np.argsort(leaf_of, kind="stable")
-        leaves, starts = np.unique(leaf_of[order], return_index=True)
-        ends = np.append(starts[1:], len(order))
-        lists = asked.column("leaves").combine_chunks()
+        self.order = np.argsort(leaf_of, kind="stable")
+        self.leaves, self.starts = np.unique(leaf_of[self.order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(self.order))
+        self.vectors = _matrix(index.column("vector"))
+        self.ids, self.least = index.column("id").to_numpy(), index.column("least").to_numpy()
+
+    def best(self, asked, keep):
+        """The best `keep` of each query of a slice."""
+        queries = _matrix(asked.column("vector"))
+        lists = asked.column("leaves")
         asked_leaf = lists.flatten().to_numpy()
         asked_by = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
         by_leaf = np.argsort(asked_leaf, kind="stable")
         asked_leaf, asked_by = asked_leaf[by_leaf], asked_by[by_leaf]
         best = np.full((len(queries), keep), -np.inf)
-        found = []
-        for leaf, start, end in zip(leaves, starts, ends, strict=True):
+        settled = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+        found, waiting = [], 0
+        for leaf, start, end in zip(self.leaves, self.starts, self.ends, strict=True):
             lo, hi = np.searchsorted(asked_leaf, [leaf, leaf + 1])
-            here = order[start:end]
-            for at in range(lo, hi, 4096):
-                own = asked_by[at:min(at + 4096, hi)]
-                if not len(own):
-                    continue
-                scores = queries[own] @ vectors[here].T
+            here = self.order[start:end]
+            step = max(1, CELLS // len(here))
+            for at in range(lo, hi, step):
+                own = asked_by[at:min(at + step, hi)]
+                scores = queries[own] @ self.vectors[here].T
                 top = np.concatenate([best[own], scores], axis=1)
                 best[own] = np.partition(top, top.shape[1] - keep, axis=1)[:, -keep:]
                 row, col = np.nonzero(scores >= _below(best[own].min(axis=1))[:, None])
                 found.append((own[row], here[col], scores[row, col]))
+                waiting += len(row)
+                if waiting > CELLS:
+                    settled, found, waiting = self._settled(settled, found, queries, best, keep), [], 0
+        q, v, exact = self._settled(settled, found, queries, best, keep)
+        rows, cuts = np.unique(q, return_index=True)
+        offsets = pa.array(np.append(cuts, len(q)), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [asked.column("id").take(pa.array(rows)), pa.ListArray.from_arrays(offsets, pa.array(self.ids[v])),
+             pa.ListArray.from_arrays(offsets, pa.array(self.least[v])),
+             pa.ListArray.from_arrays(offsets, pa.array(exact))], names=["q", "found", "least", "scores"])
+
+    def _settled(self, settled, found, queries, best, keep):
+        """Candidates told apart by their exact scores, in the order of `_merge`."""
         if not found:
-            return empty
+            return settled
         q, v, s = (np.concatenate([f[i] for f in found]) for i in range(3))
         good = s >= _below(best.min(axis=1))[q]
         q, v = q[good], v[good]
-        exact = _exact(queries[q], vectors[v])
-        order = np.lexsort((least[v], -exact, q))
+        step = max(1, CELLS // queries.shape[1])
+        exact = [_exact(queries[q[at:at + step]], self.vectors[v[at:at + step]]) for at in range(0, len(q), step)]
+        q, v, exact = (np.concatenate(both) for both in zip(settled, (q, v, np.concatenate([np.zeros(0), *exact])),
+                                                            strict=True))
+        order = np.lexsort((self.ids[v], self.least[v], -exact, q))
         q, v, exact = q[order], v[order], exact[order]
-        rows, cuts = np.unique(q, return_index=True)
-        offsets = pa.array(np.append(cuts, len(q)), pa.int32())
-        return pa.table({
-            "q": asked.column("q").combine_chunks().take(pa.array(rows)),
-            "found": pa.ListArray.from_arrays(offsets, pa.array(ids[v])),
-            "least": pa.ListArray.from_arrays(offsets, pa.array(least[v])),
-            "scores": pa.ListArray.from_arrays(offsets, pa.array(exact))})
+        good = _places(q) < keep
+        return q[good], v[good], exact[good]
+
+
+def _places(groups):
+    """Place of each row within its run of equal numbers."""
+    _, starts, counts = np.unique(groups, return_index=True, return_counts=True)
+    return np.arange(len(groups)) - np.repeat(starts, counts)
+
+
+def _search_buckets(keep):
+    """Rows in order of bucket, those of the index before those that ask."""
+    def run(batches):
+        number, held, bucket = None, [], None
+        for batch in batches:
+            numbers = batch.column("bucket").to_numpy()
+            asked = batch.column("asked").to_numpy(zero_copy_only=False)
+            cuts = (np.flatnonzero((numbers[1:] != numbers[:-1]) | (asked[1:] != asked[:-1])) + 1).tolist()
+            for start, end in zip([0, *cuts], [*cuts, len(numbers)], strict=True):
+                if start == end:
+                    continue
+                part = batch.slice(start, end - start)
+                if numbers[start] != number:
+                    number, held, bucket = numbers[start], [], None
+                if not asked[start]:
+                    held.append(part)
+                    continue
+                if held:
+                    bucket, held = _Bucket(held), []
+                # A part of a leaf may be empty.
+                if bucket is not None:
+                    for at in range(0, part.num_rows, SLICE):
+                        yield bucket.best(part.slice(at, SLICE), keep)
     return run
 
 
@@ -278,9 +341,7 @@ def _merge(keep):
         fresh = np.ones(len(q), dtype=bool)
         fresh[1:] = (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])
         q, ids, scores = q[fresh], ids[fresh], scores[fresh]
-        queries, starts = np.unique(q, return_index=True)
-        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
-        good = place < keep
+        good = _places(q) < keep
         return pa.table({"q": q[good], "c": ids[good], "score": scores[good]})
     return run
 
@@ -370,9 +431,17 @@ def search(rows: DataFrame, queries: DataFrame, k=20, row_id="vec_id", vector="e
         _index_rows(plan), f"bucket long, leaf long, c long, vector {element}, least long")
     visits = query_rows.repartition(2 * context.defaultParallelism, "c").mapInArrow(
         _visits(plan), f"bucket long, q long, vector {element}, leaves array<long>")
-    found = index.groupBy("bucket").cogroup(visits.groupBy("bucket")).applyInArrow(
-        _search_bucket(k + 1), "q long, found array<long>, least array<long>, scores array<double>")
-    shares = max(1, min(layout.count, 1 << 16))
+    none_of = {"leaf": "bigint", "least": "bigint", "leaves": "array<bigint>"}
+    index = index.withColumnRenamed("c", "id").withColumns({
+        "asked": F.lit(False), "leaves": F.lit(None).cast(none_of["leaves"])})
+    visits = visits.withColumnRenamed("q", "id").withColumns({
+        "asked": F.lit(True), **{n: F.lit(None).cast(none_of[n]) for n in ("leaf", "least")}})
+    met = index.unionByName(visits).repartition("bucket").sortWithinPartitions("bucket", "asked")
+    found = met.mapInArrow(
+        _search_buckets(k + 1), "q long, found array<long>, least array<long>, scores array<double>")
+    # A query has at most one list of each bucket.
+    n_queries = query_rows.count()
+    shares = max(1, min(n_queries, -(-n_queries * layout.count // MERGED)))
     best = stage(found.withColumn("share", F.pmod(F.xxhash64("q"), F.lit(shares))).groupBy("share").applyInArrow(
         _merge(k + 1), "q long, c long, score double"), "ann-best")
     # The list of a class: the ids of the classes found, by score and id.

@@ -1,8 +1,10 @@
 """Classifiers and the vector search: held-out accuracy, recall, odd rows."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from docweave.llm import ann_forest, quality_cotrain, toxicity
@@ -151,6 +153,52 @@ def test_small_tables_copies_and_ties_are_exact(spark):
     assert got == exact(rows, asked, 20)
 
 
+def test_a_bucket_meets_its_queries_in_slices(monkeypatch):
+    """Queries of one bucket beyond any number pass by in slices, with all their results."""
+    index, asked = np.round(vectors(300, 4, 7) * 2), np.round(vectors(900, 4, 8) * 2)
+    lists, leaves = pa.list_(pa.float32()), pa.list_(pa.int64())
+
+    def batch(rows, first, asks):
+        n = len(rows)
+        return pa.RecordBatch.from_pydict({
+            "bucket": pa.array([5] * n, pa.int64()), "asked": pa.array([asks] * n),
+            "id": pa.array(range(first, first + n), pa.int64()), "vector": pa.array(list(rows), lists),
+            "leaf": pa.array([None if asks else i % 3 for i in range(n)], pa.int64()),
+            "least": pa.array([None if asks else 1000 - i for i in range(first, first + n)], pa.int64()),
+            "leaves": pa.array([[0, 1, 2] if asks else None] * n, leaves)})
+
+    held, scored = [], []
+    slices, exact_rows = ann_forest._Bucket.best, ann_forest._exact
+    monkeypatch.setattr(ann_forest, "SLICE", 64)
+    monkeypatch.setattr(ann_forest, "CELLS", 1000)
+    monkeypatch.setattr(ann_forest._Bucket, "best", lambda own, part, keep: held.append(part.num_rows) or slices(own, part, keep))
+    monkeypatch.setattr(ann_forest, "_exact", lambda q, v: scored.append(q.size) or exact_rows(q, v))
+    made = list(ann_forest._search_buckets(5)([batch(index[:200], 0, False), batch(index[200:], 200, False),
+                                               batch(asked[:500], 0, True), batch(asked[500:], 500, True)]))
+    assert sum(held) == 900 and max(held) <= 64 and max(scored) <= 1000
+    got = {q: (i, s) for b in made for q, i, s in zip(*(b.column(n).to_pylist() for n in ("q", "found", "scores")))}
+    scores = asked.astype(np.float64) @ index.astype(np.float64).T
+    for q in range(900):
+        best = sorted(range(300), key=lambda i: (-scores[q, i], 1000 - i))[:5]
+        assert got[q] == (best, [scores[q, i] for i in best])
+
+
+def test_visits_are_written_in_parts(monkeypatch):
+    monkeypatch.setattr(ann_forest, "VISITS", 50)
+    rows = vectors(400, 4, 9).astype(np.float64)
+    forest = ann_forest.Forest(rows, np.linalg.norm(rows, axis=1).max(), 2, 3, 1)
+    sizes = np.bincount(forest.leaves(rows).ravel(), minlength=16)
+    layout = ann_forest._Layout(sizes, 60, 2)
+    shared = SimpleNamespace(value=(forest, layout, sizes, 500))
+    batch = pa.RecordBatch.from_pydict({"c": pa.array(range(400), pa.int64()), "vector": pa.array(list(rows))})
+    parts = list(ann_forest._visits(shared)([batch]))
+    assert max(p.num_rows for p in parts) < 50 + layout.count
+    visits = [v for p in parts for v in zip(p.column("q").to_pylist(), p.column("leaves").to_pylist())]
+    seen = {q: sorted({x for i, leaves in visits if i == q for x in leaves}) for q in range(0, 400, 40)}
+    shadows = forest.query_shadows(rows)
+    assert seen == {q: sorted(forest.walk(shadows[q], sizes, 500)) for q in seen}
+
+
 def test_vectors_that_take_no_part(spark):
     good = [(i, v) for i, v in enumerate(vectors(12, 4, 5))]
     bad = [(100, None), (110, [0, 0, 0, 0]), (120, [1, None, 0, 0]), (130, [float("nan"), 1, 1, 1]),
