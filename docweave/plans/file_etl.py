@@ -12,7 +12,7 @@ from docweave.operators.chunking import chunks_of
 from docweave.operators.embedding import DIMENSION, embedder
 from docweave.schemas import DEFAULT_NAMESPACE, FILE_METADATA
 from docweave.session import spread, stage
-from docweave.sources.files import attach_bytes, file_documents, load_documents
+from docweave.sources.files import attach_bytes, file_documents, load_documents, stored_documents
 
 # How a category names the place its vectors go to.
 TARGETS = {"namespace": namespace_of, "collection": collection_of}
@@ -72,8 +72,9 @@ def run_file_etl(files: DataFrame, root: str, extractors=None, invalid=None, **o
     """`process_files` on files stored under `root`. `invalid` are records (with
     `violations`, see `quality.split_by_validity`) that only become failure rows."""
     kept, again = one_row_per_path(files.select(*FILE_METADATA.names))
-    located = attach_bytes(kept, root)
-    documents = file_documents(located.select(*FILE_METADATA.names, "body"), extractors)
+    located = attach_bytes(kept, root, csv_apart=True)
+    documents = stored_documents(
+        located.select(*FILE_METADATA.names, "location", "body_bytes", "body"), extractors)
     documents = documents.unionByName(rejected_documents(again, F.lit(REPEATED_PATH)))
     if invalid is not None:
         broken = F.concat(F.lit("broken rules: "), F.concat_ws(", ", "violations"))
@@ -88,7 +89,7 @@ def load_vectors(spark: SparkSession, where, namespace=None, extractors=None, gl
     known = {"file_id": F.col("metadata")["source"], "full_path": F.col("metadata")["source"],
              "category": F.lit(namespace)}
     columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FILE_METADATA.fields]
-    rows = documents.select(*columns, F.col("metadata")["row"].cast("int").alias("doc_no"), "content", "error")
+    rows = documents.select(*columns, F.col("metadata")["row"].cast("bigint").alias("doc_no"), "content", "error")
     return process_documents(rows, place=F.col("category"), **options)
 
 

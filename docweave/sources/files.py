@@ -4,6 +4,8 @@ import csv
 import io
 import json
 import re
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,6 +37,11 @@ UNKNOWN_TYPE = "application/octet-stream"
 
 # One row holds one file: Spark's own limit for a binary value.
 MAX_FILE_BYTES = 2**31 - 1024
+# Larger CSV files of a store are read line by line, whatever their size, rather than
+# inside one row.
+CSV_ROW_BYTES = 16 * 1024 * 1024
+# Names that do not end in .csv, as a pattern of the file reader.
+NOT_CSV = "{[vV],[sS][vV],[cC][sS][vV],*[^vV],*[^sS][vV],*[^cC][sS][vV],*[^.][cC][sS][vV]}"
 # Paths handed to the reader one by one; more are read by folder and joined.
 MAX_LISTED_PATHS = 1_000
 # Up to this many file splits (a path and two numbers each) are broadcast.
@@ -67,16 +74,28 @@ def inventory(spark: SparkSession, root: str, glob=None) -> DataFrame:
         content_type(extension("path")).alias("content_type"))
 
 
-def read_bytes(spark: SparkSession, where, glob=None) -> DataFrame:
+def read_bytes(spark: SparkSession, where, glob=None, csv_apart=False) -> DataFrame:
     """path, length and content of the files under a folder, or of a list of paths.
 
-    Files above Spark's limit for one value keep their row, with null content.
+    Files above Spark's limit for one value keep their row, with null content; with
+    `csv_apart` also the CSV files that `large_csv_documents` reads.
     """
     files = _binary(spark, glob).load(where)
-    small = files.where(F.col("length") <= MAX_FILE_BYTES).select("path", "length", "content")
-    large = files.where(F.col("length") > MAX_FILE_BYTES).select(
-        "path", "length", F.lit(None).cast("binary").alias("content"))
-    return small.unionByName(large)
+    length, apart = F.col("length"), F.col("length") > MAX_FILE_BYTES
+    if csv_apart:
+        apart = apart | _is_large_csv("path", "length")
+        # The reader itself passes by the CSV files: it tells lengths and names off only.
+        others = files if glob else _binary(spark, NOT_CSV).load(where)
+        small = files.where((length <= MAX_FILE_BYTES) & (length <= CSV_ROW_BYTES)).unionByName(
+            others.where((length <= MAX_FILE_BYTES) & (length > CSV_ROW_BYTES) & ~apart))
+    else:
+        small = files.where(length <= MAX_FILE_BYTES)
+    large = files.where(apart).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    return small.select("path", "length", "content").unionByName(large)
+
+
+def _is_large_csv(path, size):
+    return (extension(path) == "csv") & (F.col(size) > CSV_ROW_BYTES)
 
 
 def _escaped(path):
@@ -89,9 +108,9 @@ def _plain_path(path):
     return F.regexp_replace(path, "^file:/+", "/")
 
 
-def attach_bytes(files: DataFrame, root: str) -> DataFrame:
+def attach_bytes(files: DataFrame, root: str, csv_apart=False) -> DataFrame:
     """Adds `location`, `body_bytes` and `body` (null when the file is missing, empty
-    or too large for one row).
+    or too large for one row; see `read_bytes` for `csv_apart`).
 
     `full_path` is taken relative to `root`. A short list of files is read path by
     path, with the list broadcast to the scan so that file contents are never
@@ -114,7 +133,7 @@ def attach_bytes(files: DataFrame, root: str) -> DataFrame:
     if not source:
         return located.select("*", F.lit(None).cast("bigint").alias("body_bytes"),
                               F.lit(None).cast("binary").alias("body"))
-    found = read_bytes(spark, source).select(
+    found = read_bytes(spark, source, csv_apart=csv_apart).select(
         _plain_path(F.col("path")).alias("location"), F.col("length").alias("body_bytes"),
         F.col("content").alias("body"))
     if short and located.limit(MAX_ROWS_PER_LIST + 1).count() <= MAX_ROWS_PER_LIST:
@@ -241,16 +260,106 @@ def compact_json(text):
     return compacted.asNondeterministic()(text)
 
 
-def _csv_texts(body):
-    """CSV bytes -> one text per row, as `column: value` lines."""
+def _csv_rows(lines):
+    """Lines of a CSV file -> one text per row, as `column: value` lines."""
     def shown(value):
         if isinstance(value, list):
             return ",".join(v.strip() for v in value)
         return value.strip() if isinstance(value, str) else value
 
     csv.field_size_limit(MAX_FILE_BYTES)
-    rows = csv.DictReader(io.StringIO(body.decode("utf-8"), newline=""))
-    return ["\n".join(f"{shown(k)}: {shown(v)}" for k, v in row.items()) for row in rows]
+    for row in csv.DictReader(lines):
+        yield "\n".join(f"{shown(k)}: {shown(v)}" for k, v in row.items())
+
+
+def _csv_texts(body):
+    return list(_csv_rows(io.StringIO(body.decode("utf-8"), newline="")))
+
+
+def _failure(failure):
+    return f"{type(failure).__name__}: {failure}"
+
+
+def _decoded(lines, marked):
+    """Bytes between line feeds -> lines as a text file gives them."""
+    for n, line in enumerate(lines):
+        text = line.decode("utf-8") + "\n"
+        yield from io.StringIO("\ufeff" + text if marked and n == 0 else text, newline="")
+
+
+def _parsed_lines(marked, rows=1_000, chars=4_000_000):
+    """path, line in the order of the files -> path, doc_no, content, error; only the
+    rows that are written next are held. A file that fails gives its error last."""
+    def run(batches):
+        made, size = [], 0
+        lines = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+
+        def written():
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*made), (pa.string(), pa.int64(), pa.string(), pa.string()))],
+                names=["path", "doc_no", "content", "error"])
+            made.clear()
+            return batch
+
+        for path, own in groupby(lines, key=itemgetter(0)):
+            n = 0
+            try:
+                for text in _csv_rows(_decoded(map(itemgetter(1), own), path in marked)):
+                    made.append((path, n, text, None))
+                    n, size = n + 1, size + len(text)
+                    if len(made) >= rows or size >= chars:
+                        yield written()
+                        size = 0
+                if not n:
+                    made.append((path, 0, None, "no documents"))
+            except (csv.Error, UnicodeError) as failure:
+                made.append((path, 0, None, _failure(failure)))
+        if made:
+            yield written()
+    return run
+
+
+def _marked(spark, paths):
+    """The paths of files with a byte order mark, which Spark's line reader drops."""
+    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    out = set()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            if all(stream.read() == byte for byte in b"\xef\xbb\xbf"):
+                out.add(path)
+        finally:
+            stream.close()
+    return out
+
+
+def large_csv_documents(files: DataFrame) -> DataFrame | None:
+    """Documents of the CSV files among `files` (see `attach_bytes`) above
+    `CSV_ROW_BYTES`: the file's columns, doc_no, content, error. None if there are none.
+
+    Spark reads the lines, so any store it opens will do; each file passes as a stream,
+    in order, through the parser of the small ones. Its rows may be of any number: what
+    lies between two line feeds must fit one value (2 GB). Only paths come to the driver.
+    """
+    spark = files.sparkSession
+    kept = [c for c in files.columns if c not in ("body", "body_bytes", "location")]
+    large = stage(files.where(_is_large_csv("location", "body_bytes")).select(*kept, F.col("location").alias("_path")),
+                  "large-csv")
+    paths = [r[0] for r in large.select("_path").distinct().collect()]
+    if not paths:
+        return None
+    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text([_escaped(p) for p in paths])
+    lines = lines.select(
+        _plain_path(_source()).alias("path"), F.col("value").cast("binary").alias("line"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    ordered = lines.repartition("path").sortWithinPartitions("path", "_block", "_id").select("path", "line")
+    parsed = stage(ordered.mapInArrow(
+        _parsed_lines(_marked(spark, paths)), "path string, doc_no long, content string, error string"), "large-csv-rows")
+    # As with small files, one that fails midway gives its error and nothing else.
+    failed = parsed.where("error is not null")
+    whole = parsed.join(failed.select("path"), "path", "left_anti").unionByName(failed)
+    return large.join(whole, large["_path"] == whole["path"]).select(*kept, "doc_no", "content", "error")
 
 
 def _parsed_bodies(extractors):
@@ -269,7 +378,7 @@ def _parsed_bodies(extractors):
             try:
                 out.append([{"text": text, "error": None} for text in readers[kind.as_py()](body)])
             except Exception as failure:  # noqa: BLE001 - becomes a failure row
-                out.append([{"text": None, "error": f"{type(failure).__name__}: {failure}"}])
+                out.append([{"text": None, "error": _failure(failure)}])
         return pa.array(out, pa.list_(pa.struct([("text", pa.string()), ("error", pa.string())])))
 
     # Keeps Catalyst from copying the call into a filter and running it twice.
@@ -314,7 +423,20 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
 def load_documents(spark: SparkSession, where, extractors=None, glob=None) -> DataFrame:
     """Documents of all files under a folder, or of a list of paths, by extension:
     content, metadata with `source` and `row`, and error."""
-    files = read_bytes(spark, where, glob).select(F.col("path").alias("full_path"), F.col("content").alias("body"))
-    return file_documents(files, extractors).select(
+    files = read_bytes(spark, where, glob, csv_apart=True).select(
+        F.col("path").alias("full_path"), _plain_path(F.col("path")).alias("location"),
+        F.col("length").alias("body_bytes"), F.col("content").alias("body"))
+    return stored_documents(files, extractors).select(
         "content", F.create_map(F.lit("source"), F.col("full_path"), F.lit("row"), F.col("doc_no").cast("string"))
         .alias("metadata"), "error")
+
+
+def stored_documents(located: DataFrame, extractors=None) -> DataFrame:
+    """`file_documents` of files with `location`, `body_bytes` and `body`, read with
+    `csv_apart`: large CSV files are streamed."""
+    kept = [c for c in located.columns if c not in ("location", "body_bytes")]
+    large = large_csv_documents(located)
+    if large is None:
+        return file_documents(located.select(*kept), extractors)
+    usual = located.where(~F.coalesce(_is_large_csv("location", "body_bytes"), F.lit(False)))
+    return file_documents(usual.select(*kept), extractors).unionByName(large)

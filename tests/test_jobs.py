@@ -6,6 +6,7 @@ from docweave.plans.changelog import ChangeLog
 from docweave.plans.file_etl import load_vectors, process_files, replaced_chunks, run_file_etl
 from docweave.plans.method_sync import sync_methods
 from docweave.schemas import FILE_METADATA, METHOD_METADATA
+from docweave.sources import files as source
 from docweave.sources.messages import message_stream
 from docweave.sources.tables import method_records
 from docweave.streaming.jobs import (
@@ -207,6 +208,39 @@ def test_csv_files_of_a_store(spark, tmp_path):
     assert [r[-1] for r in rows(done.outcomes)] == [None, None, None, "no documents"]
 
 
+def test_csv_files_above_every_limit_are_streamed(spark, tmp_path, monkeypatch):
+    lines = "".join(f'{i},"say ""{i}""\r\nor {i}",é\n' for i in range(300)) + "7\r8,x,y,z\n\n9,\r"
+    bodies = {"a 1.csv": "id, text\n" + lines, "b+2.csv": "\ufeffkey,note\r\n" + lines, "c.CSV": "h,\xff\n" * 60,
+              "d.csv": "only,a,header," + "x" * 200 + "\n"}
+    for name, body in bodies.items():
+        put(tmp_path, "in/" + name, body.encode("latin-1" if name == "c.CSV" else "utf-8"))
+    put(tmp_path, "in/e.csv", "h\nsmall\n")
+    put(tmp_path, "in/f.txt", "word " * 30)
+    put(tmp_path, "in/g.txt", "word " * 100)
+    data = file_table(spark, *bodies, "e.csv", "f.txt", "g.txt")
+
+    def found(done):
+        return rows(done.vectors.drop("embedding").withColumn("metadata", F.to_json("metadata")))
+
+    small = run_file_etl(data, str(tmp_path), dim=4)
+    want, outcomes = found(small), {r.file_id: r for r in small.outcomes.collect()}
+    monkeypatch.setattr(source, "CSV_ROW_BYTES", 100, raising=False)
+    monkeypatch.setattr(source, "MAX_FILE_BYTES", 200)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    try:
+        done = run_file_etl(data, str(tmp_path), dim=4)
+        got, now = found(done), {r.file_id: r for r in done.outcomes.collect()}
+        loaded = load_vectors(spark, str(tmp_path / "in"), dim=4)
+        assert loaded.vectors.count() == len(got)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # Only the text above the limit for one row is left out.
+    assert got == [r for r in want if '"file_id":"f6"' not in str(r)] and len(got) > 600
+    assert now.pop("f6").error == "file not found, empty or too large" and outcomes.pop("f6").error is None
+    assert now.pop("f2").error.startswith("UnicodeDecodeError") and outcomes.pop("f2").error.startswith("UnicodeDecodeError")
+    assert now == outcomes and now["f3"].error == "no documents"
+
+
 def test_namespaces_paths_and_stored_chunks(spark, tmp_path):
     put(tmp_path, "in/a.txt", "word " * 500)
     put(tmp_path, "in/b.csv", "h\n" + "long text " * 150 + "\nshort\n")
