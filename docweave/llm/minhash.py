@@ -203,6 +203,12 @@ def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc
 
     Texts are linked if denominator * common >= numerator * all shingles of both.
     """
+    judged = _judged(docs, words, numerator, denominator, doc_id, text, miss, seed)
+    return judged.select(F.col("d").alias(doc_id), "n_shingles", "component_id", "kept")
+
+
+def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", miss=MISS, seed=3):
+    """d, n_shingles, s1, s2, component_id and kept: rows of equal d, s1 and s2 share the rest."""
     rows, bands = bands_for(numerator / denominator, miss)
     source = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text"))
     id_type = source.schema["d"].dataType.simpleString()
@@ -259,13 +265,40 @@ def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc
     out = made.select("d", "n_shingles", "s1", "s2", "none").join(
         resolved, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
     component = F.when(F.col("none") | F.col("d").isNull(), F.col("d")).otherwise(F.col("root"))
-    return out.select(F.col("d").alias(doc_id), "n_shingles", component.alias("component_id"),
+    return out.select("d", "n_shingles", "s1", "s2", component.alias("component_id"),
                       F.coalesce(F.col("d") == component, F.lit(True)).alias("kept"))
 
 
+def _text_hashes(batches):
+    """d, text -> d, text, sequence hashes."""
+    for batch in batches:
+        texts = [value.as_py() for value in batch.column(1)]
+        for start, part in slices(texts):
+            one, two = sequence_hashes(*word_hashes(part))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(start, len(part)), pa.array(part, pa.string()), pa.array(one.view(np.int64)),
+                 pa.array(two.view(np.int64))], names=["d", "text", "s1", "s2"])
+
+
 def drop_near_duplicates(docs: DataFrame, words=5, numerator=80, denominator=100, doc_id="doc_id", text="text",
                          **more) -> DataFrame:
-    """`docs` with one document of each group: rows of the ids that are not kept go."""
-    judged = near_duplicates(docs, words, numerator, denominator, doc_id, text, **more)
-    gone = stage(judged.where("not kept").select(F.col(doc_id).alias("gone_id")).distinct(), "minhash-gone")
-    return docs.join(gone, docs[doc_id] == gone["gone_id"], "left_anti")
+    """`docs` with one document of each group: the rows that are not kept go.
+
+    Most ids go or stay as a whole. Of an id with several texts, of which only some are
+    kept, the rows with the texts of the others go.
+    """
+    judged = _judged(docs, words, numerator, denominator, doc_id, text, **more).where("d is not null")
+    facts = judged.groupBy("d").agg(F.count_if("kept").alias("stay"), F.count_if(~F.col("kept")).alias("go"))
+    gone = stage(facts.where("go > 0").select(F.col("d").alias("gone_id"), (F.col("stay") > 0).alias("partly")),
+                 "minhash-gone")
+    left = docs.join(gone.where("not partly"), docs[doc_id] == gone["gone_id"], "left_anti")
+    partly = gone.where("partly").select(F.col("gone_id").alias("d"))
+    if partly.isEmpty():
+        return left
+    classes = judged.where("not kept").join(partly, "d", "left_semi").select("d", "s1", "s2").distinct()
+    source = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text"))
+    schema = f"d {source.schema['d'].dataType.simpleString()}, text string, s1 long, s2 long"
+    texts = source.join(partly, "d", "left_semi").distinct().mapInArrow(_text_hashes, schema)
+    texts = stage(texts.join(classes, ["d", "s1", "s2"], "left_semi").select(
+        F.col("d").alias("gone_id"), F.col("text").alias("gone_text")), "minhash-gone-texts")
+    return left.join(texts, (docs[doc_id] == texts["gone_id"]) & (docs[text] == texts["gone_text"]), "left_anti")

@@ -122,6 +122,15 @@ def test_near_duplicates_of_odd_rows(spark, empty):
     assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 1, 1, 3, 4, 5, 5]
 
 
+def test_an_id_with_several_texts_loses_only_the_near_copies(spark):
+    shared, own = "a b c d e f g h", "one two three four five six"
+    docs = spark.createDataFrame(
+        [(1, shared, 0), (2, shared.upper(), 1), (2, own, 2), (2, own, 3), (3, own, 4), (4, shared, 5), (2, None, 6),
+         (None, shared, 7), (2, "  " + shared, 8)], "doc_id long, text string, row int")
+    # Id 2 is the root of the group of `own`: it stays though a copy of id 1 goes.
+    assert sorted(r["row"] for r in drop_near_duplicates(docs).collect()) == [0, 2, 3, 6, 7]
+
+
 def plain_targets(sizes, weights, total, epochs):
     target, open_ = {}, {s for s in sizes if weights.get(s, 0) > 0}
     while open_:
