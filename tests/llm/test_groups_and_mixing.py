@@ -185,3 +185,18 @@ def test_mix_of_odd_tables(spark, empty):
         "doc_id", "text", "lang", "source", "n_chars", "mix_hash", "size", "source_size", "target", "repeats"]
     same = spark.createDataFrame([(1, "a b", "src0")] * 4, "doc_id long, text string, source string")
     assert {r["repeats"] for r in mix(same, weights, 2.0, 2).collect()} == {2}
+
+
+def test_mix_cuts_within_rows_of_one_id(spark):
+    """Rows without an id, or of one id, with other texts or equal ones: the target is met."""
+    rows = [(None, " ".join([f"w{i}"] * (1 + i % 3)), "a") for i in range(300)] + [(i, "x y", "a") for i in range(50)]
+    rows += [(None, "same text", "b")] * 200 + [(7, "one more text", None)] * 90 + [(8, "lone", None)]
+    weights = [("a", 1.0), ("b", 1.0), (None, 1.0)]
+    for share, ranges in ((0.5, 1024), (0.3, 3), (1.2, 1)):
+        _, out = mixed_rows(spark, rows, weights, share, 2, ranges=ranges)
+        got = out.collect()
+        assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), t) for i, t, _ in rows)
+        for source in ("a", "b", None):
+            own = [r for r in got if r["source"] == source]
+            assert abs(sum(r["size"] * r["repeats"] for r in own) - own[0]["target"]) <= 1.5
+            assert len({r["repeats"] for r in own}) <= 2
