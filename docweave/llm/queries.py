@@ -1,4 +1,4 @@
-"""The queries op1_* to op10_*: each operator over its whole table."""
+"""The queries op1_* to op13_*: each operator over its whole table."""
 
 from pyspark.sql import functions as F
 
@@ -114,6 +114,67 @@ def op10_unigram_count(spark, sf_dir):
     return count_tokens(docs, read_pieces(public_tokenizers.path("piece_bpe_32k.model"))).select("doc_id", "n_tokens")
 
 
+def with_repeats(docs, doc_id="doc_id", text="text"):
+    """The texts of operator 11: in one of ten documents, by a hash of the id, the words
+    from some place on go over and over the first of them."""
+    from docweave.llm.columns import let
+
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeat(w):
+        n = F.size(w)
+
+        def from_place(a):
+            p = 1 + F.floor((n - a) / (3 + g % 8))
+            return let(p, lambda p: F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(
+                w, (F.when(i < a, i).otherwise(a + (i - a) % p) + 1).cast("int"))), " "))
+
+        return F.when(n > 0, let((g % n).cast("int"), from_place)).otherwise(F.lit(""))
+
+    return docs.withColumn(text, F.when(h % 10 == 0, let(words, repeat)).otherwise(F.col(text)))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    from docweave.llm.periodic_runs import collapse_runs
+
+    found = collapse_runs(with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", "n_runs", best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.when(F.col("n_runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_lexical_search(spark, sf_dir):
+    from docweave.llm.lexical_search import search
+
+    return search(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                  table(spark, sf_dir, "benchmark").select("item_id", "text")).select("item_id", "rank", "doc_id", "score")
+
+
+def op13_personal_data(spark, sf_dir):
+    from docweave.llm import pii
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = pii.mark(docs, pii.fit(docs))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return marked.select("doc_id", *[count(kind) for kind in pii.KINDS],
+                         F.sha2(listed("base_spans"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ann_forest, op2_toxicity, op3_quality_cotraining, op4_url_filter, op5_line_dedup, op6_byte_bpe,
-    op7_minhash_near_dedup, op8_mixing, op9_quality_rules, op10_unigram_count)}
+    op7_minhash_near_dedup, op8_mixing, op9_quality_rules, op10_unigram_count,
+    op11_periodic_runs, op12_lexical_search, op13_personal_data)}

@@ -102,4 +102,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM found
 """
 
-ORACLE = {"op4_url_filter": OP4, "op5_line_dedup": OP5, "op8_mixing": OP8, "op9_quality_rules": OP9}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = rf"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*)::BIGINT AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS all_terms FROM lengths),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS term FROM benchmark)
+  GROUP BY ALL),
+held AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM words SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, totals GROUP BY term, n_docs),
+scored AS (
+  SELECT item_id, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // all_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY ALL HAVING score > 0),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE = {"op4_url_filter": OP4, "op5_line_dedup": OP5, "op8_mixing": OP8, "op9_quality_rules": OP9,
+          "op12_lexical_search": OP12}
