@@ -5,14 +5,18 @@
 2. Texts of one sequence are one class. Only classes go on.
 3. Classes that share the minima of a band meet in a bucket. The number of bands is set
    so that a pair at the threshold is missed with a chance of at most `miss`.
-4. A bucket is not expanded into pairs: all members meet one of them, pairs whose
-   signatures agree too little are dropped (seven standard deviations off), the rest is
-   confirmed on the full sets. Confirmed links make components. What is left are pairs
-   between components that share a bucket. If they are many, some members of a bucket's
-   largest component, chosen by hash, meet all outside it: first 8, then 64. At last all
-   pairs left are tested, but for those told off together, through a class that each is
-   linked with (see `_all_pairs`). A pair left out lies within one component or cannot
-   be alike, so no component is torn apart.
+4. A bucket is not expanded into pairs. Every member meets the bucket's pivot (first the
+   smallest pivot of all its buckets, then those that are not in its component yet): pairs
+   whose signatures agree too little are dropped (seven standard deviations off), the
+   rest is confirmed on the full sets. Confirmed links make components. A pair that is not
+   tested then lies in a bucket of three or more classes that holds several components.
+   If such buckets have few pairs, all are tested; else their members are paired by
+   prefixes: two sets that are alike enough
+   share one of their rarest shingles, |A| - ceil(t * |A|) + 1 of each (any one order of
+   shingles will do; rare is what few of these sets hold). The shingles of a common
+   passage are frequent and in no prefix, so unlike texts that share it do not meet.
+   Sizes and the places of the shared shingle tell more pairs off. No pair that is alike
+   is lost here.
 5. Components by alternating large-star and small-star.
 
 Defined cases: a text without words is linked with nothing; a text of fewer words than
@@ -25,7 +29,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.components import connected_components
@@ -33,10 +37,10 @@ from docweave.llm.shingles import mix, sequence_hashes, shingle_runs, slices, wo
 from docweave.session import spread_if_few, stage
 
 MISS = 1e-7
-#: Pairs left between components, per class in a bucket, from which on all are tested;
-#: members of the largest component that meet the others in the rounds before.
+#: Pairs in open buckets, per class in a bucket, up to which all of them are tested.
 LEFT_PER_CLASS = 0.5
-STARS = (8, 64)
+#: Bits of a shingle that say by which counter its frequency is known.
+COUNTER_BITS = 17
 
 
 def bands_for(threshold, miss=MISS):
@@ -89,8 +93,9 @@ def _signatures(k, rows, bands, seed):
             grouped = top.reshape(len(texts), bands, rows).astype(np.uint64)
             keys = mix((grouped * places).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64))
             offsets = pa.array(np.arange(len(texts) + 1) * n, pa.int32())
-            # Sixteen bits of each minimum: unlike ones agree by chance once in 65,536.
-            signature = pa.ListArray.from_arrays(offsets, pa.array(top.astype(np.uint16).view(np.int16).ravel()))
+            # Eight bits of each minimum: unlike ones agree by chance once in 256, which
+            # drops no pair.
+            signature = pa.ListArray.from_arrays(offsets, pa.array(top.astype(np.uint8).view(np.int8).ravel()))
             key_offsets = pa.array(np.arange(len(texts) + 1) * bands, pa.int32())
             key_lists = pa.ListArray.from_arrays(key_offsets, pa.array(keys.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
@@ -149,52 +154,66 @@ def _with_component(buckets, found):
     return tied.withColumn("component", F.coalesce("component", "c"))
 
 
-def _anchors(links):
-    """For each linked class one it is linked with directly (or itself)."""
-    both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.groupBy(F.col("u").alias("c")).agg(F.least(F.min("v"), F.col("c")).alias("anchor"))
+def _apart(buckets, found):
+    """Pairs (pivot, c) of a bucket that lie in different components."""
+    pairs = buckets.where("c <> pivot").select("pivot", "c").distinct()
+    if found is None:
+        return pairs
+    other = found.select(F.col("node").alias("pivot"), F.col("component").alias("at_pivot"))
+    tied = _with_component(pairs, found).join(other, "pivot", "left")
+    return tied.where(F.col("component") != F.coalesce("at_pivot", "pivot")).select("pivot", "c")
 
 
-def _open_buckets(tied):
-    """Buckets that hold several components: key, pairs between these, main component."""
-    parts = tied.groupBy("key", "component").agg(F.count("c").alias("n"))
-    sums = parts.groupBy("key").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("n").alias("parts"),
-        F.max_by("component", F.struct("n", "component")).alias("main"))
-    return stage(sums.where("parts > 1").select(
-        "key", "main", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")), "minhash-open")
-
-
-def _star_pairs(tied, open_, stars):
-    """In open buckets: some members of the main component by all outside it."""
-    # `open_` is written: only joins of plain shuffles can be split where a bucket is large.
-    marked = stage(tied.join(open_.select("key", "main"), "key"), "minhash-marked")
-    turn = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("c", F.lit(stars)), "c"))
-    star = marked.where("component = main").withColumn("turn", turn).where(F.col("turn") <= stars)
-    star = stage(star.select("key", F.col("c").alias("p")), "minhash-stars")
-    return marked.where("component <> main").join(star, "key").select(
-        F.least("p", "c").alias("u"), F.greatest("p", "c").alias("v"))
-
+def _rarest(counters, numerator, denominator):
+    """c, component, shingles -> the rarest shingles of each set, with their places."""
+    def run(batches):
+        often = counters.value
+        shift = np.uint64(64 - COUNTER_BITS)
+        for batch in batches:
+            parts, places, sizes = [], [], []
+            for row in batch.column(2):
+                held = row.values.to_numpy().view(np.uint64)
+                n = len(held) - (numerator * len(held) + denominator - 1) // denominator + 1
+                parts.append(held[np.lexsort((held, often[(held >> shift).astype(np.int64)]))[:n]])
+                places.append(np.arange(len(parts[-1])))
+                sizes.append(len(held))
+            counts = [len(part) for part in parts]
+            if not sum(counts):
+                continue
+            of = np.repeat(np.arange(len(counts)), counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(parts).view(np.int64)), batch.column(0).take(pa.array(of)),
+                 batch.column(1).take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.array(sizes)[of])],
+                names=["shingle", "c", "component", "place", "size"])
+    return run
 
-def _all_pairs(tied, open_, links, far):
-    """What must still be tested between components.
 
-    A class lies within 1 - threshold of its anchor. By the triangle inequality, which
-    Jaccard distances obey, members of two anchors can be linked only if the anchors are
-    no more than three times as far apart: `far` confirms these anchor pairs. Their
-    members are then paired once, whatever number of buckets they share.
-    """
-    rows = stage(tied.join(open_.select("key"), "key", "left_semi").join(_anchors(links), "c", "left").select(
-        "key", "c", "component", F.coalesce("anchor", "c").alias("anchor")), "minhash-anchored")
-    parts = stage(rows.select("key", "component", "anchor").distinct(), "minhash-parts")
-    other = parts.select("key", F.col("component").alias("other"), F.col("anchor").alias("v"))
-    met = parts.withColumnRenamed("anchor", "u").join(other, "key").where("u < v and component <> other")
-    near = stage(far.confirm(met.select("u", "v").distinct()), "minhash-near-anchors")
-    members = stage(rows.select("c", "component", "anchor").distinct(), "minhash-of-anchors")
-    left = members.select(F.col("anchor").alias("a"), F.col("c").alias("u"), "component")
-    right = members.select(F.col("anchor").alias("b"), F.col("c").alias("v"), F.col("component").alias("other"))
-    pairs = near.select(F.col("u").alias("a"), F.col("v").alias("b")).join(left, "a").join(right, "b")
-    return pairs.where("component <> other").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+def _prefix_pairs(sets, found, numerator, denominator):
+    """Pairs of different components that may be alike, by their rarest shingles."""
+    spark = sets.sparkSession
+    counters = F.transform("shingles", lambda s: F.shiftrightunsigned(s, 64 - COUNTER_BITS))
+    counts = sets.select(F.explode(counters).alias("at")).groupBy("at").count()
+    often = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    for row in counts.toLocalIterator():  # one row a counter
+        often[row["at"]] = row["count"]
+    counters = spark.sparkContext.broadcast(often)
+    tied = _with_component(sets, found) if found is not None else sets.withColumn("component", F.col("c"))
+    rows = stage(tied.select("c", "component", "shingles").mapInArrow(
+        _rarest(counters, numerator, denominator), "shingle long, c long, component long, place long, size long"), "minhash-prefixes")
+    # The largest component of a shingle is not paired with itself.
+    parts = rows.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    mains = parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    mains = stage(mains.where("parts > 1").select("shingle", "main"), "minhash-mains")
+    all_ = stage(rows.join(mains, "shingle"), "minhash-met")
+    some = all_.where("component <> main").select("shingle", *[F.col(x).alias(f"{x}_") for x in ("c", "component", "place", "size")])
+    # Pairs outside the main component come from either side: one is enough.
+    once = (F.col("component") == F.col("main")) | (F.col("c") < F.col("c_"))
+    sizes = F.col("size") + F.col("size_")
+    fits = F.least("size", "size_") * denominator >= F.greatest("size", "size_") * numerator
+    common = F.least("place", "place_") + F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
+    met = all_.join(some, "shingle").where((F.col("component") != F.col("component_")) & once & fits & (
+        common * (numerator + denominator) >= sizes * numerator))
+    return met.select(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc_id="doc_id", text="text",
@@ -214,7 +233,7 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
     id_type = source.schema["d"].dataType.simpleString()
     made = stage(spread_if_few(source, "d").mapInArrow(
         _signatures(words, rows, bands, seed),
-        f"d {id_type}, n_shingles long, s1 long, s2 long, signature array<smallint>, keys array<long>, none boolean"),
+        f"d {id_type}, n_shingles long, s1 long, s2 long, signature array<tinyint>, keys array<long>, none boolean"),
         "minhash-texts")
     # A class is the texts of one word sequence. Its number is written down with it.
     grouped = made.where("d is not null and not none").groupBy("s1", "s2").agg(F.min("d").alias("first"))
@@ -223,9 +242,9 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
     head = classes.select("c", F.col("first").alias("d"), "s1", "s2")
     heads = made.where("not none").join(head, ["d", "s1", "s2"])
     keyed = heads.select("c", F.explode("keys").alias("key")).select("key", "c")
-    held = keyed.groupBy("key").agg(F.min("c").alias("pivot"), F.max("c").alias("last")).where("pivot <> last")
+    held = keyed.groupBy("key").agg(F.min("c").alias("pivot"), F.max("c").alias("last"), F.count("c").alias("n")).where("pivot <> last")
     # Written: only a join of two plain shuffles can be split where a bucket is large.
-    held = stage(held.select("key", "pivot"), "minhash-held")
+    held = stage(held.select("key", "pivot", "n"), "minhash-held")
     buckets = stage(keyed.join(held, "key").distinct(), "minhash-buckets")
     members = stage(buckets.select("c").distinct(), "minhash-members")
     signatures = stage(heads.select("c", "signature").join(members, "c", "left_semi").dropDuplicates(["c"]),
@@ -236,29 +255,31 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
         _keyed_sets(words), f"d {id_type}, s1 long, s2 long, shingles array<long>")
     sets = stage(again.join(needed, ["d", "s1", "s2"]).dropDuplicates(["c"]).select("c", "shingles"), "minhash-sets")
 
-    def test(num):
-        return _Links(signatures, sets, num, denominator, least_agreement(num / denominator, rows * bands))
-
-    alike, far = test(numerator), test(max(0, denominator - 3 * (denominator - numerator)))
-    links = stage(alike.confirm(buckets.where("c <> pivot").select(
-        F.col("pivot").alias("u"), F.col("c").alias("v")).distinct()), "minhash-links")
-    found = connected_components(links)
-    for stars in (*STARS, None):
-        tied = stage(_with_component(buckets.select("key", "c"), found), "minhash-tied")
-        open_ = _open_buckets(tied)
-        left = open_.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
-            break
-        last = left <= LEFT_PER_CLASS * members.count() or stars is None
-        pairs = _all_pairs(tied, open_, links, far) if last else _star_pairs(tied, open_, stars)
-        more = stage(alike.confirm(pairs.distinct()), "minhash-links")
+    alike = _Links(signatures, sets, numerator, denominator, least_agreement(numerator / denominator, rows * bands))
+    links = found = None
+
+    def settle(pairs):
+        nonlocal links, found
+        more = stage(alike.confirm(pairs.select(F.col("pivot").alias("u"), F.col("c").alias("v"))), "minhash-links")
         if not more.isEmpty():
-            links = links.union(more)
-            found = connected_components(links)
-        if last:
-            break
+            links = more if links is None else links.union(more)
+            found = stage(connected_components(links), "minhash-components")
+
+    settle(buckets.where("c <> pivot").groupBy("c").agg(F.min("pivot").alias("pivot")))
+    settle(_apart(buckets, found))
+    apart = stage(_apart(buckets.where("n > 2"), found), "minhash-apart")
+    if not apart.isEmpty():
+        open_ = stage(buckets.where("n > 2").join(apart, ["pivot", "c"], "left_semi").select("key", "n").distinct(), "minhash-open")
+        left = stage(buckets.join(open_.select("key"), "key", "left_semi").select("key", "c"), "minhash-left")
+        if open_.agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0] <= LEFT_PER_CLASS * members.count():
+            other = left.select("key", F.col("c").alias("pivot"))
+            settle(_apart(left.join(other, "key").where("pivot < c"), found))
+        else:
+            open_sets = stage(sets.join(left.select("c").distinct(), "c", "left_semi"), "minhash-open-sets")
+            pairs = _prefix_pairs(open_sets, found, numerator, denominator)
+            settle(pairs.select(F.col("u").alias("pivot"), F.col("v").alias("c")))
     # A component is known by the smallest doc_id of its classes.
-    numbered = _with_component(classes, found)
+    numbered = _with_component(classes, found) if found is not None else classes.withColumn("component", F.col("c"))
     roots = numbered.groupBy("component").agg(F.min("first").alias("root"))
     resolved = stage(numbered.join(roots, "component").select(
         F.col("s1").alias("t1"), F.col("s2").alias("t2"), "root"), "minhash-resolved")

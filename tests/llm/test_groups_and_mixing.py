@@ -10,6 +10,7 @@ from docweave.llm import minhash
 from docweave.llm.components import connected_components
 from docweave.llm.mixing import mix, repeat_rows
 from docweave.llm.minhash import bands_for, drop_near_duplicates, near_duplicates
+from docweave.session import stage
 from tests.llm.conftest import documents
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -85,6 +86,27 @@ def near_copies():
     return list(enumerate(texts, start=10))
 
 
+def test_unlike_texts_that_share_a_passage(spark, monkeypatch):
+    """Two thousand texts with one passage in common: few pairs are made of them."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"v{rng.randrange(5000)}" for _ in range(rng.randint(25, 40))])) for i in range(2000)]
+    rows += [(5000 + i, rows[i][1] + " end") for i in range(0, 300, 3)]
+    made = []
+    pairs = minhash._prefix_pairs
+
+    def counted(*args):
+        found = stage(pairs(*args), "test-pairs")
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(minhash, "_prefix_pairs", counted)
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r["doc_id"]: r["component_id"] for r in out}
+    assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
+    assert sum(made) < 4000
+
+
 def test_near_duplicates_match_brute_force(spark):
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
