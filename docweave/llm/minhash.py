@@ -10,13 +10,14 @@
    whose signatures agree too little are dropped (seven standard deviations off), the
    rest is confirmed on the full sets. Confirmed links make components. A pair that is not
    tested then lies in a bucket of three or more classes that holds several components.
-   If such buckets have few pairs, all are tested; else their members are paired by
-   prefixes: two sets that are alike enough
+   If such buckets have few pairs, all are tested. Else each member outside its bucket's
+   largest component meets some of that component, in a few rounds, and then the members
+   are paired by prefixes: two sets that are alike enough
    share one of their rarest shingles, |A| - ceil(t * |A|) + 1 of each (any one order of
    shingles will do; rare is what few of these sets hold). The shingles of a common
    passage are frequent and in no prefix, so unlike texts that share it do not meet.
-   Sizes and the places of the shared shingle tell more pairs off. No pair that is alike
-   is lost here.
+   Sizes tell more pairs off, and places: of the first shared shingle on, the rest of both
+   sets must suffice. No pair that is alike is lost here.
 5. Components by alternating large-star and small-star.
 
 Defined cases: a text without words is linked with nothing; a text of fewer words than
@@ -29,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.llm.components import connected_components
@@ -39,6 +40,9 @@ from docweave.session import spread_if_few, stage
 MISS = 1e-7
 #: Pairs in open buckets, per class in a bucket, up to which all of them are tested.
 LEFT_PER_CLASS = 0.5
+#: Otherwise members first meet so many of their bucket's largest component, so many times.
+STARS = 8
+STAR_ROUNDS = 1
 #: Bits of a shingle that say by which counter its frequency is known.
 COUNTER_BITS = 17
 
@@ -164,6 +168,20 @@ def _apart(buckets, found):
     return tied.where(F.col("component") != F.coalesce("at_pivot", "pivot")).select("pivot", "c")
 
 
+def _star_pairs(left, found, seed):
+    """Members of open buckets by some members of the bucket's largest component, as
+    (pivot, c). Each class meets at most STARS of a component, however many buckets they
+    share."""
+    tied = stage(_with_component(left, found), "minhash-tied")
+    parts = tied.groupBy("key", "component").agg(F.count("c").alias("n"))
+    mains = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"))
+    asked = tied.join(stage(mains.where("most > 1"), "minhash-mains"), "key").where("component <> main").select("c", "main").distinct()
+    turn = F.row_number().over(Window.partitionBy("component").orderBy(F.xxhash64("c", F.lit(seed)), "c"))
+    stars = tied.select("component", "c").distinct().withColumn("turn", turn).where(F.col("turn") <= STARS)
+    return stage(asked, "minhash-asked").join(stars.select(F.col("component").alias("main"), F.col("c").alias("pivot")), "main").select(
+        "pivot", "c").distinct()
+
+
 def _rarest(counters, numerator, denominator):
     """c, component, shingles -> the rarest shingles of each set, with their places."""
     def run(batches):
@@ -210,7 +228,8 @@ def _prefix_pairs(sets, found, numerator, denominator):
     once = (F.col("component") == F.col("main")) | (F.col("c") < F.col("c_"))
     sizes = F.col("size") + F.col("size_")
     fits = F.least("size", "size_") * denominator >= F.greatest("size", "size_") * numerator
-    common = F.least("place", "place_") + F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
+    # At their first shared shingle two sets have at most this in common.
+    common = F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
     met = all_.join(some, "shingle").where((F.col("component") != F.col("component_")) & once & fits & (
         common * (numerator + denominator) >= sizes * numerator))
     return met.select(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).distinct()
@@ -236,8 +255,11 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
         f"d {id_type}, n_shingles long, s1 long, s2 long, signature array<tinyint>, keys array<long>, none boolean"),
         "minhash-texts")
     # A class is the texts of one word sequence. Its number is written down with it.
-    grouped = made.where("d is not null and not none").groupBy("s1", "s2").agg(F.min("d").alias("first"))
-    classes = stage(grouped.withColumn("c", F.monotonically_increasing_id()), "minhash-classes")
+    # Small sets have small numbers, so that a bucket's pivot is its smallest set: of texts
+    # around one passage it is the one that all those link with that are alike at all.
+    grouped = made.where("d is not null and not none").groupBy("s1", "s2").agg(
+        F.min("d").alias("first"), F.min("n_shingles").alias("n"))
+    classes = stage(grouped.orderBy("n", "first").withColumn("c", F.monotonically_increasing_id()).drop("n"), "minhash-classes")
     # One row of each class carries what its members share.
     head = classes.select("c", F.col("first").alias("d"), "s1", "s2")
     heads = made.where("not none").join(head, ["d", "s1", "s2"])
@@ -264,6 +286,8 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
         if not more.isEmpty():
             links = more if links is None else links.union(more)
             found = stage(connected_components(links), "minhash-components")
+            return True
+        return False
 
     settle(buckets.where("c <> pivot").groupBy("c").agg(F.min("pivot").alias("pivot")))
     settle(_apart(buckets, found))
@@ -275,6 +299,9 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
             other = left.select("key", F.col("c").alias("pivot"))
             settle(_apart(left.join(other, "key").where("pivot < c"), found))
         else:
+            for turn in range(STAR_ROUNDS):
+                if found is None or not settle(_star_pairs(left, found, turn)):
+                    break
             open_sets = stage(sets.join(left.select("c").distinct(), "c", "left_semi"), "minhash-open-sets")
             pairs = _prefix_pairs(open_sets, found, numerator, denominator)
             settle(pairs.select(F.col("u").alias("pivot"), F.col("v").alias("c")))
