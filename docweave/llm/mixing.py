@@ -172,4 +172,4 @@ def _numbered(rows, source):
 def repeat_rows(mixed: DataFrame, names) -> DataFrame:
     """Each row as often as the mix takes it, with the columns `names`."""
     copies = F.explode(F.array_repeat(F.lit(1), F.col("repeats")))
-    return mixed.where("repeats > 0").select(*names, copies.alias("mix_copy")).select(*names)
+    return mixed.where("repeats > 0").select(*names, copies.alias(free_name("mix_copy", names))).select(*names)

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.columns import let
+from docweave.llm.columns import let, free_name
 
 # Fixed values.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -152,7 +152,8 @@ def apply_rules(docs: DataFrame, text="text", base=BASE, rules=RULES) -> DataFra
             "n_upper", "n_letters", "n_stop_words", "n_exclaimed")
     out_names = (*made, "base_failed", "failed", "kept")
     keep = [F.col(c) for c in names if c not in out_names]
-    return docs.select(*keep, result.alias("quality_rules__")).select(
-        *keep, *[F.col(f"quality_rules__.m.{n}").alias(n) for n in made],
-        F.col("quality_rules__.base_failed"), F.col("quality_rules__.failed"),
-        (F.size("quality_rules__.failed") == 0).alias("kept"))
+    judged = free_name("quality_rules", names)
+    return docs.select(*keep, result.alias(judged)).select(
+        *keep, *[F.col(f"{judged}.m.{n}").alias(n) for n in made],
+        F.col(f"{judged}.base_failed"), F.col(f"{judged}.failed"),
+        (F.size(f"{judged}.failed") == 0).alias("kept"))
