@@ -28,9 +28,11 @@ def toxicity_stage(spark, docs, sf_dir):
 
 def line_dedup_stage(spark, docs, sf_dir):
     """Lines that several documents share stay in the first of them only."""
+    from docweave.llm.columns import free_name
     from docweave.llm.line_dedup import dedup_lines
 
-    kept = dedup_lines(docs).select(*docs.columns)
+    lines, dropped = (free_name(name, docs.columns) for name in ("lines_before", "lines_dropped"))
+    kept = dedup_lines(docs, lines=lines, dropped=dropped).select(*docs.columns)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept
@@ -45,11 +47,16 @@ def near_dedup_stage(spark, docs, sf_dir):
 
 def mixing_stage(spark, docs, sf_dir):
     """Sources mixed by weight to half as much again as all words, none more than twice."""
+    from docweave.llm.columns import free_name
     from docweave.llm.mixing import mix, repeat_rows
     from docweave.llm.queries import source_weights
 
-    mixed = mix(docs, source_weights(docs), share=1.5, max_epochs=2)
-    return repeat_rows(mixed, docs.columns)
+    # Columns of the documents that are named like those of the mix step aside.
+    taken = [c for c in docs.columns if c.lower() in ("size", "source_size", "target", "repeats")]
+    aside = {c: free_name(f"own_{c}", docs.columns) for c in taken}
+    moved = docs.withColumnsRenamed(aside)
+    mixed = mix(moved, source_weights(docs), share=1.5, max_epochs=2)
+    return repeat_rows(mixed, moved.columns).withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 def token_stage(spark, docs, sf_dir):
