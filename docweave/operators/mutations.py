@@ -25,23 +25,24 @@ def latest_per_key(changes: DataFrame, keys, order_by) -> DataFrame:
 
 
 def one_per_key(changes: DataFrame, keys, order_by=None) -> DataFrame:
-    """One row per key; of several, the one with the greatest `order_by` columns (or,
-    without, the greatest hash of the row: any, but always the same).
+    """One row per key; of several, the one with the greatest `order_by` columns, and of
+    equal ones the one with the greatest hash of the row: any, but always the same.
 
-    Keys are counted without the rest of the row. Only rows whose key repeats are
-    aggregated; the others pass through. `changes` is read twice.
+    One aggregate, which reads the change once.
     """
-    named = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]
-    repeated = changes.groupBy(*named).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
-    hashed = [F.col(c) for c in changes.columns if c not in keys and _orderable(changes.schema[c].dataType)]
-    order = list(order_by) if order_by else [F.xxhash64(*hashed) if hashed else F.lit(0)]
-    settled = latest_per_key(changes.join(repeated, same, "left_semi"), keys, order)
-    return changes.join(repeated, same, "left_anti").unionByName(settled)
-
-
-def _orderable(kind):
-    return not isinstance(kind, (T.MapType, T.VariantType))
+    rest = [_hashable(F.col(f.name), f.dataType) for f in changes.schema.fields if f.name not in keys]
+    order = [*(order_by or []), F.xxhash64(*rest) if rest else F.lit(0)]
+    return latest_per_key(changes, keys, order)
+
+
+def _hashable(value, kind):
+    """What stands for a value in a hash: maps are alike whatever the order of their entries."""
+    if isinstance(kind, T.MapType) and not isinstance(kind.valueType, (T.MapType, T.VariantType)):
+        # An empty map and none at all would hash alike.
+        return F.struct(value.isNull().alias("none"), F.array_sort(F.map_entries(value)).alias("entries"))
+    if isinstance(kind, (T.MapType, T.VariantType)):
+        return F.to_json(F.struct(value.alias("v")))
+    return value
 
 
 def insert(current: DataFrame, new: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import csv
 import io
 import json
 import re
-from itertools import groupby
+from itertools import chain, groupby, islice
 from operator import itemgetter
 
 import pyarrow as pa
@@ -241,12 +241,17 @@ _JSON_BLANKS = re.compile(JSON_STRING_OR_BLANKS)
 
 
 def _compact(text):
-    """JSON text without blanks between its parts, or None."""
+    """JSON text without blanks between its parts, or None. Numbers may be of any length,
+    NaN and infinities are let through; a string that is no text (half a pair of
+    surrogates) is not JSON."""
     try:
-        value = json.loads(text)
+        value = json.loads(text, parse_int=str, parse_float=str)
+        if isinstance(value, str) and text.lstrip()[:1] == '"':
+            value.encode("utf-8")
+            return value
     except (ValueError, RecursionError):
         return None
-    return value if isinstance(value, str) else _JSON_BLANKS.sub(lambda m: m[1] or "", text)
+    return _JSON_BLANKS.sub(lambda m: m[1] or "", text)
 
 
 def compact_json(text):
@@ -277,7 +282,17 @@ def _csv_texts(body):
 
 
 def _failure(failure):
-    return f"{type(failure).__name__}: {failure}"
+    return f"{type(failure).__name__}: {failure}".encode("utf-8", "backslashreplace").decode("utf-8")
+
+
+def _checked(text):
+    """A text that Spark can hold: an extractor may return anything."""
+    if text is None:
+        return None
+    if not isinstance(text, str):
+        raise TypeError(f"an extractor gave {type(text).__name__}, not text")
+    text.encode("utf-8")
+    return text
 
 
 def _decoded(lines, marked):
@@ -287,33 +302,115 @@ def _decoded(lines, marked):
         yield from io.StringIO("\ufeff" + text if marked and n == 0 else text, newline="")
 
 
-def _parsed_lines(marked, rows=1_000, chars=4_000_000):
-    """path, line in the order of the files -> path, doc_no, content, error; only the
-    rows that are written next are held. A file that fails gives its error last."""
+# What the parser of small files takes for a field. A quote opens one only
+# at its start; what follows the closing quote belongs to the field as it is.
+_FIELD = rb'(?:"[^"]*+(?:""[^"]*+)*+"[^,\r]*+|(?!")[^,\r]*+)'
+_FROM_OUTSIDE = re.compile(_FIELD + rb"(?:[,\r]" + _FIELD + rb")*+\Z")
+_FROM_INSIDE = re.compile(rb'[^"]*+(?:""[^"]*+)*+"[^,\r]*+(?:[,\r]' + _FIELD + rb")*+\Z")
+
+
+def _inside_after(line, inside):
+    """Whether a quoted field is open after a line that begins inside one, or outside."""
+    if b'"' not in line:
+        return inside
+    return (_FROM_INSIDE if inside else _FROM_OUTSIDE).match(line) is None
+
+
+def _by_split(batches, columns):
+    """(path, block), rows of the task's splits in order."""
+    rows = (row for batch in batches for row in zip(*[batch.column(i).to_pylist() for i in range(columns)]))
+    return groupby(rows, key=itemgetter(0, 1))
+
+
+def _scan_quotes(marked):
+    """path, block, line -> for each split: whether a quoted field is open at its end if
+    none is, or one is, at its start; whether a record starts in it in the second case;
+    the lines of the file's first record."""
+    def run(batches):
+        for (path, block), rows in _by_split(batches, 3):
+            out, inside, starts, header, open_ = False, True, False, [], block == 0
+            for n, (_, _, line) in enumerate(rows):
+                if open_:
+                    header.append(line)
+                starts = starts or n > 0 and not inside
+                # A byte order mark makes the first field one that is not quoted.
+                shown = b"\xef\xbb\xbf" + line if block == 0 and n == 0 and path in marked else line
+                alike = out == inside
+                out = _inside_after(shown, out)
+                inside = out if alike else _inside_after(line, inside)
+                open_ = open_ and out
+            yield pa.RecordBatch.from_pylist(
+                [{"path": path, "block": block, "out": out, "inside": inside, "starts": starts, "header": header}],
+                pa.schema([("path", pa.string()), ("block", pa.int64()), ("out", pa.bool_()), ("inside", pa.bool_()),
+                           ("starts", pa.bool_()), ("header", pa.list_(pa.binary()))]))
+    return run
+
+
+def _settled_splits(scanned):
+    """path, block, whether it begins inside a quoted field, and the split that the record
+    it begins in started in.
+
+    Of the two states at a split's end one may not depend on its start (a reset);
+    otherwise it is kept or swapped. So the state is that of the last reset, swapped as
+    often as splits since then say."""
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    reset = F.col("out") == F.col("inside")
+    marks = scanned.withColumns({
+        "value": F.last(F.when(reset, F.col("out")), ignorenulls=True).over(before),
+        "swaps": F.coalesce(F.sum(F.when(~reset & F.col("out"), 1).otherwise(0)).over(before), F.lit(0)),
+        "own": F.sum(F.when(~reset & F.col("out"), 1).otherwise(0)).over(
+            Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, 0))})
+    at_reset = F.coalesce(F.last(F.when(reset, F.col("own")), ignorenulls=True).over(before), F.lit(0))
+    odd = (F.col("swaps") - at_reset) % 2 == 1
+    began = marks.withColumn("began", F.coalesce("value", F.lit(False)) != odd)
+    owner = F.last(F.when(~F.col("began") | F.col("starts"), F.col("block")), ignorenulls=True).over(before)
+    return began.select("path", "block", "began", owner.alias("earlier"))
+
+
+def _owned_lines(batches):
+    """path, block, id, line, began, earlier -> path, owner, block, id, line: lines that
+    finish the record of an earlier split go to that one."""
+    for (path, block), rows in _by_split(batches, 6):
+        started, inside = False, None
+        while part := list(islice(rows, 10_000)):
+            made = []
+            for _, _, place, line, began, earlier in part:
+                inside = began if inside is None else inside
+                started = started or not inside
+                made.append((path, block if started else earlier, block, place, line))
+                if not started:
+                    inside = _inside_after(line, inside)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*made), (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                names=["path", "owner", "block", "id", "line"])
+
+
+def _parsed_lines(marked, headers, rows=1_000, chars=4_000_000):
+    """path, owner, line in the order of the files -> path, owner, n, content, error; only
+    the rows that are written next are held. A part that fails gives its error last."""
     def run(batches):
         made, size = [], 0
-        lines = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
 
         def written():
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*made), (pa.string(), pa.int64(), pa.string(), pa.string()))],
-                names=["path", "doc_no", "content", "error"])
+                [pa.array(c, t) for c, t in zip(zip(*made), types)], names=["path", "owner", "n", "content", "error"])
             made.clear()
             return batch
 
-        for path, own in groupby(lines, key=itemgetter(0)):
-            n = 0
+        for (path, owner), own in _by_split(batches, 3):
+            n, lines = 0, map(itemgetter(2), own)
+            if owner:
+                lines = chain(headers.value[path], lines)
             try:
-                for text in _csv_rows(_decoded(map(itemgetter(1), own), path in marked)):
-                    made.append((path, n, text, None))
+                for text in _csv_rows(_decoded(lines, path in marked)):
+                    made.append((path, owner, n, text, None))
                     n, size = n + 1, size + len(text)
                     if len(made) >= rows or size >= chars:
                         yield written()
                         size = 0
-                if not n:
-                    made.append((path, 0, None, "no documents"))
             except (csv.Error, UnicodeError) as failure:
-                made.append((path, 0, None, _failure(failure)))
+                made.append((path, owner, n, None, _failure(failure)))
         if made:
             yield written()
     return run
@@ -338,9 +435,13 @@ def large_csv_documents(files: DataFrame) -> DataFrame | None:
     """Documents of the CSV files among `files` (see `attach_bytes`) above
     `CSV_ROW_BYTES`: the file's columns, doc_no, content, error. None if there are none.
 
-    Spark reads the lines, so any store it opens will do; each file passes as a stream,
-    in order, through the parser of the small ones. Its rows may be of any number: what
-    lies between two line feeds must fit one value (2 GB). Only paths come to the driver.
+    Spark reads the lines, so any store it opens will do, and cuts files into splits,
+    which are parsed by as many tasks. A first pass says for each split how quoted fields
+    that are open at its start or not leave its end; from these the state at every start
+    follows. Lines that finish a record of an earlier split are moved there, and each part
+    passes, after the header, through the parser of the small files. Rows are numbered by
+    the counts of the parts before. What lies between two line feeds must fit one value
+    (2 GB). Only paths and headers come to the driver.
     """
     spark = files.sparkSession
     kept = [c for c in files.columns if c not in ("body", "body_bytes", "location")]
@@ -349,17 +450,40 @@ def large_csv_documents(files: DataFrame) -> DataFrame | None:
     paths = [r[0] for r in large.select("_path").distinct().collect()]
     if not paths:
         return None
+    marked = _marked(spark, paths)
     lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text([_escaped(p) for p in paths])
     lines = lines.select(
-        _plain_path(_source()).alias("path"), F.col("value").cast("binary").alias("line"),
-        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
-    ordered = lines.repartition("path").sortWithinPartitions("path", "_block", "_id").select("path", "line")
-    parsed = stage(ordered.mapInArrow(
-        _parsed_lines(_marked(spark, paths)), "path string, doc_no long, content string, error string"), "large-csv-rows")
-    # As with small files, one that fails midway gives its error and nothing else.
-    failed = parsed.where("error is not null")
-    whole = parsed.join(failed.select("path"), "path", "left_anti").unionByName(failed)
-    return large.join(whole, large["_path"] == whole["path"]).select(*kept, "doc_no", "content", "error")
+        _plain_path(_source()).alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("line"))
+    scanned = stage(lines.select("path", "block", "line").mapInArrow(
+        _scan_quotes(marked), "path string, block long, out boolean, inside boolean, starts boolean, header array<binary>"),
+        "large-csv-splits")
+    first = scanned.where("block = 0").select("path", "header").collect()  # one row a path
+    headers = spark.sparkContext.broadcast({r["path"]: [bytes(line) for line in r["header"]] for r in first})
+    splits = stage(_settled_splits(scanned), "large-csv-states")
+    if splits.count() <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    owned = lines.join(splits, ["path", "block"]).select("path", "block", "id", "line", "began", "earlier").mapInArrow(
+        _owned_lines, "path string, owner long, block long, id long, line binary")
+    ordered = owned.repartition("path", "owner").sortWithinPartitions("path", "owner", "block", "id")
+    parsed = stage(ordered.select("path", "owner", "line").mapInArrow(
+        _parsed_lines(marked, headers), "path string, owner long, n long, content string, error string"), "large-csv-rows")
+    # As with small files, one that fails midway gives its first error and nothing else.
+    failed = parsed.where("error is not null").groupBy("path").agg(F.min_by("error", "owner").alias("error"))
+    counts = parsed.groupBy("path", "owner").agg(F.count("content").alias("rows"))
+    before = Window.partitionBy("path").orderBy("owner").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = stage(counts.select("path", "owner", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("shift")),
+                   "large-csv-shifts")
+    if shifts.count() <= MAX_BROADCAST_SPLITS:
+        shifts = F.broadcast(shifts)
+    whole = parsed.join(failed.select("path"), "path", "left_anti").join(shifts, ["path", "owner"]).select(
+        "path", (F.col("n") + F.col("shift")).alias("doc_no"), "content", "error")
+    whole = whole.unionByName(failed.select("path", F.lit(0).cast("long").alias("doc_no"),
+                                            F.lit(None).cast("string").alias("content"), "error"))
+    # A file of a header alone has no rows.
+    error = F.when(F.col("path").isNull(), "no documents").otherwise(F.col("error"))
+    return large.join(whole, large["_path"] == whole["path"], "left").select(
+        *kept, F.coalesce("doc_no", F.lit(0).cast("long")).alias("doc_no"), "content", error.alias("error"))
 
 
 def _parsed_bodies(extractors):
@@ -376,7 +500,7 @@ def _parsed_bodies(extractors):
                 out.append(None)
                 continue
             try:
-                out.append([{"text": text, "error": None} for text in readers[kind.as_py()](body)])
+                out.append([{"text": _checked(text), "error": None} for text in readers[kind.as_py()](body)])
             except Exception as failure:  # noqa: BLE001 - becomes a failure row
                 out.append([{"text": None, "error": _failure(failure)}])
         return pa.array(out, pa.list_(pa.struct([("text", pa.string()), ("error", pa.string())])))
@@ -392,7 +516,7 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
     `files` has `full_path` and `body`. The kind is the extension in lower case.
     Every file gives at least one row; what cannot be read is a row with an
     error. All kinds are handled in one pass, so each file is read once, and only
-    CSV and extractor kinds cross to Python.
+    CSV, JSON and extractor kinds cross to Python.
     """
     extractors = {k.lower(): v for k, v in (extractors or {}).items()}
     kept = [c for c in files.columns if c != "body"]
@@ -407,7 +531,7 @@ def file_documents(files: DataFrame, extractors=None) -> DataFrame:
         *kept, "_kind", body.isNull().alias("_absent"), in_python.alias("_in_python"),
         F.when(~in_python & kind.isin([*TEXT_KINDS, "json"]), decode_utf8(body)).alias("_text"),
         _parsed_bodies(extractors)(kind, F.when(in_python, body)).alias("_parsed"))
-    rows = rows.withColumn("_content", F.when(kind == "json", compact_json(text)).otherwise(text))
+    rows = rows.withColumn("_content", F.when(kind == "json", compact_json(F.when(kind == "json", text))).otherwise(text))
     error = (F.when(~kind.isin(known), F.concat(F.lit("unsupported format: "), kind))
              .when(kind.isin(unread), F.concat(F.lit("no extractor for "), kind))
              .when(F.col("_absent"), "file not found, empty or too large")

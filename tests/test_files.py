@@ -1,3 +1,7 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +201,69 @@ def test_run_log(spark, tmp_path):
 
 def test_outermost_folders():
     assert source._outermost(["/a/b", "/a", "/a-b", "/a/b/c", "/c"]) == ["/a-b", "/a", "/c"]
+
+
+def csv_files(rng):
+    """Files with quoted line breaks, quotes in odd places, records over many splits."""
+    def cell():
+        return rng.choice(['a', 'b c', '', '"x\ny"', '"q ""r"" s"', 'in"ner', '"a"b', ' "y"', 'é', '"\r\n"', '"' + "long\n" * 40 + '"'])
+
+    files = {"plain.csv": "k,v\n" + "".join(f"{i},{i * i}\n" for i in range(900)),
+             "header.csv": "k,v\n" + "\n" * 300, "open.csv": "k,v\n" + "1,2\n" * 80 + '"never closed\n' * 60,
+             "head2.csv": '"k\nk","v ""w"""\n' + "1,2\n" * 100}
+    for n in range(8):
+        files[f"odd {n}.csv"] = rng.choice(["", "\ufeff"]) + '"k",v\n' + "".join(
+            ",".join(cell() for _ in range(rng.randint(1, 3))) + rng.choice(["\n", "\r\n", "\n", "\r"]) for _ in range(150))
+    return files
+
+
+def test_large_csv_files_are_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "CSV_ROW_BYTES", 100)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "700")
+    try:
+        files, want = csv_files(random.Random(3)), []
+        for name, text in files.items():
+            (tmp_path / name).write_bytes(text.encode())
+            rows = list(source._csv_rows(io.StringIO(text, newline="")))
+            want += [(name, i, row, None) for i, row in enumerate(rows)] or [(name, 0, None, "no documents")]
+        (tmp_path / "bad.csv").write_bytes(b"k,v\n" + b"1,2\n" * 300 + b"\xff,1\n" + b"3,4\n" * 300)
+        listed = spark.createDataFrame([(n, f"{tmp_path}/{n}", 1000) for n in [*files, "bad.csv"]],
+                                       "full_path string, location string, body_bytes long").withColumn(
+            "body", F.lit(None).cast("binary"))
+        out = source.large_csv_documents(listed)
+        got = [(r["full_path"], r["doc_no"], r["content"], r["error"]) for r in out.collect()]
+        bad = [r for r in got if r[0] == "bad.csv"]
+        assert len(bad) == 1 and bad[0][1:3] == (0, None) and bad[0][3].startswith("UnicodeDecodeError")
+        assert sorted(r for r in got if r[0] != "bad.csv") == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_states_of_quotes_equal_the_parser():
+    rng = random.Random(8)
+    for _ in range(5_000):
+        line = "".join(rng.choice('ab",\r ') for _ in range(rng.randint(0, 12)))
+        for inside in (False, True):
+            # The parser is inside a field if a mark on the next line joins the last value.
+            text = ('"' if inside else "") + ("\n" if inside else "") + line + "\n"
+            last = list(csv.reader(io.StringIO(text + "mark,mark\n", newline="")))[-1]
+            assert source._inside_after(line.encode(), inside) == (last != ["mark", "mark"]), (line, inside)
+
+
+def test_no_file_stops_the_others(spark):
+    def odd(body):
+        return {b"1": ["\ud800"], b"2": [5], b"3": ["fine"], b"4": iter(["a", None])}[bytes(body)]
+
+    rows = [(f"{i}.odd", str(i).encode()) for i in range(1, 5)]
+    rows += [("s.json", b'"\\ud800"'), ("n.json", b'{"a": NaN}'), ("i.json", b" [" + b"9" * 5000 + b", 1.50]"), ("t.json", b' 7 '),
+             ("u.json", b'{"a": "\\ud800"}'), ("q.json", b'"ok"')]
+    files = spark.createDataFrame(rows, "full_path string, body binary")
+    out = {(r["full_path"], r["doc_no"]): (r["content"], r["error"]) for r in source.file_documents(files, {"odd": odd}).collect()}
+    assert out["1.odd", 0][0] is None and out["1.odd", 0][1].startswith("UnicodeEncodeError")
+    assert out["2.odd", 0] == (None, "TypeError: an extractor gave int, not text")
+    assert out["3.odd", 0] == ("fine", None) and out["4.odd", 0] == ("a", None)
+    assert out["s.json", 0] == (None, "not valid JSON") and out["n.json", 0] == ('{"a":NaN}', None)
+    assert out["i.json", 0] == ("[" + "9" * 5000 + ",1.50]", None) and out["t.json", 0] == ("7", None)
+    assert out["u.json", 0] == ('{"a":"\\ud800"}', None) and out["q.json", 0] == ("ok", None)
