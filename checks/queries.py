@@ -4,6 +4,7 @@ flattened, and times shown as text, so that the rows compare between engines."""
 import uuid
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from checks import tables as t
@@ -532,12 +533,36 @@ def method_stream(spark, sf):
         stream = message_source.message_stream(spark, f"{queue}/*")
         jobs.start_method_job(stream, log, records, mark, True, run_time=F.to_timestamp(F.lit(RUN_TIME)),
                               dim=DIM).awaitTermination()
+    return _published_methods(log)
+
+
+def _published_methods(log):
     current = log.current("methods").select(
         "method_id", "uuid", F.md5("description").alias("description_md5"),
         F.col("vector_updated_at").isNotNull().alias("updated"))
     return current.join(log.current("vectors").select(F.col("id").alias("uuid"), F.lit(True).alias("stored")), "uuid", "left")
 
 
+def replayed_batch(spark, sf):
+    """A batch that fails after its first table is written, is run again, and is run
+    once more when it is already published: its changes count once."""
+    methods, log = t.methods(spark, sf), jobs.method_tables(spark, _place(spark, "replayed"))
+    records, run = table_source.method_records(methods), {"run_time": F.to_timestamp(F.lit(RUN_TIME)), "dim": DIM}
+    asked = methods.groupBy(F.col("method_name").alias("message_id")).agg(
+        F.array_join(F.collect_list("method_id"), ",").alias("value"))
+    jobs.apply_method_messages(asked, 0, log, records, **run)
+    lost = log.current("methods").withColumn("description", F.lit("lost"))
+    torn = log.current("vectors").withColumn("id", F.raise_error(F.lit("lost executor")).cast("string"))
+    try:
+        log.publish(1, {"methods": (lost, None), "vectors": (torn, None)})
+    except PySparkException as failure:
+        if "lost executor" not in str(failure):
+            raise
+    for _ in range(2):
+        jobs.apply_method_messages(asked.where("message_id in ('src1', 'src2')"), 1, log, records, **run)
+    return _published_methods(log)
+
+
 def file_stream(spark, sf):
     """Files of a store, asked for by messages; their chunks are published."""
     store, queue, tables, mark = (_place(spark, n) for n in ("store", "queue", "files", "mark"))
@@ -561,7 +586,7 @@ def file_stream(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     line_splitter, letter_embedding, extracted_documents, table_overwrite, text_export, stored_files,
-    dimension_guard, everything_deleted, knn_self, method_stream, file_stream,
+    dimension_guard, everything_deleted, knn_self, method_stream, replayed_batch, file_stream,
     namespace_search, file_inventory, csv_row_documents, json_documents, format_dispatch,
     parameterised_lookup, message_ids, method_records, delete_files, run_log_latest, insert_records,
     update_records, delete_records, mutation_chain, typed_metadata, metadata_violations, files_by_id,

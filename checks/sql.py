@@ -442,3 +442,4 @@ ORACLE = {
                                  FROM chunks GROUP BY key) ON key = file_id""", "files",
         first=DOC_CHUNKS),
 }
+ORACLE["replayed_batch"] = ORACLE["method_stream"]
