@@ -40,9 +40,14 @@ from docweave.session import spread_if_few, stage
 MISS = 1e-7
 #: Pairs in open buckets, per class in a bucket, up to which all of them are tested.
 LEFT_PER_CLASS = 0.5
-#: Otherwise members first meet so many of their bucket's largest component, so many times.
+#: Otherwise members first meet so many of their bucket's largest component, in so many rounds.
 STARS = 8
-STAR_ROUNDS = 1
+STAR_ROUNDS = 4
+#: The largest component of a bucket counts for this if the bucket holds so many of it.
+LARGE = 32
+#: Ids up to which they are sent to the tasks that read the texts again (8 bytes each);
+#: beyond, both are shuffled.
+SENT_IDS = 1_000_000
 #: Bits of a shingle that say by which counter its frequency is known.
 COUNTER_BITS = 17
 
@@ -175,7 +180,7 @@ def _star_pairs(left, found, seed):
     tied = stage(_with_component(left, found), "minhash-tied")
     parts = tied.groupBy("key", "component").agg(F.count("c").alias("n"))
     mains = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"))
-    asked = tied.join(stage(mains.where("most > 1"), "minhash-mains"), "key").where("component <> main").select("c", "main").distinct()
+    asked = tied.join(stage(mains.where(F.col("most") >= LARGE), "minhash-mains"), "key").where("component <> main").select("c", "main").distinct()
     turn = F.row_number().over(Window.partitionBy("component").orderBy(F.xxhash64("c", F.lit(seed)), "c"))
     stars = tied.select("component", "c").distinct().withColumn("turn", turn).where(F.col("turn") <= STARS)
     return stage(asked, "minhash-asked").join(stars.select(F.col("component").alias("main"), F.col("c").alias("pivot")), "main").select(
@@ -273,7 +278,11 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
                        "minhash-signatures")
     # Texts are read again only for classes that met another.
     needed = stage(head.join(members, "c", "left_semi"), "minhash-needed")
-    again = source.join(needed.select("d").distinct(), "d", "left_semi").mapInArrow(
+    ids = needed.select("d").distinct()
+    # Numbers have a size that is known; ids of text are left to Spark.
+    if id_type in ("bigint", "int", "smallint", "tinyint") and needed.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
+    again = source.join(ids, "d", "left_semi").mapInArrow(
         _keyed_sets(words), f"d {id_type}, s1 long, s2 long, shingles array<long>")
     sets = stage(again.join(needed, ["d", "s1", "s2"]).dropDuplicates(["c"]).select("c", "shingles"), "minhash-sets")
 
