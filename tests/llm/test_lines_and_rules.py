@@ -171,3 +171,15 @@ def test_urls_pass_columns_through(spark):
     assert out.columns == ["page_id", "url", "url_best", "host", "path", "rule", "verdict"]
     assert out.count() == 2
     assert filter_urls(pages.limit(0), rules).count() == 0
+
+
+def test_clashing_columns_keep_their_values(spark):
+    import corpus_pipeline
+
+    docs = documents(spark, [(1, "a b c d e f"), (2, "g h i j k l")]).selectExpr(
+        "*", "'q' as quality_rules__", "7 as size", "8 as Target", "9 as repeats", "10 as n_lines", "11 as n_dropped", "12 as mix_copy")
+    assert {r["quality_rules__"] for r in apply_rules(docs).collect()} == {"q"}
+    for stage in (corpus_pipeline.line_dedup_stage, corpus_pipeline.mixing_stage):
+        out = stage(spark, docs, None)
+        assert out.columns == docs.columns
+        assert {tuple(r)[6:] for r in out.collect()} <= {(7, 8, 9, 10, 11, 12)}
