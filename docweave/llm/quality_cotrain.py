@@ -1,47 +1,60 @@
 """Quality by co-training a classifier on the text with one on the page's metadata.
 
-The two views see different columns: statistics of the whole text, and language, source
-and length as given. Both start from the labelled rows. In each round a view's training
-rows are the labelled ones and those other rows of the corpus that the *other* view was
-sure of in the round before; all rows are looked at anew in each round. At the end each
-view is calibrated on labelled rows kept apart, and the calibrated views are combined:
-their log-odds are added and the prior, which both hold, is taken off once.
-
-Each fit is Newton's method for a logistic regression with ridge penalty: a task sums
-its rows' gradients and curvatures, and only these sums (some thousand numbers a task)
-reach the driver. No rows are sampled. The features are written once; the models, a few
-dozen numbers, travel with the tasks.
-
-Defined cases: a null or empty text has all statistics 0; null metadata has a feature of
-its own; without labels of both kinds every score is the smoothed share of good labels
-(2/3 without labels); null labels are none, repeated labels count as their smallest;
-repeated rows get a score each; a metadata column that is missing is left out; an empty
-table gives an empty table.
+The two views see different columns. The text view is a logistic regression on shape
+statistics and hashed words of the whole text; the metadata view is naive Bayes over
+language, source and length, with a count of its own for every value, however many there
+are. Both start from the labelled rows. In each round each view gives labels to the
+unlabelled rows it is most certain of, a share of them per class (`EXCHANGED`, dealt by
+the classes' shares among the labels), and the *other* view learns from these and from the
+labelled rows; all rows are looked at anew in each round. What a given label weighs
+follows from how often the view is right, beyond chance, on labelled rows kept apart. At
+the end each view is calibrated on those, and the calibrated views are combined: their
+log-odds are added and the prior, which both hold, is taken off once.
+
+The most certain rows are found by counted quantiles: margins fall into bins of width
+`BIN`, whose counts (some thousand numbers) reach the driver; within the last bin a hash
+of the id decides. Newton's method fits the text view: a task sums its rows' gradients
+and curvatures, and only the sums reach the driver. The metadata view is fitted by one
+grouping per round, joined back by value. No rows are sampled.
+
+Defined cases: a null or empty text has all features 0; null metadata is a value of its
+own, a value without labels says nothing; numbers count by half powers of two; without
+labels of both kinds every score is the smoothed share of good labels (2/3 without
+labels); null labels are none, repeated labels count as their smallest; repeated rows get
+a score each; a metadata column that is missing is left out, and a view that is always of
+one mind gives labels of no weight; an empty table gives an empty table.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docweave.llm.shingles import slices, word_hashes
 from docweave.session import spread_if_few, stage
 
 ROUNDS = 3
 NEWTON_STEPS = 4
-#: A view is sure from this probability on, either way; weight of rows labelled so.
-SURE = 0.95
+#: Share of the unlabelled rows a view gives labels to in a round; what such a label
+#: weighs at most.
+EXCHANGED = 0.25
 PSEUDO_WEIGHT = 0.3
-RIDGE = 1.0
-BUCKETS = 24
+#: Width of the bins that margins (-30 to 30) are counted in.
+BIN = 0.01
+RIDGE, WORD_RIDGE = 1.0, 10.0
+#: Hashed words of the text view.
+WORDS = 128
+#: Labels at the prior that every metadata value starts with.
+SMOOTHING = 10.0
 
-TEXT_NAMES = ("upper", "digits", "symbols", "pipes", "exclaimed", "other_marks", "blanks", "lines", "wide",
-              "word_length", "log_words", "same_words", "distinct", "short_words", "long_words")
+SHAPES = ("upper", "digits", "symbols", "marks", "blanks", "lines", "wide",
+          "word_length", "log_words", "same_words", "distinct", "short_words", "long_words")
 
 
 def _byte_classes():
-    kinds = np.zeros((9, 256), dtype=np.float32)
-    for i, chars in enumerate((range(65, 91), range(48, 58), b"#*$%&<>", b"|", b"!", b".,;:?'\"()-", b" \t\x0b\x0c\r",
+    kinds = np.zeros((7, 256), dtype=np.float32)
+    for i, chars in enumerate((range(65, 91), range(48, 58), b"#*$%&|<>", b".,;:!?'\"()-", b" \t\x0b\x0c\r",
                                b"\n", range(128, 256))):
         kinds[i, list(chars)] = 1
     return kinds
@@ -51,8 +64,8 @@ _KINDS = _byte_classes()
 
 
 def text_features(texts):
-    """A row of TEXT_NAMES per text."""
-    out = np.zeros((len(texts), len(TEXT_NAMES)))
+    """A row per text: SHAPES, then roots of the frequencies of WORDS hashed words."""
+    out = np.zeros((len(texts), len(SHAPES) + WORDS))
     for first, part in slices(texts):
         encoded = [t.encode("utf-8") if t else b"" for t in part]
         lengths = np.array([len(e) for e in encoded])
@@ -72,57 +85,37 @@ def text_features(texts):
         n = counts[some]
         same = np.append(words[1:] == words[:-1], False).astype(np.float64)
         same[bounds[1:][some] - 1] = 0
-        letters = lengths[some] * (1 - rows[some, 6] - rows[some, 7])
-        rows[some, 9] = letters / n / 10
-        rows[some, 10] = np.log1p(n) / 10
-        rows[some, 11] = np.add.reduceat(same, bounds[:-1][some]) / n
-        rows[some, 12] = [len(np.unique(words[bounds[i]:bounds[i + 1]])) / counts[i] for i in some]
-        rows[some, 13] = letters / n < 3
-        rows[some, 14] = letters / n > 12
+        letters = lengths[some] * (1 - rows[some, 4] - rows[some, 5])
+        rows[some, 7] = letters / n / 10
+        rows[some, 8] = np.log1p(n) / 10
+        rows[some, 9] = np.add.reduceat(same, bounds[:-1][some]) / n
+        rows[some, 10] = [len(np.unique(words[bounds[i]:bounds[i + 1]])) / counts[i] for i in some]
+        rows[some, 11] = letters / n < 3
+        rows[some, 12] = letters / n > 12
+        place = np.repeat(np.arange(len(part)) * WORDS, counts) + (words % np.uint64(WORDS)).astype(np.int64)
+        found = np.bincount(place, minlength=len(part) * WORDS).reshape(len(part), WORDS)
+        rows[some, len(SHAPES):] = np.sqrt(found[some] / n[:, None])
     return out
 
 
-def _meta_features(columns):
-    """Numbers as logarithms, other values as one of BUCKETS; nulls apart."""
-    parts = []
-    for column in columns:
-        values = column.to_pylist()
-        missing = np.array([v is None for v in values], dtype=np.float64)
-        parts.append(missing[:, None])
-        if pa.types.is_integer(column.type) or pa.types.is_floating(column.type):
-            numbers = np.array([0.0 if v is None or v != v else float(v) for v in values])
-            size = np.sign(numbers) * np.log1p(np.abs(np.clip(numbers, -1e300, 1e300)))
-            parts += [size[:, None] / 10, (size[:, None] / 10) ** 2]
-        else:
-            hot = np.zeros((len(values), BUCKETS))
-            hashes, bounds = word_hashes(["" if v is None else "_".join(str(v).split()) for v in values])
-            held = np.flatnonzero(np.diff(bounds))
-            hot[held, (hashes[bounds[:-1][held]] % np.uint64(BUCKETS)).astype(np.int64)] = 1
-            parts.append(hot)
-    return np.hstack(parts) if parts else np.zeros((0, 0))
-
-
-def _features(batches):
-    """d, text, metadata... -> d, text features, metadata features."""
+def _with_features(batches):
+    """d, text, values... -> d, values..., text features."""
     for batch in batches:
-        text = text_features([value.as_py() for value in batch.column(1)])
-        meta = _meta_features(batch.columns[2:]) if batch.num_columns > 2 else np.zeros((batch.num_rows, 0))
         if not batch.num_rows:
             continue
-        lists = []
-        for rows in (text, meta):
-            offsets = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
-            lists.append(pa.ListArray.from_arrays(offsets, pa.array(rows.ravel().astype(np.float32))))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["d", "t", "m"])
+        rows = text_features([value.as_py() for value in batch.column(1)])
+        offsets = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
+        lists = pa.ListArray.from_arrays(offsets, pa.array(rows.ravel().astype(np.float32)))
+        names = batch.schema.names
+        yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], lists], names=[names[0], *names[2:], "t"])
 
 
-class View:
-    """Standardised linear model of one view."""
+class TextView:
+    """Standardised linear model of the text features."""
 
     def __init__(self, mean, scale):
         self.mean, self.scale = mean, scale
         self.w = np.zeros(len(mean) + 1)
-        self.slope, self.offset = 1.0, 0.0
 
     def design(self, rows):
         return np.hstack([np.ones((len(rows), 1)), (rows - self.mean) / self.scale])
@@ -130,8 +123,48 @@ class View:
     def margin(self, rows):
         return np.clip(self.design(rows) @ self.w, -30, 30)
 
-    def calibrated(self, rows):
-        return np.clip(self.slope * self.margin(rows) + self.offset, -30, 30)
+
+class Certain:
+    """Which margins are among the most certain of each class, and what they weigh.
+
+    `counts` holds (bin, kind, rows): kind -1 for unlabelled rows, 0 or 1 for labelled
+    rows kept apart."""
+
+    def __init__(self, counts, share, exchanged=EXCHANGED):
+        tables = {kind: {} for kind in (-1, 0, 1)}
+        for at, kind, n in counts:
+            tables[kind][at] = n
+        total = sum(tables[-1].values())
+        self.cut, self.part, self.weight, self.given = {}, {}, {}, {}
+        for label, chance in ((1, share), (0, 1 - share)):
+            wanted, taken = exchanged * chance * total, 0.0
+            self.cut[label], self.part[label] = (1e9 if label else -1e9), 0.0
+            for at in sorted(tables[-1], reverse=label == 1):
+                n = tables[-1][at]
+                self.cut[label], self.part[label] = at, min(1.0, (wanted - taken) / n)
+                taken += n
+                if taken >= wanted:
+                    break
+            self.given[label] = min(wanted, taken)
+            right, seen = (sum(n * self._within(at, label) for at, n in tables[k].items()) for k in (label, 1 - label))
+            rate = (right + 2 * chance) / (right + seen + 2)
+            self.weight[label] = PSEUDO_WEIGHT * max(0.0, (rate - chance) / (1 - chance))
+
+    def _within(self, at, label):
+        """Share of a bin's rows that get the label."""
+        if at == self.cut[label]:
+            return self.part[label]
+        return float(at > self.cut[1] if label else at < self.cut[0])
+
+    def labels(self, bins, unit):
+        """Label and weight of each row; weight 0 where the view is not certain."""
+        good = (bins > self.cut[1]) | ((bins == self.cut[1]) & (unit < self.part[1]))
+        bad = (bins < self.cut[0]) | ((bins == self.cut[0]) & (unit >= 1 - self.part[0]))
+        return good.astype(np.float64), np.where(good, self.weight[1], np.where(bad, self.weight[0], 0.0))
+
+
+def bins(margins):
+    return np.floor(np.asarray(margins) / BIN).astype(np.int64)
 
 
 def _chance(margin):
@@ -143,153 +176,210 @@ def _lists(column):
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _sums(kind, names, values):
-    return pa.RecordBatch.from_arrays(
-        [pa.array([kind] * len(names)), pa.array(names), pa.array([v.ravel().tolist() for v in values],
-                                                               pa.list_(pa.float64()))],
-        names=["kind", "name", "sums"])
+def _floats(column):
+    return np.array([np.nan if v is None else float(v) for v in column.to_pylist()])
+
+
+def _sums(values):
+    return pa.RecordBatch.from_arrays([pa.array([values.ravel().tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+
+def _total(rows, function):
+    """Sums over all tasks, added in the cluster."""
+    flat = rows.mapInArrow(function, "sums array<double>").select(F.posexplode("sums").alias("at", "x"))
+    return flat.groupBy("at").agg(F.sum("x").alias("x")).orderBy("at").toPandas()["x"].to_numpy()
 
 
 def _moments(batches):
-    held = {}
+    held = 0.0
     for batch in batches:
-        for name, at in (("t", 1), ("m", 2)):
-            rows = _lists(batch.column(at))
-            new = np.concatenate([[len(rows)], rows.sum(axis=0), (rows ** 2).sum(axis=0)])
-            held[name] = held[name] + new if name in held else new
-    yield _sums("moments", list(held), list(held.values()))
+        rows = _lists(batch.column(0))
+        held = held + np.concatenate([[len(rows)], rows.sum(axis=0), (rows ** 2).sum(axis=0)])
+    if np.ndim(held):
+        yield _sums(held)
 
 
-def _newton_step(xs, w, y, weight):
-    margin = np.clip(xs @ w, -30, 30)
-    p = _chance(margin)
+def newton_sums(xs, w, y, weight):
+    """Gradient and curvature of weighted rows."""
+    p = _chance(np.clip(xs @ w, -30, 30))
     curve = weight * np.maximum(p * (1 - p), 1e-6)
     return np.concatenate([xs.T @ (weight * (y - p)), ((xs.T * curve) @ xs).ravel()])
 
 
-def _training_sums(students, teachers):
-    """Gradient and curvature of both views; each takes labels, else what the other's
-    teacher is sure of. Without teachers, labels only."""
+def newton_move(w, sums):
+    d = len(w)
+    penalty = np.full(d, WORD_RIDGE)
+    penalty[:1 + len(SHAPES)] = RIDGE
+    penalty[0] = 1e-3
+    move = np.linalg.solve(sums[d:].reshape(d, d) + np.diag(penalty), sums[:d] - penalty * w)
+    return w + move * min(1.0, 5.0 / max(np.abs(move).max(), 1e-9))
+
+
+def _training(view, certain):
+    """(t, label, apart, u, m) -> sums of the text view, taught by labels and metadata."""
     def run(batches):
-        held = {}
+        held = 0.0
         for batch in batches:
-            views = {"t": _lists(batch.column(1)), "m": _lists(batch.column(2))}
-            label = np.array([np.nan if v is None else float(v) for v in batch.column(3).to_pylist()])
-            apart = batch.column(4).to_numpy(zero_copy_only=False)
-            for name, other in (("t", "m"), ("m", "t")):
-                y = np.where(np.isnan(label), 0.0, label)
-                weight = np.where(np.isnan(label) | apart, 0.0, 1.0)
-                if teachers is not None:
-                    p = _chance(teachers[other].margin(views[other]))
-                    # Rows kept apart stay unseen.
-                    sure = np.isnan(label) & ~apart & ((p >= SURE) | (p <= 1 - SURE))
-                    y = np.where(sure, p >= 0.5, y)
-                    weight = np.where(sure, PSEUDO_WEIGHT, weight)
-                keep = weight > 0
-                xs = students[name].design(views[name][keep])
-                new = _newton_step(xs, students[name].w, y[keep].astype(float), weight[keep])
-                held[name] = held[name] + new if name in held else new
-        yield _sums("training", list(held), list(held.values()))
+            label, apart = _floats(batch.column(1)), batch.column(2).to_numpy(zero_copy_only=False)
+            y, weight = np.nan_to_num(label), np.where(np.isnan(label) | apart, 0.0, 1.0)
+            if certain is not None:
+                given, weighs = certain.labels(bins(_floats(batch.column(4))), _floats(batch.column(3)))
+                y, weight = np.where(np.isnan(label), given, y), np.where(np.isnan(label), weighs, weight)
+            keep = weight > 0
+            held = held + newton_sums(view.design(_lists(batch.column(0))[keep]), view.w, y[keep], weight[keep])
+        if np.ndim(held):
+            yield _sums(held)
     return run
 
 
-def _calibration_sums(views, lines):
+def _with_margin(view):
+    """t, others... -> others..., margin of the text view."""
     def run(batches):
-        held = {}
         for batch in batches:
-            label = np.array([np.nan if v is None else float(v) for v in batch.column(3).to_pylist()])
-            keep = ~np.isnan(label) & batch.column(4).to_numpy(zero_copy_only=False)
-            for name, at in (("t", 1), ("m", 2)):
-                margin = views[name].margin(_lists(batch.column(at))[keep])
-                xs = np.column_stack([np.ones(len(margin)), margin])
-                new = _newton_step(xs, lines[name], label[keep], np.ones(len(margin)))
-                held[name] = held[name] + new if name in held else new
-        yield _sums("calibration", list(held), list(held.values()))
+            margin = view.margin(_lists(batch.column(0)))
+            names = batch.schema.names[1:]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(margin)], names=[*names, "x"])
     return run
 
 
-def _gather(rows, function):
-    """Sums over all tasks, by name: the tasks' sums are added in the cluster."""
-    made = rows.mapInArrow(function, "kind string, name string, sums array<double>")
-    flat = made.select("name", F.posexplode("sums").alias("at", "x")).groupBy("name", "at").agg(F.sum("x").alias("x"))
-    table = flat.orderBy("name", "at").toPandas()
-    return {name: own["x"].to_numpy() for name, own in table.groupby("name")}
+def _text_margins(rows, view, *others):
+    """`others` and the margin x of the text view."""
+    chosen = rows.select("t", *others)
+    schema = T.StructType([*chosen.schema.fields[1:], T.StructField("x", T.DoubleType())])
+    return chosen.mapInArrow(_with_margin(view), schema)
 
 
-def _step(w, sums, ridge):
-    d = len(w)
-    grad, curve = sums[:d].copy(), sums[d:].reshape(d, d).copy()
-    penalty = np.full(d, ridge)
-    penalty[0] = 1e-3
-    grad -= penalty * w
-    move = np.linalg.solve(curve + np.diag(penalty), grad)
-    size = np.abs(move).max()
-    return w + move * min(1.0, 5.0 / max(size, 1e-9))
+def _counted(margins):
+    """Rows (x, label, apart) by bin and kind, for `Certain`."""
+    kind = F.when(F.col("label").isNull(), -1).otherwise(F.col("label"))
+    kept = margins.where("label is null or apart").select(F.floor(F.col("x") / BIN).alias("bin"), kind.alias("kind"))
+    return [tuple(r) for r in kept.groupBy("bin", "kind").count().collect()]
 
 
-def _scored(views, prior):
+def _meta_value(column, kind):
+    """A metadata value as text: null apart, numbers by half powers of two."""
+    if isinstance(kind, T.NumericType):
+        number = F.col(column).cast("double")
+        size = F.floor(2 * F.log2(1 + F.abs(number))) * F.signum(number)
+        text = F.when(F.isnan(number), "nan").otherwise(size.cast("string"))
+    else:
+        text = F.col(column).cast("string")
+    return F.coalesce(F.concat(F.lit("="), text), F.lit(""))
+
+
+def _fit_metadata(taught, values, share):
+    """Per metadata column the log-odds of each value, beyond the prior; staged."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(v).alias("value")) for i, v in enumerate(values)]))
+    counted = taught.select(pairs.alias("p"), "y", "weight").groupBy("p.i", "p.value").agg(
+        F.sum(F.col("weight") * F.col("y")).alias("good"), F.sum(F.col("weight") * (1 - F.col("y"))).alias("bad"))
+    odds = F.ln((F.col("good") + SMOOTHING * share) / (F.col("bad") + SMOOTHING * (1 - share)))
+    return stage(counted.select("i", "value", (odds - float(np.log(share / (1 - share)))).alias("w")), "cotrain-values")
+
+
+def _with_metadata(rows, weights, values, prior):
+    """`rows` with the margin m of the metadata view."""
+    found = []
+    for i, name in enumerate(values if weights is not None else []):
+        own = weights.where(F.col("i") == i).select(F.col("value").alias(f"value_{i}"), F.col("w").alias(f"w_{i}"))
+        rows = rows.join(own, F.col(name) == F.col(f"value_{i}"), "left")
+        found.append(F.coalesce(f"w_{i}", F.lit(0.0)))
+    m = sum(found, F.lit(prior))
+    return rows.withColumn("m", F.greatest(F.lit(-30.0), F.least(F.lit(30.0), m)))
+
+
+def _calibration(lines):
+    """(x, m, label) -> sums for the two lines."""
     def run(batches):
+        held = 0.0
         for batch in batches:
-            t, m = (views[n].calibrated(_lists(batch.column(at))) for n, at in (("t", 1), ("m", 2)))
-            both = np.clip(t + m - prior, -30, 30)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(_chance(t)), pa.array(_chance(m)), pa.array(_chance(both))],
-                names=["d", "text_score", "meta_score", "score"])
+            y = _floats(batch.column(2))
+            held = held + np.concatenate([newton_sums(np.column_stack([np.ones(len(y)), _floats(batch.column(at))]),
+                                                      line, y, np.ones(len(y))) for at, line in enumerate(lines)])
+        if np.ndim(held):
+            yield _sums(held)
     return run
 
 
+def calibration_move(line, sums):
+    """Drawn towards the margin as it is where there is little to go by."""
+    grad = sums[:2] + np.array([0.0, 1.0 - line[1]])
+    return line + np.clip(np.linalg.solve(sums[2:].reshape(2, 2) + np.diag([1e-3, 1.0]), grad), -5, 5)
+
+
 def score(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", metadata=("lang", "source", "n_chars"),
-          label="quality", rounds=ROUNDS) -> DataFrame:
+          label="quality", rounds=ROUNDS, log=None) -> DataFrame:
     """doc_id, text_score, meta_score and score (0 to 1: the higher, the better) for every
     row of `docs`. `labels` holds the rows that may be learnt from (doc_id, label 0/1);
-    a quarter of them, by hash of the id, serves calibration."""
+    a quarter of them, by hash of the id, serves calibration. A list given as `log` gets
+    the two `Certain` (text, metadata) of each round."""
     metadata = [c for c in metadata if c in docs.columns]
-    source = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text"),
-                         *[F.col(c).alias(f"meta_{i}") for i, c in enumerate(metadata)])
-    kind = source.schema["d"].dataType.simpleString()
-    plain = spread_if_few(source, "d").mapInArrow(_features, f"d {kind}, t array<float>, m array<float>")
+    values = [f"v{i}" for i in range(len(metadata))]
+    source = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text"), *[
+        _meta_value(c, docs.schema[c].dataType).alias(v) for c, v in zip(metadata, values)])
+    made = T.StructType([source.schema["d"], *[source.schema[v] for v in values],
+                         T.StructField("t", T.ArrayType(T.FloatType()))])
+    plain = spread_if_few(source, "d").mapInArrow(_with_features, made)
     marks = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
-        F.col(doc_id).alias("label_id")).agg(F.min(F.col(label)).cast("int").alias("label"))
+        F.col(doc_id).alias("label_id")).agg((F.min(F.col(label)) == 1).cast("int").alias("label"))
     rows = stage(plain.join(marks, F.col("d") == F.col("label_id"), "left").select(
-        "d", "t", "m", "label", (F.pmod(F.xxhash64("d", F.lit(5)), F.lit(4)) == 0).alias("apart")
-    ).withColumn("apart", F.coalesce("apart", F.lit(False)) & F.col("label").isNotNull()), "cotrain-rows")
+        "d", *values, "t", "label",
+        ((F.pmod(F.xxhash64("d", F.lit(5)), F.lit(4)) == 0) & F.col("label").isNotNull()).alias("apart"),
+        (F.pmod(F.xxhash64("d", F.lit(17)), F.lit(1_000_003)) / 1_000_003.0).alias("u")), "cotrain-rows")
 
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect() if r["label"] is not None}
-    good, bad = counts.get(1, 0), sum(n for k, n in counts.items() if k != 1)
-    moments = _gather(rows, _moments)
-    views = {}
-    for name in ("t", "m"):
-        sums = moments.get(name, np.zeros(1))
-        n, d = max(sums[0], 1.0), (len(sums) - 1) // 2
-        mean = sums[1:1 + d] / n
-        views[name] = View(mean, np.sqrt(np.maximum(sums[1 + d:] / n - mean ** 2, 1e-8)))
+    good, bad = counts.get(1, 0), counts.get(0, 0)
     share = (good + 2) / (good + bad + 3)
     prior = float(np.log(share / (1 - share)))
-    if not good or not bad:
-        for view in views.values():
-            view.w[0] = prior
-    else:
-        teachers = None
-        for _ in range(rounds + 1):
+    d = len(SHAPES) + WORDS
+    view, weights, lines = TextView(np.zeros(d), np.ones(d)), None, [np.array([0.0, 1.0])] * 2
+    view.w[0] = prior
+    if good and bad:
+        sums = _total(rows.select("t"), _moments)
+        view.mean = sums[1:1 + d] / sums[0]
+        view.scale = np.sqrt(np.maximum(sums[1 + d:] / sums[0] - view.mean ** 2, 1e-8))
+        view.w[0] = 0.0
+        by_text = by_meta = None
+        for this in range(rounds + 1):
+            taught = rows.where("label is not null and not apart").select(
+                *values, F.col("label").cast("double").alias("y"), F.lit(1.0).alias("weight"))
+            if this:
+                by_text = Certain(_counted(_text_margins(rows, view, "label", "apart")), share)
+                by_meta = Certain(_counted(_with_metadata(rows, weights, values, prior).select(
+                    "label", "apart", F.col("m").alias("x"))), share)
+                if log is not None:
+                    log.append((by_text, by_meta))
+                taught = taught.unionByName(_certain_rows(rows, view, by_text, values))
+            met = _with_metadata(rows, weights, values, prior).select("t", "label", "apart", "u", "m")
             for _ in range(NEWTON_STEPS):
-                sums = _gather(rows, _training_sums(views, teachers))
-                for name, view in views.items():
-                    view.w = _step(view.w, sums[name], RIDGE)
-            teachers = {}
-            for name, view in views.items():
-                teachers[name] = copy = View(view.mean, view.scale)
-                copy.w = view.w.copy()
-        lines = {name: np.array([0.0, 1.0]) for name in views}
+                view.w = newton_move(view.w, _total(met, _training(view, by_meta)))
+            # The metadata view learns from the text view of the round before, as `taught` holds it.
+            weights = _fit_metadata(taught, values, share) if values else None
+        seen = _text_margins(_with_metadata(rows.where("apart"), weights, values, prior), view, "m", "label").select(
+            "x", "m", "label")
         for _ in range(NEWTON_STEPS):
-            sums = _gather(rows, _calibration_sums(views, lines))
-            for name in lines:
-                # Drawn towards the margin as it is where there is little to go by.
-                moved = sums[name].copy()
-                moved[1] += 1.0 * (1.0 - lines[name][1])
-                curve = moved[2:].reshape(2, 2) + np.diag([1e-3, 1.0])
-                lines[name] = lines[name] + np.clip(np.linalg.solve(curve, moved[:2]), -5, 5)
-        for name, view in views.items():
-            view.offset, view.slope = lines[name]
-    found = rows.select("d", "t", "m").mapInArrow(
-        _scored(views, prior), f"d {kind}, text_score double, meta_score double, score double")
-    return found.withColumnRenamed("d", doc_id)
+            sums = _total(seen, _calibration(lines))
+            if len(sums):
+                lines = [calibration_move(line, sums[6 * i:6 * i + 6]) for i, line in enumerate(lines)]
+    both = _text_margins(_with_metadata(rows, weights, values, prior), view, "d", "m")
+
+    def within(margin):
+        return F.greatest(F.lit(-30.0), F.least(F.lit(30.0), margin))
+
+    def chance(margin):
+        return 1 / (1 + F.exp(-margin))
+
+    t, m = (within(F.col(c) * float(line[1]) + float(line[0])) for c, line in zip(("x", "m"), lines))
+    return both.select(F.col("d").alias(doc_id), chance(t).alias("text_score"), chance(m).alias("meta_score"),
+                       chance(within(t + m - prior)).alias("score"))
+
+
+def _certain_rows(rows, view, certain, values):
+    """Values, label and weight of the unlabelled rows the text view is certain of."""
+    at = F.floor(F.col("x") / BIN)
+    sure = {label: (at > certain.cut[1] if label else at < certain.cut[0]) | (
+        (at == certain.cut[label]) & (F.col("u") < certain.part[1] if label else F.col("u") >= 1 - certain.part[0]))
+        for label in (0, 1)}
+    found = _text_margins(rows.where("label is null"), view, *values, "u")
+    return found.where(sure[0] | sure[1]).select(
+        *values, sure[1].cast("double").alias("y"),
+        F.when(sure[1], certain.weight[1]).otherwise(certain.weight[0]).alias("weight"))

@@ -91,6 +91,108 @@ def test_cotraining_on_rows_without_labels(spark):
     assert np.mean([s for i, s in zip(unseen, meta) if i % 5]) > 0.1 + np.mean([s for i, s in zip(unseen, meta) if not i % 5])
 
 
+def test_both_views_give_labels_of_both_classes(spark):
+    docs, labels = quality_table(spark)
+    log = []
+    quality_cotrain.score(docs, labels, log=log)
+    assert len(log) == quality_cotrain.ROUNDS
+    for both in log:
+        for certain in both:
+            # Of 200 unlabelled rows a quarter, dealt by the classes' shares.
+            assert abs(certain.given[1] - 40) < 3 and abs(certain.given[0] - 10) < 3
+            assert certain.weight[0] > 0.01 and certain.weight[1] > 0.01
+
+
+def plain_cotraining(rows, labels, unit, apart):
+    """The rounds, row by row: ids -> (text, metadata, both) scores."""
+    texts = quality_cotrain.text_features([r[1] for r in rows])
+    mean, scale = texts.mean(axis=0), np.sqrt(np.maximum(texts.var(axis=0), 1e-8))
+    xs = np.hstack([np.ones((len(rows), 1)), (texts - mean) / scale])
+    ids = [r[0] for r in rows]
+    values = [(str(r[2]), str(r[3]), int(np.floor(2 * np.log2(1 + r[4])))) for r in rows]
+    n_good = sum(labels.values())
+    share = (n_good + 2) / (len(labels) + 3)
+    prior = np.log(share / (1 - share))
+    learnt = [i for i in range(len(ids)) if ids[i] in labels and not apart[i]]
+    free = [i for i in range(len(ids)) if ids[i] not in labels]
+    kept = [i for i in range(len(ids)) if ids[i] in labels and apart[i]]
+    ridge = np.array([1e-3] + [1.0] * len(quality_cotrain.SHAPES) + [10.0] * quality_cotrain.WORDS)
+
+    def logistic(w, x, y, weight, ridge, towards):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = (x * (weight * (y - p))[:, None]).sum(axis=0) + ridge * (towards - w)
+        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(ridge)
+        return np.linalg.solve(curve, grad)
+
+    def certain(margin):
+        place = [int(np.floor(m / 0.01)) for m in margin]
+        out = {}
+        for label, chance in ((1, share), (0, 1 - share)):
+            sign = -1 if label else 1
+            wanted, n = 0.25 * chance * len(free), 0
+            for cut in sorted({place[i] for i in free}, key=lambda b: sign * b):
+                inside = sum(place[i] == cut for i in free)
+                part = min(1.0, (wanted - n) / inside)
+                n += inside
+                if n >= wanted:
+                    break
+            right = seen = 0.0
+            for i in kept:
+                w = part if place[i] == cut else float(sign * place[i] < sign * cut)
+                right, seen = right + w * (labels[ids[i]] == label), seen + w
+            rate = (right + 2 * chance) / (seen + 2)
+            weight = 0.3 * max(0.0, (rate - chance) / (1 - chance))
+            for i in free:
+                u = unit[i] if label else 1 - unit[i]
+                if sign * place[i] < sign * cut or (place[i] == cut and (u < part or (not label and u == part))):
+                    out.setdefault(i, (label, weight))
+        return out
+
+    w, odds, t, m, by_meta = np.zeros(xs.shape[1]), None, None, None, {}
+    for this in range(4):
+        taught = [(i, labels[ids[i]], 1.0) for i in learnt]
+        by_text = certain(t) if this else {}
+        by_meta = certain(m) if this else {}
+        for_text = taught + [(i, *g) for i, g in by_meta.items() if g[1] > 0]
+        for_meta = taught + [(i, *g) for i, g in by_text.items()]
+        at, y, weight = (np.array(c) for c in zip(*for_text))
+        for _ in range(4):
+            move = logistic(w, xs[at], y, weight, ridge, 0.0)
+            w = w + move * min(1.0, 5 / max(np.abs(move).max(), 1e-9))
+        counts = {}
+        for i, label, weighs in for_meta:
+            for j, value in enumerate(values[i]):
+                pair = counts.setdefault((j, value), [0.0, 0.0])
+                pair[label] += weighs
+        odds = {k: np.log((g + 10 * share) / (b + 10 * (1 - share))) - prior for k, (b, g) in counts.items()}
+        t = np.clip(xs @ w, -30, 30)
+        m = np.array([np.clip(prior + sum(odds.get(pair, 0.0) for pair in enumerate(v)), -30, 30) for v in values])
+    y = np.array([labels[ids[i]] for i in kept])
+    margins = []
+    for x in (t, m):
+        line = np.array([0.0, 1.0])
+        for _ in range(4):
+            own = np.column_stack([np.ones(len(kept)), x[kept]])
+            move = logistic(line, own, y, np.ones(len(y)), np.array([1e-3, 1.0]), np.array([line[0], 1.0]))
+            line = line + np.clip(move, -5, 5)
+        margins.append(np.clip(line[0] + line[1] * x, -30, 30))
+    margins.append(np.clip(margins[0] + margins[1] - prior, -30, 30))
+    return {i: tuple(float(1 / (1 + np.exp(-x[at]))) for x in margins) for at, i in enumerate(ids)}
+
+
+def test_cotraining_equals_a_plain_loop(spark):
+    docs, labels = quality_table(spark, 240)
+    rows = docs.withColumns({
+        "u": F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_003)) / 1_000_003.0,
+        "apart": F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0}).orderBy("doc_id").collect()
+    want = plain_cotraining([tuple(r)[:5] for r in rows], {r["doc_id"]: r["quality"] for r in labels.collect()},
+                            [r["u"] for r in rows], [r["apart"] for r in rows])
+    got = {r["doc_id"]: (r["text_score"], r["meta_score"], r["score"]) for r in quality_cotrain.score(docs, labels).collect()}
+    assert got.keys() == want.keys()
+    # Features are stored in single precision.
+    assert max(abs(a - b) for i in want for a, b in zip(got[i], want[i])) < 2e-3
+
+
 def test_cotraining_of_odd_tables(spark, empty):
     docs, labels = quality_table(spark, 60)
     odd = docs.unionByName(documents(spark, [None, "", "x", (0, "x")], first=900)).unionByName(
