@@ -111,7 +111,8 @@ def op10_unigram_count(spark, sf_dir):
     from docweave.llm.unigram_count import count_tokens, read_pieces
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return count_tokens(docs, read_pieces(public_tokenizers.path("piece_bpe_32k.model"))).select("doc_id", "n_tokens")
+    pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return count_tokens(docs, pieces, split=False).select("doc_id", "n_tokens")
 
 
 def with_repeats(docs, doc_id="doc_id", text="text"):

@@ -1,7 +1,8 @@
 """Count the tokens of a unigram vocabulary, without making them.
 
-Words (cut before each blank, blanks shown as a mark) are looked up in a table of those
-met before. For a new word, an Aho-Corasick automaton lists all vocabulary pieces that
+Words (cut before each run of blanks, blanks shown as marks; with `split` before each
+blank, as some tokenizers do first) are looked up in a table of those met before. Where
+the vocabulary has pieces that go on past such a cut, the text is one word. For a new word, an Aho-Corasick automaton lists all vocabulary pieces that
 end at each character, longest first, and a dynamic programme carries, for each
 position, the best score and its number of pieces. Ties go to the longest last piece,
 a character without a piece costs the lowest score less ten and counts as its UTF-8
@@ -11,13 +12,14 @@ which the tests compare.
 One pass over the scan, no shuffle. Memory: the vocabulary, the words remembered
 (`KNOWN_WORDS` at most) and the longest text.
 
-Defined cases: a null or empty text has 0 tokens; each blank of a run is a word of its
-own; repeated rows get a count each; other columns pass through (the result column
+Defined cases: a null or empty text has 0 tokens; pieces of several marks match runs of
+blanks, but with `split` each blank of a run is a word of its own; repeated rows get a count each; other columns pass through (the result column
 replaces one of its name); an empty table gives an empty table.
 """
 
 import gc
 import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +36,8 @@ BYTE_PIECE = "<0x{:02X}>"
 
 KNOWN_WORDS = 500_000
 
+_RUN_AND_WORD = re.compile(f"{MARK}+[^{MARK}]*")
+
 
 def read_pieces(path):
     """(piece, score) of a sentencepiece file, in the order of ids.
@@ -50,7 +54,7 @@ def read_pieces(path):
 class Counter:
     """Counts tokens of words, with those met before; kept by a task."""
 
-    def __init__(self, pieces, known_words=KNOWN_WORDS):
+    def __init__(self, pieces, known_words=KNOWN_WORDS, split=True):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
@@ -64,6 +68,10 @@ class Counter:
         self.unknown = min(scores.values()) - UNKNOWN_PENALTY
         self.by_bytes = all(BYTE_PIECE.format(b) in scores for b in range(256))
         self.known, self.known_words = {}, known_words
+        self.split = split
+        # No best segmentation crosses the start of a run of marks: none of its pieces does,
+        # and a mark is never an unknown character that could merge with the one before.
+        self.cut = MARK in scores and not any(MARK in piece.lstrip(MARK) for piece in scores)
 
     def pieces(self, word):
         """Number of pieces of the best segmentation."""
@@ -105,9 +113,17 @@ class Counter:
     def count(self, text):
         if not text:
             return 0
-        words = text.replace(MARK, " ").split(" ")
-        if not words[0]:
-            del words[0]
+        text = text.replace(MARK, " ")
+        if not self.split and not self.cut:
+            text = text.replace(" ", MARK)
+            return self.pieces(text if text[0] == MARK else MARK + text)
+        if self.split or "  " not in text:
+            words = text.split(" ")
+            if not words[0]:
+                del words[0]
+        else:
+            marked = text.replace(" ", MARK)
+            words = [run[1:] for run in _RUN_AND_WORD.findall(marked if marked[0] == MARK else MARK + marked)]
         known = self.known
         for word in set(words).difference(known):
             known[word] = self.pieces(MARK + word)
@@ -117,10 +133,10 @@ class Counter:
         return total
 
 
-def _counts(pieces, position, width):
+def _counts(pieces, split, position, width):
     def run(batches):
         gc.disable()  # no cycles arise, and looking for them among the words takes long
-        counter = Counter(pieces.value)
+        counter = Counter(pieces.value, split=split)
         for batch in batches:
             found = [counter.count(value.as_py()) for value in batch.column(position)]
             arrays = [batch.column(i) for i in range(width)] + [pa.array(found, pa.int64())]
@@ -128,11 +144,12 @@ def _counts(pieces, position, width):
     return run
 
 
-def count_tokens(docs: DataFrame, pieces, text="text", out="n_tokens", key="doc_id") -> DataFrame:
+def count_tokens(docs: DataFrame, pieces, text="text", out="n_tokens", key="doc_id", split=True) -> DataFrame:
     """`docs` with the number of tokens of each whole text.
 
-    `pieces` is a list of (piece, score), of the size of a vocabulary.
+    `pieces` is a list of (piece, score), of the size of a vocabulary. With `split` (the
+    way of tokenizers that cut at every blank first), pieces of several marks never match.
     """
     shared = docs.sparkSession.sparkContext.broadcast(list(pieces))
     made = T.StructType([T.StructField(out, T.LongType())])
-    return map_column(spread_if_few(docs, key), made, lambda at, n: _counts(shared, at, n), text)
+    return map_column(spread_if_few(docs, key), made, lambda at, n: _counts(shared, split, at, n), text)

@@ -69,9 +69,9 @@ def test_digests_keep_other_columns(spark, empty):
     assert bpe.token_digests(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
-def reference(pieces, by_bytes):
+def reference(pieces, by_bytes, split=True):
     made = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=by_bytes))
-    made.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=True)
+    made.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=split)
     return lambda text: len(made.encode(text, add_special_tokens=False).ids)
 
 
@@ -84,6 +84,21 @@ def test_counts_match_the_library():
             assert counter.count(text) == (count(text) if text else 0), text
 
 
+def test_runs_of_blanks_match_the_library(spark):
+    pieces = read_pieces(PIECES)
+    assert any(piece.startswith("▁▁") for piece, _ in pieces)
+    code = ["def f(x):\n    if x:\n        return  x\n", "a" + " " * 16 + "b", " " * 5, "    a", "a   ", " ▁ x", "a  " * 200]
+    across = [*pieces, ("e▁t", -3.0), ("▁two▁▁b", -4.0)]
+    no_mark = [("<unk>", 0.0), *[(p, s) for p, s in pieces[400:6000] if "▁" not in p]]
+    for vocabulary, by_bytes in ((pieces, True), (across, True), (no_mark, False)):
+        count, counter = reference(vocabulary, by_bytes, False), Counter(vocabulary, known_words=30, split=False)
+        for text in TEXTS + code:
+            assert counter.count(text) == (count(text) if text else 0), text
+    count = reference(pieces, True, False)
+    got = count_tokens(documents(spark, code), pieces, split=False).orderBy("doc_id").collect()
+    assert [r["n_tokens"] for r in got] == [count(t) for t in code]
+
+
 def test_counts_in_spark(spark, empty):
     pieces = read_pieces(PIECES)
     count = reference(pieces, True)
