@@ -4,6 +4,12 @@ Plain parquet tables cannot be changed in place, and writing a whole table anew
 for a few changed rows does not scale. So each batch appends its changed rows
 and deleted keys, and readers see the base, less the changed keys, plus the
 newest change of each key. One commit entry per batch covers all its tables.
+
+Folding rewrites only what changed. A base consists of places: a hash of the partition
+columns and one of the key give a row its place, so a table without partition columns and
+a partition that holds most rows are divided too. A fold writes a new version of the
+places with changes and a list of the version that counts for each place; versions are
+never overwritten, so readers and failed folds see whole tables.
 """
 
 from pyspark.errors import AnalysisException
@@ -29,6 +35,18 @@ def _among(rows, wanted, keys):
     return rows.join(other, [F.col(k).eqNullSafe(F.col(f"_wanted_{k}")) for k in keys], "left_semi")
 
 
+#: Places of a base: by the partition columns, by the key. Their product is the length of
+#: a base's list, whatever the size of the table.
+PLACE_GROUPS, PLACES_PER_GROUP = 64, 8
+
+
+def _place(keys, parts):
+    """Number of the place of a row."""
+    inner = F.pmod(F.xxhash64(*keys), F.lit(PLACES_PER_GROUP))
+    outer = F.pmod(F.xxhash64(*parts), F.lit(PLACE_GROUPS)) if parts else F.lit(0)
+    return (outer * PLACES_PER_GROUP + inner).cast("int")
+
+
 class ChangeLog:
     """Tables under one folder, each given as name -> (schema, key columns[,
     partition columns]).
@@ -39,6 +57,9 @@ class ChangeLog:
     def __init__(self, spark: SparkSession, root: str, tables):
         self.spark, self.root = spark, root.rstrip("/")
         self.tables = {name: (*spec, []) if len(spec) == 2 else tuple(spec) for name, spec in tables.items()}
+        for name, (_, keys, parts) in self.tables.items():
+            if not set(parts) <= set(keys):
+                raise ValueError(f"partition columns of {name} must be key columns")
 
     def _read(self, kind, name, schema):
         try:
@@ -48,9 +69,9 @@ class ChangeLog:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _write(self, kind, name, batch_id, rows):
+    def _write(self, kind, name, batch_id, rows, *more):
         """Files of even size; a partition value with most rows is split over many."""
-        places = self.tables[name][2]
+        places = [*more, *self.tables[name][2]]
         if places:
             rows = rows.hint("rebalance", *[F.col(c) for c in places])
         rows.write.mode("overwrite").partitionBy(*places).parquet(
@@ -94,16 +115,38 @@ class ChangeLog:
     def current(self, name: str, wanted: DataFrame | None = None) -> DataFrame:
         """The table as of the last published batch; with `wanted` (columns of the key),
         only the rows that agree with it, picked before anything is sorted."""
-        schema, keys, _ = self.tables[name]
-        logged = T.StructType([*schema.fields, *_LOG_FIELDS])
         base_id, last_id = self._last("base"), self.last_batch()
+        return self._folded(name, self._log(name, base_id, last_id), base_id, wanted)
+
+    def _log(self, name, base_id, last_id):
+        """Published changes since the base."""
+        logged = T.StructType([*self.tables[name][0].fields, *_LOG_FIELDS])
         log = self._read("changes", name, logged).where(F.col("batch_id") <= F.lit(-1 if last_id is None else last_id))
-        base = None
-        if base_id is not None:
-            log = log.where(F.col("batch_id") > base_id)
-            stored = T.StructType([*schema.fields, _LOG_FIELDS[1]])
-            base = (self._read("base", name, stored).where(F.col("batch_id") == base_id)
-                    .select(*schema.names))
+        return log if base_id is None else log.where(F.col("batch_id") > base_id)
+
+    def _versions(self, name, base_id):
+        """{place: version} of a base."""
+        if base_id is None:
+            return {}
+        listed = self._read("places", name, "place int, version long, batch_id long").where(F.col("batch_id") == base_id)
+        return {r["place"]: r["version"] for r in listed.collect()}
+
+    def _base(self, name, base_id, places=None):
+        """The rows of a base, or of some of its places."""
+        schema = self.tables[name][0]
+        by_version = {}
+        for place, version in self._versions(name, base_id).items():
+            if places is None or place in places:
+                by_version.setdefault(version, []).append(place)
+        chosen = F.lit(False)
+        for version, own in sorted(by_version.items()):
+            chosen = chosen | ((F.col("batch_id") == version) & F.col("_place").isin(sorted(own)))
+        stored = T.StructType([*schema.fields, T.StructField("_place", T.IntegerType()), _LOG_FIELDS[1]])
+        return self._read("base", name, stored).where(chosen).select(*schema.names)
+
+    def _folded(self, name, log, base_id, wanted=None, places=None):
+        schema, keys, _ = self.tables[name]
+        base = None if base_id is None else self._base(name, base_id, places)
         if wanted is not None:
             picked = [c for c in keys if c in wanted.columns]
             log = _among(log, wanted, picked)
@@ -116,11 +159,38 @@ class ChangeLog:
         return _without(base, log.select(*keys), keys).unionByName(latest)
 
     def compact(self) -> None:
-        """Fold the changes into a new base. Older bases and changes stay on disk,
-        unread, until the owner of the folder removes them."""
-        last = self.last_batch()
-        if last is None or self._last("base") == last:
+        """Fold the changes into the places they touch. What is no longer read stays on
+        disk until `remove_unread`. A fold that fails is repeated by the next one."""
+        base_id, last = self._last("base"), self.last_batch()
+        if last is None or base_id == last:
             return
-        for name in self.tables:
-            self._write("base", name, last, self.current(name))
+        for name, (_, keys, parts) in self.tables.items():
+            log, place = self._log(name, base_id, last), _place(keys, parts)
+            touched = {r[0] for r in log.select(place.alias("place")).distinct().collect()}
+            if touched:
+                rows = self._folded(name, log, base_id, places=touched)
+                self._write("base", name, last, rows.withColumn("_place", place), "_place")
+            versions = {**self._versions(name, base_id), **dict.fromkeys(touched, last)}
+            listed = self.spark.createDataFrame(sorted(versions.items()), "place int, version long")
+            listed.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/places/{name}/batch_id={last}")
         self._commit("base", last)
+
+    def remove_unread(self) -> None:
+        """Delete changes that are folded and versions of which no place is read any more.
+        For a time when nothing reads a state of before the last fold."""
+        base_id = self._last("base")
+        if base_id is None:
+            return
+        for name in self.tables:
+            read = set(self._versions(name, base_id).values())
+            self._remove("changes", name, lambda batch: batch <= base_id)
+            self._remove("base", name, lambda batch: batch <= base_id and batch not in read)
+            self._remove("places", name, lambda batch: batch < base_id)
+
+    def _remove(self, kind, name, unread):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/{name}")
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for entry in system.listStatus(folder) if system.exists(folder) else []:
+            label, _, batch = entry.getPath().getName().partition("=")
+            if label == "batch_id" and unread(int(batch)):
+                system.delete(entry.getPath(), True)

@@ -137,6 +137,83 @@ def test_change_log(spark, tmp_path):
     assert set(rows(log_of(spark, tmp_path).current("t"))) == {("a", "2"), ("d", "3"), (None, "3")}
 
 
+def parquet_files(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_a_fold_rewrites_only_what_changed(spark, tmp_path):
+    schema = "k string, n string, v string"
+    log = ChangeLog(spark, str(tmp_path), {"t": (spark.createDataFrame([], schema).schema, ["n", "k"], ["n"])})
+    data = {(f"k{i}", f"a{i % 4}" if i % 7 else None): "0" for i in range(200)}
+
+    def publish(batch, changed, gone=()):
+        data.update(dict.fromkeys(changed, str(batch)))
+        for key in gone:
+            del data[key]
+        upserts = spark.createDataFrame([(k, n, str(batch)) for k, n in changed], schema)
+        assert log.publish(batch, {"t": (upserts, spark.createDataFrame(list(gone), "k string, n string") if gone else None)})
+
+    def check():
+        assert set(rows(log.current("t"))) == {(k, n, v) for (k, n), v in data.items()}
+
+    publish(0, list(data))
+    log.compact()
+    before = parquet_files(tmp_path / "base")
+    # One namespace changes: a new key, a changed one, and all that another place held go.
+    n1 = [key for key in data if key[1] == "a1"]
+    publish(1, [("new", "a1"), n1[0]], n1[1:])
+    check()
+    log.compact()
+    check()
+    after = parquet_files(tmp_path / "base")
+    assert all(after[f] == t for f, t in before.items())
+    added = set(after) - set(before)
+    assert added and all("/n=a1/" in f for f in added)
+    # A table without changes is not written; only the list of its places is.
+    publish(2, [("x", None)], [("new", "a1"), n1[0]])
+    log.compact()
+    check()
+    assert len(set(parquet_files(tmp_path / "base")) - set(after)) == 1
+    publish(3, [])
+    log.compact()
+    assert len(parquet_files(tmp_path / "base")) == len(after) + 1
+    check()
+    # Nothing of namespace a1 is left, so the version that held its rows can go.
+    log.remove_unread()
+    assert not parquet_files(tmp_path / "changes")
+    check()
+    # Once all places have a newer version, the first one goes.
+    assert any("/batch_id=0/" in f for f in parquet_files(tmp_path / "base"))
+    publish(4, list(data))
+    log.compact()
+    log.remove_unread()
+    check()
+    left = parquet_files(tmp_path / "base")
+    assert left and not any("/batch_id=0/" in f for f in left)
+
+
+def test_a_failed_fold_leaves_the_tables(spark, tmp_path, monkeypatch):
+    log = log_of(spark, tmp_path)
+    frame = lambda *data: spark.createDataFrame(list(data), KV)
+    log.publish(0, {"t": (frame(*[(f"k{i}", "0") for i in range(50)]), None)})
+    log.compact()
+    log.publish(1, {"t": (frame(("k1", "1")), spark.createDataFrame([("k2",)], "k string"))})
+    want = set(rows(log.current("t")))
+    with monkeypatch.context() as broken:
+        broken.setattr(ChangeLog, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            log.compact()
+    assert set(rows(log.current("t"))) == want and len(want) == 49
+    log.publish(2, {"t": (frame(("k3", "2")), None)})
+    log.compact()
+    assert set(rows(log.current("t"))) == {(k, "2" if k == "k3" else v) for k, v in want}
+
+
+def test_partition_columns_are_part_of_the_key(spark, tmp_path):
+    with pytest.raises(ValueError, match="key columns"):
+        ChangeLog(spark, str(tmp_path), {"t": (spark.createDataFrame([], "k string, n string").schema, ["k"], ["n"])})
+
+
 def test_failed_publish_changes_no_table(spark, tmp_path):
     log = log_of(spark, tmp_path)
     good = spark.createDataFrame([("a", "1")], KV)
