@@ -187,7 +187,8 @@ def _sums(values):
 def _total(rows, function):
     """Sums over all tasks, added in the cluster."""
     flat = rows.mapInArrow(function, "sums array<double>").select(F.posexplode("sums").alias("at", "x"))
-    return flat.groupBy("at").agg(F.sum("x").alias("x")).orderBy("at").toPandas()["x"].to_numpy()
+    table = flat.groupBy("at").agg(F.sum("x").alias("x")).toPandas()
+    return table.sort_values("at")["x"].to_numpy()
 
 
 def _moments(batches):
