@@ -27,22 +27,23 @@ def _small_star(edges):
     return tied.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _print(edges):
-    return tuple(edges.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges):
+    """Whether every node hangs on one root, and no root hangs on another."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("roots")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("roots")))).alias("end")).select("end.*")
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("roots").alias("roots"))
+    return (nodes.agg(F.max(F.col("hangs") + F.col("roots"))).first()[0] or 1) == 1
 
 
 def connected_components(edges: DataFrame, u="u", v="v") -> DataFrame:
     """(node, component) for every node that has an edge to another; the component is
-    its smallest node. Repeated edges, loops and both directions are fine."""
+    its smallest node. Repeated edges, loops and both directions are fine. The edges are
+    read several times: pass a written table."""
     larger, smaller = F.greatest(F.col(u), F.col(v)), F.least(F.col(u), F.col(v))
-    now = stage(edges.where(F.col(u) != F.col(v)).select(larger.alias("u"), smaller.alias("v")).distinct(), "edges")
-    mark = _print(now)
-    while mark[0]:
+    now = edges.where(F.col(u) != F.col(v)).select(larger.alias("u"), smaller.alias("v"))
+    while not _settled(now):
         now = stage(_small_star(_large_star(now)), "edges")
-        new = _print(now)
-        if new == mark:
-            break
-        mark = new
     # Now each node hangs on its root.
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

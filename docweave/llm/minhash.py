@@ -41,8 +41,8 @@ MISS = 1e-7
 #: Pairs in open buckets, per class in a bucket, up to which all of them are tested.
 LEFT_PER_CLASS = 0.5
 #: Otherwise members first meet so many of their bucket's largest component, in so many rounds.
-STARS = 8
-STAR_ROUNDS = 4
+STARS = 16
+STAR_ROUNDS = 2
 #: The largest component of a bucket counts for this if the bucket holds so many of it.
 LARGE = 32
 #: Ids up to which they are sent to the tasks that read the texts again (8 bytes each);
@@ -287,16 +287,17 @@ def _judged(docs, words, numerator, denominator, doc_id="doc_id", text="text", m
     sets = stage(again.join(needed, ["d", "s1", "s2"]).dropDuplicates(["c"]).select("c", "shingles"), "minhash-sets")
 
     alike = _Links(signatures, sets, numerator, denominator, least_agreement(numerator / denominator, rows * bands))
-    links = found = None
+    found = None
 
     def settle(pairs):
-        nonlocal links, found
+        nonlocal found
         more = stage(alike.confirm(pairs.select(F.col("pivot").alias("u"), F.col("c").alias("v"))), "minhash-links")
-        if not more.isEmpty():
-            links = more if links is None else links.union(more)
-            found = stage(connected_components(links), "minhash-components")
-            return True
-        return False
+        if more.isEmpty():
+            return False
+        # The components so far stand for the links that made them.
+        links = more if found is None else found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)
+        found = stage(connected_components(links), "minhash-components")
+        return True
 
     settle(buckets.where("c <> pivot").groupBy("c").agg(F.min("pivot").alias("pivot")))
     settle(_apart(buckets, found))
