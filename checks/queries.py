@@ -431,6 +431,12 @@ def file_etl_outcomes(spark, sf):
     return _etl(spark, sf).outcomes
 
 
+def outcome_counts(spark, sf):
+    """Counts observed while the outcomes were written."""
+    counts = _etl(spark, sf).counts
+    return spark.createDataFrame(list(counts.items()), "outcome string, files bigint")
+
+
 # User functions, files and streams ---------------------------------------------
 
 def _place(spark, name):
@@ -596,7 +602,7 @@ QUERIES = {f.__name__: f for f in (
     batches_per_category, batches_global, chunk_stats, chunk_conservation, chunk_ids, hash_embedding,
     filtered_search, topk_single, knn_join, vector_upsert, vector_delete, vector_update,
     namespace_delete, collection_delete, sync_classify, method_upsert, sync_old_ids, sync_documents,
-    method_sync, file_etl, file_etl_outcomes)}
+    method_sync, file_etl, file_etl_outcomes, outcome_counts)}
 QUERIES["metric_dot"] = partial(_metric, DOT)
 QUERIES["metric_cosine"] = partial(_metric, COSINE)
 QUERIES["metric_l2"] = partial(_metric, L2)

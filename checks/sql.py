@@ -443,3 +443,9 @@ ORACLE = {
         first=DOC_CHUNKS),
 }
 ORACLE["replayed_batch"] = ORACLE["method_stream"]
+ORACLE["outcome_counts"] = f"""
+    SELECT outcome, files FROM (
+        UNPIVOT (SELECT count(*) FILTER (error IS NULL) AS ok, count(*) FILTER (error IS NOT NULL) AS failed,
+                        count(*) FILTER (stage = 'read') AS failed_read, count(*) FILTER (stage = 'split') AS failed_split,
+                        count(*) FILTER (stage = 'embed') AS failed_embed
+                 FROM ({ORACLE["file_etl_outcomes"]})) ON COLUMNS(*) INTO NAME outcome VALUE files)"""

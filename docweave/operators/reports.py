@@ -4,7 +4,7 @@ All are aggregates with a partial step before the shuffle, so a category or
 namespace that holds most rows still arrives as one row per task.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docweave.functions.names import log_key
@@ -54,6 +54,22 @@ def failure_messages(outcomes: DataFrame) -> DataFrame:
     return failed.groupBy("category", "error").agg(_rows().alias("files"))
 
 
+# Where a file can fail.
+STAGES = ("read", "split", "embed")
+
+
+def observed_outcomes(outcomes: DataFrame):
+    """(outcomes, observation): `outcomes` has one row per file, with error and stage.
+
+    The first action on the rows counts them on the way (`observation.get`: ok, failed,
+    and failed_<stage> for each stage), without a job or a scan of its own. Counted
+    where the rows leave the plan, so a task that is run again counts once.
+    """
+    seen, bad = Observation(), F.col("error").isNotNull()
+    counts = {"ok": ~bad, "failed": bad, **{f"failed_{s}": bad & (F.col("stage") == s) for s in STAGES}}
+    return outcomes.observe(seen, *[F.count(F.when(which, 1)).alias(name) for name, which in counts.items()]), seen
+
+
 def failed_files(outcomes: DataFrame) -> DataFrame:
     return outcomes.where("error is not null").select("file_id").distinct()
 

@@ -10,6 +10,7 @@ from docweave.functions.maps import record_map
 from docweave.functions.names import collection_of, log_time, namespace_of, stable_uuid
 from docweave.operators.chunking import chunks_of
 from docweave.operators.embedding import DIMENSION, embedder
+from docweave.operators.reports import observed_outcomes
 from docweave.schemas import DEFAULT_NAMESPACE, FILE_METADATA
 from docweave.session import spread, stage
 from docweave.sources.files import attach_bytes, file_documents, load_documents, stored_documents
@@ -23,11 +24,13 @@ class FileEtl:
     """`vectors` to write; `outcomes`, one row per file: file_id, category,
     full_path, documents, chunks, stage and error (null when the file went well);
     `stored`, one row per document of a good file: full_path, doc_no, namespace and
-    chunks, which give its chunk ids; `places`, the namespaces written to."""
+    chunks, which give its chunk ids; `places`, the namespaces written to; `counts`, the
+    numbers of files that went well and that failed (see `reports.observed_outcomes`)."""
 
     vectors: DataFrame
     outcomes: DataFrame
     stored: DataFrame
+    counts: dict
 
     @property
     def places(self) -> DataFrame:
@@ -135,10 +138,11 @@ def process_documents(documents: DataFrame, model_factory=None, dim=DIMENSION, s
         (F.max("doc_no") + 1).cast("bigint").alias("documents"), F.count("content").alias("chunks"),
         F.min(F.when(F.col("error").isNotNull(), F.struct("stage", "error"))).alias("_worst"))
     blank = F.col("_worst").isNull() & (F.col("chunks") == 0)
-    files_done = stage(per_file.select(
+    files_done, seen = observed_outcomes(per_file.select(
         "file_id", "category", "full_path", "namespace", "documents", "chunks",
         F.when(blank, "split").otherwise(F.col("_worst.stage")).alias("stage"),
-        F.when(blank, "no text in file").otherwise(F.col("_worst.error")).alias("error")), "outcomes")
+        F.when(blank, "no text in file").otherwise(F.col("_worst.error")).alias("error")))
+    files_done = stage(files_done, "outcomes")
 
     # Written apart, so that its true (small) size decides the join below.
     failed = stage(files_done.where("error is not null").select(
@@ -150,7 +154,7 @@ def process_documents(documents: DataFrame, model_factory=None, dim=DIMENSION, s
         F.count(F.lit(1)).alias("chunks"))
     return FileEtl(
         vectors, files_done.select("file_id", "category", "full_path", "documents", "chunks", "stage", "error"),
-        stored)
+        stored, seen.get)
 
 
 def chunk_key(path, doc_no, chunk_no):

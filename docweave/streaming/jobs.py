@@ -44,11 +44,12 @@ def method_tables(spark, root) -> ChangeLog:
 
 
 def apply_file_messages(messages: DataFrame, batch_id: int, log: ChangeLog, files: DataFrame,
-                        root: str, **options) -> bool:
+                        root: str, on_counts=None, **options) -> bool:
     """One micro-batch of file messages: check, read, split, embed and publish the files,
     and register the collections written to.
 
     Records that break a rule become failure rows; their files are not read.
+    `on_counts(batch_id, counts)` is told how many files of a published batch went well.
     """
     last = log.last_batch()
     if last is not None and batch_id <= last:
@@ -65,6 +66,8 @@ def apply_file_messages(messages: DataFrame, batch_id: int, log: ChangeLog, file
         published = log.publish(batch_id, {
             "vectors": (done.vectors, replaced_chunks(before, stored)), "outcomes": (done.outcomes, None),
             "stored": (stored, before.select("full_path", "doc_no")), "collections": (made, None)})
+        if published and on_counts is not None:
+            on_counts(batch_id, done.counts)
         if published and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
             log.compact()
         return published

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
+from docweave.operators.reports import failure_counts, observed_outcomes
 from docweave.plans.changelog import ChangeLog
 from docweave.plans.file_etl import load_vectors, process_files, replaced_chunks, run_file_etl
 from docweave.plans.method_sync import sync_methods
@@ -63,6 +64,33 @@ def test_file_etl_isolates_failures(spark, tmp_path):
     assert again.vectors.first().namespace == "team_docs"
 
 
+def test_outcomes_are_counted_on_the_way(spark, tmp_path):
+    for name in ("a.txt", "b.txt"):
+        put(tmp_path, f"in/{name}", "word " * 50)
+    put(tmp_path, "in/c.txt", " ")
+    catalogue = file_table(spark, "a.txt", "b.txt", "c.txt", "d.txt", "e.pdf")
+    log, told = file_tables(spark, str(tmp_path / "tables")), []
+    for _ in range(2):  # a batch that is run again is not published, nor counted
+        apply_file_messages(messages(spark, "f0,f1,f2,f3"), 0, log, catalogue, str(tmp_path),
+                            on_counts=lambda *seen: told.append(seen), dim=4)
+    assert told == [(0, {"ok": 2, "failed": 2, "failed_read": 1, "failed_split": 1, "failed_embed": 0})]
+    report = failure_counts(log.current("outcomes")).agg(F.sum("ok"), F.sum("failed")).first()
+    assert tuple(report) == (2, 2)
+    nothing = run_file_etl(catalogue.where("file_id = 'none'"), str(tmp_path), dim=4)
+    assert nothing.counts["ok"] == nothing.counts["failed"] == 0
+
+
+def test_counting_adds_no_scan(spark, tmp_path):
+    frame = spark.createDataFrame([("1", None, None), ("2", "boom", "read")], "file_id string, error string, stage string")
+    outcomes, seen = observed_outcomes(frame.repartition(3))
+    assert "CollectMetrics" in plan(outcomes)
+    outcomes.write.parquet(str(tmp_path / "outcomes"))
+    spark.sparkContext.setJobGroup("counting", "")
+    assert seen.get == {"ok": 1, "failed": 1, "failed_read": 1, "failed_split": 0, "failed_embed": 0}
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("counting")
+    spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_file_etl_one_file_with_most_of_the_text(spark):
     big = "\n".join(f"line {i} " + "x" * 80 for i in range(4000))
     data = file_table(spark, "big.txt", *[f"s{i}.txt" for i in range(20)])
