@@ -11,13 +11,14 @@
    rest is confirmed on the full sets. Confirmed links make components. A pair that is not
    tested then lies in a bucket of three or more classes that holds several components.
    If such buckets have few pairs, all are tested. Else each member outside its bucket's
-   largest component meets some of that component, in a few rounds, and then the members
+   largest component meets some of that component, and then the members
    are paired by prefixes: two sets that are alike enough
    share one of their rarest shingles, |A| - ceil(t * |A|) + 1 of each (any one order of
    shingles will do; rare is what few of these sets hold). The shingles of a common
    passage are frequent and in no prefix, so unlike texts that share it do not meet.
-   Sizes tell more pairs off, and places: of the first shared shingle on, the rest of both
-   sets must suffice. No pair that is alike is lost here.
+   Sizes tell more pairs off, and places, and the number of shingles that two prefixes
+   share: with the rest of the set whose prefix ends first it must suffice. No pair that is
+   alike is lost here.
 5. Components by alternating large-star and small-star.
 
 Defined cases: a text without words is linked with nothing; a text of fewer words than
@@ -42,7 +43,7 @@ MISS = 1e-7
 LEFT_PER_CLASS = 0.5
 #: Otherwise members first meet so many of their bucket's largest component, in so many rounds.
 STARS = 16
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 #: The largest component of a bucket counts for this if the bucket holds so many of it.
 LARGE = 32
 #: Ids up to which they are sent to the tasks that read the texts again (8 bytes each);
@@ -193,21 +194,23 @@ def _rarest(counters, numerator, denominator):
         often = counters.value
         shift = np.uint64(64 - COUNTER_BITS)
         for batch in batches:
-            parts, places, sizes = [], [], []
+            parts, places, sizes, rests = [], [], [], []
             for row in batch.column(2):
                 held = row.values.to_numpy().view(np.uint64)
                 n = len(held) - (numerator * len(held) + denominator - 1) // denominator + 1
                 parts.append(held[np.lexsort((held, often[(held >> shift).astype(np.int64)]))[:n]])
                 places.append(np.arange(len(parts[-1])))
                 sizes.append(len(held))
+                rests.append(len(held) - n)
             counts = [len(part) for part in parts]
             if not sum(counts):
                 continue
             of = np.repeat(np.arange(len(counts)), counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(parts).view(np.int64)), batch.column(0).take(pa.array(of)),
-                 batch.column(1).take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.array(sizes)[of])],
-                names=["shingle", "c", "component", "place", "size"])
+                 batch.column(1).take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.array(sizes)[of]),
+                 pa.array(np.array(rests)[of])],
+                names=["shingle", "c", "component", "place", "size", "rest"])
     return run
 
 
@@ -222,22 +225,30 @@ def _prefix_pairs(sets, found, numerator, denominator):
     counters = spark.sparkContext.broadcast(often)
     tied = _with_component(sets, found) if found is not None else sets.withColumn("component", F.col("c"))
     rows = stage(tied.select("c", "component", "shingles").mapInArrow(
-        _rarest(counters, numerator, denominator), "shingle long, c long, component long, place long, size long"), "minhash-prefixes")
+        _rarest(counters, numerator, denominator), "shingle long, c long, component long, place long, size long, rest long"), "minhash-prefixes")
     # The largest component of a shingle is not paired with itself.
     parts = rows.groupBy("shingle", "component").agg(F.count("*").alias("n"))
     mains = parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
     mains = stage(mains.where("parts > 1").select("shingle", "main"), "minhash-mains")
     all_ = stage(rows.join(mains, "shingle"), "minhash-met")
-    some = all_.where("component <> main").select("shingle", *[F.col(x).alias(f"{x}_") for x in ("c", "component", "place", "size")])
+    some = all_.where("component <> main").select("shingle", *[F.col(x).alias(f"{x}_") for x in ("c", "component", "place", "size", "rest")])
     # Pairs outside the main component come from either side: one is enough.
     once = (F.col("component") == F.col("main")) | (F.col("c") < F.col("c_"))
     sizes = F.col("size") + F.col("size_")
     fits = F.least("size", "size_") * denominator >= F.greatest("size", "size_") * numerator
-    # At their first shared shingle two sets have at most this in common.
-    common = F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
-    met = all_.join(some, "shingle").where((F.col("component") != F.col("component_")) & once & fits & (
-        common * (numerator + denominator) >= sizes * numerator))
-    return met.select(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).distinct()
+
+    def enough(common):
+        return common * (numerator + denominator) >= sizes * numerator
+
+    # Of any shared shingle on, and before it, two sets have at most this in common.
+    possible = F.least("place", "place_") + F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
+    met = all_.join(some, "shingle").where(
+        (F.col("component") != F.col("component_")) & once & fits & enough(possible))
+    # What two prefixes share is met once a shingle. A shared shingle that is not in both
+    # lies behind the prefix that ends first.
+    pairs = met.groupBy(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).agg(
+        F.count("*").alias("shared"), F.first(sizes).alias("sizes"), F.first(F.greatest("rest", "rest_")).alias("rest"))
+    return pairs.where((F.col("shared") + F.col("rest")) * (numerator + denominator) >= F.col("sizes") * numerator).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc_id="doc_id", text="text",
