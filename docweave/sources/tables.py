@@ -1,10 +1,18 @@
 """Relational reads and the plain writers."""
 
+import os
+import re
+import uuid
+from itertools import groupby
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.operators.selection import require_positive, require_text
 from docweave.schemas import METHOD_RECORD
+from docweave.session import spread_if_few
 
 
 def query(spark: SparkSession, sql: str, **parameters) -> DataFrame:
@@ -64,4 +72,45 @@ def export_texts(methods: DataFrame, path: str, max_methods=None) -> None:
     require_text(path, "path")
     if max_methods is not None and methods.select("method_id").distinct().limit(max_methods + 1).count() > max_methods:
         raise ValueError(f"text export is for at most {max_methods} methods")
-    methods.select("method_id", F.col("content").alias("value")).write.partitionBy("method_id").text(path)
+    rows = methods.select("method_id", F.col("content").alias("value"))
+    place = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration())
+    if system.getScheme() != "file":
+        rows.write.partitionBy("method_id").text(path)
+        return
+    # Into a shared folder the tasks write the same files themselves: Spark's writer starts
+    # a process or two for each file there, and moves all of them at the end.
+    rows.limit(0).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("method_id").text(path)
+    named = rows.select(F.col("method_id").cast("string").alias("method_id"), F.col("value").cast("binary").alias("value"))
+    shared = spread_if_few(named, "method_id").sortWithinPartitions("method_id")
+    shared.mapInArrow(_text_files(place.toUri().getPath()), "files long").agg(F.sum("files")).collect()
+    system.create(rows.sparkSession._jvm.org.apache.hadoop.fs.Path(place, "_SUCCESS")).close()
+
+
+def _folder(value):
+    """Name of the folder of a partition value, as Spark writes and reads it."""
+    if not value:
+        return "method_id=__HIVE_DEFAULT_PARTITION__"
+    return "method_id=" + re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda c: f"%{ord(c[0]):02X}", value)
+
+
+def _text_files(root):
+    """method_id, value (sorted by method_id) -> a file for each method of the task, put in
+    its place when it is whole; a task that is run again puts the same files there."""
+    def run(batches):
+        name = f"part-{TaskContext.get().partitionId():05d}.txt"
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        count = 0
+        # No id and an empty one share a folder, and follow each other.
+        for named, own in groupby(rows, lambda row: _folder(row[0])):
+            folder = os.path.join(root, named)
+            os.makedirs(folder, exist_ok=True)
+            whole = os.path.join(folder, name)
+            part = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
+            with open(part, "wb") as out:
+                for _, value in own:
+                    out.write((value or b"") + b"\n")
+            os.replace(part, whole)
+            count += 1
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], names=["files"])
+    return run

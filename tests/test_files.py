@@ -267,3 +267,24 @@ def test_no_file_stops_the_others(spark):
     assert out["s.json", 0] == (None, "not valid JSON") and out["n.json", 0] == ('{"a":NaN}', None)
     assert out["i.json", 0] == ("[" + "9" * 5000 + ",1.50]", None) and out["t.json", 0] == ("7", None)
     assert out["u.json", 0] == ('{"a":"\\ud800"}', None) and out["q.json", 0] == ("ok", None)
+
+
+def test_exported_texts_are_those_of_sparks_writer(spark, tmp_path):
+    from docweave.sources.tables import export_texts
+    methods = spark.createDataFrame(
+        [("1", "a\nb"), ("1", "a\nb"), ("2", None), (None, "none"), ("", "empty"), ("a/b%:=c é", "odd"), ("3", "")],
+        "method_id string, content string").coalesce(1)
+    ours, other = str(tmp_path / "ours"), str(tmp_path / "sparks")
+    export_texts(methods, ours)
+    methods.selectExpr("method_id", "content value").write.partitionBy("method_id").text(other)
+
+    def read(path):
+        return sorted(map(str, spark.read.text(path).collect())), sorted(
+            bytes(r.content) for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect())
+    assert read(ours) == read(other)
+    assert {p.parent.name for p in (tmp_path / "ours").rglob("part-*.txt")} == {
+        p.parent.name for p in (tmp_path / "sparks").rglob("part-*.txt")}
+    # Written by the tasks in place: no checksum file, which only Spark's writer leaves.
+    assert not list((tmp_path / "ours").rglob(".part-*")) and (tmp_path / "ours" / "_SUCCESS").exists()
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        export_texts(methods, ours)
