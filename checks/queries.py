@@ -573,11 +573,11 @@ def file_stream(spark, sf):
     """Files of a store, asked for by messages; their chunks are published."""
     store, queue, tables, mark = (_place(spark, n) for n in ("store", "queue", "files", "mark"))
     docs = t.files(spark, sf)
-    docs.select(F.col("file_id").alias("name"), F.col("text").alias("value")).write.partitionBy("name").text(store)
+    table_source.export_texts(docs.select(F.col("file_id").alias("method_id"), F.col("text").alias("content")), store)
     # The writer names the files: take their paths from the inventory.
     placed = stage(file_source.inventory(spark, store, "*.txt").select(
-        F.regexp_extract("name", "name=([0-9]+)", 1).alias("file_id"),
-        F.regexp_extract("name", "(/name=[0-9]+/.*)$", 1).alias("full_path")), "placed")
+        F.regexp_extract("name", "method_id=([0-9]+)", 1).alias("file_id"),
+        F.regexp_extract("name", "(/method_id=[0-9]+/.*)$", 1).alias("full_path")), "placed")
     catalogue = t.metadata_only(docs).drop("full_path").join(placed, "file_id").withColumn("extension", F.lit("txt"))
     asked = docs.groupBy(F.col("created_by").alias("message")).agg(
         F.array_join(F.collect_list("file_id"), ", ").alias("value"))
