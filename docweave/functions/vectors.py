@@ -80,6 +80,18 @@ def score_error(metric, rows, queries):
     return unit * (np.ones_like(scale) if metric == COSINE else scale)
 
 
+def score_margin(metric, rows, queries):
+    """`score_error` for each query, with the worst of the rows; None if a vector has no
+    finite length."""
+    unit = 8 * rows.shape[1] * np.finfo(float).eps
+    rows, queries = np.einsum("ij,ij->i", rows, rows), np.einsum("ij,ij->i", queries, queries)
+    worst = rows.max(initial=0.0)
+    if not np.isfinite(worst) or not np.isfinite(queries).all():
+        return None
+    scale = worst + queries if metric == L2 else np.sqrt(worst) * np.sqrt(queries)
+    return unit * (np.ones_like(queries) if metric == COSINE else scale)
+
+
 def score_against(metric, query_vector):
     """A column function scoring vectors against one fixed vector.
 

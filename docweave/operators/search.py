@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions.vectors import (
-    DOT, L2, as_matrix, check_metric, score_against, score_error, score_matrix, score_pairs)
+    DOT, L2, as_matrix, check_metric, score_against, score_error, score_margin, score_matrix, score_pairs)
 from docweave.operators.embedding import DIMENSION, embed_text
 from docweave.operators.selection import (
     in_namespace, require_positive, require_text, with_metadata)
@@ -21,6 +21,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 QUERY_BLOCK_BYTES = 32 * 1024 * 1024
 ROW_BLOCK_BYTES = 128 * 1024 * 1024
 SCORES_AT_ONCE = 4_000_000
+QUERIES_AT_ONCE = 1_024
+# Pairs whose vectors are held to score them again.
+PAIRS_AT_ONCE = 50_000
 
 ALL_NAMESPACES = object()
 
@@ -70,53 +73,79 @@ class _Best:
 
     def __init__(self, metric, k, query_count):
         self.k, self.sign = k, (1.0 if metric == L2 else -1.0)
-        self.scores = [np.empty(0)] * query_count
-        self.rows = [np.empty(0, dtype=object)] * query_count
+        self.costs = np.full((query_count, k), np.inf)
+        self.ids = np.full((query_count, k), None, dtype=object)
+        self.held = np.zeros(query_count, dtype=np.int64)
         self.bar = np.full(query_count, np.inf)
 
-    def add(self, metric, ids, rows, queries):
-        """Takes the rows that may be among the best: the matrix product tells all
-        others off, and those left are scored again in fixed order."""
-        costs = self.sign * score_matrix(metric, rows, queries) - score_error(metric, rows, queries)
-        hits = costs <= self.bar[None, :]  # NaN compares false
-        for q in np.flatnonzero(hits.any(axis=0)):
-            fresh = np.flatnonzero(hits[:, q])
-            if len(fresh) > 4 * self.k:
-                # Only what reaches the k-th best of this slice, errors included.
-                own = costs[fresh, q]
-                limit = np.partition(own, self.k - 1)[self.k - 1]
-                margin = 2 * score_error(metric, rows[fresh], queries[q:q + 1])[:, 0]
-                fresh = fresh[own <= limit + margin.max()]
-            exact = self.sign * score_pairs(metric, rows[fresh], queries[q:q + 1])
-            cost = np.concatenate([self.scores[q], exact])
-            who = np.concatenate([self.rows[q], ids[fresh]])
-            if len(cost) > self.k:
-                limit = np.partition(cost, self.k - 1)[self.k - 1]
-                near = np.flatnonzero(cost <= limit)
-                near = near[np.lexsort((who[near].astype(str), cost[near]))][:self.k]
-                cost, who = cost[near], who[near]
-            if len(cost) == self.k:
-                self.bar[q] = cost.max()
-            self.scores[q], self.rows[q] = cost, who
+    def add(self, metric, ids, order, rows, queries, part):
+        """Takes the rows that may be among the best of the queries of `part`: the matrix
+        product tells all others off, and those left are scored again in fixed order.
+        `order` numbers the ids in their order."""
+        asked, bar = queries[part], self.bar[part]
+        costs, margin = score_matrix(metric, asked, rows), score_margin(metric, rows, asked)
+        if self.sign < 0:
+            np.negative(costs, out=costs)
+        if margin is None:  # Vectors without a finite length: errors pair by pair.
+            error = score_error(metric, asked, rows)
+            costs -= error
+            hits, margin = costs <= bar[:, None], error.max(axis=1)
+        else:
+            hits = costs <= (bar + margin)[:, None]  # NaN compares false
+        if np.count_nonzero(hits) > 4 * self.k * len(asked) and costs.shape[1] > self.k:
+            # Only what reaches the k-th best of this slice, errors included.
+            limit = np.partition(costs, self.k - 1, axis=1)[:, self.k - 1] + 2 * margin
+            hits &= costs <= np.where(np.isnan(limit), np.inf, limit)[:, None]
+        q, r = np.nonzero(hits)
+        if not len(q):
+            return
+        exact = np.concatenate([
+            self.sign * score_pairs(metric, rows[r[i:i + PAIRS_AT_ONCE]], asked[q[i:i + PAIRS_AT_ONCE]])
+            for i in range(0, len(q), PAIRS_AT_ONCE)])
+        q, exact, r = self._first(q, exact, order[r], r)
+        self._merge(q + part.start, exact, ids[r])
+
+    def _first(self, q, cost, turn, what):
+        """The best `k` of each query, equal ones by `turn`."""
+        place = np.lexsort((turn, cost, q))
+        q = q[place]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        place = place[rank < self.k]
+        return q[rank < self.k], cost[place], what[place]
+
+    def _merge(self, q, cost, ids):
+        touched = np.unique(q)
+        old = np.arange(self.k)[None, :] < self.held[touched][:, None]
+        q = np.concatenate([np.repeat(touched, self.held[touched]), q])
+        cost = np.concatenate([self.costs[touched][old], cost])
+        ids = np.concatenate([self.ids[touched][old], ids])
+        q, cost, ids = self._first(q, cost, ids.astype(str), ids)
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        self.costs[q, rank], self.ids[q, rank] = cost, ids
+        self.held[touched] = np.bincount(q, minlength=len(self.held))[touched]
+        full = touched[self.held[touched] == self.k]
+        self.bar[full] = self.costs[full, -1]
 
     def table(self, query_ids):
-        sizes = [len(s) for s in self.scores]
-        total = sum(sizes)
+        there = np.arange(self.k)[None, :] < self.held[:, None]
         return pa.table({
-            "query_id": pa.array(np.repeat(np.asarray(query_ids, dtype=object), sizes), pa.string()),
-            "id": pa.array(np.concatenate(self.rows) if total else [], pa.string()),
-            "score": pa.array(self.sign * np.concatenate(self.scores) if total else [], pa.float64()),
+            "query_id": pa.array(np.repeat(np.asarray(query_ids, dtype=object), self.held), pa.string()),
+            "id": pa.array(self.ids[there], pa.string()),
+            "score": pa.array(self.sign * self.costs[there], pa.float64()),
         })
 
 
 def _scan(best, metric, ids, vectors, queries):
-    """Score one batch of rows against all queries, a slice at a time."""
+    """Score one batch of rows against all queries, a slice of both at a time."""
     fits, matrix = as_matrix(vectors, queries.shape[1])
     names = np.asarray(ids.to_pylist(), dtype=object)[fits]
-    step = max(1, SCORES_AT_ONCE // len(queries))
-    for start in range(0, len(fits), step):
-        part = slice(start, start + step)
-        best.add(metric, names[part], matrix[part], queries)
+    across = min(QUERIES_AT_ONCE, len(queries))
+    down = max(1, SCORES_AT_ONCE // across)
+    for start in range(0, len(fits), down):
+        rows = slice(start, start + down)
+        order = np.argsort(np.argsort(names[rows].astype(str), kind="stable"))
+        for first in range(0, len(queries), across):
+            best.add(metric, names[rows], order, matrix[rows], queries, slice(first, first + across))
 
 
 def _by_broadcast(vectors, query_ids, matrix, k, metric):

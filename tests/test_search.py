@@ -127,3 +127,21 @@ def test_collection_search(spark):
     assert [r.id for r in found.orderBy("rank").collect()] == ["1", "2"]
     assert [r.id for r in search.search_collection(vectors, "red", "c", filters={"lang": "fr"}, dim=64).collect()] == ["2"]
     assert found.orderBy("rank").first().score == 0 or found.orderBy("rank").first().score < found.agg(F.max("score")).first()[0]
+
+
+def test_knn_scores_slices_of_queries_too(monkeypatch):
+    import pyarrow as pa
+
+    shapes, whole = [], search.score_matrix
+    monkeypatch.setattr(search, "score_matrix", lambda m, a, b: shapes.append((len(a), len(b))) or whole(m, a, b))
+    data = np.random.default_rng(5).normal(size=(3000, 8))
+    data[7] = np.inf
+    data[::3] = data[0]
+    column = pa.array(data.tolist(), pa.list_(pa.float64()))
+    best = search._Best(DOT, 5, 2999)
+    search._scan(best, DOT, pa.array([f"v{i}" for i in range(3000)]), column, data[8:9].repeat(2999, axis=0))
+    assert max(min(shape) for shape in shapes) <= 1024 and min(max(shape) for shape in shapes) > 65
+    found = best.table([str(i) for i in range(2999)]).to_pydict()
+    scores = (data * data[8]).sum(axis=1)
+    want = sorted((-s, f"v{i}") for i, s in enumerate(scores) if s == s and s != -np.inf)[:5]
+    assert found["id"] == [name for _, name in want] * 2999
