@@ -13,6 +13,8 @@ from docweave.operators.selection import require_positive
 
 # Fixed value: vector length of the default index.
 DIMENSION = 1536
+# Words whose buckets a task remembers.
+MAX_WORDS = 100_000
 
 
 class _Buckets(dict):
@@ -23,7 +25,7 @@ class _Buckets(dict):
         self.dim = dim
 
     def __missing__(self, word):
-        if len(self) >= 1_000_000:
+        if len(self) >= MAX_WORDS:
             self.clear()
         place = self[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
         return place
@@ -103,24 +105,27 @@ def embedder(model_factory=None, dim=DIMENSION, batch_size=1024):
             errors.extend(failed)
         return np.concatenate(values), errors
 
+    def one(model, batch):
+        texts = batch.to_pylist()
+        present = [i for i, text in enumerate(texts) if text is not None]
+        values, errors = run(model, [texts[i] for i in present])
+        all_errors = ["text is null"] * len(texts)
+        for i, error in zip(present, errors):
+            all_errors[i] = error
+        failed = np.array([error is not None for error in all_errors], dtype=bool)
+        rows = np.zeros((len(texts), dim), "float32")
+        rows[present] = values
+        offsets = pa.array(np.arange(len(texts) + 1, dtype="int32") * dim)
+        vectors = pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1)), mask=pa.array(failed))
+        return pa.StructArray.from_arrays([vectors, pa.array(all_errors, pa.string())], names=["embedding", "error"])
+
     @F.arrow_udf("struct<embedding:array<float>,error:string>")
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = make()
         for batch in batches:
-            texts = batch.to_pylist()
-            present = [i for i, text in enumerate(texts) if text is not None]
-            values, errors = run(model, [texts[i] for i in present])
-            all_errors = ["text is null"] * len(texts)
-            for i, error in zip(present, errors):
-                all_errors[i] = error
-            failed = np.array([error is not None for error in all_errors], dtype=bool)
-            rows = np.zeros((len(texts), dim), "float32")
-            rows[present] = values
-            offsets = pa.array(np.arange(len(texts) + 1, dtype="int32") * dim)
-            vectors = pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1)),
-                                               mask=pa.array(failed))
-            yield pa.StructArray.from_arrays([vectors, pa.array(all_errors, pa.string())],
-                                             names=["embedding", "error"])
+            # Piece by piece: only one piece of a batch is held as Python texts.
+            parts = [one(model, batch.slice(start, batch_size)) for start in range(0, len(batch), batch_size)]
+            yield pa.concat_arrays(parts) if parts else one(model, batch)
 
     # Keeps Catalyst from copying the call into a filter and running it twice.
     return embed.asNondeterministic()
