@@ -90,20 +90,22 @@ class ChangeLog:
         entry.coalesce(1).write.mode("errorifexists").parquet(
             f"{self.root}/commits/{kind}/batch_id={batch_id}")
 
-    def publish(self, batch_id: int, changes) -> bool:
+    def publish(self, batch_id: int, changes, unique=()) -> bool:
         """Write {table: (rows to upsert, keys to delete or None)} as one batch.
 
         Returns False, and writes nothing, if the batch is already published. A
         failure before the commit entry leaves the tables as they were, and the
         replayed batch overwrites what it had written. A key both deleted and
         upserted ends as the upserted row; of upserted rows with one key, one is written.
+        `unique` names tables whose rows repeat no key: they are written as they are.
         """
         last = self.last_batch()
         if last is not None and batch_id <= last:
             return False
         for name, (rows, gone) in changes.items():
             schema, keys, _ = self.tables[name]
-            rows = one_per_key(rows, keys)
+            if name not in unique:
+                rows = one_per_key(rows, keys)
             out = rows.select(*schema.names, F.lit(False).alias("_deleted"))
             if gone is not None:
                 removed = _without(gone.select(*keys), rows, keys).distinct()
@@ -112,11 +114,13 @@ class ChangeLog:
         self._commit("changes", batch_id)
         return True
 
-    def current(self, name: str, wanted: DataFrame | None = None) -> DataFrame:
+    def current(self, name: str, wanted: DataFrame | None = None, derived=None) -> DataFrame:
         """The table as of the last published batch; with `wanted` (columns of the key),
-        only the rows that agree with it, picked before anything is sorted."""
+        only the rows that agree with it, picked before anything is sorted. `derived` maps
+        columns that are not in the key to what is read in their place, so that a digest
+        or a length is sorted and not the text."""
         base_id, last_id = self._last("base"), self.last_batch()
-        return self._folded(name, self._log(name, base_id, last_id), base_id, wanted)
+        return self._folded(name, self._log(name, base_id, last_id), base_id, wanted, derived=derived)
 
     def _log(self, name, base_id, last_id):
         """Published changes since the base."""
@@ -144,9 +148,14 @@ class ChangeLog:
         stored = T.StructType([*schema.fields, T.StructField("_place", T.IntegerType()), _LOG_FIELDS[1]])
         return self._read("base", name, stored).where(chosen).select(*schema.names)
 
-    def _folded(self, name, log, base_id, wanted=None, places=None):
+    def _folded(self, name, log, base_id, wanted=None, places=None, derived=None):
         schema, keys, _ = self.tables[name]
         base = None if base_id is None else self._base(name, base_id, places)
+        if derived:
+            if not set(derived) <= set(schema.names) - set(keys):
+                raise ValueError(f"derived columns of {name} must be columns outside the key")
+            log = log.withColumns(derived)
+            base = None if base is None else base.withColumns(derived)
         if wanted is not None:
             picked = [c for c in keys if c in wanted.columns]
             log = _among(log, wanted, picked)

@@ -60,9 +60,10 @@ def classify(records: DataFrame, state: DataFrame) -> DataFrame:
             .withColumn("exists", F.coalesce("_known", F.lit(False))).drop("_known"))
 
 
-def next_metadata(classified: DataFrame, run_time, batch_id) -> DataFrame:
+def next_metadata(classified: DataFrame, run_time, batch_id, *kept) -> DataFrame:
     """Rows of the metadata table after the run: a new uuid for each, the first
-    creation time kept, the update time set only where the method existed.
+    creation time kept, the update time set only where the method existed; `kept` are
+    columns of `classified` to keep beside them.
 
     The uuid depends on the method and the batch, so a replayed batch writes the
     same rows again.
@@ -73,7 +74,7 @@ def next_metadata(classified: DataFrame, run_time, batch_id) -> DataFrame:
         "method_name", "segment", "category", F.col("content").alias("description"),
         "created_by", "updated_by",
         F.when(exists, F.col("old_created_at")).otherwise(run_time).alias("vector_created_at"),
-        F.when(exists, run_time).alias("vector_updated_at"))
+        F.when(exists, run_time).alias("vector_updated_at"), *kept)
 
 
 def document_metadata():
@@ -100,9 +101,8 @@ def sync_methods(messages: DataFrame, records: DataFrame, state: DataFrame, run_
     A method that cannot be embedded changes neither table and is reported.
     """
     asked, rejects = requested_records(messages, records)
-    planned = stage(classify(asked, state), "planned-methods")
-    rows = next_metadata(planned, run_time, batch_id)
-    # Embedding is the costly step and feeds three outputs: written once.
+    rows = next_metadata(classify(asked, state), run_time, batch_id, "exists", "old_uuid")
+    # Embedding is the costly step and feeds all outputs: the texts are written once.
     done = stage(embed_rows(rows.withColumn("_metadata", document_metadata()), "description",
                             model_factory, dim), "method-sync")
     good = done.where("embedding_error is null")
@@ -112,7 +112,6 @@ def sync_methods(messages: DataFrame, records: DataFrame, state: DataFrame, run_
     failed = done.where("embedding_error is not null").select(
         F.lit(None).cast("string").alias("message_id"), "method_id",
         F.concat(F.lit("cannot embed: "), "embedding_error").alias("reason"))
-    replaced = planned.join(good.select("method_id"), "method_id", "left_semi")
     rejects = rejects.select("message_id", F.lit(None).cast("string").alias("method_id"), "reason")
-    return MethodSync(good.select(*METHOD_METADATA.names), old_vector_ids(replaced, namespace),
+    return MethodSync(good.select(*METHOD_METADATA.names), old_vector_ids(good, namespace),
                       vectors, rejects.unionByName(failed))
