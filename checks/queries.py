@@ -543,8 +543,8 @@ def method_stream(spark, sf):
 
 
 def _published_methods(log):
-    current = log.current("methods").select(
-        "method_id", "uuid", F.md5("description").alias("description_md5"),
+    current = log.current("methods", derived={"description": F.md5("description")}).select(
+        "method_id", "uuid", F.col("description").alias("description_md5"),
         F.col("vector_updated_at").isNotNull().alias("updated"))
     return current.join(log.current("vectors").select(F.col("id").alias("uuid"), F.lit(True).alias("stored")), "uuid", "left")
 
