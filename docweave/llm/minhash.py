@@ -245,10 +245,14 @@ def _prefix_pairs(sets, found, numerator, denominator):
     met = all_.join(some, "shingle").where(
         (F.col("component") != F.col("component_")) & once & fits & enough(possible))
     # What two prefixes share is met once a shingle. A shared shingle that is not in both
-    # lies behind the prefix that ends first.
+    # lies behind the prefix that ends first, and behind the last one met; none lies before
+    # the first one met.
+    behind = F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
     pairs = met.groupBy(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).agg(
-        F.count("*").alias("shared"), F.first(sizes).alias("sizes"), F.first(F.greatest("rest", "rest_")).alias("rest"))
-    return pairs.where((F.col("shared") + F.col("rest")) * (numerator + denominator) >= F.col("sizes") * numerator).select("u", "v")
+        F.count("*").alias("shared"), F.first(sizes).alias("sizes"), F.max(behind).alias("first"),
+        F.min(behind).alias("last"), F.first(F.greatest("rest", "rest_")).alias("rest"))
+    most = F.least("first", F.col("shared") + F.col("rest"), F.col("shared") + F.col("last") - 1)
+    return pairs.where(most * (numerator + denominator) >= F.col("sizes") * numerator).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc_id="doc_id", text="text",

@@ -222,3 +222,21 @@ def test_mix_cuts_within_rows_of_one_id(spark):
             own = [r for r in got if r["source"] == source]
             assert abs(sum(r["size"] * r["repeats"] for r in own) - own[0]["target"]) <= 1.5
             assert len({r["repeats"] for r in own}) <= 2
+
+
+def test_prefix_pairs_share_enough(spark):
+    import random
+
+    from docweave.llm.minhash import _prefix_pairs
+    rng = random.Random(4)
+    # Variants of one set, alike by 0.5 to 1: near the threshold on both sides.
+    base = [rng.getrandbits(62) for _ in range(60)]
+    sets = [[x if rng.random() > 0.01 * (i % 20) else rng.getrandbits(62) for x in base] for i in range(60)]
+    frame = spark.createDataFrame(list(enumerate(sets)), "c long, shingles array<long>")
+    got = {(r.u, r.v) for r in _prefix_pairs(frame, None, 85, 100).collect()}
+    share = {(u, v): len(set(a) & set(b)) / len(set(a) | set(b))
+             for u, a in enumerate(sets) for v, b in enumerate(sets) if u < v}
+    alike = {pair for pair, s in share.items() if s >= 0.85}
+    assert alike and alike <= got
+    # One shared shingle of the prefixes is not enough to be tested.
+    assert len(got) < 2 * len(alike)
