@@ -16,9 +16,11 @@
    share one of their rarest shingles, |A| - ceil(t * |A|) + 1 of each (any one order of
    shingles will do; rare is what few of these sets hold). The shingles of a common
    passage are frequent and in no prefix, so unlike texts that share it do not meet.
-   Sizes tell more pairs off, and places, and the number of shingles that two prefixes
-   share: with the rest of the set whose prefix ends first it must suffice. No pair that is
-   alike is lost here.
+   Places tell more pairs off: from the first shared shingle on, enough must be left of
+   both sets. So do parities: each shingle flips one of 1024 bits of its set, and two sets
+   differ in at least as many shingles as in bits. Variants of one text that are not quite
+   alike share prefixes, but no such pair leaves the join. No pair that is alike is lost
+   here.
 5. Components by alternating large-star and small-star.
 
 Defined cases: a text without words is linked with nothing; a text of fewer words than
@@ -51,6 +53,8 @@ LARGE = 32
 SENT_IDS = 1_000_000
 #: Bits of a shingle that say by which counter its frequency is known.
 COUNTER_BITS = 17
+#: Longs of a set's parities.
+PARITIES = 16
 
 
 def bands_for(threshold, miss=MISS):
@@ -194,26 +198,37 @@ def _rarest(counters, numerator, denominator):
         often = counters.value
         shift = np.uint64(64 - COUNTER_BITS)
         for batch in batches:
-            parts, places, sizes, rests = [], [], [], []
+            parts, places, sizes = [], [], []
             for row in batch.column(2):
                 held = row.values.to_numpy().view(np.uint64)
                 n = len(held) - (numerator * len(held) + denominator - 1) // denominator + 1
                 parts.append(held[np.lexsort((held, often[(held >> shift).astype(np.int64)]))[:n]])
                 places.append(np.arange(len(parts[-1])))
                 sizes.append(len(held))
-                rests.append(len(held) - n)
             counts = [len(part) for part in parts]
             if not sum(counts):
                 continue
             of = np.repeat(np.arange(len(counts)), counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(parts).view(np.int64)), batch.column(0).take(pa.array(of)),
-                 batch.column(1).take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.array(sizes)[of]),
-                 pa.array(np.array(rests)[of])],
-                names=["shingle", "c", "component", "place", "size", "rest"])
+                 batch.column(1).take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.array(sizes)[of])],
+                names=["shingle", "c", "component", "place", "size"])
     return run
 
 
+def _parities(batches):
+    """c, shingles -> c, and for each bit whether an odd number of the shingles falls on it."""
+    bits = 64 * PARITIES
+    for batch in batches:
+        odd = np.zeros((len(batch), bits), dtype=np.uint8)
+        for at, row in enumerate(batch.column(1)):
+            held = row.values.to_numpy().view(np.uint64) % np.uint64(bits)
+            odd[at] = np.bincount(held.astype(np.int64), minlength=bits) & 1
+        packed = np.packbits(odd, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(packed[:, i].copy()) for i in range(PARITIES))],
+                                         names=["c", *(f"bits{i}" for i in range(PARITIES))])
+
+
 def _prefix_pairs(sets, found, numerator, denominator):
     """Pairs of different components that may be alike, by their rarest shingles."""
     spark = sets.sparkSession
@@ -225,34 +240,32 @@ def _prefix_pairs(sets, found, numerator, denominator):
     counters = spark.sparkContext.broadcast(often)
     tied = _with_component(sets, found) if found is not None else sets.withColumn("component", F.col("c"))
     rows = stage(tied.select("c", "component", "shingles").mapInArrow(
-        _rarest(counters, numerator, denominator), "shingle long, c long, component long, place long, size long, rest long"), "minhash-prefixes")
+        _rarest(counters, numerator, denominator), "shingle long, c long, component long, place long, size long"), "minhash-prefixes")
+
+    def enough(common, sizes):
+        return common * (numerator + denominator) >= sizes * numerator
+
     # The largest component of a shingle is not paired with itself.
-    parts = rows.groupBy("shingle", "component").agg(F.count("*").alias("n"))
-    mains = parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
-    mains = stage(mains.where("parts > 1").select("shingle", "main"), "minhash-mains")
-    all_ = stage(rows.join(mains, "shingle"), "minhash-met")
-    some = all_.where("component <> main").select("shingle", *[F.col(x).alias(f"{x}_") for x in ("c", "component", "place", "size", "rest")])
+    parts = rows.groupBy("shingle", "component").agg(F.count("*").alias("n"), F.min("size").alias("least"))
+    mains = parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"),
+                                         F.min("least").alias("least"))
+    mains = stage(mains.where("parts > 1").select("shingle", "main", "least"), "minhash-mains")
+    # The first shingle that two sets share is followed by all others. Where a row's cannot
+    # be the first shared even with the smallest set, the row meets none.
+    met = rows.join(mains, "shingle").where(enough(F.col("size") - F.col("place"), F.col("size") + F.col("least"))).drop("least")
+    bits = [f"bits{i}" for i in range(PARITIES)]
+    parities = sets.select("c", "shingles").mapInArrow(_parities, ", ".join(["c long", *(f"{name} long" for name in bits)]))
+    all_ = stage(met.join(stage(parities, "minhash-parities"), "c"), "minhash-met")
+    some = all_.where("component <> main").select("shingle", *[F.col(x).alias(f"{x}_") for x in ("c", "component", "place", "size", *bits)])
     # Pairs outside the main component come from either side: one is enough.
     once = (F.col("component") == F.col("main")) | (F.col("c") < F.col("c_"))
     sizes = F.col("size") + F.col("size_")
-    fits = F.least("size", "size_") * denominator >= F.greatest("size", "size_") * numerator
-
-    def enough(common):
-        return common * (numerator + denominator) >= sizes * numerator
-
-    # Of any shared shingle on, and before it, two sets have at most this in common.
-    possible = F.least("place", "place_") + F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
-    met = all_.join(some, "shingle").where(
-        (F.col("component") != F.col("component_")) & once & fits & enough(possible))
-    # What two prefixes share is met once a shingle. A shared shingle that is not in both
-    # lies behind the prefix that ends first, and behind the last one met; none lies before
-    # the first one met.
     behind = F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
-    pairs = met.groupBy(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).agg(
-        F.count("*").alias("shared"), F.first(sizes).alias("sizes"), F.max(behind).alias("first"),
-        F.min(behind).alias("last"), F.first(F.greatest("rest", "rest_")).alias("rest"))
-    most = F.least("first", F.col("shared") + F.col("rest"), F.col("shared") + F.col("last") - 1)
-    return pairs.where(most * (numerator + denominator) >= F.col("sizes") * numerator).select("u", "v")
+    # An odd number of shingles of just one of the sets falls on each bit that differs.
+    differ = sum(F.bit_count(F.col(name).bitwiseXOR(F.col(f"{name}_"))) for name in bits)
+    close = differ * (numerator + denominator) <= sizes * (denominator - numerator)
+    pairs = all_.join(some, "shingle").where((F.col("component") != F.col("component_")) & once & enough(behind, sizes) & close)
+    return pairs.select(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc_id="doc_id", text="text",

@@ -240,3 +240,45 @@ def test_prefix_pairs_share_enough(spark):
     assert alike and alike <= got
     # One shared shingle of the prefixes is not enough to be tested.
     assert len(got) < 2 * len(alike)
+
+
+def test_variants_that_are_not_quite_alike_make_no_pairs(spark):
+    import random
+
+    from docweave.llm.minhash import _prefix_pairs
+    rng = random.Random(8)
+    # Each has lost 7 of 148 shingles and gained 7: two of them share most of their prefixes,
+    # but nearly all are a little less alike than asked for.
+    base = [rng.getrandbits(63) for _ in range(148)]
+    sets = [rng.sample(base, 141) + [rng.getrandbits(63) for _ in range(7)] for _ in range(150)]
+    sets += [[*s[:-1], rng.getrandbits(63)] for s in sets[:20]]
+    frame = spark.createDataFrame(list(enumerate(sets)), "c long, shingles array<long>")
+    got = {(r.u, r.v) for r in _prefix_pairs(frame, None, 85, 100).collect()}
+    alike = {(u, v) for u, a in enumerate(sets) for v, b in enumerate(sets)
+             if u < v and 100 * len(set(a) & set(b)) >= 85 * len(set(a) | set(b))}
+    assert alike and alike <= got
+    assert len(got) < 5 * len(alike)
+
+
+def test_prefix_pairs_of_sets_of_all_sizes(spark):
+    import random
+
+    from docweave.llm.minhash import _prefix_pairs
+    rng = random.Random(5)
+    # Parts of a few sets, with and without other shingles: just alike enough at other sizes.
+    bases = [[rng.getrandbits(63) for _ in range(n)] for n in (1, 6, 7, 20, 100, 1300)]
+    sets = [rng.sample(base, max(1, round(len(base) * rng.choice((1, 0.95, 0.9, 0.85, 0.8))))) + [
+        rng.getrandbits(63) for _ in range(rng.choice((0, 0, len(base) // 20, len(base) // 10)))]
+        for base in bases for _ in range(14)]
+    frame = spark.createDataFrame(list(enumerate(sets)), "c long, shingles array<long>")
+    # Components by threes: pairs inside of one need not be found.
+    found = spark.createDataFrame([(c, c - c % 3) for c in range(0, len(sets), 2)], "node long, component long")
+    of = {c: c - c % 3 if c % 2 == 0 else c for c in range(len(sets))}
+    for numerator, denominator in ((85, 100), (80, 100), (1, 1), (1, 2)):
+        alike = {(u, v) for u, a in enumerate(sets) for v, b in enumerate(sets)
+                 if u < v and denominator * len(set(a) & set(b)) >= numerator * len(set(a) | set(b))}
+        got = {(r.u, r.v) for r in _prefix_pairs(frame, None, numerator, denominator).collect()}
+        assert alike and alike <= got
+        apart = {(r.u, r.v) for r in _prefix_pairs(frame, found, numerator, denominator).collect()}
+        assert {(u, v) for u, v in alike if of[u] != of[v]} <= apart
+        assert all(of[u] != of[v] for u, v in apart)
