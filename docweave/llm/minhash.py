@@ -16,11 +16,14 @@
    share one of their rarest shingles, |A| - ceil(t * |A|) + 1 of each (any one order of
    shingles will do; rare is what few of these sets hold). The shingles of a common
    passage are frequent and in no prefix, so unlike texts that share it do not meet.
-   Places tell more pairs off: from the first shared shingle on, enough must be left of
-   both sets. So do parities: each shingle flips one of 1024 bits of its set, and two sets
-   differ in at least as many shingles as in bits. Variants of one text that are not quite
-   alike share prefixes, but no such pair leaves the join. No pair that is alike is lost
-   here.
+   Large sets are cut into pieces by bits of the shingles: two sets that are alike enough
+   have a piece in which they are, so all this holds for pieces. Places tell more pairs
+   off: from the first shared shingle on, enough must be left of both pieces. So do
+   parities: each shingle flips one of 1024 bits of its piece, and two pieces differ in at
+   least as many shingles as in bits. Variants of one text that are not quite alike share
+   prefixes, but few such pairs leave the join. A pair leaves it where it first shares a
+   shingle, not at all others, of which a long prefix has hundreds. No pair that is alike
+   is lost here.
 5. Components by alternating large-star and small-star.
 
 Defined cases: a text without words is linked with nothing; a text of fewer words than
@@ -53,8 +56,14 @@ LARGE = 32
 SENT_IDS = 1_000_000
 #: Bits of a shingle that say by which counter its frequency is known.
 COUNTER_BITS = 17
-#: Longs of a set's parities.
+#: Shingles of a piece, about; a power of two. Larger sets are cut into so many more pieces.
+PIECE = 512
+#: The lowest bit of a shingle that says into which piece it goes.
+PIECE_SHIFT = 16
+#: Longs of a piece's parities.
 PARITIES = 16
+#: Shingles before a row's, among which one that is shared shows that the row's is not the first.
+BEFORE = 8
 
 
 def bands_for(threshold, miss=MISS):
@@ -192,45 +201,78 @@ def _star_pairs(left, found, seed):
         "pivot", "c").distinct()
 
 
+def _halvings(n):
+    """How often a set of n shingles is halved until no half is expected to exceed PIECE."""
+    return max(0, (n - 1).bit_length() - (PIECE - 1).bit_length())
+
+
+def _pieces(held, numerator, denominator):
+    """A set's pieces, as (number, whether it is cut by its own size, shingles): cut as its
+    size asks for, and as that of each larger set asks for that may be alike."""
+    own = _halvings(len(held))
+    for halvings in range(own, _halvings(len(held) * denominator // numerator) + 1):
+        # Other bits than those that choose a counter or a parity.
+        at = (held >> np.uint64(PIECE_SHIFT)) & np.uint64((1 << halvings) - 1)
+        order = np.argsort(at, kind="stable")
+        cuts = np.searchsorted(at[order], np.arange((1 << halvings) + 1, dtype=np.uint64))
+        for i in np.flatnonzero(np.diff(cuts)):
+            yield (1 << halvings) + int(i), halvings == own, held[order[cuts[i]:cuts[i + 1]]]
+
+
 def _rarest(counters, numerator, denominator):
-    """c, component, shingles -> the rarest shingles of each set, with their places."""
+    """c, component, shingles -> the rarest shingles of each piece, with their places."""
     def run(batches):
         often = counters.value
         shift = np.uint64(64 - COUNTER_BITS)
         for batch in batches:
-            parts, places, sizes = [], [], []
-            for row in batch.column(2):
-                held = row.values.to_numpy().view(np.uint64)
-                n = len(held) - (numerator * len(held) + denominator - 1) // denominator + 1
-                parts.append(held[np.lexsort((held, often[(held >> shift).astype(np.int64)]))[:n]])
-                places.append(np.arange(len(parts[-1])))
-                sizes.append(len(held))
-            counts = [len(part) for part in parts]
-            if not sum(counts):
+            parts, places, sizes, pieces, owns, of = [], [], [], [], [], []
+            for at, row in enumerate(batch.column(2)):
+                for piece, own, held in _pieces(row.values.to_numpy().view(np.uint64), numerator, denominator):
+                    n = len(held) - (numerator * len(held) + denominator - 1) // denominator + 1
+                    parts.append(held[np.lexsort((held, often[(held >> shift).astype(np.int64)]))[:n]])
+                    places.append(np.arange(len(parts[-1])))
+                    sizes.append(len(held))
+                    pieces.append(piece)
+                    owns.append(own)
+                    of.append(at)
+            if not parts:
                 continue
-            of = np.repeat(np.arange(len(counts)), counts)
+            counts = [len(part) for part in parts]
+            rows = pa.array(np.repeat(of, counts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(parts).view(np.int64)), batch.column(0).take(pa.array(of)),
-                 batch.column(1).take(pa.array(of)), pa.array(np.concatenate(places)), pa.array(np.array(sizes)[of])],
-                names=["shingle", "c", "component", "place", "size"])
+                [pa.array(np.concatenate(parts).view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array(np.repeat(pieces, counts)), pa.array(np.repeat(owns, counts)),
+                 pa.array(np.concatenate(places)), pa.array(np.repeat(sizes, counts))],
+                names=["shingle", "c", "component", "piece", "own", "place", "size"])
     return run
 
 
-def _parities(batches):
-    """c, shingles -> c, and for each bit whether an odd number of the shingles falls on it."""
+def _parities(numerator, denominator):
+    """c, shingles -> c, piece, and for each bit whether an odd number of the piece's
+    shingles falls on it."""
     bits = 64 * PARITIES
-    for batch in batches:
-        odd = np.zeros((len(batch), bits), dtype=np.uint8)
-        for at, row in enumerate(batch.column(1)):
-            held = row.values.to_numpy().view(np.uint64) % np.uint64(bits)
-            odd[at] = np.bincount(held.astype(np.int64), minlength=bits) & 1
-        packed = np.packbits(odd, axis=1).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(packed[:, i].copy()) for i in range(PARITIES))],
-                                         names=["c", *(f"bits{i}" for i in range(PARITIES))])
 
+    def run(batches):
+        for batch in batches:
+            odd, pieces, of = [], [], []
+            for at, row in enumerate(batch.column(1)):
+                for piece, _, held in _pieces(row.values.to_numpy().view(np.uint64), numerator, denominator):
+                    fell = (held % np.uint64(bits)).astype(np.int64)
+                    odd.append(np.packbits((np.bincount(fell, minlength=bits) & 1).astype(np.uint8)).view(np.int64))
+                    pieces.append(piece)
+                    of.append(at)
+            if not odd:
+                continue
+            packed = np.stack(odd)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(of)), pa.array(pieces), *(pa.array(packed[:, i].copy()) for i in range(PARITIES))],
+                names=["c", "piece", *(f"bits{i}" for i in range(PARITIES))])
+    return run
 
-def _prefix_pairs(sets, found, numerator, denominator):
-    """Pairs of different components that may be alike, by their rarest shingles."""
+
+def _prefix_meetings(sets, found, numerator, denominator):
+    """Pairs of different components that may be alike, by their rarest shingles: nearly
+    always once for each piece of theirs that may be alike."""
     spark = sets.sparkSession
     counters = F.transform("shingles", lambda s: F.shiftrightunsigned(s, 64 - COUNTER_BITS))
     counts = sets.select(F.explode(counters).alias("at")).groupBy("at").count()
@@ -240,32 +282,48 @@ def _prefix_pairs(sets, found, numerator, denominator):
     counters = spark.sparkContext.broadcast(often)
     tied = _with_component(sets, found) if found is not None else sets.withColumn("component", F.col("c"))
     rows = stage(tied.select("c", "component", "shingles").mapInArrow(
-        _rarest(counters, numerator, denominator), "shingle long, c long, component long, place long, size long"), "minhash-prefixes")
+        _rarest(counters, numerator, denominator),
+        "shingle long, c long, component long, piece long, own boolean, place long, size long"), "minhash-prefixes")
 
     def enough(common, sizes):
         return common * (numerator + denominator) >= sizes * numerator
 
     # The largest component of a shingle is not paired with itself.
-    parts = rows.groupBy("shingle", "component").agg(F.count("*").alias("n"), F.min("size").alias("least"))
-    mains = parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"),
-                                         F.min("least").alias("least"))
-    mains = stage(mains.where("parts > 1").select("shingle", "main", "least"), "minhash-mains")
-    # The first shingle that two sets share is followed by all others. Where a row's cannot
-    # be the first shared even with the smallest set, the row meets none.
-    met = rows.join(mains, "shingle").where(enough(F.col("size") - F.col("place"), F.col("size") + F.col("least"))).drop("least")
+    parts = rows.groupBy("shingle", "piece", "component").agg(F.count("*").alias("n"), F.min("size").alias("least"))
+    mains = parts.groupBy("shingle", "piece").agg(
+        F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"), F.min("least").alias("least"))
+    mains = stage(mains.where("parts > 1").select("shingle", "piece", "main", "least"), "minhash-mains")
+    # The first shingle that two pieces share is followed by all others. Where a row's cannot
+    # be the first shared even with the smallest piece, the row meets none.
+    met = rows.join(mains, ["shingle", "piece"]).where(
+        enough(F.col("size") - F.col("place"), F.col("size") + F.col("least"))).drop("least")
+    before = Window.partitionBy("c", "piece").orderBy("place").rowsBetween(-BEFORE, -1)
+    met = met.withColumn("before", F.collect_list("shingle").over(before))
     bits = [f"bits{i}" for i in range(PARITIES)]
-    parities = sets.select("c", "shingles").mapInArrow(_parities, ", ".join(["c long", *(f"{name} long" for name in bits)]))
-    all_ = stage(met.join(stage(parities, "minhash-parities"), "c"), "minhash-met")
-    some = all_.where("component <> main").select("shingle", *[F.col(x).alias(f"{x}_") for x in ("c", "component", "place", "size", *bits)])
+    parities = sets.select("c", "shingles").mapInArrow(
+        _parities(numerator, denominator), ", ".join(["c long", "piece long", *(f"{name} long" for name in bits)]))
+    all_ = stage(met.join(stage(parities, "minhash-parities"), ["c", "piece"]), "minhash-met")
+    some = all_.where("component <> main").select(
+        "shingle", "piece", *[F.col(x).alias(f"{x}_") for x in ("c", "component", "own", "place", "size", "before", *bits)])
     # Pairs outside the main component come from either side: one is enough.
     once = (F.col("component") == F.col("main")) | (F.col("c") < F.col("c_"))
+    # Two sets meet in the pieces that the larger one asks for.
+    larger = F.col("own") | F.col("own_")
     sizes = F.col("size") + F.col("size_")
     behind = F.least(F.col("size") - F.col("place"), F.col("size_") - F.col("place_"))
-    # An odd number of shingles of just one of the sets falls on each bit that differs.
+    # An odd number of shingles of just one of the pieces falls on each bit that differs.
     differ = sum(F.bit_count(F.col(name).bitwiseXOR(F.col(f"{name}_"))) for name in bits)
     close = differ * (numerator + denominator) <= sizes * (denominator - numerator)
-    pairs = all_.join(some, "shingle").where((F.col("component") != F.col("component_")) & once & enough(behind, sizes) & close)
-    return pairs.select(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v")).distinct()
+    # Where the pieces have shared a shingle shortly before, this is not their first.
+    first = ~F.arrays_overlap("before", "before_")
+    pairs = all_.join(some, ["shingle", "piece"]).where(
+        (F.col("component") != F.col("component_")) & once & larger & enough(behind, sizes) & close & first)
+    return pairs.select(F.least("c", "c_").alias("u"), F.greatest("c", "c_").alias("v"))
+
+
+def _prefix_pairs(sets, found, numerator, denominator):
+    """The pairs of `_prefix_meetings`, each once."""
+    return _prefix_meetings(sets, found, numerator, denominator).distinct()
 
 
 def near_duplicates(docs: DataFrame, words=3, numerator=85, denominator=100, doc_id="doc_id", text="text",

@@ -282,3 +282,55 @@ def test_prefix_pairs_of_sets_of_all_sizes(spark):
         apart = {(r.u, r.v) for r in _prefix_pairs(frame, found, numerator, denominator).collect()}
         assert {(u, v) for u, v in alike if of[u] != of[v]} <= apart
         assert all(of[u] != of[v] for u, v in apart)
+
+
+def test_long_variants_that_are_not_quite_alike_make_few_pairs(spark):
+    import random
+
+    from docweave.llm.minhash import _prefix_pairs
+    rng = random.Random(3)
+    # Of 3,000 shingles each has lost 225 and gained 225: two of them differ in far more
+    # places than one row of parities has bits to show.
+    base = [rng.getrandbits(63) for _ in range(3000)]
+    sets = [rng.sample(base, 2775) + [rng.getrandbits(63) for _ in range(225)] for _ in range(40)]
+    sets += [[*s[:-100], *(rng.getrandbits(63) for _ in range(100))] for s in sets[:10]]
+    frame = spark.createDataFrame(list(enumerate(sets)), "c long, shingles array<long>")
+    got = {(r.u, r.v) for r in _prefix_pairs(frame, None, 85, 100).collect()}
+    alike = {(u, v) for u, a in enumerate(sets) for v, b in enumerate(sets)
+             if u < v and 100 * len(set(a) & set(b)) >= 85 * len(set(a) | set(b))}
+    assert len(alike) == 10 and alike <= got
+    assert len(got) < 5 * len(alike)
+
+
+def test_long_variants_meet_at_their_first_shared_shingle(spark):
+    import random
+
+    from docweave.llm.minhash import _prefix_meetings
+    rng = random.Random(2)
+    base = [rng.getrandbits(63) for _ in range(2000)]
+    sets = [rng.sample(base, 1980) + [rng.getrandbits(63) for _ in range(20)] for _ in range(20)]
+    frame = spark.createDataFrame(list(enumerate(sets)), "c long, shingles array<long>")
+    rows = _prefix_meetings(frame, None, 85, 100).collect()
+    assert len({(r.u, r.v) for r in rows}) == 20 * 19 // 2
+    # Once for each of the four pieces, not for each of some 300 shingles.
+    assert len(rows) < 5 * (20 * 19 // 2)
+
+
+def test_prefix_pairs_of_sets_cut_into_other_numbers_of_pieces(spark):
+    import random
+
+    from docweave.llm.minhash import PIECE, _prefix_pairs
+    rng = random.Random(7)
+    # A set of each size by those that are just alike enough, where one more cut begins.
+    sets = []
+    for edge in (PIECE, 2 * PIECE, 4 * PIECE):
+        for size in (edge - 1, edge, edge + 1, edge + edge // 8):
+            whole = [rng.getrandbits(63) for _ in range(size)]
+            sets += [whole] + [rng.sample(whole, -(-size * part // 100)) for part in (85, 85, 90, 99)]
+    frame = spark.createDataFrame(list(enumerate(sets)), "c long, shingles array<long>")
+    sets = [set(s) for s in sets]
+    for numerator, denominator in ((85, 100), (80, 100), (1, 2)):
+        alike = {(u, v) for u, a in enumerate(sets) for v, b in enumerate(sets)
+                 if u < v and denominator * len(a & b) >= numerator * len(a | b)}
+        got = {(r.u, r.v) for r in _prefix_pairs(frame, None, numerator, denominator).collect()}
+        assert len(alike) >= 48 and alike <= got
