@@ -75,7 +75,8 @@ def op6_byte_bpe(spark, sf_dir):
     from docweave.llm.bpe import token_digests
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    made = token_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    made = token_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                         keep_text=False)
     return made.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

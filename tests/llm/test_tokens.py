@@ -9,7 +9,9 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+import corpus_pipeline
 from docweave.llm import bpe
+from docweave.llm.queries import QUERIES
 from docweave.llm.unigram_count import Counter, count_tokens, read_pieces
 from tests.llm.conftest import documents
 
@@ -69,6 +71,36 @@ def test_digests_keep_other_columns(spark, empty):
     assert bpe.token_digests(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_digests_without_texts(spark, empty):
+    # Texts in the result of the tasks' Python are a second copy of each batch.
+    docs = documents(spark, TEXTS).select("lang", "text", "doc_id")
+    whole = bpe.token_digests(docs, RANKS, public_tokenizers.PATTERN)
+    out = bpe.token_digests(docs, RANKS, public_tokenizers.PATTERN, keep_text=False)
+    assert out.columns == ["lang", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(out.collect()) == sorted(whole.select(*out.columns).collect())
+    assert bpe.token_digests(empty, RANKS, public_tokenizers.PATTERN, keep_text=False).count() == 0
+    only = bpe.token_digests(docs.select("text"), RANKS, public_tokenizers.PATTERN, key="text", keep_text=False)
+    assert only.columns == ["n_tokens", "ids_sha256", "decoded_sha256"] and only.count() == len(TEXTS)
+
+
+def from_python(made):
+    """Types of the columns that come back from the Python of each map step."""
+    plan, steps = made._jdf.queryExecution().analyzed(), []
+    while plan.children().nonEmpty():
+        if "MapInArrow" in plan.nodeName():
+            steps.append([plan.output().apply(i).dataType().simpleString() for i in range(plan.output().size())])
+        plan = plan.children().head()
+    return steps
+
+
+def test_token_queries_get_no_texts_from_python(spark, tmp_path):
+    docs = documents(spark, ["one two", None, "three"])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for made in (QUERIES["op6_byte_bpe"](spark, str(tmp_path)), corpus_pipeline.token_stage(spark, docs, str(tmp_path))):
+        assert from_python(made) == [["bigint", "bigint", "string", "string"]]
+        assert made.count() == 3
+
+
 def reference(pieces, by_bytes, split=True):
     made = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=by_bytes))
     made.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=split)
