@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from docweave.functions.names import decode_utf8, extension, strip
 from docweave.operators.selection import require_text
 from docweave.session import stage
+from docweave.sources import folders as shared
 
 # File kinds that hold one text each, and kinds that need an
 # extractor of the user; other kinds are unsupported.
@@ -64,9 +65,14 @@ def inventory(spark: SparkSession, root: str, glob=None) -> DataFrame:
     """name, size, creation_time, last_modified, content_type of every file under
     `root`. File contents are not read; Spark knows no creation time, so it is null.
     As in every Spark file scan, empty files and names that start with `_` or `.`
-    are not listed."""
+    are not listed. A shared folder of many files is listed by the tasks."""
     require_text(root, "root")
-    listed = _binary(spark, glob).load(root)
+    large = shared.large_folder(spark, root)
+    if large is None:
+        listed = _binary(spark, glob).load(root)
+    else:
+        listed = _as_spark_shows(shared.listed(spark, large, glob)).withColumn(
+            "modificationTime", F.timestamp_millis("millis"))
     return listed.select(
         F.col("path").alias("name"), F.col("length").alias("size"),
         F.lit(None).cast("timestamp").alias("creation_time"),
@@ -74,6 +80,11 @@ def inventory(spark: SparkSession, root: str, glob=None) -> DataFrame:
         content_type(extension("path")).alias("content_type"))
 
 
+def _as_spark_shows(files):
+    """Paths of a shared folder as Spark's file scan gives them."""
+    return files.withColumn("path", F.concat(F.lit("file:"), F.col("path")))
+
+
 def read_bytes(spark: SparkSession, where, glob=None, csv_apart=False) -> DataFrame:
     """path, length and content of the files under a folder, or of a list of paths.
 
@@ -94,13 +105,26 @@ def read_bytes(spark: SparkSession, where, glob=None, csv_apart=False) -> DataFr
     return small.select("path", "length", "content").unionByName(large)
 
 
-def _is_large_csv(path, size):
-    return (extension(path) == "csv") & (F.col(size) > CSV_ROW_BYTES)
+def _with_contents(files, path, size, name, csv_apart):
+    """Adds the bytes of files of a shared folder, which have plain names and sizes (null
+    for what is no file); null above Spark's limit, and for `csv_apart` files."""
+    wanted = F.coalesce(F.col(size) <= MAX_FILE_BYTES, F.lit(False))
+    if csv_apart:
+        wanted = wanted & ~F.coalesce(_is_large_csv(path, size), F.lit(False))
+    by_task = F.col(size) <= shared.MAX_TASK_FILE_BYTES
+    read = shared.shared_out(files, path, size).withColumn(name, shared.contents(F.when(wanted & by_task, F.col(path))))
+    large = [r[0] for r in files.where(wanted & ~by_task).select(path).distinct().collect()]
+    if not large:
+        return read
+    # One name each on the driver: these are few, as their sizes bound their number.
+    found = _binary(files.sparkSession).load([shared.escaped(f"file:{p}") for p in large])
+    found = found.select(_plain_path(F.col("path")).alias(path), F.col("content").alias(name))
+    is_large = wanted & ~by_task
+    return read.where(~is_large).unionByName(files.where(is_large).join(found, path))
 
 
-def _escaped(path):
-    """A path the reader takes literally, not as a pattern."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+def _is_large_csv(path, size):
+    return (extension(path) == "csv") & (F.col(size) > CSV_ROW_BYTES)
 
 
 def _plain_path(path):
@@ -115,7 +139,8 @@ def attach_bytes(files: DataFrame, root: str, csv_apart=False) -> DataFrame:
     `full_path` is taken relative to `root`. A short list of files is read path by
     path, with the list broadcast to the scan so that file contents are never
     shuffled; a longer one is joined with a scan of its folders, or of the root
-    when those are many too.
+    when those are many too. In a shared folder the tasks open the files of a longer list
+    themselves: the driver lists nothing, and no contents are shuffled.
     """
     spark = files.sparkSession
     location = F.concat(F.lit(require_text(root, "root").rstrip("/") + "/"),
@@ -133,6 +158,8 @@ def attach_bytes(files: DataFrame, root: str, csv_apart=False) -> DataFrame:
     if not source:
         return located.select("*", F.lit(None).cast("bigint").alias("body_bytes"),
                               F.lit(None).cast("binary").alias("body"))
+    if not short and shared.is_shared(spark, root):
+        return _opened_by_tasks(located, [re.sub("^file:/+", "/", p).rstrip("/") for p in wanted], csv_apart)
     found = read_bytes(spark, source, csv_apart=csv_apart).select(
         _plain_path(F.col("path")).alias("location"), F.col("length").alias("body_bytes"),
         F.col("content").alias("body"))
@@ -144,6 +171,16 @@ def attach_bytes(files: DataFrame, root: str, csv_apart=False) -> DataFrame:
     return present.unionByName(absent, allowMissingColumns=True)
 
 
+def _opened_by_tasks(located, roots, csv_apart):
+    """`attach_bytes` for files in a shared folder; a file counts if a scan of one of the
+    folders `roots` would list it."""
+    kept = [c for c in located.columns if c != "location"]
+    tasks = shared.shares(located.sparkSession, located.count())
+    sized = stage(located.repartition(tasks, "location").withColumn("body_bytes", shared.sizes(F.col("location"), roots)),
+                  "located-files")
+    return _with_contents(sized, "location", "body_bytes", "body", csv_apart).select("location", "body_bytes", "body", *kept)
+
+
 def _outermost(folders):
     """The folders that lie in no other of them, as folders are read with all below."""
     kept = []
@@ -157,7 +194,7 @@ def _existing(spark, root, paths):
     """The paths that exist, escaped for the reader: a missing one would fail the read."""
     jvm = spark._jvm
     fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    return [_escaped(p) for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
+    return [shared.escaped(p) for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
 
 
 # Documents -------------------------------------------------------------------
@@ -451,7 +488,7 @@ def large_csv_documents(files: DataFrame) -> DataFrame | None:
     if not paths:
         return None
     marked = _marked(spark, paths)
-    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text([_escaped(p) for p in paths])
+    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text([shared.escaped(p) for p in paths])
     lines = lines.select(
         _plain_path(_source()).alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("line"))

@@ -288,3 +288,66 @@ def test_exported_texts_are_those_of_sparks_writer(spark, tmp_path):
     assert not list((tmp_path / "ours").rglob(".part-*")) and (tmp_path / "ours" / "_SUCCESS").exists()
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         export_texts(methods, ours)
+
+
+@pytest.fixture
+def many(monkeypatch):
+    """Small folders are handled as those of many files; batches, walks and tasks are small."""
+    from docweave.sources import folders
+    for name, value in {"MAX_SCANNED_ENTRIES": 0, "FOLDERS_PER_WALK": 2, "MAX_TASK_FILE_BYTES": 40, "FILES_PER_TASK": 2,
+                        "BATCH_ROWS": 3, "BATCH_BYTES": 30}.items():
+        monkeypatch.setattr(folders, name, value)
+    return monkeypatch
+
+
+def odd_store(root):
+    names = ["a.txt", "b c%20+d.txt", "e[1]{x}.txt", "é.md", "_hidden.txt", ".dot.txt", "_k=1.txt", "x._COPYING_", "big.csv",
+             "big.txt", "empty.txt", "_metadata"]
+    for folder in ("", "in/", "in/deep/er/", "_gone/", "_k=2/", "_metadata_x/", ".h/", "in/sp ce/", "y._COPYING_/"):
+        for n, name in enumerate(names):
+            put(root, folder + name, "" if name.startswith("empty") else f"{folder}{n}" + "x\n" * (40 if "big" in name else n))
+    (root / "in/nothing").mkdir()
+    (root / "in/lost").symlink_to(root / "nowhere")
+    (root / "in/linked.txt").symlink_to(root / "a.txt")
+    return str(root)
+
+
+@pytest.mark.parametrize("glob", [None, "{*.txt,big*}", "[!b]*.txt", "*.csv"])
+def test_tasks_list_a_folder_as_sparks_scan_does(spark, tmp_path, many, glob):
+    from docweave.sources import folders
+    root = odd_store(tmp_path)
+    read = lambda: rows(source.inventory(spark, root, glob))
+    ours, scanned = read(), plan(source.inventory(spark, root, glob))
+    many.setattr(folders, "MAX_SCANNED_ENTRIES", 10_000)
+    assert ours == read() and len(ours) > 5
+    # The driver lists nothing.
+    assert "binaryFile" not in scanned and "binaryFile" in plan(source.inventory(spark, root, glob))
+    # What is no plain folder is left to Spark's scan.
+    many.setattr(folders, "MAX_SCANNED_ENTRIES", 0)
+    assert folders.large_folder(spark, root + "/in/*") is folders.large_folder(spark, root + "/a.txt") is None
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        source.inventory(spark, root + "/no")
+
+
+@pytest.mark.parametrize("listed", [0, 8])
+def test_tasks_open_the_files_of_a_long_list(spark, tmp_path, many, listed):
+    """By folder and from the root, also what no scan lists."""
+    from docweave.sources import folders
+    root = odd_store(tmp_path / "store")
+    put(tmp_path, "beside.txt", "outside")
+    many.setattr(source, "MAX_LISTED_PATHS", listed)
+    many.setattr(source, "CSV_ROW_BYTES", 60)
+    wanted = [str(p.relative_to(root)) for p in (tmp_path / "store").rglob("*") if listed == 0 or p.parent.name in ("er", "store", "")]
+    wanted += ["/a.txt", "a.txt", None, "in//linked.txt", "./a.txt", "in/../a.txt", "../beside.txt", "none/a.txt", "a.txt/", ""]
+    asked = spark.createDataFrame([(p, str(n)) for n, p in enumerate(wanted)], "full_path string, path string")
+    read = lambda apart: source.attach_bytes(asked, root, csv_apart=apart)
+    for apart in (False, True):
+        ours = read(apart)
+        with many.context() as scanned:
+            scanned.setattr(folders, "is_shared", lambda *_: False)
+            theirs = read(apart)
+            assert ours.columns == theirs.columns and rows(ours) == rows(theirs) and ours.count() == len(wanted)
+    many.setattr(folders, "MAX_TASK_FILE_BYTES", 1000)
+    assert rows(read(True)) == rows(ours) and "binaryFile" not in plan(read(True)) and "binaryFile" in plan(theirs)
+    body = {r.full_path: r.body for r in ours.collect()}
+    assert body["a.txt"] == b"0" and body["big.csv"] is None and body["_hidden.txt"] is None
