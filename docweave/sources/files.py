@@ -89,8 +89,13 @@ def read_bytes(spark: SparkSession, where, glob=None, csv_apart=False) -> DataFr
     """path, length and content of the files under a folder, or of a list of paths.
 
     Files above Spark's limit for one value keep their row, with null content; with
-    `csv_apart` also the CSV files that `large_csv_documents` reads.
+    `csv_apart` also the CSV files that `large_csv_documents` reads. The tasks list and
+    read a shared folder of many files; of these only large ones are left to Spark's scan.
     """
+    folder = shared.large_folder(spark, where)
+    if folder is not None:
+        return _as_spark_shows(_with_contents(shared.listed(spark, folder, glob), "path", "length", "content", csv_apart)
+                               .select("path", "length", "content"))
     files = _binary(spark, glob).load(where)
     length, apart = F.col("length"), F.col("length") > MAX_FILE_BYTES
     if csv_apart:

@@ -313,13 +313,16 @@ def odd_store(root):
 
 
 @pytest.mark.parametrize("glob", [None, "{*.txt,big*}", "[!b]*.txt", "*.csv"])
-def test_tasks_list_a_folder_as_sparks_scan_does(spark, tmp_path, many, glob):
+def test_tasks_list_and_read_a_folder_as_sparks_scan_does(spark, tmp_path, many, glob):
     from docweave.sources import folders
     root = odd_store(tmp_path)
-    read = lambda: rows(source.inventory(spark, root, glob))
+    many.setattr(source, "MAX_FILE_BYTES", 90)
+    many.setattr(source, "CSV_ROW_BYTES", 60)
+    read = lambda: (rows(source.inventory(spark, root, glob)),
+                    rows(source.read_bytes(spark, "file://" + root, glob)), rows(source.read_bytes(spark, [root], glob, csv_apart=True)))
     ours, scanned = read(), plan(source.inventory(spark, root, glob))
     many.setattr(folders, "MAX_SCANNED_ENTRIES", 10_000)
-    assert ours == read() and len(ours) > 5
+    assert ours == read() and len(ours[0]) == len(ours[1]) > 5
     # The driver lists nothing.
     assert "binaryFile" not in scanned and "binaryFile" in plan(source.inventory(spark, root, glob))
     # What is no plain folder is left to Spark's scan.
