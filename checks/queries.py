@@ -488,8 +488,8 @@ def _exported(spark, sf):
 
 def text_export(spark, sf):
     """The exported texts, read back line by line."""
-    lines = spark.read.option("lineSep", "\n").text(_exported(spark, sf))
-    return lines.groupBy(F.col("method_id").cast("string").alias("method_id")).agg(
+    lines = table_source.exported_texts(spark, _exported(spark, sf))
+    return lines.groupBy("method_id").agg(
         F.count(F.lit(1)).alias("lines"), long(F.sum(F.length("value"))).alias("chars"))
 
 

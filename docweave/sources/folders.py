@@ -215,3 +215,38 @@ def _size(path, roots):
         return (os.stat(path).st_size or None) if os.path.isfile(path) else None
     except (OSError, ValueError):
         return None
+
+
+_LINES = pa.schema([("path", pa.string()), ("value", pa.binary())])
+
+
+def _lines(batches):
+    """path -> a row for each line of the file, as Spark's line reader gives them."""
+    made, size = [], 0
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            with open(path, "rb") as file:
+                for n, line in enumerate(file):
+                    # Which drops a byte order mark.
+                    line = (line.removeprefix(b"\xef\xbb\xbf") if n == 0 else line).removesuffix(b"\n")
+                    made.append((path, line))
+                    size += len(line)
+                    if len(made) >= BATCH_ROWS or size >= BATCH_BYTES:
+                        yield _batch(made, _LINES)
+                        made, size = [], 0
+    if made:
+        yield _batch(made, _LINES)
+
+
+def lines(files: DataFrame) -> DataFrame:
+    """path, value: the lines of files that `listed` found."""
+    spark = files.sparkSession
+    small = shared_out(files.where(F.col("length") <= MAX_TASK_FILE_BYTES))
+    read = small.select("path").mapInArrow(_lines, "path string, value binary").select("path", F.col("value").cast("string"))
+    large = [r[0] for r in files.where(F.col("length") > MAX_TASK_FILE_BYTES).select("path").collect()]
+    if not large:
+        return read
+    # Cut into splits, which as many tasks read.
+    cut = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text([escaped(f"file:{p}") for p in large])
+    path = F.regexp_replace(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+    return read.unionByName(cut.select(path.alias("path"), "value"))

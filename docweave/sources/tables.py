@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docweave.operators.selection import require_positive, require_text
 from docweave.schemas import METHOD_RECORD
 from docweave.session import spread_if_few
+from docweave.sources import folders
 
 
 def query(spark: SparkSession, sql: str, **parameters) -> DataFrame:
@@ -87,10 +88,26 @@ def export_texts(methods: DataFrame, path: str, max_methods=None) -> None:
     system.create(rows.sparkSession._jvm.org.apache.hadoop.fs.Path(place, "_SUCCESS")).close()
 
 
+def exported_texts(spark: SparkSession, path: str) -> DataFrame:
+    """method_id and value: the lines of the texts that `export_texts` wrote. A shared folder
+    of many methods is read by the tasks; Spark's reader would hold its partitions on the
+    driver."""
+    large = folders.large_folder(spark, require_text(path, "path"))
+    if large is None:
+        return spark.read.schema("value string, method_id string").option("lineSep", "\n").text(path).select("method_id", "value")
+    name = F.regexp_extract("path", "/method_id=([^/]*)/[^/]*$", 1)
+    method = F.when(name != _NO_ID, F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
+    return folders.lines(folders.listed(spark, large)).select(method.alias("method_id"), "value")
+
+
+# Fixed value: what stands for a missing id in the name of a folder.
+_NO_ID = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _folder(value):
     """Name of the folder of a partition value, as Spark writes and reads it."""
     if not value:
-        return "method_id=__HIVE_DEFAULT_PARTITION__"
+        return f"method_id={_NO_ID}"
     return "method_id=" + re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda c: f"%{ord(c[0]):02X}", value)
 
 

@@ -354,3 +354,21 @@ def test_tasks_open_the_files_of_a_long_list(spark, tmp_path, many, listed):
     assert rows(read(True)) == rows(ours) and "binaryFile" not in plan(read(True)) and "binaryFile" in plan(theirs)
     body = {r.full_path: r.body for r in ours.collect()}
     assert body["a.txt"] == b"0" and body["big.csv"] is None and body["_hidden.txt"] is None
+
+
+def test_exported_texts_are_read_by_tasks_as_by_sparks_reader(spark, tmp_path, many):
+    from docweave.sources import folders
+    methods = spark.createDataFrame(
+        [("1", "a\nb"), ("1", "a\nb"), ("2", None), (None, "none\n\n"), ("", "\r\n x"), ("a/b%:=c é+", "odd"), ("03", ""),
+         ("4", "\ufeffmark"), ("5", "long\n" * 30), ("6 [x]", "y" * 100)], "method_id string, content string").repartition(3)
+    path = str(tmp_path / "texts")
+    tables.export_texts(methods, path)
+    ours = tables.exported_texts(spark, path)
+    many.setattr(folders, "MAX_SCANNED_ENTRIES", 10_000)
+    theirs = tables.exported_texts(spark, path)
+    assert rows(ours) == rows(theirs) and ours.dtypes == theirs.dtypes and ours.count() == 4 + 1 + 3 + 2 + 1 + 1 + 1 + 31 + 1
+    assert {r[0] for r in ours.distinct().collect()} == {"1", "2", None, "a/b%:=c é+", "03", "4", "5", "6 [x]"}
+    many.setattr(folders, "MAX_SCANNED_ENTRIES", 0)
+    many.setattr(folders, "MAX_TASK_FILE_BYTES", 1000)
+    whole = tables.exported_texts(spark, path)
+    assert rows(whole) == rows(theirs) and "FileScan text" not in plan(whole) and "FileScan text" in plan(theirs)
