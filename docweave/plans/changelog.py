@@ -67,7 +67,8 @@ class ChangeLog:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            # Seen to be empty while a query is planned: its joins with nothing are left out.
+            return self.spark.createDataFrame([], schema).where(F.lit(False))
 
     def _write(self, kind, name, batch_id, rows, *more):
         """Files of even size; a partition value with most rows is split over many."""

@@ -28,32 +28,46 @@ class MethodSync:
     rejects: DataFrame
 
 
-def requested_records(messages: DataFrame, records: DataFrame):
+def wanted_ids(messages: DataFrame) -> DataFrame:
+    """The ids that valid messages ask for, each once."""
+    valid = check_messages(messages).where("valid")
+    # Written first: the size of the id list is then known to the joins with it.
+    return stage(message_ids(valid).select(F.col("id").alias("method_id")).distinct(), "wanted-ids")
+
+
+def requested_records(messages: DataFrame, records: DataFrame, wanted: DataFrame | None = None):
     """(records asked for by valid messages, rejected messages).
 
     `records` are `{metadata, content}` rows. A message with a bad id, or whose
     ids match no record, is rejected; a record asked for twice appears once.
+    `wanted` are the `wanted_ids` of the messages, if they are written already.
     """
-    checked = check_messages(messages)
-    valid = checked.where("valid").select("message_id", "value")
+    wanted = wanted_ids(messages) if wanted is None else wanted
     flat = records.select("metadata.*", "content")
-    # Written first: the size of the id list is then known to the joins with it.
-    wanted = stage(message_ids(valid).select(F.col("id").alias("method_id")).distinct(), "wanted-ids")
     matched = flat.join(wanted, "method_id", "left_semi")
+    # Records carry no version, so among copies with one id any fixed rule will do.
+    return one_per_key(matched, ["method_id"]), rejected_messages(messages, flat)
+
+
+def rejected_messages(messages: DataFrame, records: DataFrame) -> DataFrame:
+    """message_id and reason of the messages with a bad id, and of those none of whose
+    ids is a method_id of `records`."""
+    checked = check_messages(messages)
     bad = checked.where("not valid").select(
         "message_id", F.concat(F.lit("ids are not numeric: "), F.concat_ws(", ", "bad_ids")).alias("reason"))
-    none = unmatched_messages(valid, flat, "method_id").select(
+    none = unmatched_messages(checked.where("valid").select("message_id", "value"), records, "method_id").select(
         "message_id", F.lit("no matching data").alias("reason"))
-    # Records carry no version, so among copies with one id any fixed rule will do.
-    one_each = one_per_key(matched, ["method_id"])
-    return one_each, bad.unionByName(none)
+    return bad.unionByName(none)
+
 
+def classify(records: DataFrame, state: DataFrame, reduced=False) -> DataFrame:
+    """Each record with `exists`, `old_uuid` and `old_created_at` from the table.
 
-def classify(records: DataFrame, state: DataFrame) -> DataFrame:
-    """Each record with `exists`, `old_uuid` and `old_created_at` from the table."""
+    `reduced=True` says that `state` holds only rows of the ids asked for.
+    """
     # The table is reduced to the ids asked for before the join, by a semi join
     # that needs no shuffle of the table while they are few.
-    asked = state.join(records.select("method_id"), "method_id", "left_semi")
+    asked = state if reduced else state.join(records.select("method_id"), "method_id", "left_semi")
     known = asked.select("method_id", F.lit(True).alias("_known"), F.col("uuid").alias("old_uuid"),
                          F.col("vector_created_at").alias("old_created_at"))
     return (records.join(known, "method_id", "left")
@@ -94,14 +108,19 @@ def old_vector_ids(classified: DataFrame, namespace=None) -> DataFrame:
         F.lit(namespace_name(namespace)).alias("namespace"), F.col("old_uuid").alias("id"))
 
 
-def sync_methods(messages: DataFrame, records: DataFrame, state: DataFrame, run_time, batch_id,
+def sync_methods(messages: DataFrame, records: DataFrame, state, run_time, batch_id,
                  model_factory=None, dim=DIMENSION, namespace=None) -> MethodSync:
     """Everything one batch of messages changes, from one plan.
 
-    A method that cannot be embedded changes neither table and is reported.
+    `state` is the metadata table, or a function that picks from it the rows of given ids
+    (a DataFrame with `method_id`). A method that cannot be embedded changes neither table
+    and is reported.
     """
-    asked, rejects = requested_records(messages, records)
-    rows = next_metadata(classify(asked, state), run_time, batch_id, "exists", "old_uuid")
+    # One list of ids picks from both tables: what is picked is not worked out twice.
+    wanted = wanted_ids(messages)
+    asked, _ = requested_records(messages, records, wanted)
+    known = state(wanted) if callable(state) else state.join(wanted, "method_id", "left_semi")
+    rows = next_metadata(classify(asked, known, reduced=True), run_time, batch_id, "exists", "old_uuid")
     # Embedding is the costly step and feeds all outputs: the texts are written once.
     done = stage(embed_rows(rows.withColumn("_metadata", document_metadata()), "description",
                             model_factory, dim), "method-sync")
@@ -112,6 +131,8 @@ def sync_methods(messages: DataFrame, records: DataFrame, state: DataFrame, run_
     failed = done.where("embedding_error is not null").select(
         F.lit(None).cast("string").alias("message_id"), "method_id",
         F.concat(F.lit("cannot embed: "), "embedding_error").alias("reason"))
-    rejects = rejects.select("message_id", F.lit(None).cast("string").alias("method_id"), "reason")
+    # Each record asked for is among the rows just written: the records are not read again.
+    rejects = rejected_messages(messages, done).select(
+        "message_id", F.lit(None).cast("string").alias("method_id"), "reason")
     return MethodSync(good.select(*METHOD_METADATA.names), old_vector_ids(good, namespace),
                       vectors, rejects.unionByName(failed))

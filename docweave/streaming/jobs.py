@@ -5,6 +5,8 @@ needed. A failed micro-batch is run again by Spark; ids depend on the inputs and
 the batch, and a batch already published is skipped.
 """
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,8 +91,7 @@ def apply_method_messages(messages: DataFrame, batch_id: int, log: ChangeLog, re
     now = F.current_timestamp() if run_time is None else run_time
     with staging_scope(log.spark):
         messages = stage(messages, "messages")
-        asked = stage(message_ids(messages).select(F.col("id").alias("method_id")), "asked-ids")
-        done = sync_methods(messages, records, log.current("methods", asked), now, batch_id, **options)
+        done = sync_methods(messages, records, partial(log.current, "methods"), now, batch_id, **options)
         published = log.publish(batch_id, {
             "methods": (done.metadata, None), "vectors": (done.vectors, done.old_vectors),
             "rejects": (done.rejects.distinct(), None)}, unique=("methods", "vectors"))

@@ -119,6 +119,54 @@ def test_sync_keeps_creation_and_replaces_vectors(spark):
         ("m2", "ids are not numeric: x"), ("m3", "no matching data")]
 
 
+def counting_scans(frame):
+    """`frame`, and an accumulator that counts the rows each run of it reads."""
+    read = frame.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return frame.mapInArrow(run, frame.schema), read
+
+
+def test_a_batch_of_messages_reads_the_records_once(spark, tmp_path):
+    data = [(str(i), f"text {i}") for i in range(20)]
+    records, read = counting_scans(methods(spark, *data))
+    log = method_tables(spark, str(tmp_path))
+    assert apply_method_messages(messages(spark, "1,2,3", "99", "4,x"), 0, log, records, dim=4)
+    assert read.value == 20
+    assert apply_method_messages(messages(spark, "2", "98"), 1, log, records, dim=4)
+    assert read.value == 40
+    assert rows(log.current("methods").select("method_id", F.col("vector_updated_at").isNotNull())) == [
+        ("1", False), ("2", True), ("3", False)]
+    # Messages are named alike in both batches, so their rejections are too.
+    assert rows(log.current("rejects").select("message_id", "reason")) == [
+        ("m1", "no matching data"), ("m2", "ids are not numeric: x")]
+
+
+def test_sync_of_odd_rows(spark):
+    records = methods(spark, ("1", "one"), ("1", "one"), ("2", None), ("3", ""), (None, "no id"), ("4", "not asked for"))
+    state = spark.createDataFrame(
+        [(i, u, "n", "s", "c", "d", "u", None, None, None) for i, u in (("1", "old-1"), ("4", "old-4"), (None, "old"))],
+        METHOD_METADATA)
+    asked = spark.createDataFrame(
+        [("a", " 1 ,3,1"), ("a", "77"), ("b", "2"), ("c", None), ("d", ""), (None, "78"), ("e", "1,,3")],
+        "message_id string, value string")
+    for known in (state, lambda wanted: state.join(wanted, "method_id", "left_semi")):
+        done = sync_methods(asked, records, known, run_time(), 5, dim=4)
+        assert rows(done.metadata.select("method_id", "description", F.col("vector_updated_at").isNotNull())) == [
+            ("1", "one", True), ("3", "", False)]
+        assert rows(done.old_vectors) == [("default", "old-1")] and done.vectors.count() == 2
+        assert rows(done.rejects) == sorted([
+            (None, "2", "cannot embed: text is null"), (None, None, "no matching data"),
+            ("c", None, "ids are not numeric: "), ("d", None, "ids are not numeric: "), ("e", None, "ids are not numeric: ")],
+            key=lambda r: tuple(map(str, r)))
+    nothing = sync_methods(asked.limit(0), records, state, run_time(), 5, dim=4)
+    assert nothing.metadata.count() == nothing.vectors.count() == nothing.old_vectors.count() == nothing.rejects.count() == 0
+
+
 def test_method_that_cannot_be_embedded_changes_nothing(spark):
     def factory():
         def model(texts):
