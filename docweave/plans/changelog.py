@@ -79,9 +79,9 @@ class ChangeLog:
             f"{self.root}/{kind}/{name}/batch_id={batch_id}")
 
     def _last(self, kind):
-        """Greatest committed batch id, or None."""
-        commits = self._read("commits", kind, "batch_id long, done boolean")
-        return commits.agg(F.max("batch_id")).first()[0]
+        """Greatest committed batch id, or None: told by the names of the entries, none is read."""
+        entries = self._read("commits", kind, "batch_id long, done boolean").inputFiles()
+        return max((int(entry.split("/")[-2].partition("=")[2]) for entry in entries), default=None)
 
     def last_batch(self):
         return self._last("changes")
@@ -98,7 +98,8 @@ class ChangeLog:
         failure before the commit entry leaves the tables as they were, and the
         replayed batch overwrites what it had written. A key both deleted and
         upserted ends as the upserted row; of upserted rows with one key, one is written.
-        `unique` names tables whose rows repeat no key: they are written as they are.
+        `unique` names tables whose rows repeat no key: rows and deleted keys are written as
+        they are, and whoever reads them takes the row of a key that is among both.
         """
         last = self.last_batch()
         if last is not None and batch_id <= last:
@@ -109,7 +110,9 @@ class ChangeLog:
                 rows = one_per_key(rows, keys)
             out = rows.select(*schema.names, F.lit(False).alias("_deleted"))
             if gone is not None:
-                removed = _without(gone.select(*keys), rows, keys).distinct()
+                removed = gone.select(*keys)
+                if name not in unique:
+                    removed = _without(removed, rows, keys).distinct()
                 out = out.unionByName(removed.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
             self._write("changes", name, batch_id, out)
         self._commit("changes", batch_id)
@@ -161,7 +164,8 @@ class ChangeLog:
             picked = [c for c in keys if c in wanted.columns]
             log = _among(log, wanted, picked)
             base = None if base is None else _among(base, wanted, picked)
-        newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
+        # Of one batch a row counts before a deletion.
+        newest = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc(), "_deleted")
         latest = (log.withColumn("_age", F.row_number().over(newest)).where("_age = 1 and not _deleted")
                   .select(*schema.names))
         if base is None:

@@ -94,7 +94,7 @@ def apply_method_messages(messages: DataFrame, batch_id: int, log: ChangeLog, re
         done = sync_methods(messages, records, partial(log.current, "methods"), now, batch_id, **options)
         published = log.publish(batch_id, {
             "methods": (done.metadata, None), "vectors": (done.vectors, done.old_vectors),
-            "rejects": (done.rejects.distinct(), None)}, unique=("methods", "vectors"))
+            "rejects": (done.rejects.distinct(), None)}, unique=("methods", "vectors", "rejects"))
         if published and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
             log.compact()
         return published

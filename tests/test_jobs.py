@@ -213,6 +213,36 @@ def test_change_log(spark, tmp_path):
     assert set(rows(log_of(spark, tmp_path).current("t"))) == {("a", "2"), ("d", "3"), (None, "3")}
 
 
+def test_unique_rows_are_published_from_one_scan(spark, tmp_path):
+    log = log_of(spark, tmp_path)
+    made, read = counting_scans(spark.createDataFrame([("a", "1"), ("b", "1"), (None, "1")], KV))
+    keys = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "k string")
+    other = spark.createDataFrame([("c", "0"), ("d", "0")], KV)
+    assert log.publish(0, {"t": (other, None), "u": (other, None)}, unique=("t",))
+    assert log.publish(1, {"t": (made, keys), "u": (made.limit(0), None)}, unique=("t",))
+    assert read.value == 3
+    # Deleted and upserted in one batch, null keys too: the row stays, before and after a fold.
+    want = {("a", "1"), ("b", "1"), (None, "1"), ("d", "0")}
+    assert set(rows(log.current("t"))) == want and len(rows(log.current("t"))) == 4
+    log.compact()
+    assert set(rows(log.current("t"))) == want and log.current("u").count() == 2
+    assert log.publish(2, {"t": (other.limit(0), keys)}, unique=("t",))
+    assert set(rows(log.current("t"))) == {("b", "1"), ("d", "0")}
+
+
+def test_the_last_batch_is_told_without_a_job(spark, tmp_path):
+    log, context = log_of(spark, tmp_path / "batch_id=99"), spark.sparkContext
+    frame = spark.createDataFrame([("a", "1")], KV)
+    assert log.last_batch() is None
+    for batch in (9, 10, 11):
+        assert log.publish(batch, {"t": (frame, None)})
+    context.setJobGroup("last", "")
+    assert log.last_batch() == 11 and log._last("base") is None
+    assert not context.statusTracker().getJobIdsForGroup("last")
+    context._jsc.clearJobGroup()
+    assert not log.publish(10, {"t": (frame, None)}) and rows(log.current("t")) == [("a", "1")]
+
+
 def parquet_files(path):
     return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
 
