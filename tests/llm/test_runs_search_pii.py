@@ -145,6 +145,35 @@ def test_searches_of_blocks(spark, monkeypatch):
     assert got == sorted(plain_search(rows, items, 4))
 
 
+def test_terms_of_queries_are_counted_while_the_index_is_built(spark, monkeypatch):
+    from docweave.llm import lexical_search
+
+    rows = [(i, f"a{i % 5} b{i % 3} É{i % 4} c" + " a1" * (i % 7 == 0)) for i in range(40)]
+    rows += [(None, "a1 a1 c"), (3, "A3-b0_c"), (3, "A3-b0_c"), (90, None), (91, ""), (92, "\x00 \x7f\u00a0?\u2028 b1")]
+    items = [("x", "A1 b1 a1"), ("x", "É2 É2 nowhere"), ("y", None), (None, "c\u00a0 b2"), ("z", "\u00a0?"), ("z", "a3,b0")]
+    docs, asked = documents(spark, rows), spark.createDataFrame(items, "item_id string, text string")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def found(**more):
+        got = search(docs.mapInArrow(counted, docs.schema), asked, k=4, **more)
+        return sorted((tuple(r) for r in got.select("item_id", "rank", "doc_id", "score").collect()), key=str)
+
+    want = sorted(plain_search(rows, [i for i in items if i[0]], 4) + [
+        (None, *r[1:]) for r in plain_search(rows, [("none", items[3][1])], 4)], key=str)
+    # The index and the exact scores read the documents, one pass each; nothing is left after the first round.
+    assert found() == want and read.value == 2 * len(rows)
+    index = build_index(docs)
+    assert index.columns == ["d", "n_terms", "width", "sketch"] and found(index=index) == want
+    monkeypatch.setattr(lexical_search, "HELD_TERMS", 3)
+    monkeypatch.setattr(lexical_search, "FOLDED", 7)
+    assert found() == want
+
+
 def test_searches_of_nothing(spark, empty):
     asked = spark.createDataFrame([(1, "a")], "item_id int, text string")
     docs = documents(spark, ["a b", "b"])
